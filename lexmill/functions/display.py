@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 def percent_text(share: Column, decimals: int = 2) -> Column:
     """A share as percent text, rounded half to even on the binary value."""
     pattern = "0." + "0" * decimals if decimals else "0"
-    return F.concat(F.format_number(share * 100, pattern), F.lit("%"))
+    return F.concat(F.call_function("format_number", share * 100, F.lit(pattern)), F.lit("%"))
 
 
 def run_name(moment: Column) -> Column:

@@ -8,10 +8,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _LOCAL_BASE: dict[str, str] = {}
 
@@ -33,11 +32,12 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_base(spark)}/lexmill/{name}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
-    """Write ``df`` once and return the stored table."""
+def materialise(df: DataFrame, name: str, path: str | None = None, by: str | None = None) -> DataFrame:
+    """Write ``df`` once and return the stored table, in folders per value of ``by`` if given."""
     spark = df.sparkSession
     target = path or new_path(spark, name)
-    df.write.mode("overwrite").parquet(target)
+    writer = df.write.mode("overwrite")
+    (writer.partitionBy(by) if by else writer).parquet(target)
     return spark.read.schema(df.schema).parquet(target)
 
 
@@ -55,10 +55,13 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 _ROW_OVERHEAD = 64
 
 
-def fits_broadcast(df: DataFrame, text_columns: Sequence[str] = (), limit: int = BROADCAST_BYTES) -> bool:
+def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
     """Measure whether ``df`` is small enough to broadcast. Call it on stored tables."""
     per_row: Column = F.lit(_ROW_OVERHEAD + 8 * len(df.columns)).cast("bigint")
-    for c in text_columns:
-        per_row = per_row + F.coalesce(F.octet_length(c), F.lit(0))
+    for f in df.schema.fields:
+        if isinstance(f.dataType, T.StringType):
+            per_row = per_row + F.coalesce(F.octet_length(f.name), F.lit(0))
+        elif isinstance(f.dataType, T.ArrayType):
+            per_row = per_row + 8 * F.coalesce(F.size(f.name), F.lit(0))
     measured = df.agg(F.coalesce(F.sum(per_row), F.lit(0)).alias("n")).first()
     return measured["n"] <= limit
