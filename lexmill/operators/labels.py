@@ -41,7 +41,8 @@ def decode_labels(df: DataFrame, index: str, labels: DataFrame, name: str = "lab
 
 def with_one_hot(df: DataFrame, index: str, labels: DataFrame, name: str = "one_hot") -> DataFrame:
     size = labels.agg(F.count("*")).scalar()
-    return df.withColumn(name, one_hot(F.col(index), size))
+    sized = df.withColumn("_classes", size)
+    return sized.withColumn(name, one_hot(F.col(index), F.col("_classes"))).drop("_classes")
 
 
 def require_classes(n_classes: int) -> None:
