@@ -112,7 +112,7 @@ turn_tokens AS (SELECT request_id,
   list_filter(string_split(translate(lower(clean), '_', ' '), ' '), lambda w: w <> '') AS tokens FROM turns),
 postings AS (SELECT request_id, word, count(*) AS n
   FROM (SELECT request_id, unnest(tokens) AS word FROM turn_tokens) GROUP BY request_id, word)"""
-_PREDICTED_TURNS = f"""WITH {_TRAIN}, {_CONVERSATIONS}, {_scores(200, 500.0, 'request_id', 'turn_tokens')}
+_PREDICTED_TURNS = f"""WITH {_TRAIN}, {_CONVERSATIONS}, {_scores(None, 1000.0, 'request_id', 'turn_tokens')}
 SELECT request_id, label, round(score, 6) AS score FROM predicted"""
 _ITEMS = f"""items AS (SELECT item_id,
   list_filter(string_split(translate(lower({_clean(_plain('text'))}), '_', ' '), ' '), lambda w: w <> '') AS tokens
@@ -120,6 +120,7 @@ _ITEMS = f"""items AS (SELECT item_id,
 postings AS (SELECT item_id, word, count(*) AS n
   FROM (SELECT item_id, unnest(tokens) AS word FROM items) GROUP BY item_id, word)"""
 _SCORED = f"WITH {_TRAIN}, {_POSTINGS}, {_scores(200, 500.0)}"
+_PUBLISHED = f"WITH {_TRAIN}, {_POSTINGS}, {_scores(None, 1000.0)}"
 
 ORACLES: dict[str, str] = {
     "csv_scan": "SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang, source FROM documents",
@@ -210,9 +211,9 @@ SELECT doc_id, label_idx, label FROM documents JOIN c ON doc_id % (SELECT count(
 SELECT doc_id, class_idx, CASE WHEN lang = label THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS hot
 FROM documents JOIN c ON true""",
     "score_fixed_mlp": f"{_SCORED} SELECT doc_id, label, round(score, 6) AS score FROM predicted",
-    "score_full_vocabulary": f"""WITH {_TRAIN}, {_POSTINGS}, {_scores(None, 5000.0)}
+    "score_full_vocabulary": f"""WITH {_TRAIN}, {_POSTINGS}, {_scores(None, 1000.0)}
 SELECT doc_id, label, round(score, 6) AS score FROM predicted""",
-    "score_unseen_texts": f"""WITH {_TRAIN}, {_ITEMS}, {_scores(None, 5000.0, 'item_id', 'items')}
+    "score_unseen_texts": f"""WITH {_TRAIN}, {_ITEMS}, {_scores(None, 1000.0, 'item_id', 'items')}
 SELECT item_id, label, round(score, 6) AS score FROM predicted""",
     "predict_requests": _PREDICTED_TURNS,
     "score_stream_batches": _PREDICTED_TURNS,
@@ -223,7 +224,7 @@ SELECT round(avg(-ln(least(greatest(p[target + 1] / list_sum(p), 1e-7), 1 - 1e-7
   round(avg(CAST(label_idx = target AS DOUBLE)), 6) AS accuracy FROM truth""",
     "accuracy": f"""WITH {_JUDGED}, {_TOTALS} SELECT n_evaluated, n_correct, n_errors,
   round(n_correct / n_evaluated, 6) AS accuracy FROM totals""",
-    "evaluate_report": f"""{_SCORED}
+    "evaluate_report": f"""{_PUBLISHED}
 SELECT printf('%.2f%%', avg(CAST(label = lang AS DOUBLE)) * 100) AS accuracy
 FROM predicted JOIN documents USING (doc_id)""",
     "batch_accuracy": f"""WITH {_SPLIT}, {_JUDGED}
@@ -243,6 +244,17 @@ SELECT round(avg(accuracy), 6) AS mean_train_accuracy, round(avg(val_accuracy),
   (SELECT string_agg(l, ',' ORDER BY l) FROM (SELECT DISTINCT lang AS l FROM documents)) AS dataset_labels
 FROM history""",
     "retrain_decision": _DECISION,
+    "retrain_low_accuracy": f"""WITH {_JUDGED}, {_TOTALS}, {_history()},
+base AS (SELECT avg(val_accuracy) AS threshold FROM history),
+rules AS (SELECT *, n_correct / n_evaluated AS share, n_correct / n_evaluated <= threshold AS below FROM totals, base)
+SELECT below AS retrain, n_evaluated, n_correct, n_errors, printf('%.4f%%', threshold * 100) AS threshold,
+  CASE WHEN below THEN printf('%.4f%%', share * 100) END AS evaluated_accuracy,
+  CASE WHEN below THEN printf('%d of %d labels were predicted correctly (%d errors)', n_correct, n_evaluated, n_errors)
+    END AS hits_text,
+  CASE WHEN below THEN concat('accuracy is at or below that of the published model less 0.0000% (threshold ',
+    printf('%.4f%%', threshold * 100), ')') END AS accuracy_text,
+  CAST(NULL AS BIGINT) AS n_unknown_labels, CAST(NULL AS BIGINT) AS n_unknown_rows,
+  CAST(NULL AS VARCHAR) AS labels_text FROM rules""",
     "retrain_not_needed": f"""WITH {_JUDGED}, {_TOTALS}, {_history()},
 base AS (SELECT avg(val_accuracy) - CAST(0.5 AS DOUBLE) AS threshold FROM history)
 SELECT n_correct / n_evaluated <= threshold AS retrain, n_evaluated, n_correct, n_errors,
@@ -250,7 +262,7 @@ SELECT n_correct / n_evaluated <= threshold AS retrain, n_evaluated, n_correct,
   CAST(NULL AS VARCHAR) AS hits_text, CAST(NULL AS VARCHAR) AS accuracy_text,
   CAST(NULL AS BIGINT) AS n_unknown_labels, CAST(NULL AS BIGINT) AS n_unknown_rows,
   CAST(NULL AS VARCHAR) AS labels_text FROM totals, base""",
-    "retrain_evaluation": f"""{_SCORED}, {_JUDGED}, {_history()},
+    "retrain_evaluation": f"""{_PUBLISHED}, {_JUDGED}, {_history()},
 base AS (SELECT avg(val_accuracy) - CAST(0.02 AS DOUBLE) AS threshold FROM history),
 hits AS (SELECT count(*) AS n, count(*) FILTER (label = lang) AS c FROM predicted JOIN documents USING (doc_id))
 SELECT c / n <= threshold AS retrain, 'run-1' AS evaluated_run_id, n AS n_evaluated, c AS n_correct,

@@ -323,7 +323,7 @@ def vocab_lookup(spark: SparkSession, sf: str) -> DataFrame:
 def vocab_lookup_large(spark: SparkSession, sf: str) -> DataFrame:
     """The same lookup when the vocabulary may not be broadcast whole."""
     counts = features.term_frequencies(fx.cleaned(spark, sf))
-    found = features.lookup_index(counts, fx.fitted(spark, sf).vocab, None, broadcast_bytes=200_000, head_words=1000)
+    found = features.lookup_index(counts, fx.fitted(spark, sf).vocab, None, broadcast_bytes=200_000, frequent_rows=100)
     return found.select("doc_id", "word", "n", "idx")
 
 
@@ -397,7 +397,7 @@ def score_fixed_mlp(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def score_full_vocabulary(spark: SparkSession, sf: str) -> DataFrame:
-    return _scored(spark, sf, None, 5000.0)
+    return _scored(spark, sf, None, 1000.0)
 
 
 @query
@@ -405,12 +405,12 @@ def score_unseen_texts(spark: SparkSession, sf: str) -> DataFrame:
     """Held-out texts, many of whose words the vocabulary lacks."""
     items = workspace.co_locate(fx.table(spark, sf, "benchmark"), "item_id")
     docs = items.select("item_id", tx.tokens(tx.clean([F.col("text")])).alias("tokens"))
-    model = fx.fixed_model(spark, sf, None, 5000.0)
+    model = fx.fixed_model(spark, sf, None, 1000.0)
     return network.predict_labels(docs, model, "item_id").withColumn("score", _six("score"))
 
 
 def _published(spark: SparkSession, sf: str) -> publishing.PublishedModel:
-    model = fx.fixed_model(spark, sf)
+    model = fx.fixed_model(spark, sf, None, 1000.0)
     words = workspace.materialise(network.scoring_words(model), "scoring_words")
     known = model.labels.agg(F.sort_array(F.collect_list("label"))).scalar()
     baseline = metrics.baseline_metrics(fx.history(spark, sf), F.lit(0.9), 0.02, known)
@@ -512,6 +512,14 @@ def retrain_decision(spark: SparkSession, sf: str) -> DataFrame:
     return _decision(spark, sf)
 
 
+@query
+def retrain_low_accuracy(spark: SparkSession, sf: str) -> DataFrame:
+    """The accuracy rule alone: no tolerance, and every label known."""
+    known = fx.fitted(spark, sf).labels.agg(F.sort_array(F.collect_list("label"))).scalar()
+    baseline = metrics.baseline_metrics(fx.history(spark, sf), F.lit(0.9), 0.0, known)
+    return review.retrain_decision(fx.judged(spark, sf), baseline)
+
+
 @query
 def retrain_not_needed(spark: SparkSession, sf: str) -> DataFrame:
     known = fx.fitted(spark, sf).labels.agg(F.sort_array(F.collect_list("label"))).scalar()

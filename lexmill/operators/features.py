@@ -8,38 +8,40 @@ from pyspark.sql import functions as F
 from lexmill.config import OOV_INDEX
 from lexmill.functions.weights import inverse_document_frequency, term_weight
 from lexmill.operators.vocabulary import explode_tokens, within_limit
-from lexmill.sources.workspace import BROADCAST_BYTES, co_locate, fits_broadcast
+from lexmill.sources.workspace import BROADCAST_BYTES, co_locate, fits_broadcast, materialise
 
-# Fixed sizes of the lookup in a vocabulary too large to broadcast: the words sent to every
-# executor (about 64 MB of ordinary words) and the pieces a word's remaining tokens are cut into.
-HEAD_WORDS = 500_000
-SALTS = 16
+# Fixed sizes of the lookup in a vocabulary too large to broadcast. A word is frequent if it has more
+# rows than one task should take; raising the bar with the data bounds how many such words there are.
+FREQUENT_ROWS = 1_000_000
+FREQUENT_WORDS = 100_000
 
 
-def lookup_words(rows: DataFrame, vocab: DataFrame, columns: list[str], broadcast_bytes: int = BROADCAST_BYTES,
-                 head_words: int = HEAD_WORDS) -> DataFrame:
+def lookup_words(
+    rows: DataFrame,
+    vocab: DataFrame,
+    columns: list[str],
+    broadcast_bytes: int = BROADCAST_BYTES,
+    frequent_rows: int = FREQUENT_ROWS,
+) -> DataFrame:
     """Left join of rows holding ``word`` with a stored vocabulary.
 
-    A vocabulary within ``broadcast_bytes`` is broadcast. Beyond that its most frequent words
-    are, which serve most rows; the rest is joined by word and salt, so neither a frequent
-    word nor a frequent unknown one ends up in a single task.
+    A vocabulary within ``broadcast_bytes`` is broadcast, and the rows stay where they are.
+    Beyond that the words frequent in ``rows``, known or not, are looked up once and those
+    answers are broadcast; only the rows of other words are joined by word, so no task gets
+    all the rows of a frequent one.
     """
     wanted = vocab.select("word", *columns)
     if fits_broadcast(wanted, broadcast_bytes):
         return rows.join(F.broadcast(wanted), "word", "left")
-    head = vocab.where(F.col("idx") < head_words).select("word", *columns)
-    if not fits_broadcast(head, broadcast_bytes):
-        return _salted_left_join(rows, wanted)
-    tail = vocab.where(F.col("idx") >= head_words).select("word", *columns)
-    frequent = rows.join(F.broadcast(head), "word")
-    others = rows.join(F.broadcast(head.select("word")), "word", "left_anti")
-    return frequent.unionByName(_salted_left_join(others, tail))
-
-
-def _salted_left_join(rows: DataFrame, words: DataFrame) -> DataFrame:
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns if c != "word"]), F.lit(SALTS)).cast("int")
-    copies = words.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return rows.withColumn("_salt", salt).join(copies, ["word", "_salt"], "left").drop("_salt")
+    counts = materialise(rows.where(F.col("word").isNotNull()).groupBy("word").agg(F.count("*").alias("_n")), "row_counts")
+    total = counts.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n")).first()["n"]
+    frequent = counts.where(F.col("_n") > max(frequent_rows, total // FREQUENT_WORDS)).select("word")
+    answers = materialise(frequent.join(wanted, "word", "left"), "frequent_words")
+    by_broadcast = rows.join(F.broadcast(answers), "word")
+    rest = rows.join(F.broadcast(answers.select("word")), "word", "left_anti")
+    by_exchange = rest.where(F.col("word").isNotNull()).join(wanted, "word", "left")
+    nameless = rest.where(F.col("word").isNull())
+    return by_broadcast.unionByName(by_exchange).unionByName(nameless, allowMissingColumns=True)
 
 
 def _index_or_oov() -> Column:
@@ -79,8 +81,14 @@ def oov_idf(n_docs: int | Column) -> Column:
     return inverse_document_frequency(n, F.lit(0))
 
 
-def tfidf(docs: DataFrame, vocab: DataFrame, n_docs: int | Column, num_words: int | None = None,
-          key: str = "doc_id", **limits: int) -> DataFrame:
+def tfidf(
+    docs: DataFrame,
+    vocab: DataFrame,
+    n_docs: int | Column,
+    num_words: int | None = None,
+    key: str = "doc_id",
+    **limits: int,
+) -> DataFrame:
     """Sparse rows ``(doc_id, idx, tfidf)``; a document without tokens has none.
 
     The idf travels with the looked-up index, so there is one join, and with a broadcast

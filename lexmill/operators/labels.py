@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.config import JobConfigError
 from lexmill.functions.weights import one_hot
+from lexmill.operators.order import number_rows
 from lexmill.sources.workspace import fits_broadcast
 
 
@@ -17,7 +18,7 @@ def distinct_labels(df: DataFrame, label: str) -> DataFrame:
 def fit_labels(df: DataFrame, label: str) -> DataFrame:
     """``labels(label, label_idx)``: sorted distinct labels from 0. One row per class of the network."""
     classes = distinct_labels(df, label).where(F.col("label").isNotNull())
-    return classes.withColumn("label_idx", (F.row_number().over(Window.orderBy("label")) - 1).cast("bigint"))
+    return number_rows(classes, [F.col("label")], "label_idx", start=0)
 
 
 def _small(labels: DataFrame) -> DataFrame:
@@ -45,6 +46,12 @@ def with_one_hot(df: DataFrame, index: str, labels: DataFrame, name: str = "one_
     return sized.withColumn(name, one_hot(F.col(index), F.col("_classes"))).drop("_classes")
 
 
-def require_classes(n_classes: int) -> None:
+# Fixed limit: the output layer is held by every task.
+MAX_OUTPUT_VALUES = 10_000_000
+
+
+def require_classes(n_classes: int, neurons: int) -> None:
     if n_classes < 1:
         raise JobConfigError("the target column holds no label")
+    if n_classes * neurons > MAX_OUTPUT_VALUES:
+        raise JobConfigError(f"{n_classes} classes make an output layer too large: is the target column right?")

@@ -91,11 +91,11 @@ def word_count_report(vocab: DataFrame, num_words: int | None = None) -> DataFra
 
 
 def top_words(vocab: DataFrame, k: int = 20) -> DataFrame:
-    return vocab.orderBy("idx").select("word", "n", "idx").limit(k)
+    return vocab.where(F.col("idx") <= OOV_INDEX + k).select("word", "n", "idx").orderBy("idx")
 
 
 def top_entries(vocab: DataFrame, k: int = 20) -> DataFrame:
-    return with_oov(vocab.where(F.col("idx") <= k)).where(F.col("idx") <= k)
+    return with_oov(vocab.where(F.col("idx") <= k)).orderBy("idx")
 
 
 def corpus_statistics(docs: DataFrame, train: DataFrame, vocab: DataFrame, label: str) -> DataFrame:

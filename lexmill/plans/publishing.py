@@ -16,7 +16,7 @@ from lexmill.operators.network import Model, predict_labels
 from lexmill.operators.review import feedback_report, unknown_labels
 from lexmill.plans.training import load_params
 from lexmill.sources.artifacts import load_table
-from lexmill.sources.requests import EMPTY_REQUEST, request_problem, requests_from_list, with_fields
+from lexmill.sources.requests import EMPTY_REQUEST, check_requests, requests_from_list, with_fields
 
 
 @dataclass(frozen=True)
@@ -89,10 +89,9 @@ def predict(spark: SparkSession, published: PublishedModel, requests: Any) -> Da
     if not isinstance(requests, DataFrame):
         return f"expected a list of strings or a DataFrame, got {type(requests).__name__}"
     split = with_fields(requests)
-    problem = request_problem(split)
+    width, problem = check_requests(split)
     if problem:
         return problem
-    width = split.agg(F.max(F.size("fields")).alias("n")).first()["n"]
     columns = [f"field_{i}" for i in range(width)]
     flat = split.select("request_id", *[F.get("fields", F.lit(i)).alias(c) for i, c in enumerate(columns)])
     return predict_rows(flat, published, columns, "request_id")

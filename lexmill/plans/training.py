@@ -116,7 +116,7 @@ def fit(prepared: DataFrame, params: TrainingParams, folder: str, **shards: int)
     vocab = fit_vocabulary(train, "order_key", path=f"{folder}/vocabulary")
     labels = materialise(fit_labels(prepared, "label"), "labels", f"{folder}/labels")
     n_words, n_classes = vocab.count(), labels.count()
-    require_classes(n_classes)
+    require_classes(n_classes, params.neurons)
     features = materialise(feature_rows(prepared, vocab, labels, n_docs, params.num_words), "features", by="split")
     fitted = train_network(
         features, vocab, n_words, n_classes, n_docs, params, new_path(prepared.sparkSession, "training"), **shards

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexmill.config import JobConfigError, require_columns
+from lexmill.sources.workspace import fits_broadcast, materialise
 
 # Field texts that count as missing, quoted or not.
 MISSING_TOKENS: tuple[str, ...] = (
@@ -62,10 +63,16 @@ def read_delimited(
 
 
 def add_row_index(scan: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Zero-based position of each row in file order, files taken by name.
+    """Zero-based position of each row in file order, files taken by name."""
+    return _indexed(scan, columns)[0]
 
-    Ids rise within a task and a file split is read by one task, so a row's place in
-    its split is a difference of two ids: no sort, and only one row per split is exchanged.
+
+def _indexed(scan: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, int]:
+    """The scan with row positions, and its number of rows.
+
+    Ids rise within a task and a file split is read by one task, so a row's place in its
+    split is a difference of two ids: nothing is sorted, and the rows are not exchanged. The
+    sizes of the splits are stored, one row per split.
     """
     placed = scan.select(
         *columns,
@@ -73,32 +80,25 @@ def add_row_index(scan: DataFrame, columns: Sequence[str]) -> DataFrame:
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_id"),
     )
-    splits = placed.groupBy("_file", "_block").agg(F.min("_id").alias("_first"), F.count("*").alias("_rows"))
+    splits = materialise(
+        placed.groupBy("_file", "_block").agg(F.min("_id").alias("_first"), F.count("*").alias("_rows")), "splits"
+    )
     before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = splits.select(
         "_file", "_block", "_first", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset")
     )
-    return placed.join(offsets, ["_file", "_block"]).select(
+    if fits_broadcast(splits):
+        offsets = F.broadcast(offsets)
+    indexed = placed.join(offsets, ["_file", "_block"]).select(
         (F.col("_offset") + F.col("_id") - F.col("_first")).alias(ROW_INDEX), *columns
     )
+    return indexed, splits.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("n")).first()["n"]
 
 
 def pair_by_key(features: DataFrame, targets: DataFrame, key: str) -> DataFrame:
     return features.join(targets, key)
 
 
-def pair_by_position(features: DataFrame, targets: DataFrame) -> DataFrame:
-    """Align two indexed frames row by row; a different number of rows is an error.
-
-    A blank target line is skipped by the reader and would shift every later label,
-    which is why the counts are compared before anything is joined.
-    """
-    n_features, n_targets = features.count(), targets.count()
-    if n_features != n_targets:
-        raise JobConfigError(f"features have {n_features} rows but targets have {n_targets}")
-    return features.join(targets, ROW_INDEX)
-
-
 def read_paired(
     spark: SparkSession,
     features_uri: str,
@@ -108,10 +108,21 @@ def read_paired(
     separator: str = ",",
     encoding: str = "utf-8",
 ) -> DataFrame:
-    """Features and targets kept in two files whose rows correspond by position."""
-    x = read_delimited(spark, features_uri, feature_columns, separator, encoding, with_index=True)
-    y = read_delimited(spark, targets_uri, target_columns, separator, encoding, with_index=True)
-    return pair_by_position(x, y)
+    """Features and targets kept in two file sets whose rows correspond by position.
+
+    A blank target line is skipped by the reader and would shift every later label, which
+    is why different numbers of rows are an error.
+    """
+    sides = []
+    for uri, columns, what in ((features_uri, feature_columns, "feature"), (targets_uri, target_columns, "target")):
+        raw = _scan(spark, uri, separator, encoding)
+        require_columns(raw.columns, columns, what)
+        indexed, n = _indexed(raw, columns)
+        sides.append((normalise_missing(indexed, columns), n))
+    (x, n_features), (y, n_targets) = sides
+    if n_features != n_targets:
+        raise JobConfigError(f"features have {n_features} rows but targets have {n_targets}")
+    return x.join(y, ROW_INDEX)
 
 
 def write_delimited(df: DataFrame, path: str, separator: str = ",") -> None:

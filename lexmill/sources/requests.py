@@ -37,18 +37,19 @@ def ragged_rows(df: DataFrame, key: str) -> DataFrame:
     return df.where(width != first).select(key, width.cast("bigint").alias("n_fields"))
 
 
-def request_problem(df: DataFrame) -> str | None:
-    """The reason a request cannot be scored, or None."""
+def check_requests(df: DataFrame) -> tuple[int, str | None]:
+    """The number of fields, and the reason the requests cannot be scored or None."""
     found = df.agg(
         F.count("*").alias("n"),
         F.count_if(F.col("fields").isNull()).alias("n_null"),
         F.min(F.size("fields")).alias("lo"),
         F.max(F.size("fields")).alias("hi"),
     ).first()
+    problem = None
     if found["n"] == 0:
-        return EMPTY_REQUEST
-    if found["n_null"]:
-        return f"{found['n_null']} request row(s) hold no text"
-    if found["lo"] != found["hi"]:
-        return f"requests must all have the same number of fields, found between {found['lo']} and {found['hi']}"
-    return None
+        problem = EMPTY_REQUEST
+    elif found["n_null"]:
+        problem = f"{found['n_null']} request row(s) hold no text"
+    elif found["lo"] != found["hi"]:
+        problem = f"requests must all have the same number of fields, found between {found['lo']} and {found['hi']}"
+    return found["hi"], problem
