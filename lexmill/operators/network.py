@@ -59,10 +59,19 @@ def class_scores(hidden: Column, network: Column) -> Column:
     """Sigmoid output per class."""
     return F.transform(
         F.arrays_zip(network["output_weights"].alias("w"), network["output_bias"].alias("b")),
-        lambda o: F.round(sigmoid(o["b"] + dot(hidden, o["w"])), SCORE_DECIMALS),
+        lambda o: sigmoid(o["b"] + dot(hidden, o["w"])),
     )
 
 
+def rounded(scores: Column) -> Column:
+    return F.transform(scores, lambda p: F.round(p, SCORE_DECIMALS))
+
+
+def predicted_class(scores: Column) -> Column:
+    """Index of the best rounded score, the lowest one on ties."""
+    return arg_max(rounded(scores)).cast("bigint")
+
+
 def with_scores(df: DataFrame, sums: Sequence[Column], network: DataFrame) -> DataFrame:
     """Add ``scores`` from the weighted input sums of each neuron."""
     parts = network.select(F.struct("hidden_bias", "output_weights", "output_bias")).scalar()
@@ -103,7 +112,7 @@ def score_documents(docs: DataFrame, model: Model, key: str = "doc_id", words: D
         F.coalesce(F.col(f"z{j}"), zero) + F.coalesce(oov_weight * F.get(oov, F.lit(j)), zero)
         for j in range(model.neurons)
     ]
-    scored = with_scores(sums, z, model.network).select(key, "scores")
+    scored = with_scores(sums, z, model.network).select(key, rounded(F.col("scores")).alias("scores"))
     return scored.withColumn("label_idx", arg_max(F.col("scores")).cast("bigint"))
 
 
@@ -115,6 +124,7 @@ def predict_labels(docs: DataFrame, model: Model, key: str = "doc_id", words: Da
 
 
 def cross_entropy(scores: Column, target: Column) -> Column:
-    """Loss of one row: the scores are scaled to sum to one first."""
-    share = F.get(scores, target.cast("int")) / F.aggregate(scores, F.lit(0.0), lambda a, x: a + x)
+    """Loss of one row: the scores are scaled to sum to one first. Scores that are all zero give the largest loss."""
+    total = F.aggregate(scores, F.lit(0.0), lambda a, x: a + x)
+    share = F.coalesce(F.try_divide(F.get(scores, target.cast("int")), total), F.lit(0.0))
     return -F.log(F.least(F.greatest(share, F.lit(EPSILON)), F.lit(1 - EPSILON)))

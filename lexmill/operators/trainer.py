@@ -2,9 +2,10 @@
 
 Documents are dealt at random into shards of bounded size. In each epoch every shard runs
 mini-batch Adam on its own documents, starting from the current weights of the words it
-uses; the changes are then averaged, weighted by documents. Word weights live in a table
-``(idx, state)`` that is stored once per epoch: a shard fetches only its own words, and the
-driver holds no more than the parts whose size is the number of neurons times classes.
+uses; the changes are then averaged, weighted by documents. Word weights and their two
+moments live in a table with one row per index, stored once per epoch: a shard fetches only
+its own words, and the driver holds no more than the parts whose size is the number of
+neurons times classes.
 """
 
 from __future__ import annotations
@@ -20,15 +21,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.config import OOV_INDEX, TrainingParams
-from lexmill.functions.weights import arg_max
 from lexmill.operators.metrics import test_metrics
 from lexmill.operators.network import EPSILON as LOSS_EPSILON
-from lexmill.operators.network import network_table, with_scores
+from lexmill.operators.network import network_table, predicted_class, with_scores
 from lexmill.operators.vocabulary import index_width, within_limit
 from lexmill.sources.workspace import materialise, new_path
 
-# Fixed sizes: what one training task may hold.
-SHARD_DOCUMENTS = 20_000
+# Fixed sizes: what one training task may hold. 35 000 documents are the train split of a job at its
+# default row cap: up to there one shard holds them all, and nothing is averaged.
+SHARD_DOCUMENTS = 35_000
 SHARD_POSTINGS = 4_000_000
 
 # The optimiser's usual constants.
@@ -37,9 +38,19 @@ BETA_1 = 0.9
 BETA_2 = 0.999
 ADAM_EPSILON = 1e-7
 
-_DENSE_ROW = 0
+# Rows of a shard's result that hold no word: its metrics, and from the next index down the changes of
+# the dense parts, cut into rows of the same width.
 _METRICS_ROW = -1
-_OUT_SCHEMA = "idx bigint, docs bigint, delta array<double>"
+_DENSE_ROWS = -2
+
+
+def _state_columns(neurons: int) -> list[str]:
+    """Weights, then first and second moments."""
+    return [f"{part}{j}" for part in ("w", "m", "v") for j in range(neurons)]
+
+
+def _change_columns(neurons: int) -> list[str]:
+    return [f"d{j}" for j in range(3 * neurons)]
 
 
 @dataclass(frozen=True)
@@ -88,8 +99,9 @@ def initial_weights(indices: DataFrame, width: int, neurons: int, seed: int) ->
         draw = F.pmod(F.xxhash64(F.lit(seed), F.col("idx"), F.lit(j)), F.lit(steps)) / steps
         return (draw * 2 - 1) * limit
 
-    moments = [F.lit(0.0)] * (2 * neurons)
-    return indices.select("idx", F.array(*[weight(j) for j in range(neurons)], *moments).alias("state"))
+    columns = _state_columns(neurons)
+    values = [weight(j) for j in range(neurons)] + [F.lit(0.0)] * (2 * neurons)
+    return indices.select("idx", *[v.alias(c) for c, v in zip(columns, values)])
 
 
 def _shard_step(dense: DenseParts, params: TrainingParams, epoch: int) -> Callable:
@@ -101,35 +113,47 @@ def _shard_step(dense: DenseParts, params: TrainingParams, epoch: int) -> Callab
     start, steps_before = dense.values, dense.steps
     seed, size = params.seed, params.batch_size
     dropout = params.dropout_rate if params.use_dropout else 0.0
-
-    def adam(values: np.ndarray, gradient: np.ndarray, step: int) -> None:
-        values[1] += (1 - BETA_1) * (gradient - values[1])
-        values[2] += (1 - BETA_2) * (gradient * gradient - values[2])
-        rate = LEARNING_RATE * math.sqrt(1 - BETA_2**step) / (1 - BETA_1**step)
-        values[0] -= rate * values[1] / (np.sqrt(values[2]) + ADAM_EPSILON)
+    state_columns, change_columns, width = _state_columns(h), _change_columns(h), 3 * h
+    metrics_row, dense_first = _METRICS_ROW, _DENSE_ROWS
+
+    def adam(values: np.ndarray, touched: np.ndarray | slice, gradient: np.ndarray, step: int, room: np.ndarray) -> None:
+        """One update in place; only the ``touched`` rows have a gradient, but all moments decay."""
+        value, first, second = values
+        first *= BETA_1
+        second *= BETA_2
+        first[touched] += (1 - BETA_1) * gradient
+        second[touched] += (1 - BETA_2) * gradient * gradient
+        np.sqrt(second, out=room)
+        room += ADAM_EPSILON
+        np.divide(first, room, out=room)
+        room *= LEARNING_RATE * math.sqrt(1 - BETA_2**step) / (1 - BETA_1**step)
+        value -= room
 
     def sums_by(groups: np.ndarray, parts: np.ndarray, n_groups: int) -> np.ndarray:
         return np.stack([np.bincount(groups, parts[:, j], minlength=n_groups) for j in range(h)], axis=1)
 
     def train_shard(key: tuple, docs: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
-        docs = docs.sort_values("doc_id", kind="stable")
-        row, ids = pd.factorize(docs["doc_id"])
+        row, ids = pd.factorize(docs["doc_id"], sort=True)
+        by_document = np.argsort(row, kind="stable")
+        row = row[by_document]
         n = len(ids)
-        targets = docs["label_idx"].to_numpy()[np.searchsorted(row, np.arange(n))].astype(np.int64)
-        used = docs["idx"].notna().to_numpy()
+        targets = docs["label_idx"].to_numpy(np.int64)[by_document][np.searchsorted(row, np.arange(n))]
+        index = docs["idx"].to_numpy(np.float64)[by_document]
+        used = ~np.isnan(index)
         row = row[used]
         starts = np.searchsorted(row, np.arange(n + 1))
+        value = docs["tfidf"].to_numpy(np.float64)[by_document][used]
         words = words.sort_values("idx", kind="stable")
         indices = words["idx"].to_numpy(np.int64)
-        column = np.searchsorted(indices, docs["idx"].to_numpy(np.float64)[used].astype(np.int64))
-        value = docs["tfidf"].to_numpy(np.float64)[used]
+        column = np.searchsorted(indices, index[used].astype(np.int64))
 
-        old = np.array(words["state"].tolist(), np.float64).reshape(len(indices), 3 * h)
-        state = old.reshape(-1, 3, h).transpose(1, 0, 2).copy()
+        old = words[state_columns].to_numpy(np.float64)
+        state = np.stack([old[:, part * h : (part + 1) * h] for part in range(3)])
         small = start.copy()
         b1 = small[0, :h]
         w2 = small[0, h : h + h * k].reshape(h, k)
         b2 = small[0, h + h * k :]
+        state_room, small_room = np.empty_like(state[0]), np.empty_like(small[0])
 
         rng = np.random.default_rng([seed, epoch, int(key[0])])
         order = rng.permutation(n)
@@ -145,38 +169,62 @@ def _shard_step(dense: DenseParts, params: TrainingParams, epoch: int) -> Callab
             z = sums_by(member, vals * state[0][cols], len(batch)) + b1
             kept = (rng.random(z.shape) >= dropout) / (1 - dropout)
             hidden = np.maximum(z, 0.0) * kept
-            p = 1 / (1 + np.exp(-(hidden @ w2 + b2)))
-            total = p.sum(axis=1, keepdims=True)
-            truth = np.eye(k)[targets[batch]]
-            share = np.clip((p * truth).sum(axis=1) / total[:, 0], LOSS_EPSILON, 1 - LOSS_EPSILON)
-            loss -= float(np.log(share).sum())
-            hits += int((p.argmax(axis=1) == targets[batch]).sum())
-
-            d_out = (p * (1 - p) / total - truth * (1 - p)) / len(batch)
+            log_p = -np.logaddexp(0.0, -(hidden @ w2 + b2))
+            share = np.exp(log_p - np.logaddexp.reduce(log_p, axis=1, keepdims=True))
+            true_class = targets[batch]
+            true_share = share[np.arange(len(batch)), true_class]
+            loss -= float(np.log(np.clip(true_share, LOSS_EPSILON, 1 - LOSS_EPSILON)).sum())
+            hits += int((log_p.argmax(axis=1) == true_class).sum())
+
+            # a share the loss clips has no slope
+            clipped = (true_share < LOSS_EPSILON) | (true_share > 1 - LOSS_EPSILON)
+            d_out = (share - np.eye(k)[true_class]) * -np.expm1(log_p) * ~clipped[:, None] / len(batch)
             d_hidden = (d_out @ w2.T) * kept * (z > 0)
             g_small = np.concatenate([d_hidden.sum(axis=0), (hidden.T @ d_out).ravel(), d_out.sum(axis=0)])
-            g_words = sums_by(cols, vals * d_hidden[member], len(indices))
+            touched, place = np.unique(cols, return_inverse=True)
+            g_words = sums_by(place, vals * d_hidden[member], len(touched))
             step += 1
-            adam(small, g_small, step)
-            adam(state, g_words, step)
-
-        moved = state.transpose(1, 0, 2).reshape(len(indices), 3 * h) - old
-        return pd.DataFrame(
-            {
-                "idx": [_METRICS_ROW, _DENSE_ROW, *indices.tolist()],
-                "docs": n,
-                "delta": [[loss, float(hits), float(step)], (small - start).ravel().tolist(), *moved.tolist()],
-            }
-        )
+            adam(small, slice(None), g_small, step, small_room)
+            adam(state, touched, g_words, step, state_room)
+
+        moved = np.concatenate(list(state), axis=1) - old
+        dense_change = (small - start).ravel()
+        dense_rows = np.zeros((-(-len(dense_change) // width), width))
+        dense_rows.ravel()[: len(dense_change)] = dense_change
+        metrics = np.zeros((1, width))
+        metrics[0, :3] = loss, hits, step
+        out = pd.DataFrame(np.concatenate([metrics, dense_rows, moved]), columns=change_columns)
+        out.insert(0, "docs", n)
+        out.insert(0, "idx", np.concatenate([[metrics_row], dense_first - np.arange(len(dense_rows)), indices]))
+        return out
 
     return train_shard
 
 
-def _averaged(changes: DataFrame, n_docs: int, size: int) -> DataFrame:
+def _averaged(changes: DataFrame, n_docs: int, neurons: int) -> DataFrame:
     """Changes of each index averaged over all documents; a shard without the word changed nothing."""
     share = F.col("docs") / F.lit(float(n_docs))
-    sums = changes.groupBy("idx").agg(*[F.sum(share * F.get("delta", F.lit(j))).alias(f"d{j}") for j in range(size)])
-    return sums.select("idx", F.array(*[F.col(f"d{j}") for j in range(size)]).alias("change"))
+    return changes.groupBy("idx").agg(*[F.sum(share * F.col(c)).alias(c) for c in _change_columns(neurons)])
+
+
+def _small_rows(changes: DataFrame, n_docs: int, dense: DenseParts) -> tuple[dict[str, float], np.ndarray]:
+    """The shards' metrics added up, and the averaged change of the dense parts."""
+    columns = _change_columns(dense.neurons)
+    share = F.col("docs") / F.lit(float(n_docs))
+    rows = (
+        changes.where(F.col("idx") < OOV_INDEX)
+        .groupBy("idx")
+        .agg(
+            F.sum("d0").alias("loss"),
+            F.sum("d1").alias("hits"),
+            F.max("d2").alias("steps"),
+            *[F.sum(share * F.col(c)).alias(c) for c in columns],
+        )
+        .orderBy(F.desc("idx"))
+        .collect()
+    )
+    flat = np.array([[r[c] for c in columns] for r in rows[1:]]).ravel()
+    return rows[0].asDict(), flat[: dense.values.size]
 
 
 def _shard_of(n_shards: int) -> Column:
@@ -190,13 +238,14 @@ def evaluate_weights(rows: DataFrame, state: DataFrame, network: DataFrame, neur
     word is spread over the shards.
     """
     sharded = rows.withColumn("shard", _shard_of(n_shards))
-    needed = sharded.where(F.col("idx").isNotNull()).select("shard", "idx").distinct().join(state, "idx")
+    weights = state.select("idx", *[f"w{j}" for j in range(neurons)])
+    needed = sharded.where(F.col("idx").isNotNull()).select("shard", "idx").distinct().join(weights, "idx")
     found = sharded.join(needed, ["shard", "idx"], "left")
     sums = found.groupBy("doc_id", F.col("label_idx").alias("target_idx")).agg(
-        *[F.sum(F.col("tfidf") * F.get("state", F.lit(j))).alias(f"z{j}") for j in range(neurons)]
+        *[F.sum(F.col("tfidf") * F.col(f"w{j}")).alias(f"z{j}") for j in range(neurons)]
     )
     z = [F.coalesce(F.col(f"z{j}"), F.lit(0.0)) for j in range(neurons)]
-    scored = with_scores(sums, z, network).withColumn("label_idx", arg_max(F.col("scores")).cast("bigint"))
+    scored = with_scores(sums, z, network).withColumn("label_idx", predicted_class(F.col("scores")))
     return test_metrics(scored)
 
 
@@ -245,45 +294,33 @@ def train_network(
     start = initial_weights(indices, index_width(n_words, params.num_words), h, params.seed)
     state = materialise(start, "weights", f"{base}/weights-0")
     dense = initial_dense(h, n_classes, params.seed)
+    out_schema = "idx bigint, docs bigint, " + ", ".join(f"{c} double" for c in _change_columns(h))
     history: list[tuple[int, float, float, float, float]] = []
     for epoch in range(1, params.epochs + 1):
         fetched = used.join(state, "idx")
         changes = materialise(
             train.groupBy("shard")
             .cogroup(fetched.groupBy("shard"))
-            .applyInPandas(_shard_step(dense, params, epoch), _OUT_SCHEMA),
+            .applyInPandas(_shard_step(dense, params, epoch), out_schema),
             "changes",
             f"{base}/changes-{epoch}",
         )
-        words = _averaged(changes.where(F.col("idx") >= OOV_INDEX), n_docs, 3 * h)
+        words = _averaged(changes.where(F.col("idx") >= OOV_INDEX), n_docs, h)
+        moved = [F.col(s) + F.coalesce(F.col(d), F.lit(0.0)) for s, d in zip(_state_columns(h), _change_columns(h))]
         state = materialise(
-            state.join(words, "idx", "left").select(
-                "idx",
-                F.when(F.col("change").isNull(), F.col("state"))
-                .otherwise(F.zip_with("state", "change", lambda s, d: s + d))
-                .alias("state"),
-            ),
+            state.join(words, "idx", "left").select("idx", *[m.alias(s) for s, m in zip(_state_columns(h), moved)]),
             "weights",
             f"{base}/weights-{epoch}",
         )
-        seen = (
-            changes.where(F.col("idx") == _METRICS_ROW)
-            .agg(
-                F.sum(F.get("delta", F.lit(0))).alias("loss"),
-                F.sum(F.get("delta", F.lit(1))).alias("hits"),
-                F.max(F.get("delta", F.lit(2))).alias("steps"),
-            )
-            .first()
-        )
-        moved = _averaged(changes.where(F.col("idx") == _DENSE_ROW), n_docs, dense.values.size).first()
-        dense = dense.moved(np.array(moved["change"]), int(seen["steps"]))
+        seen, change = _small_rows(changes, n_docs, dense)
+        dense = dense.moved(change, int(seen["steps"]))
         check = evaluate_weights(held["validation"], state, dense.table(state), h, n_shards).first()
         history.append((epoch, seen["hits"] / n_docs, check["accuracy"], seen["loss"] / n_docs, check["loss"]))
     train.unpersist()
     network = dense.table(state)
     result = evaluate_weights(held["test"], state, network, h, n_shards).first()
     return Fitted(
-        hidden=state.select("idx", F.slice("state", 1, h).alias("weights")),
+        hidden=state.select("idx", F.array(*[F.col(f"w{j}") for j in range(h)]).alias("weights")),
         network=network,
         history=spark.createDataFrame(
             history, "epoch bigint, accuracy double, val_accuracy double, loss double, val_loss double"
