@@ -258,8 +258,8 @@ def clean_text_keep_stop_words(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def tokenize(spark: SparkSession, sf: str) -> DataFrame:
-    long = fx.cleaned(spark, sf).select("doc_id", F.posexplode("tokens").alias("position", "token"))
-    return long.withColumn("position", F.col("position").cast("bigint"))
+    long = fx.cleaned(spark, sf).select("doc_id", F.posexplode_outer("tokens").alias("position", "token"))
+    return long.where(F.col("token").isNotNull()).withColumn("position", F.col("position").cast("bigint"))
 
 
 # Vocabulary
@@ -310,19 +310,19 @@ def corpus_stats(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def term_freq(spark: SparkSession, sf: str) -> DataFrame:
-    return features.term_frequencies(fx.cleaned(spark, sf))
+    return features.term_frequencies(fx.cleaned(spark, sf), together=True)
 
 
 @query
 def vocab_lookup(spark: SparkSession, sf: str) -> DataFrame:
-    counts = features.term_frequencies(fx.cleaned(spark, sf))
+    counts = features.term_frequencies(fx.cleaned(spark, sf), together=True)
     return features.lookup_index(counts, fx.fitted(spark, sf).vocab, fx.LIMIT).select("doc_id", "word", "n", "idx")
 
 
 @query
 def vocab_lookup_large(spark: SparkSession, sf: str) -> DataFrame:
     """The same lookup when the vocabulary may not be broadcast whole."""
-    counts = features.term_frequencies(fx.cleaned(spark, sf))
+    counts = features.term_frequencies(fx.cleaned(spark, sf), together=True)
     found = features.lookup_index(counts, fx.fitted(spark, sf).vocab, None, broadcast_bytes=200_000, frequent_rows=100)
     return found.select("doc_id", "word", "n", "idx")
 
@@ -335,7 +335,7 @@ def idf(spark: SparkSession, sf: str) -> DataFrame:
 
 def _weights(spark: SparkSession, sf: str, num_words: int | None) -> DataFrame:
     fit = fx.fitted(spark, sf)
-    rows = features.tfidf(fx.cleaned(spark, sf), fit.vocab, fit.n_docs, num_words)
+    rows = features.tfidf(fx.cleaned(spark, sf), fit.vocab, fit.n_docs, num_words, together=True)
     return rows.withColumn("tfidf", _six("tfidf"))
 
 
@@ -387,7 +387,7 @@ def one_hot(spark: SparkSession, sf: str) -> DataFrame:
 
 def _scored(spark: SparkSession, sf: str, num_words: int | None, divisor: float) -> DataFrame:
     model = fx.fixed_model(spark, sf, num_words, divisor)
-    return network.predict_labels(fx.cleaned(spark, sf), model).withColumn("score", _six("score"))
+    return network.predict_labels(fx.cleaned(spark, sf), model, together=True).withColumn("score", _six("score"))
 
 
 @query
@@ -406,7 +406,7 @@ def score_unseen_texts(spark: SparkSession, sf: str) -> DataFrame:
     items = workspace.co_locate(fx.table(spark, sf, "benchmark"), "item_id")
     docs = items.select("item_id", tx.tokens(tx.clean([F.col("text")])).alias("tokens"))
     model = fx.fixed_model(spark, sf, None, 1000.0)
-    return network.predict_labels(docs, model, "item_id").withColumn("score", _six("score"))
+    return network.predict_labels(docs, model, "item_id", together=True).withColumn("score", _six("score"))
 
 
 def _published(spark: SparkSession, sf: str) -> publishing.PublishedModel:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import sys
 import unicodedata
+from collections.abc import Callable, Iterable
 from functools import lru_cache
 
 from pyspark.sql import Column, SparkSession
@@ -52,13 +53,7 @@ def _word_ranges_unknown_to_jvm() -> str:
     spark = SparkSession.active()
     words = "".join(chr(cp) for cp in _code_points() if not _is_surrogate(cp) and chr(cp).isalnum())
     missed = spark.range(1).select(F.regexp_replace(F.lit(words), f"[{_WORD}]", "")).first()[0]
-    ranges: list[list[int]] = []
-    for cp in map(ord, missed):
-        if ranges and ranges[-1][1] == cp - 1:
-            ranges[-1][1] = cp
-        else:
-            ranges.append([cp, cp])
-    return "".join(rf"\x{{{a:X}}}-\x{{{b:X}}}" for a, b in ranges)
+    return _ranges(map(ord, missed))
 
 
 def is_ascii(c: Column) -> Column:
@@ -84,10 +79,33 @@ def blank_symbols(c: Column) -> Column:
     return F.when(c.rlike(r"\p{Cn}"), full).otherwise(plain)
 
 
-def fold_ascii(c: Column) -> Column:
-    """NFKD-normalise and drop what is still not ASCII."""
+def _held(c: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(c)`` with ``c`` evaluated once, however often ``use`` refers to it."""
+    return F.get(F.transform(F.array(c), use), F.lit(0))
+
+
+def _ranges(code_points: Iterable[int]) -> str:
+    """Regex class body covering sorted code points."""
+    ranges: list[list[int]] = []
+    for cp in code_points:
+        if ranges and ranges[-1][1] == cp - 1:
+            ranges[-1][1] = cp
+        else:
+            ranges.append([cp, cp])
+    return "".join(rf"\x{{{a:X}}}-\x{{{b:X}}}" for a, b in ranges)
+
+
+@lru_cache(maxsize=1)
+def _maybe_several() -> str:
+    """A short regex class holding every character that folds to several: exact for the Latin
+    blocks up to U+017F, where most letters are, and everything beyond."""
+    low = [ord(ch) for ch in _fold_tables()[1] if ord(ch) < 0x180]
+    return f"[{_ranges(low)}\\x{{180}}-\\x{{{sys.maxunicode:X}}}]"
+
+
+def _fold(c: Column) -> Column:
     single, several = _fold_tables()
-    table = F.create_map(*[F.lit(x) for pair in several.items() for x in pair])
+    table = F.str_to_map(F.lit("\x02".join(f"{k}\x01{v}" for k, v in several.items())), F.lit("\x02"), F.lit("\x01"))
     spelled = F.array_join(
         F.transform(
             F.split(c, ""),
@@ -96,11 +114,16 @@ def fold_ascii(c: Column) -> Column:
         "",
     )
     has_several = F.char_length(F.translate(c, "".join(several), "")) < F.char_length(c)
-    expanded = F.when(has_several, spelled).otherwise(c)
+    expanded = F.when(c.rlike(_maybe_several()) & has_several, spelled).otherwise(c)
     folded = F.translate(expanded, "".join(single), "".join(single.values()))
     return F.when(is_ascii(c), c).otherwise(F.regexp_replace(folded, r"[^\x00-\x7F]", ""))
 
 
+def fold_ascii(c: Column) -> Column:
+    """NFKD-normalise and drop what is still not ASCII."""
+    return _held(c, _fold)
+
+
 def plain_field(c: Column, trimmed: bool = True) -> Column:
     """One field stripped, freed of symbols and folded; ``c`` should be a bare column."""
     held = strip(c) if trimmed else c

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lexmill.config import OOV_INDEX
 from lexmill.functions.weights import inverse_document_frequency, term_weight
-from lexmill.operators.vocabulary import explode_tokens, within_limit
+from lexmill.operators.vocabulary import explode_words, within_limit
 from lexmill.sources.workspace import BROADCAST_BYTES, co_locate, fits_broadcast, materialise
 
 # Fixed sizes of the lookup in a vocabulary too large to broadcast. A word is frequent if it has more
@@ -54,19 +54,27 @@ def lookup_index(rows: DataFrame, vocab: DataFrame, num_words: int | None = None
     return found.withColumn("idx", _index_or_oov())
 
 
-def term_frequencies(docs: DataFrame, key: str = "doc_id", keep_empty: bool = False) -> DataFrame:
+def _by_document(docs: DataFrame, key: str, together: bool) -> DataFrame:
+    """Documents partitioned by id, so that counting their tokens exchanges none of them.
+
+    ``together`` says that they already are: a caller that cleans raw text brings the
+    documents together before that, which moves less.
+    """
+    tokens = docs.select(key, "tokens")
+    return tokens if together else co_locate(tokens, key)
+
+
+def term_frequencies(docs: DataFrame, key: str = "doc_id", keep_empty: bool = False, together: bool = False) -> DataFrame:
     """``(doc_id, word, n)``: occurrences of each word in each document.
 
-    Documents are brought together by id, so their tokens are counted without being exchanged.
     With ``keep_empty`` a document without tokens has one row whose word is null.
     """
-    explode = F.explode_outer if keep_empty else F.explode
-    return (
-        co_locate(docs.select(key, "tokens"), key)
-        .select(key, explode("tokens").alias("word"))
-        .groupBy(key, "word")
-        .agg(F.count("*").alias("n"))
-    )
+    placed = _by_document(docs, key, together)
+    if keep_empty:
+        words = placed.select(key, F.explode_outer("tokens").alias("word"))
+    else:
+        words = explode_words(placed, "tokens", key)
+    return words.groupBy(key, "word").agg(F.count("*").alias("n"))
 
 
 def idf_of(vocab: DataFrame, n_docs: int | Column) -> DataFrame:
@@ -87,6 +95,7 @@ def tfidf(
     n_docs: int | Column,
     num_words: int | None = None,
     key: str = "doc_id",
+    together: bool = False,
     **limits: int,
 ) -> DataFrame:
     """Sparse rows ``(doc_id, idx, tfidf)``; a document without tokens has none.
@@ -95,7 +104,7 @@ def tfidf(
     vocabulary the only exchange is that of the documents.
     """
     words = idf_of(within_limit(vocab, num_words), n_docs)
-    tokens = explode_tokens(co_locate(docs.select(key, "tokens"), key), key)
+    tokens = explode_words(_by_document(docs, key, together), "tokens", key)
     found = lookup_words(tokens, words, ["idx", "idf"], **limits)
     counts = found.groupBy(key, _index_or_oov().alias("idx")).agg(F.count("*").alias("n"), F.max("idf").alias("idf"))
     idf = F.coalesce(F.col("idf"), oov_idf(n_docs))

@@ -90,14 +90,16 @@ def scoring_words(model: Model) -> DataFrame:
     return words.join(model.hidden, "idx").select("word", "idx", "idf", "weights")
 
 
-def score_documents(docs: DataFrame, model: Model, key: str = "doc_id", words: DataFrame | None = None) -> DataFrame:
+def score_documents(
+    docs: DataFrame, model: Model, key: str = "doc_id", words: DataFrame | None = None, together: bool = False
+) -> DataFrame:
     """``(doc_id, scores, label_idx)`` for every document, those without tokens included.
 
     Unknown words share one index whose weight depends on their joint count, so that
     count is summed per document and weighted at the end.
     """
     dictionary = scoring_words(model) if words is None else words
-    counts = term_frequencies(docs, key, keep_empty=True)
+    counts = term_frequencies(docs, key, keep_empty=True, together=together)
     found = lookup_words(counts, dictionary, ["idx", "idf", "weights"])
     weight = term_weight(F.col("n")) * F.col("idf")
     unknown = F.when(F.col("word").isNotNull() & F.col("idx").isNull(), F.col("n"))
@@ -116,9 +118,11 @@ def score_documents(docs: DataFrame, model: Model, key: str = "doc_id", words: D
     return scored.withColumn("label_idx", arg_max(F.col("scores")).cast("bigint"))
 
 
-def predict_labels(docs: DataFrame, model: Model, key: str = "doc_id", words: DataFrame | None = None) -> DataFrame:
+def predict_labels(
+    docs: DataFrame, model: Model, key: str = "doc_id", words: DataFrame | None = None, together: bool = False
+) -> DataFrame:
     """``(doc_id, label, score)``: the predicted label of every document and its score."""
-    scored = score_documents(docs, model, key, words)
+    scored = score_documents(docs, model, key, words, together)
     best = scored.select(key, "label_idx", F.array_max("scores").alias("score"))
     return decode_labels(best, "label_idx", model.labels).select(key, "label", "score")
 

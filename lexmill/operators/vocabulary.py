@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.config import OOV_INDEX, OOV_WORD
@@ -10,18 +10,23 @@ from lexmill.operators.order import number_rows
 from lexmill.sources.workspace import materialise
 
 
-def explode_tokens(docs: DataFrame, key: str = "doc_id", column: str = "tokens") -> DataFrame:
-    return docs.select(key, F.explode(column).alias("word"))
+def explode_words(docs: DataFrame, words: Column | str, *keep: str) -> DataFrame:
+    """One row per element of ``words``.
+
+    The outer form with a filter behind it: for the inner form the optimiser adds a test that
+    the array is not empty and moves it below, which would work the array out twice.
+    """
+    return docs.select(*keep, F.explode_outer(words).alias("word")).where(F.col("word").isNotNull())
 
 
 def word_counts(docs: DataFrame, column: str = "tokens") -> DataFrame:
     """Occurrences of each word; counted before the exchange, so frequent words cost one row per task."""
-    return docs.select(F.explode(column).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    return explode_words(docs, column).groupBy("word").agg(F.count("*").alias("n"))
 
 
 def document_frequencies(docs: DataFrame, column: str = "tokens") -> DataFrame:
     """Documents containing each word. A document holds its own tokens, so no distinct pairs are exchanged."""
-    return docs.select(F.explode(F.array_distinct(column)).alias("word")).groupBy("word").agg(F.count("*").alias("df"))
+    return explode_words(docs, F.array_distinct(column)).groupBy("word").agg(F.count("*").alias("df"))
 
 
 def word_statistics(docs: DataFrame, order_key: str, column: str = "tokens") -> DataFrame:
@@ -42,7 +47,8 @@ def word_statistics(docs: DataFrame, order_key: str, column: str = "tokens") ->
             w.alias("word"), F.lit(0).alias("hit"), F.lit(1).alias("doc"), i.cast("bigint").alias("place")
         ),
     )
-    both = docs.select(F.col(order_key).alias("_doc"), F.inline(F.concat(occurrences, first_uses)))
+    both = docs.select(F.col(order_key).alias("_doc"), F.inline_outer(F.concat(occurrences, first_uses)))
+    both = both.where(F.col("word").isNotNull())
     seen = F.when(F.col("place").isNotNull(), F.col("_doc"))
     return both.groupBy("word").agg(
         F.sum("hit").alias("n"),

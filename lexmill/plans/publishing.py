@@ -16,6 +16,7 @@ from lexmill.operators.network import Model, predict_labels
 from lexmill.operators.review import feedback_report, unknown_labels
 from lexmill.plans.training import load_params
 from lexmill.sources.artifacts import load_table
+from lexmill.sources.workspace import co_locate
 from lexmill.sources.requests import EMPTY_REQUEST, check_requests, requests_from_list, with_fields
 
 
@@ -64,15 +65,15 @@ def model_version(published: PublishedModel) -> str:
 
 
 def tokenised(df: DataFrame, columns: Sequence[str], params: TrainingParams, key: str) -> DataFrame:
-    """``(key, tokens)`` the way the model's training saw them; missing fields are filled."""
-    filled = df.na.fill(MISSING_FILL, subset=list(columns))
+    """``(key, tokens)`` the way the model's training saw them, brought together by key; missing fields are filled."""
+    filled = co_locate(df.select(key, *columns), key).na.fill(MISSING_FILL, subset=list(columns))
     text = clean([F.col(c) for c in columns], params.stop_words, params.remove_stop_words)
     return filled.select(key, tokens(text).alias("tokens"))
 
 
 def predict_rows(df: DataFrame, published: PublishedModel, columns: Sequence[str], key: str) -> DataFrame:
     """``(key, label, score)`` of rows that hold their features in columns."""
-    return predict_labels(tokenised(df, columns, published.params, key), published.model, key, published.words)
+    return predict_labels(tokenised(df, columns, published.params, key), published.model, key, published.words, together=True)
 
 
 def predict(spark: SparkSession, published: PublishedModel, requests: Any) -> DataFrame | str:

@@ -22,7 +22,7 @@ def with_fields(df: DataFrame, column: str = "request", separator: str = ";") ->
 
 def long_fields(df: DataFrame, key: str) -> DataFrame:
     """One row per field, numbered from 0."""
-    return df.select(key, F.posexplode("fields").alias("position", "field"))
+    return df.select(key, F.posexplode_outer("fields").alias("position", "field"))
 
 
 def width_profile(df: DataFrame) -> DataFrame:
