@@ -27,21 +27,23 @@ def lookup_words(
 
     A vocabulary within ``broadcast_bytes`` is broadcast, and the rows stay where they are.
     Beyond that the words frequent in ``rows``, known or not, are looked up once and those
-    answers are broadcast; only the rows of other words are joined by word, so no task gets
-    all the rows of a frequent one.
+    answers are broadcast, and so is the answer to a missing word; only the rows of other words
+    are joined by word, so no task gets all the rows of a frequent one.
     """
     wanted = vocab.select("word", *columns)
     if fits_broadcast(wanted, broadcast_bytes):
         return rows.join(F.broadcast(wanted), "word", "left")
-    counts = materialise(rows.where(F.col("word").isNotNull()).groupBy("word").agg(F.count("*").alias("_n")), "row_counts")
+    counts = materialise(rows.groupBy("word").agg(F.count("*").alias("_n")), "row_counts")
     total = counts.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n")).first()["n"]
-    frequent = counts.where(F.col("_n") > max(frequent_rows, total // FREQUENT_WORDS)).select("word")
-    answers = materialise(frequent.join(wanted, "word", "left"), "frequent_words")
-    by_broadcast = rows.join(F.broadcast(answers), "word")
-    rest = rows.join(F.broadcast(answers.select("word")), "word", "left_anti")
-    by_exchange = rest.where(F.col("word").isNotNull()).join(wanted, "word", "left")
-    nameless = rest.where(F.col("word").isNull())
-    return by_broadcast.unionByName(by_exchange).unionByName(nameless, allowMissingColumns=True)
+    often = (F.col("_n") > max(frequent_rows, total // FREQUENT_WORDS)) | F.col("word").isNull()
+    answers = materialise(counts.where(often).select("word").join(wanted, "word", "left"), "frequent_words")
+    if not fits_broadcast(answers):
+        return rows.join(wanted, "word", "left")
+    answered = F.broadcast(answers.withColumnRenamed("word", "_word"))
+    same = F.col("word").eqNullSafe(F.col("_word"))
+    by_broadcast = rows.join(answered, same).drop("_word")
+    rest = rows.join(answered.select("_word"), same, "left_anti")
+    return by_broadcast.unionByName(rest.join(wanted, "word", "left"))
 
 
 def _index_or_oov() -> Column:

@@ -111,10 +111,10 @@ def score_documents(
     oov_weight = term_weight(F.col("unknown")) * oov_idf(model.n_docs)
     zero = F.lit(0.0)
     z = [
-        F.coalesce(F.col(f"z{j}"), zero) + F.coalesce(oov_weight * F.get(oov, F.lit(j)), zero)
+        F.coalesce(F.col(f"z{j}"), zero) + F.coalesce(oov_weight * F.get("_oov", F.lit(j)), zero)
         for j in range(model.neurons)
     ]
-    scored = with_scores(sums, z, model.network).select(key, rounded(F.col("scores")).alias("scores"))
+    scored = with_scores(sums.withColumn("_oov", oov), z, model.network).select(key, rounded(F.col("scores")).alias("scores"))
     return scored.withColumn("label_idx", arg_max(F.col("scores")).cast("bigint"))
 
 

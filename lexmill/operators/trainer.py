@@ -280,14 +280,18 @@ def train_network(
     n_rows = features.where(F.col("split") == "train").count()
     n_shards = max(1, math.ceil(n_docs / shard_documents), math.ceil(n_rows / shard_postings))
     columns = ["doc_id", "label_idx", "idx", "tfidf"]
+    # Persisted by shard and in its order, and filled before the loop: no epoch exchanges or sorts the documents again.
     train = (
         features.where(F.col("split") == "train")
         .select(_shard_of(n_shards).alias("shard"), *columns)
-        .repartition(F.col("shard"))
+        .repartition(n_shards, F.col("shard"))
+        .sortWithinPartitions("shard")
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
+    train.count()
     held = {s: features.where(F.col("split") == s).select(*columns) for s in ("validation", "test")}
-    used = train.where(F.col("idx").isNotNull()).select(F.col("shard").alias("shard"), F.col("idx").alias("idx")).distinct()
+    own = train.where(F.col("idx").isNotNull()).select(F.col("shard").alias("shard"), F.col("idx").alias("idx"))
+    used = own.distinct().persist(StorageLevel.MEMORY_AND_DISK)
 
     oov = spark.range(1).select(F.lit(OOV_INDEX).cast("bigint").alias("idx"))
     indices = within_limit(vocab, params.num_words).select("idx").unionByName(oov)
@@ -316,6 +320,7 @@ def train_network(
         dense = dense.moved(change, int(seen["steps"]))
         check = evaluate_weights(held["validation"], state, dense.table(state), h, n_shards).first()
         history.append((epoch, seen["hits"] / n_docs, check["accuracy"], seen["loss"] / n_docs, check["loss"]))
+    used.unpersist()
     train.unpersist()
     network = dense.table(state)
     result = evaluate_weights(held["test"], state, network, h, n_shards).first()

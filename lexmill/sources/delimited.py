@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lexmill.config import JobConfigError, require_columns
+from lexmill.config import JobConfigError, require_columns, require_keys
 from lexmill.sources.workspace import fits_broadcast, materialise
 
 # Field texts that count as missing, quoted or not.
@@ -18,6 +18,17 @@ MISSING_TOKENS: tuple[str, ...] = (
 
 ROW_INDEX = "row_index"
 
+# URI scheme per storage provider.
+PROVIDER_SCHEMES = {"local": "file://", "object_store": "s3a://"}
+
+
+def dataset_uri(provider: str, path: str) -> str:
+    """Where a dataset lies, by the name of its storage provider; a full URI is left as it is."""
+    if "://" in path:
+        return path
+    require_keys(PROVIDER_SCHEMES, [provider], "storage provider")
+    return PROVIDER_SCHEMES[provider] + path
+
 
 def missing_to_null(c: Column) -> Column:
     return F.when(~c.isin(list(MISSING_TOKENS)), c)

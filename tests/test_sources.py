@@ -108,3 +108,11 @@ def test_registry_grows_by_run(spark, tmp_path):
     assert artifacts.read_registry(spark, registry).count() == 2
     info = artifacts.model_info(artifacts.read_registry(spark, registry), "r2").first()
     assert (info["run_id"], info["version"]) == ("r2", "r2")
+
+
+def test_dataset_uri():
+    assert delimited.dataset_uri("local", "/a/b.csv") == "file:///a/b.csv"
+    assert delimited.dataset_uri("object_store", "bucket/b.csv") == "s3a://bucket/b.csv"
+    assert delimited.dataset_uri("local", "hdfs://x/y") == "hdfs://x/y"
+    with pytest.raises(JobConfigError):
+        delimited.dataset_uri("tape", "/a")

@@ -54,9 +54,16 @@ def test_large_vocabulary_lookup_equals_broadcast(spark):
     rows = spark.createDataFrame(list(enumerate(words)) + [(5000 + i, None) for i in range(50)], "doc_id bigint, word string")
     vocab = spark.createDataFrame([("hot", 2, 9)] + [(f"w{i}", i + 3, 1) for i in range(0, 300, 2)], "word string, idx bigint, df bigint")
     one = features.lookup_words(rows, vocab, ["idx", "df"])
-    two = features.lookup_words(rows, vocab, ["idx", "df"], broadcast_bytes=10, frequent_rows=100)
-    assert sorted(map(tuple, one.collect()), key=repr) == sorted(map(tuple, two.select(one.columns).collect()), key=repr)
-    assert "SortMergeJoin" in two._jdf.queryExecution().toString() or two.count() == one.count()
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        two = features.lookup_words(rows, vocab, ["idx", "df"], broadcast_bytes=10, frequent_rows=100).select(one.columns)
+        assert "SortMergeJoin" in two._jdf.queryExecution().executedPlan().toString()
+        got = two.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert len(got) == len(words) + 50
+    assert sorted(map(tuple, one.collect()), key=repr) == sorted(map(tuple, got), key=repr)
 
 
 def test_ties_follow_first_appearance(spark):
