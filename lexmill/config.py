@@ -69,9 +69,9 @@ class TrainingParams:
 
     @classmethod
     def from_mapping(cls, values: Mapping[str, Any]) -> "TrainingParams":
-        """Build from a stored mapping; every key must be present, none may be unknown."""
+        """Build from a stored mapping; only the seeds and the missing-value policy have defaults."""
         names = [f.name for f in fields(cls)]
-        require_keys(values, names, "parameter")
+        require_keys(values, [n for n in names if n not in ("seed", "cap_seed", "drop_missing")], "parameter")
         unknown = sorted(set(values) - set(names))
         if unknown:
             raise JobConfigError(f"unknown parameter(s): {', '.join(unknown)}")

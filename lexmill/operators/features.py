@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -56,13 +58,13 @@ def lookup_index(rows: DataFrame, vocab: DataFrame, num_words: int | None = None
     return found.withColumn("idx", _index_or_oov())
 
 
-def _by_document(docs: DataFrame, key: str, together: bool) -> DataFrame:
+def _by_document(docs: DataFrame, key: str, together: bool, *keep: str) -> DataFrame:
     """Documents partitioned by id, so that counting their tokens exchanges none of them.
 
     ``together`` says that they already are: a caller that cleans raw text brings the
     documents together before that, which moves less.
     """
-    tokens = docs.select(key, "tokens")
+    tokens = docs.select(key, *keep, "tokens")
     return tokens if together else co_locate(tokens, key)
 
 
@@ -98,16 +100,24 @@ def tfidf(
     num_words: int | None = None,
     key: str = "doc_id",
     together: bool = False,
+    keep: Sequence[str] = (),
+    keep_empty: bool = False,
     **limits: int,
 ) -> DataFrame:
-    """Sparse rows ``(doc_id, idx, tfidf)``; a document without tokens has none.
+    """Sparse rows ``(doc_id, idx, tfidf)``, with the columns of the document named in ``keep``.
 
-    The idf travels with the looked-up index, so there is one join, and with a broadcast
-    vocabulary the only exchange is that of the documents.
+    A document without tokens has no row, or with ``keep_empty`` one without index. The idf
+    travels with the looked-up index and the kept columns with the tokens, so there is one
+    join, and with a broadcast vocabulary the only exchange is that of the documents.
     """
     words = idf_of(within_limit(vocab, num_words), n_docs)
-    tokens = explode_words(_by_document(docs, key, together), "tokens", key)
+    placed = _by_document(docs, key, together, *keep)
+    if keep_empty:
+        tokens = placed.select(key, *keep, F.explode_outer("tokens").alias("word"))
+    else:
+        tokens = explode_words(placed, "tokens", key, *keep)
     found = lookup_words(tokens, words, ["idx", "idf"], **limits)
-    counts = found.groupBy(key, _index_or_oov().alias("idx")).agg(F.count("*").alias("n"), F.max("idf").alias("idf"))
-    idf = F.coalesce(F.col("idf"), oov_idf(n_docs))
-    return counts.select(key, "idx", (term_weight(F.col("n")) * idf).alias("tfidf"))
+    index = F.when(F.col("word").isNotNull(), _index_or_oov()).alias("idx")
+    counts = found.groupBy(key, *keep, index).agg(F.count("*").alias("n"), F.max("idf").alias("idf"))
+    weight = term_weight(F.col("n")) * F.coalesce(F.col("idf"), oov_idf(n_docs))
+    return counts.select(key, *keep, "idx", F.when(F.col("idx").isNotNull(), weight).alias("tfidf"))

@@ -2,23 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexmill.config import JobConfigError
 from lexmill.functions.weights import one_hot
-from lexmill.operators.order import number_rows
-from lexmill.sources.workspace import fits_broadcast
+from lexmill.sources.workspace import fits_broadcast, materialise
 
 
 def distinct_labels(df: DataFrame, label: str) -> DataFrame:
     return df.select(F.col(label).alias("label")).distinct()
 
 
+# Fixed limit: every task holds the output layer, which has one row per class.
+MAX_CLASSES = 1_000_000
+
+
 def fit_labels(df: DataFrame, label: str) -> DataFrame:
-    """``labels(label, label_idx)``: sorted distinct labels from 0. One row per class of the network."""
-    classes = distinct_labels(df, label).where(F.col("label").isNotNull())
-    return number_rows(classes, [F.col("label")], "label_idx", start=0)
+    """``labels(label, label_idx)``: sorted distinct labels from 0.
+
+    The classes are stored and counted first, so ordering them in one task is safe.
+    """
+    classes = materialise(distinct_labels(df, label).where(F.col("label").isNotNull()), "classes")
+    require_classes(classes.count())
+    return classes.withColumn("label_idx", (F.row_number().over(Window.orderBy("label")) - 1).cast("bigint"))
+
+
+def require_classes(n_classes: int) -> None:
+    if n_classes < 1:
+        raise JobConfigError("the target column holds no label")
+    if n_classes > MAX_CLASSES:
+        raise JobConfigError(f"{n_classes} different labels make no usable output layer: is the target column right?")
 
 
 def _small(labels: DataFrame) -> DataFrame:
@@ -44,14 +58,3 @@ def with_one_hot(df: DataFrame, index: str, labels: DataFrame, name: str = "one_
     size = labels.agg(F.count("*")).scalar()
     sized = df.withColumn("_classes", size)
     return sized.withColumn(name, one_hot(F.col(index), F.col("_classes"))).drop("_classes")
-
-
-# Fixed limit: the output layer is held by every task.
-MAX_OUTPUT_VALUES = 10_000_000
-
-
-def require_classes(n_classes: int, neurons: int) -> None:
-    if n_classes < 1:
-        raise JobConfigError("the target column holds no label")
-    if n_classes * neurons > MAX_OUTPUT_VALUES:
-        raise JobConfigError(f"{n_classes} classes make an output layer too large: is the target column right?")

@@ -91,7 +91,12 @@ def scoring_words(model: Model) -> DataFrame:
 
 
 def score_documents(
-    docs: DataFrame, model: Model, key: str = "doc_id", words: DataFrame | None = None, together: bool = False
+    docs: DataFrame,
+    model: Model,
+    key: str = "doc_id",
+    words: DataFrame | None = None,
+    together: bool = False,
+    **limits: int,
 ) -> DataFrame:
     """``(doc_id, scores, label_idx)`` for every document, those without tokens included.
 
@@ -100,7 +105,7 @@ def score_documents(
     """
     dictionary = scoring_words(model) if words is None else words
     counts = term_frequencies(docs, key, keep_empty=True, together=together)
-    found = lookup_words(counts, dictionary, ["idx", "idf", "weights"])
+    found = lookup_words(counts, dictionary, ["idx", "idf", "weights"], **limits)
     weight = term_weight(F.col("n")) * F.col("idf")
     unknown = F.when(F.col("word").isNotNull() & F.col("idx").isNull(), F.col("n"))
     sums = found.groupBy(key).agg(

@@ -16,8 +16,8 @@ from lexmill.operators.network import Model, predict_labels
 from lexmill.operators.review import feedback_report, unknown_labels
 from lexmill.plans.training import load_params
 from lexmill.sources.artifacts import load_table
-from lexmill.sources.workspace import co_locate
 from lexmill.sources.requests import EMPTY_REQUEST, check_requests, requests_from_list, with_fields
+from lexmill.sources.workspace import co_locate
 
 
 @dataclass(frozen=True)
@@ -98,8 +98,20 @@ def predict(spark: SparkSession, published: PublishedModel, requests: Any) -> Da
     return predict_rows(flat, published, columns, "request_id")
 
 
-def evaluate(spark: SparkSession, published: PublishedModel, requests: DataFrame) -> DataFrame | str:
-    """Accuracy over a frame ``(request_id, request, label)``."""
+def _uneven(left: Sequence[str], right: Sequence[str]) -> str | None:
+    return None if len(left) == len(right) else f"lists of different length: {len(left)} and {len(right)}"
+
+
+def evaluate(
+    spark: SparkSession, published: PublishedModel, requests: DataFrame | Sequence[str], labels: Sequence[str] = ()
+) -> DataFrame | str:
+    """Accuracy over a frame ``(request_id, request, label)``, or over a list of texts and one of labels."""
+    if not isinstance(requests, DataFrame):
+        problem = _uneven(requests, labels)
+        if problem or not requests:
+            return problem or EMPTY_REQUEST
+        rows = [(i, text, label) for i, (text, label) in enumerate(zip(requests, labels))]
+        requests = spark.createDataFrame(rows, "request_id bigint, request string, label string")
     predicted = predict(spark, published, requests.select("request_id", "request"))
     if isinstance(predicted, str):
         return predicted
@@ -107,6 +119,12 @@ def evaluate(spark: SparkSession, published: PublishedModel, requests: DataFrame
     return evaluate_report(truth.join(predicted.withColumnRenamed("label", "y_pred"), "request_id"))
 
 
+def judged_pairs(spark: SparkSession, y_pred: Sequence[str], y_true: Sequence[str]) -> DataFrame | str:
+    """A feedback frame from two lists of labels."""
+    problem = _uneven(y_pred, y_true)
+    return problem or spark.createDataFrame(list(zip(y_pred, y_true)), "y_pred string, y_true string")
+
+
 def feedback(published: PublishedModel, judged: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Report and unknown labels of a frame ``(y_pred, y_true)``; the model itself is not run."""
     known = published.known_labels

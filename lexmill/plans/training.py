@@ -16,13 +16,27 @@ from lexmill.config import ModelName, TrainingParams
 from lexmill.functions.display import hours_minutes_seconds, run_name
 from lexmill.functions.text import clean, tokens
 from lexmill.operators.features import tfidf
-from lexmill.operators.labels import encode_labels, fit_labels, require_classes
-from lexmill.operators.metrics import baseline_metrics, model_record
+from lexmill.operators.labels import encode_labels, fit_labels
+from lexmill.operators.metrics import baseline_metrics, model_record, split_shapes
 from lexmill.operators.network import Model, scoring_words
-from lexmill.operators.order import assign_split, cap_rows, head_rows, order_key, require_non_empty_splits
+from lexmill.operators.order import (
+    assign_split,
+    cap_rows,
+    head_rows,
+    order_key,
+    preview,
+    require_non_empty_splits,
+)
 from lexmill.operators.quality import project_roles, repair
 from lexmill.operators.trainer import Fitted, train_network
-from lexmill.operators.vocabulary import fit_vocabulary, word_count_report
+from lexmill.operators.vocabulary import (
+    corpus_statistics,
+    fit_vocabulary,
+    index_width,
+    top_entries,
+    top_words,
+    word_count_report,
+)
 from lexmill.sources.artifacts import load_table, register_run, save_readable, save_tables, write_word_counts
 from lexmill.sources.delimited import ROW_INDEX, read_delimited, read_paired
 from lexmill.sources.workspace import materialise, new_path
@@ -101,10 +115,12 @@ def prepare(rows: DataFrame, params: TrainingParams, id_column: str, take_head:
     )
 
 
-def feature_rows(prepared: DataFrame, vocab: DataFrame, labels: DataFrame, n_docs: int, num_words: int | None) -> DataFrame:
+def feature_rows(
+    prepared: DataFrame, vocab: DataFrame, labels: DataFrame, n_docs: int, num_words: int | None
+) -> DataFrame:
     """``(doc_id, split, label_idx, idx, tfidf)``; documents without tokens keep one row."""
-    targets = encode_labels(prepared.select("doc_id", "split", "label"), "label", labels, strict=True).drop("label")
-    return targets.join(tfidf(prepared, vocab, n_docs, num_words), "doc_id", "left")
+    targets = encode_labels(prepared.select("doc_id", "split", "label", "tokens"), "label", labels, strict=True)
+    return tfidf(targets, vocab, n_docs, num_words, keep=["split", "label_idx"], keep_empty=True)
 
 
 def fit(prepared: DataFrame, params: TrainingParams, folder: str, **shards: int) -> tuple[Model, Fitted]:
@@ -116,7 +132,6 @@ def fit(prepared: DataFrame, params: TrainingParams, folder: str, **shards: int)
     vocab = fit_vocabulary(train, "order_key", path=f"{folder}/vocabulary")
     labels = materialise(fit_labels(prepared, "label"), "labels", f"{folder}/labels")
     n_words, n_classes = vocab.count(), labels.count()
-    require_classes(n_classes, params.neurons)
     features = materialise(feature_rows(prepared, vocab, labels, n_docs, params.num_words), "features", by="split")
     fitted = train_network(
         features, vocab, n_words, n_classes, n_docs, params, new_path(prepared.sparkSession, "training"), **shards
@@ -166,7 +181,18 @@ def train_rows(
     if reasons is not None:
         tables["training_reasons"] = reasons
     save_tables(folder, {**tables, "scoring_words": scoring_words(model)})
-    save_readable(f"{folder}/readable", {**tables, "model_info": info, "baseline_metrics": baseline})
+    train = prepared.where(F.col("split") == "train")
+    width = index_width(model.vocab.count(), params.num_words)
+    reports = {
+        "model_info": info,
+        "baseline_metrics": baseline,
+        "split_shapes": split_shapes(prepared, width),
+        "corpus_statistics": corpus_statistics(prepared, train, model.vocab, "label"),
+        "top_words": top_words(model.vocab),
+        "first_entries": top_entries(model.vocab),
+        "preview": preview(train.select("doc_id", "clean", "label", "order_key"), "order_key"),
+    }
+    save_readable(f"{folder}/readable", {**tables, **reports})
     write_word_counts(word_count_report(model.vocab, params.num_words), f"{folder}/readable/word_counts")
     if registry:
         _register(registry, model_name, run_id, folder, info, fitted, time.time() - started, tables)

@@ -42,6 +42,9 @@ def test_run_is_stored_and_registered(spark, files, run):
     counts = spark.read.option("sep", ";").option("header", True).csv(f"{run.folder}/readable/word_counts")
     assert counts.columns == ["palavra", "quantidade", "percentual"] and counts.count() == 300
     assert artifacts.load_table(spark, run.folder, "dataset_names").count() == 2
+    shapes = {r["split"]: (r["n_rows"], r["n_columns"]) for r in spark.read.json(f"{run.folder}/readable/split_shapes").collect()}
+    assert shapes == {"train": (140, 300), "test": (30, 300), "validation": (30, 300)}
+    assert spark.read.json(f"{run.folder}/readable/preview").count() == 10
 
 
 def test_info_and_version(run, published):
@@ -65,7 +68,10 @@ def test_evaluate_and_feedback(spark, published, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     data = docs.select(F.col("doc_id").alias("request_id"), F.concat_ws(";", "source", "text").alias("request"), F.col("lang").alias("label"))
     assert publishing.evaluate(spark, published, data).first()["accuracy"].endswith("%")
-    judged = spark.createDataFrame([("en", "en"), ("en", "xx")], "y_pred string, y_true string")
+    assert publishing.evaluate(spark, published, ["s;the and of", "s;le la"], ["zz", "zz"]).first()["accuracy"] == "0.00%"
+    assert "2 and 1" in publishing.evaluate(spark, published, ["a;b", "c;d"], ["x"])
+    assert "1 and 0" in publishing.judged_pairs(spark, ["a"], [])
+    judged = publishing.judged_pairs(spark, ["en", "en"], ["en", "xx"])
     report, unknown = publishing.feedback(published, judged)
     assert report.first()["n_unknown_rows"] == 1 and [r["label"] for r in unknown.collect()] == ["xx"]
 

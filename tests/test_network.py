@@ -34,6 +34,19 @@ def test_scores_equal_plain_python(spark, small):
         assert got[doc_id][1] == int(np.argmax(np.round(wanted, 9)))
 
 
+def test_scores_do_not_depend_on_how_words_are_looked_up(spark, small):
+    model = fx.fixed_model(spark, small, None, 1000.0)
+    docs = fx.fitted(spark, small).prepared.select("doc_id", "tokens")
+    docs = docs.unionByName(spark.createDataFrame([(-1, []), (-2, ["nowhere"] * 500)], docs.schema))
+    one = network.score_documents(docs, model)
+    two = network.score_documents(docs, model, broadcast_bytes=1000, frequent_rows=50)
+    rows = lambda df: {r["doc_id"]: (r["scores"], r["label_idx"]) for r in df.collect()}
+    a, b = rows(one), rows(two)
+    assert a.keys() == b.keys() and len(a) == docs.count()
+    for d in a:
+        assert a[d][0] == pytest.approx(b[d][0], abs=2e-9) and a[d][1] == b[d][1]
+
+
 def test_arg_max_takes_the_lowest_index(spark):
     df = spark.createDataFrame([([0.1, 0.7, 0.7],), ([0.5, 0.5, 0.5],)], "p array<double>")
     assert [r[0] for r in df.select(arg_max(F.col("p"))).collect()] == [1, 0]
@@ -63,3 +76,10 @@ def test_labels_sort_by_code_point(spark):
     names = ["b", "B", "é", "a", "Z", "10", "9"]
     fit = labels.fit_labels(spark.createDataFrame([(x,) for x in names], "l string"), "l")
     assert [r["label"] for r in fit.orderBy("label_idx").collect()] == sorted(names)
+
+
+def test_class_counts_are_checked():
+    labels.require_classes(3)
+    for n in (0, 10_000_000):
+        with pytest.raises(labels.JobConfigError):
+            labels.require_classes(n)

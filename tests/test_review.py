@@ -5,9 +5,9 @@ from pyspark.sql import functions as F
 
 from lexmill.operators import metrics, review
 
-PRED = "not_cyberbullying ethnicity religion ethnicity religion religion age age".split()
-TRUE = "not_cyberbullying age ethnicity ethnicity religion new_label_1 new_label_1 new_label_2".split()
-KNOWN = "not_cyberbullying gender ethnicity religion age".split()
+PRED = "neutral ethnicity religion ethnicity religion religion age age".split()
+TRUE = "neutral age ethnicity ethnicity religion new_label_1 new_label_1 new_label_2".split()
+KNOWN = "neutral gender ethnicity religion age".split()
 
 
 def frame(spark, pred, true):
