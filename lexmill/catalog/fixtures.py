@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill.config import TrainingParams
-from lexmill.functions.text import clean, tokens
+from lexmill.functions.text import clean
 from lexmill.operators.labels import fit_labels
 from lexmill.operators.network import Model, network_table
 from lexmill.operators.order import assign_split, order_key
@@ -48,9 +48,9 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cleaned(spark: SparkSession, sf_dir: str, column: str = "text") -> DataFrame:
-    """The documents, spread over tasks by id before the costly text work, with cleaned text and tokens."""
+    """The documents, spread over tasks by id before the costly text work, with cleaned text."""
     docs = co_locate(documents(spark, sf_dir).select("doc_id", "lang", column), "doc_id")
-    return docs.select("doc_id", "lang", clean([F.col(column)]).alias("clean")).withColumn("tokens", tokens(F.col("clean")))
+    return docs.select("doc_id", "lang", clean([F.col(column)]).alias("clean"))
 
 
 def prepare(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -258,7 +258,7 @@ def clean_text_keep_stop_words(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def tokenize(spark: SparkSession, sf: str) -> DataFrame:
-    long = fx.cleaned(spark, sf).select("doc_id", F.posexplode_outer("tokens").alias("position", "token"))
+    long = fx.cleaned(spark, sf).select("doc_id", F.posexplode_outer(tx.tokens(F.col("clean"))).alias("position", "token"))
     return long.where(F.col("token").isNotNull()).withColumn("position", F.col("position").cast("bigint"))
 
 
@@ -404,7 +404,7 @@ def score_full_vocabulary(spark: SparkSession, sf: str) -> DataFrame:
 def score_unseen_texts(spark: SparkSession, sf: str) -> DataFrame:
     """Held-out texts, many of whose words the vocabulary lacks."""
     items = workspace.co_locate(fx.table(spark, sf, "benchmark"), "item_id")
-    docs = items.select("item_id", tx.tokens(tx.clean([F.col("text")])).alias("tokens"))
+    docs = items.select("item_id", tx.clean([F.col("text")]).alias("clean"))
     model = fx.fixed_model(spark, sf, None, 1000.0)
     return network.predict_labels(docs, model, "item_id", together=True).withColumn("score", _six("score"))
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.config import OOV_INDEX
+from lexmill.functions.text import tokens
 from lexmill.functions.weights import inverse_document_frequency, term_weight
 from lexmill.operators.vocabulary import explode_words, within_limit
 from lexmill.sources.workspace import BROADCAST_BYTES, co_locate, fits_broadcast, materialise
@@ -59,13 +60,13 @@ def lookup_index(rows: DataFrame, vocab: DataFrame, num_words: int | None = None
 
 
 def _by_document(docs: DataFrame, key: str, together: bool, *keep: str) -> DataFrame:
-    """Documents partitioned by id, so that counting their tokens exchanges none of them.
+    """Cleaned documents partitioned by id, so that counting their tokens exchanges none of them.
 
-    ``together`` says that they already are: a caller that cleans raw text brings the
-    documents together before that, which moves less.
+    ``together`` says that they already are: a caller that has to clean raw text brings the
+    documents together before that.
     """
-    tokens = docs.select(key, *keep, "tokens")
-    return tokens if together else co_locate(tokens, key)
+    wanted = docs.select(key, *keep, "clean")
+    return wanted if together else co_locate(wanted, key)
 
 
 def term_frequencies(docs: DataFrame, key: str = "doc_id", keep_empty: bool = False, together: bool = False) -> DataFrame:
@@ -75,9 +76,9 @@ def term_frequencies(docs: DataFrame, key: str = "doc_id", keep_empty: bool = Fa
     """
     placed = _by_document(docs, key, together)
     if keep_empty:
-        words = placed.select(key, F.explode_outer("tokens").alias("word"))
+        words = placed.select(key, F.explode_outer(tokens(F.col("clean"))).alias("word"))
     else:
-        words = explode_words(placed, "tokens", key)
+        words = explode_words(placed, tokens(F.col("clean")), key)
     return words.groupBy(key, "word").agg(F.count("*").alias("n"))
 
 
@@ -113,10 +114,10 @@ def tfidf(
     words = idf_of(within_limit(vocab, num_words), n_docs)
     placed = _by_document(docs, key, together, *keep)
     if keep_empty:
-        tokens = placed.select(key, *keep, F.explode_outer("tokens").alias("word"))
+        rows = placed.select(key, *keep, F.explode_outer(tokens(F.col("clean"))).alias("word"))
     else:
-        tokens = explode_words(placed, "tokens", key, *keep)
-    found = lookup_words(tokens, words, ["idx", "idf"], **limits)
+        rows = explode_words(placed, tokens(F.col("clean")), key, *keep)
+    found = lookup_words(rows, words, ["idx", "idf"], **limits)
     index = F.when(F.col("word").isNotNull(), _index_or_oov()).alias("idx")
     counts = found.groupBy(key, *keep, index).agg(F.count("*").alias("n"), F.max("idf").alias("idf"))
     weight = term_weight(F.col("n")) * F.coalesce(F.col("idf"), oov_idf(n_docs))

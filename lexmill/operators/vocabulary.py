@@ -1,4 +1,8 @@
-"""Vocabulary: counts, document frequencies and the frequency-ordered index."""
+"""Vocabulary: counts, document frequencies and the frequency-ordered index.
+
+Documents come as cleaned text. It is stored and exchanged as such, being much smaller than
+its token arrays, and split where the tokens are used.
+"""
 
 from __future__ import annotations
 
@@ -6,11 +10,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.config import OOV_INDEX, OOV_WORD
+from lexmill.functions.text import tokens
 from lexmill.operators.order import number_rows
 from lexmill.sources.workspace import materialise
 
 
-def explode_words(docs: DataFrame, words: Column | str, *keep: str) -> DataFrame:
+def explode_words(docs: DataFrame, words: Column, *keep: str) -> DataFrame:
     """One row per element of ``words``.
 
     The outer form with a filter behind it: for the inner form the optimiser adds a test that
@@ -19,17 +24,17 @@ def explode_words(docs: DataFrame, words: Column | str, *keep: str) -> DataFrame
     return docs.select(*keep, F.explode_outer(words).alias("word")).where(F.col("word").isNotNull())
 
 
-def word_counts(docs: DataFrame, column: str = "tokens") -> DataFrame:
+def word_counts(docs: DataFrame, column: str = "clean") -> DataFrame:
     """Occurrences of each word; counted before the exchange, so frequent words cost one row per task."""
-    return explode_words(docs, column).groupBy("word").agg(F.count("*").alias("n"))
+    return explode_words(docs, tokens(F.col(column))).groupBy("word").agg(F.count("*").alias("n"))
 
 
-def document_frequencies(docs: DataFrame, column: str = "tokens") -> DataFrame:
+def document_frequencies(docs: DataFrame, column: str = "clean") -> DataFrame:
     """Documents containing each word. A document holds its own tokens, so no distinct pairs are exchanged."""
-    return explode_words(docs, F.array_distinct(column)).groupBy("word").agg(F.count("*").alias("df"))
+    return explode_words(docs, F.array_distinct(tokens(F.col(column)))).groupBy("word").agg(F.count("*").alias("df"))
 
 
-def word_statistics(docs: DataFrame, order_key: str, column: str = "tokens") -> DataFrame:
+def word_statistics(docs: DataFrame, order_key: str, column: str = "clean") -> DataFrame:
     """Per word: occurrences, documents, and where it first appears in the order of ``order_key``.
 
     Each document yields its tokens once for ``n`` and its distinct tokens once for the
@@ -39,15 +44,16 @@ def word_statistics(docs: DataFrame, order_key: str, column: str = "tokens") ->
     """
     nothing = F.lit(None).cast("bigint")
     occurrences = F.transform(
-        column, lambda w: F.struct(w.alias("word"), F.lit(1).alias("hit"), F.lit(0).alias("doc"), nothing.alias("place"))
+        "tokens", lambda w: F.struct(w.alias("word"), F.lit(1).alias("hit"), F.lit(0).alias("doc"), nothing.alias("place"))
     )
     first_uses = F.transform(
-        F.array_distinct(column),
+        F.array_distinct("tokens"),
         lambda w, i: F.struct(
             w.alias("word"), F.lit(0).alias("hit"), F.lit(1).alias("doc"), i.cast("bigint").alias("place")
         ),
     )
-    both = docs.select(F.col(order_key).alias("_doc"), F.inline_outer(F.concat(occurrences, first_uses)))
+    split = docs.select(F.col(order_key).alias("_doc"), tokens(F.col(column)).alias("tokens"))
+    both = split.select("_doc", F.inline_outer(F.concat(occurrences, first_uses)))
     both = both.where(F.col("word").isNotNull())
     seen = F.when(F.col("place").isNotNull(), F.col("_doc"))
     return both.groupBy("word").agg(
@@ -58,7 +64,7 @@ def word_statistics(docs: DataFrame, order_key: str, column: str = "tokens") ->
     )
 
 
-def fit_vocabulary(docs: DataFrame, order_key: str, column: str = "tokens", path: str | None = None) -> DataFrame:
+def fit_vocabulary(docs: DataFrame, order_key: str, column: str = "clean", path: str | None = None) -> DataFrame:
     """``vocab(word, n, df, idx)``: words by falling count, ties by first appearance, numbered from 2.
 
     Index 1 stands for unknown words, 0 is unused. The counts are stored before they are

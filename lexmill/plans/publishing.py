@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill.config import MISSING_FILL, TrainingParams
-from lexmill.functions.text import clean, tokens
+from lexmill.functions.text import clean
 from lexmill.operators.metrics import evaluate_report
 from lexmill.operators.network import Model, predict_labels
 from lexmill.operators.review import feedback_report, unknown_labels
@@ -64,16 +64,16 @@ def model_version(published: PublishedModel) -> str:
     return published.info.first()["run_id"]
 
 
-def tokenised(df: DataFrame, columns: Sequence[str], params: TrainingParams, key: str) -> DataFrame:
-    """``(key, tokens)`` the way the model's training saw them, brought together by key; missing fields are filled."""
+def cleaned_rows(df: DataFrame, columns: Sequence[str], params: TrainingParams, key: str) -> DataFrame:
+    """``(key, clean)`` the way the model's training cleaned its texts, brought together by key; missing fields are filled."""
     filled = co_locate(df.select(key, *columns), key).na.fill(MISSING_FILL, subset=list(columns))
     text = clean([F.col(c) for c in columns], params.stop_words, params.remove_stop_words)
-    return filled.select(key, tokens(text).alias("tokens"))
+    return filled.select(key, text.alias("clean"))
 
 
 def predict_rows(df: DataFrame, published: PublishedModel, columns: Sequence[str], key: str) -> DataFrame:
     """``(key, label, score)`` of rows that hold their features in columns."""
-    return predict_labels(tokenised(df, columns, published.params, key), published.model, key, published.words, together=True)
+    return predict_labels(cleaned_rows(df, columns, published.params, key), published.model, key, published.words, together=True)
 
 
 def predict(spark: SparkSession, published: PublishedModel, requests: Any) -> DataFrame | str:

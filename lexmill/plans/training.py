@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from lexmill.config import ModelName, TrainingParams
 from lexmill.functions.display import hours_minutes_seconds, run_name
-from lexmill.functions.text import clean, tokens
+from lexmill.functions.text import clean
 from lexmill.operators.features import tfidf
 from lexmill.operators.labels import encode_labels, fit_labels
 from lexmill.operators.metrics import baseline_metrics, model_record, split_shapes
@@ -87,7 +87,7 @@ def load_params(spark: SparkSession, folder: str) -> TrainingParams:
 
 
 def prepare(rows: DataFrame, params: TrainingParams, id_column: str, take_head: bool = False) -> DataFrame:
-    """Stored ``(doc_id, split, label, tokens, order_key)`` of the rows a run uses.
+    """Stored ``(doc_id, split, label, clean, order_key)`` of the rows a run uses.
 
     ``take_head`` keeps the first rows in file order when there are too many; otherwise a
     seeded shuffle picks them.
@@ -109,7 +109,7 @@ def prepare(rows: DataFrame, params: TrainingParams, id_column: str, take_head:
             F.col(params.target_column).alias("label"),
             text.alias("clean"),
             order_key(id_column, params.seed).alias("order_key"),
-        ).withColumn("tokens", tokens(F.col("clean"))),
+        ),
         "prepared",
         by="split",
     )
@@ -119,7 +119,7 @@ def feature_rows(
     prepared: DataFrame, vocab: DataFrame, labels: DataFrame, n_docs: int, num_words: int | None
 ) -> DataFrame:
     """``(doc_id, split, label_idx, idx, tfidf)``; documents without tokens keep one row."""
-    targets = encode_labels(prepared.select("doc_id", "split", "label", "tokens"), "label", labels, strict=True)
+    targets = encode_labels(prepared.select("doc_id", "split", "label", "clean"), "label", labels, strict=True)
     return tfidf(targets, vocab, n_docs, num_words, keep=["split", "label_idx"], keep_empty=True)
 
 

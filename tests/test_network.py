@@ -24,8 +24,8 @@ def test_scores_equal_plain_python(spark, small):
     model = fx.fixed_model(spark, small, None, 1000.0)
     vocab = {r["word"]: (r["n"], r["df"], r["idx"]) for r in fit.vocab.collect()}
     extra = [(10_001, []), (10_002, ["neverseen", "neverseen", "other"])]
-    docs = [(r["doc_id"], r["tokens"]) for r in fit.prepared.select("doc_id", "tokens").collect()] + extra
-    frame = spark.createDataFrame(docs, "doc_id bigint, tokens array<string>")
+    docs = [(r["doc_id"], truth.tokens(r["clean"])) for r in fit.prepared.collect()] + extra
+    frame = spark.createDataFrame([(d, " ".join(t)) for d, t in docs], "doc_id bigint, clean string")
     got = {r["doc_id"]: (r["scores"], r["label_idx"]) for r in network.score_documents(frame, model).collect()}
     assert len(got) == len(docs)
     for doc_id, tokens in docs:
@@ -36,8 +36,8 @@ def test_scores_equal_plain_python(spark, small):
 
 def test_scores_do_not_depend_on_how_words_are_looked_up(spark, small):
     model = fx.fixed_model(spark, small, None, 1000.0)
-    docs = fx.fitted(spark, small).prepared.select("doc_id", "tokens")
-    docs = docs.unionByName(spark.createDataFrame([(-1, []), (-2, ["nowhere"] * 500)], docs.schema))
+    docs = fx.fitted(spark, small).prepared.select("doc_id", "clean")
+    docs = docs.unionByName(spark.createDataFrame([(-1, ""), (-2, "nowhere " * 500)], docs.schema))
     one = network.score_documents(docs, model)
     two = network.score_documents(docs, model, broadcast_bytes=1000, frequent_rows=50)
     rows = lambda df: {r["doc_id"]: (r["scores"], r["label_idx"]) for r in df.collect()}
