@@ -115,14 +115,16 @@ def reasons_sink(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def run_registry(spark: SparkSession, sf: str) -> DataFrame:
+    run_id = F.concat(F.lit("run-"), "source").alias("run_id")
     epochs = fx.history(spark, sf, "source").select(
-        F.col("source").alias("experiment"), F.concat(F.lit("run-"), "source").alias("run_id"), "epoch", "accuracy", "val_accuracy"
+        F.col("source").alias("experiment"), run_id, "epoch", "accuracy", "val_accuracy"
     )
     path = workspace.new_path(spark, "registry")
     artifacts.register_run(path, epochs.select("experiment", "run_id").distinct(), epochs)
     runs = artifacts.read_registry(spark, path)
     stored = artifacts.read_registry(spark, path, "metrics").join(runs, ["experiment", "run_id"])
-    return stored.select("experiment", "run_id", "epoch", _six("accuracy").alias("accuracy"), _six("val_accuracy").alias("val_accuracy"))
+    shares = [_six(c).alias(c) for c in ("accuracy", "val_accuracy")]
+    return stored.select("experiment", "run_id", "epoch", *shares)
 
 
 @query
@@ -387,7 +389,9 @@ def one_hot(spark: SparkSession, sf: str) -> DataFrame:
 
 def _scored(spark: SparkSession, sf: str, num_words: int | None, divisor: float) -> DataFrame:
     model = fx.fixed_model(spark, sf, num_words, divisor)
-    return network.predict_labels(fx.cleaned(spark, sf), model, together=True).withColumn("score", _six("score"))
+    words = workspace.materialise(network.scoring_words(model), "scoring_words")
+    predicted = network.predict_labels(fx.cleaned(spark, sf), model, words=words, together=True)
+    return predicted.withColumn("score", _six("score"))
 
 
 @query
@@ -473,9 +477,9 @@ def accuracy(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def evaluate_report(spark: SparkSession, sf: str) -> DataFrame:
-    rows = fx.documents(spark, sf).select(F.col("doc_id").alias("request_id"), F.col("text").alias("request"), F.col("lang").alias("label"))
-    single = rows.withColumn("request", F.translate("request", ";", " "))
-    return publishing.evaluate(spark, _published(spark, sf), single)
+    single = F.translate("text", ";", " ").alias("request")
+    rows = fx.documents(spark, sf).select(F.col("doc_id").alias("request_id"), single, F.col("lang").alias("label"))
+    return publishing.evaluate(spark, _published(spark, sf), rows)
 
 
 @query
@@ -536,7 +540,9 @@ def retrain_evaluation(spark: SparkSession, sf: str) -> DataFrame:
     delimited.write_delimited(docs.select("lang"), f"{path}/targets")
     files = {"features": f"{path}/features", "targets": f"{path}/targets"}
     decision, _ = retraining.evaluate_for_retraining(spark, _published(spark, sf), files)
-    return decision.select("retrain", "evaluated_run_id", "n_evaluated", "n_correct", "n_errors", "threshold", "evaluated_accuracy")
+    return decision.select(
+        "retrain", "evaluated_run_id", "n_evaluated", "n_correct", "n_errors", "threshold", "evaluated_accuracy"
+    )
 
 
 # Formats

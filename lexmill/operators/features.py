@@ -31,11 +31,13 @@ def lookup_words(
     A vocabulary within ``broadcast_bytes`` is broadcast, and the rows stay where they are.
     Beyond that the words frequent in ``rows``, known or not, are looked up once and those
     answers are broadcast, and so is the answer to a missing word; only the rows of other words
-    are joined by word, so no task gets all the rows of a frequent one.
+    are joined by word, so no task gets all the rows of a frequent one. The rows are stored
+    first, being read three times.
     """
     wanted = vocab.select("word", *columns)
     if fits_broadcast(wanted, broadcast_bytes):
         return rows.join(F.broadcast(wanted), "word", "left")
+    rows = materialise(rows, "lookup_rows")
     counts = materialise(rows.groupBy("word").agg(F.count("*").alias("_n")), "row_counts")
     total = counts.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n")).first()["n"]
     often = (F.col("_n") > max(frequent_rows, total // FREQUENT_WORDS)) | F.col("word").isNull()
@@ -69,17 +71,20 @@ def _by_document(docs: DataFrame, key: str, together: bool, *keep: str) -> DataF
     return wanted if together else co_locate(wanted, key)
 
 
-def term_frequencies(docs: DataFrame, key: str = "doc_id", keep_empty: bool = False, together: bool = False) -> DataFrame:
-    """``(doc_id, word, n)``: occurrences of each word in each document.
+def term_frequencies(
+    docs: DataFrame, key: str = "doc_id", together: bool = False, keep: Sequence[str] = (), keep_empty: bool = False
+) -> DataFrame:
+    """``(doc_id, word, n)``: occurrences of each word in each document, with the columns named in ``keep``.
 
     With ``keep_empty`` a document without tokens has one row whose word is null.
     """
-    placed = _by_document(docs, key, together)
+    placed = _by_document(docs, key, together, *keep)
+    words = tokens(F.col("clean"))
     if keep_empty:
-        words = placed.select(key, F.explode_outer(tokens(F.col("clean"))).alias("word"))
+        rows = placed.select(key, *keep, F.explode_outer(words).alias("word"))
     else:
-        words = explode_words(placed, tokens(F.col("clean")), key)
-    return words.groupBy(key, "word").agg(F.count("*").alias("n"))
+        rows = explode_words(placed, words, key, *keep)
+    return rows.groupBy(key, *keep, "word").agg(F.count("*").alias("n"))
 
 
 def idf_of(vocab: DataFrame, n_docs: int | Column) -> DataFrame:
@@ -112,13 +117,9 @@ def tfidf(
     join, and with a broadcast vocabulary the only exchange is that of the documents.
     """
     words = idf_of(within_limit(vocab, num_words), n_docs)
-    placed = _by_document(docs, key, together, *keep)
-    if keep_empty:
-        rows = placed.select(key, *keep, F.explode_outer(tokens(F.col("clean"))).alias("word"))
-    else:
-        rows = explode_words(placed, tokens(F.col("clean")), key, *keep)
-    found = lookup_words(rows, words, ["idx", "idf"], **limits)
+    counts = term_frequencies(docs, key, together, keep, keep_empty)
+    found = lookup_words(counts, words, ["idx", "idf"], **limits)
     index = F.when(F.col("word").isNotNull(), _index_or_oov()).alias("idx")
-    counts = found.groupBy(key, *keep, index).agg(F.count("*").alias("n"), F.max("idf").alias("idf"))
+    merged = found.groupBy(key, *keep, index).agg(F.sum("n").alias("n"), F.max("idf").alias("idf"))
     weight = term_weight(F.col("n")) * F.coalesce(F.col("idf"), oov_idf(n_docs))
-    return counts.select(key, *keep, "idx", F.when(F.col("idx").isNotNull(), weight).alias("tfidf"))
+    return merged.select(key, *keep, "idx", F.when(F.col("idx").isNotNull(), weight).alias("tfidf"))

@@ -104,7 +104,7 @@ def score_documents(
     count is summed per document and weighted at the end.
     """
     dictionary = scoring_words(model) if words is None else words
-    counts = term_frequencies(docs, key, keep_empty=True, together=together)
+    counts = term_frequencies(docs, key, together, keep_empty=True)
     found = lookup_words(counts, dictionary, ["idx", "idf", "weights"], **limits)
     weight = term_weight(F.col("n")) * F.col("idf")
     unknown = F.when(F.col("word").isNotNull() & F.col("idx").isNull(), F.col("n"))
@@ -119,7 +119,8 @@ def score_documents(
         F.coalesce(F.col(f"z{j}"), zero) + F.coalesce(oov_weight * F.get("_oov", F.lit(j)), zero)
         for j in range(model.neurons)
     ]
-    scored = with_scores(sums.withColumn("_oov", oov), z, model.network).select(key, rounded(F.col("scores")).alias("scores"))
+    raw = with_scores(sums.withColumn("_oov", oov), z, model.network)
+    scored = raw.select(key, rounded(F.col("scores")).alias("scores"))
     return scored.withColumn("label_idx", arg_max(F.col("scores")).cast("bigint"))
 
 

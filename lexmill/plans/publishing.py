@@ -38,7 +38,9 @@ class PublishedModel:
         return self.info.select(F.explode("predictable_labels").alias("label"))
 
 
-def load_published(spark: SparkSession, folder: str, name: str = "text_classifier", provider: str = "local") -> PublishedModel:
+def load_published(
+    spark: SparkSession, folder: str, name: str = "text_classifier", provider: str = "local"
+) -> PublishedModel:
     params = load_params(spark, folder)
     words = load_table(spark, folder, "scoring_words")
     n_docs = load_table(spark, folder, "corpus").first()["n_docs"]
@@ -65,7 +67,7 @@ def model_version(published: PublishedModel) -> str:
 
 
 def cleaned_rows(df: DataFrame, columns: Sequence[str], params: TrainingParams, key: str) -> DataFrame:
-    """``(key, clean)`` the way the model's training cleaned its texts, brought together by key; missing fields are filled."""
+    """``(key, clean)`` the way training cleaned its texts, brought together by key; missing fields are filled."""
     filled = co_locate(df.select(key, *columns), key).na.fill(MISSING_FILL, subset=list(columns))
     text = clean([F.col(c) for c in columns], params.stop_words, params.remove_stop_words)
     return filled.select(key, text.alias("clean"))
@@ -73,7 +75,8 @@ def cleaned_rows(df: DataFrame, columns: Sequence[str], params: TrainingParams,
 
 def predict_rows(df: DataFrame, published: PublishedModel, columns: Sequence[str], key: str) -> DataFrame:
     """``(key, label, score)`` of rows that hold their features in columns."""
-    return predict_labels(cleaned_rows(df, columns, published.params, key), published.model, key, published.words, together=True)
+    rows = cleaned_rows(df, columns, published.params, key)
+    return predict_labels(rows, published.model, key, published.words, together=True)
 
 
 def predict(spark: SparkSession, published: PublishedModel, requests: Any) -> DataFrame | str:

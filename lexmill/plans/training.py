@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import time
 import uuid
 from collections.abc import Mapping
@@ -212,7 +213,7 @@ def _register(
     spark = info.sparkSession
     experiment, run = F.lit(model_name.experiment), F.lit(run_id)
     hours, minutes, rest = hours_minutes_seconds(F.lit(seconds))
-    tags = F.to_json(F.create_map(*[F.lit(x) for kv in model_name.tags.items() for x in kv])) if model_name.tags else F.lit("{}")
+    tags = F.lit(json.dumps(dict(model_name.tags), ensure_ascii=False))
     runs = info.select(
         "*",
         F.lit(model_name.name).alias("model_name"),

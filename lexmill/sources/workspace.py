@@ -50,7 +50,7 @@ def co_locate(df: DataFrame, *keys: str) -> DataFrame:
 
 
 # Fixed limit: what may be sent to every executor.
-BROADCAST_BYTES = 64 * 1024 * 1024
+BROADCAST_BYTES = 256 * 1024 * 1024
 # Fixed estimate: heap cost of one broadcast row besides its strings.
 _ROW_OVERHEAD = 64
 
