@@ -271,7 +271,7 @@ SELECT c / n <= threshold AS retrain, 'run-1' AS evaluated_run_id, n AS n_evalua
     "percent_format": """SELECT event_id, printf('%.2f%%', value / 1000 * 100) AS two,
   printf('%.4f%%', value / 1000 * 100) AS four FROM events""",
     "run_id_format": "SELECT event_id, strftime(ts, '%Y-%m-%d_%H%M%Shs') AS run_name FROM events",
-    "duration_hms": """WITH s AS (SELECT event_id, CAST(floor(epoch(ts)) AS BIGINT)
-    - (SELECT CAST(floor(epoch(min(ts))) AS BIGINT) FROM events) AS t FROM events)
+    "duration_hms": """WITH s AS (SELECT event_id, (epoch_us(ts) - (SELECT epoch_us(min(ts)) FROM events)) // 1000000 AS t
+  FROM events)
 SELECT event_id, t // 3600 AS hours, t % 3600 // 60 AS minutes, t % 60 AS seconds FROM s""",
 }

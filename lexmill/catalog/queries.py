@@ -563,9 +563,9 @@ def run_id_format(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def duration_hms(spark: SparkSession, sf: str) -> DataFrame:
-    events = fx.table(spark, sf, "events").select("event_id", F.unix_timestamp("ts").alias("at"))
-    first = events.agg(F.min("at")).scalar()
-    hours, minutes, seconds = hours_minutes_seconds(F.col("at") - first)
+    events = fx.table(spark, sf, "events").select("event_id", "ts")
+    first = events.agg(F.min("ts")).scalar()
+    hours, minutes, seconds = hours_minutes_seconds(F.timestamp_diff("SECOND", first, F.col("ts")))
     return events.select("event_id", hours.alias("hours"), minutes.alias("minutes"), seconds.alias("seconds"))
 
 
