@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexmill.llm import binary_ids, bpe, packing
+from lexmill.llm import binary_ids, bpe, cuckoo, jaccard, language, packing, repeats
 from lexmill.llm.support import documents
 
 
@@ -14,6 +14,23 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return binary_ids.read_digests(spark, folder)
 
 
+def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(documents(spark, sf_dir)).drop("t", "kept")
+
+
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return language.identify(docs, language.train(docs))
+
+
+def op6_exact_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cuckoo.exact_groups(documents(spark, sf_dir))
+
+
+def op7_similar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similarity_classes(documents(spark, sf_dir)).drop("t")
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(documents(spark, sf_dir))
 
@@ -24,7 +41,22 @@ def op9_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_token_files": op2_token_files,
+    "op4_repeats": op4_repeats,
+    "op5_language": op5_language,
+    "op6_exact_groups": op6_exact_groups,
+    "op7_similar": op7_similar,
     "op8_bpe": op8_bpe,
     "op9_curve_packing": op9_curve_packing,
 }
-ORACLES: dict[str, str] = {}
+
+ORACLES: dict[str, str] = {
+    "op6_exact_groups": """
+        WITH normal AS (
+            SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256
+            FROM documents
+        )
+        SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+               doc_id = max(doc_id) OVER same AS kept, text_sha256
+        FROM normal WINDOW same AS (PARTITION BY text_sha256)
+    """,
+}

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lexmill.sources.workspace import materialise
 
-__all__ = ["documents", "fold", "held_out", "materialise", "mix64", "partitions", "prefix_hash", "span_hash", "texts_of", "utf8"]
+__all__ = ["documents", "fold", "held_out", "join_classes", "materialise", "mix64", "partitions", "prefix_hash", "span_hash", "texts_of", "utf8"]
 
 # Odd multiplier of the polynomial byte hash, its inverse modulo 2^64, and the finaliser's constants.
 _BASE = 0x9E3779B97F4A7C15
@@ -88,3 +88,20 @@ def fold(values: list[int]) -> int:
     for v in values:
         out = (out * _BASE + v + 1) % (1 << 64)
     return out
+
+
+# Fixed share: a class with at least this share of all rows is joined by broadcast; there are at most as many as its inverse.
+_HOT_SHARE = 1 / 1024
+
+
+def join_classes(rows: DataFrame, classes: DataFrame, key: str, size: str) -> DataFrame:
+    """Every row with its class. ``size`` is the number of rows of a class; both tables are stored, keys of rows not null.
+
+    Classes that hold a large share of the rows, at most 1 024, go to every task; the others are joined by key.
+    """
+    total = rows.count()
+    is_hot = F.col(size) >= max(2.0, total * _HOT_SHARE)
+    hot = F.broadcast(classes.where(is_hot))
+    common = rows.join(hot, key)
+    rare = rows.join(F.broadcast(classes.where(is_hot).select(key)), key, "left_anti").join(classes.where(~is_hot), key)
+    return common.unionByName(rare)
