@@ -1,22 +1,102 @@
-"""A corpus pipeline over documents: stages that each read what the one before kept."""
+"""A corpus pipeline over documents: stages that each read what the one before kept.
+
+Language, exact duplicates, similar documents, repeated passages, packing. All stages but the last return the columns of
+their input. Rows are told apart by doc_id and text; of rows equal in both the exact-duplicate stage keeps one. Null
+texts count as empty.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lexmill.llm import packing
-from lexmill.llm.support import documents, materialise
+from lexmill.llm import cuckoo, jaccard, language, packing, repeats
+from lexmill.llm.support import documents, materialise, partitions
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+_NO_ID = -(1 << 63)
+
+
+def _unused(docs: DataFrame, *names: str) -> list[str]:
+    """The names, longer where ``docs`` has such columns."""
+    taken = {c.lower() for c in docs.columns}
+    out = []
+    for n in names:
+        while n.lower() in taken:
+            n += "_"
+        out.append(n)
+    return out
+
+
+def _keyed(docs: DataFrame, key: str, mark: str) -> DataFrame:
+    return docs.withColumns(
+        {key: F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_NO_ID)), mark: F.hash(F.coalesce("text", F.lit("")))}
+    )
+
+
+def _only(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """One row of ``docs`` for each (doc_id, t) of ``chosen``, which has each once."""
+    key, mark = _unused(docs, "row_key", "row_mark")
+    names = chosen.select(F.coalesce("doc_id", F.lit(_NO_ID)).alias(key), F.col("t").alias(mark))
+    dealt = _keyed(docs, key, mark).repartition(partitions(docs.sparkSession), key, mark)
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple] = set()
+        for b in batches:
+            keys = list(zip(b.column(key).to_pylist(), b.column(mark).to_pylist()))
+            new = []
+            for k in keys:
+                new.append(k not in seen)
+                seen.add(k)
+            yield b.filter(pa.array(new, pa.bool_()))
+
+    once = dealt.mapInArrow(first, dealt.schema)
+    return once.join(names.hint("shuffle_hash"), [key, mark], "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return language.accepted(docs, language.train(docs))
+
+
+def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    groups = cuckoo.exact_groups(docs).where("kept")
+    chosen = groups.groupBy("text_sha256").agg(F.max(F.struct("doc_id", "t")).alias("row")).select("row.doc_id", "row.t")
+    return _only(docs, chosen)
+
+
+def without_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return _only(docs, jaccard.similarity_classes(docs).where("kept").select("doc_id", "t").distinct())
+
+
+def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    key, mark, left = _unused(docs, "row_key", "row_mark", "text_left")
+    cut = repeats.remove_repeats(docs, with_text=True).select(
+        F.coalesce("doc_id", F.lit(_NO_ID)).alias(key), F.col("t").alias(mark), F.col("kept").alias(left)
+    )
+    absent = _unused(docs, "text_absent")[0]
+    rest = _keyed(docs, key, mark).withColumn(absent, F.col("text").isNull()).drop("text")
+    text = F.when(~F.col(absent), F.col(left))
+    columns = {c: F.col(f"`{c}`") for c in docs.columns} | {"text": text}
+    if "n_chars" in docs.columns:
+        columns["n_chars"] = F.length(text).cast(docs.schema["n_chars"].dataType)
+    return cut.join(rest.hint("shuffle_hash"), [key, mark]).select(*[c.alias(n) for n, c in columns.items()])
 
 
-def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs)
 
 
-STAGES: list[tuple[str, Stage]] = [("packing", pack_sequences)]
+STAGES: list[tuple[str, Stage]] = [
+    ("language", known_languages),
+    ("exact_duplicates", without_copies),
+    ("similar_documents", without_similar),
+    ("repeated_passages", without_repeats),
+    ("packing", packed),
+]
+#: SQL cannot express the language model, the similarity classes or the curve: see the tests.
 ORACLE_SQL: str | None = None
 
 

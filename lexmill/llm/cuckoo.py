@@ -111,8 +111,8 @@ def normalised_digest(text: str) -> bytes:
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        found = [normalised_digest(t) for t in b.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.binary())], ["doc_id", "digest"])
+        found = [normalised_digest(t) for t in b.column(2).to_pylist()]
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(found, pa.binary())], ["doc_id", "t", "digest"])
 
 
 def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,14 +140,15 @@ _INDEXED = "digest binary, keep_id bigint, n bigint"
 
 
 def exact_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(doc_id, keep_id, group_size, kept, text_sha256) for every row."""
-    texts = texts_of(docs, id_column, text_column)
-    rows = materialise(texts.mapInArrow(_digests, "doc_id bigint, digest binary"), "digests")
+    """(doc_id, t, keep_id, group_size, kept, text_sha256) for every row; ``t`` is the text's hash() in Spark."""
+    texts = texts_of(docs, id_column, text_column).select("doc_id", F.hash("text").alias("t"), "text")
+    rows = materialise(texts.mapInArrow(_digests, "doc_id bigint, t int, digest binary"), "digests")
     local = rows.select("digest", "doc_id", F.lit(1).cast("bigint").alias("n")).mapInArrow(_index, _INDEXED)
     classes = materialise(local.repartition(partitions(docs.sparkSession), "digest").mapInArrow(_index, _INDEXED), "classes")
     joined = join_classes(rows, classes, "digest", "n")
     return joined.select(
         "doc_id",
+        "t",
         "keep_id",
         F.col("n").alias("group_size"),
         F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),

@@ -4,16 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexmill.llm import binary_ids, bpe, cuckoo, jaccard, language, packing, repeats
+from lexmill.llm import binary_ids, bpe, cuckoo, jaccard, language, licenses, nearest, packing, quality, repeats
 from lexmill.llm.support import documents
 
 
+def op1_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return nearest.nearest(vectors, vectors.where("vec_id % 20 = 0"))
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = binary_ids.scratch_folder(spark)
     binary_ids.write(documents(spark, sf_dir), folder)
     return binary_ids.read_digests(spark, folder)
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(documents(spark, sf_dir)).drop("t", "kept")
 
@@ -24,7 +33,7 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_exact_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cuckoo.exact_groups(documents(spark, sf_dir))
+    return cuckoo.exact_groups(documents(spark, sf_dir)).drop("t")
 
 
 def op7_similar(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,14 +48,21 @@ def op9_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
 
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(documents(spark, sf_dir))
+
+
 QUERIES = {
+    "op1_nearest": op1_nearest,
     "op2_token_files": op2_token_files,
+    "op3_quality": op3_quality,
     "op4_repeats": op4_repeats,
     "op5_language": op5_language,
     "op6_exact_groups": op6_exact_groups,
     "op7_similar": op7_similar,
     "op8_bpe": op8_bpe,
     "op9_curve_packing": op9_curve_packing,
+    "op10_licenses": op10_licenses,
 }
 
 ORACLES: dict[str, str] = {
@@ -59,4 +75,5 @@ ORACLES: dict[str, str] = {
                doc_id = max(doc_id) OVER same AS kept, text_sha256
         FROM normal WINDOW same AS (PARTITION BY text_sha256)
     """,
+    "op10_licenses": licenses.oracle(),
 }

@@ -181,16 +181,16 @@ def cut(text: bytes, start: np.ndarray, end: np.ndarray) -> bytes:
     return b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2]))
 
 
-_RESULT = ["kind", "doc", "t", "bucket", "text", "spans", "blob", "n_bytes", "n_removed", "n_spans", "sha"]
+_RESULT = ["kind", "doc", "t", "bucket", "text", "spans", "blob", "n_bytes", "n_removed", "n_spans", "sha", "kept"]
 _RESULT_SCHEMA = (
     "kind int, doc bigint, t int, bucket int, text binary, spans binary, blob binary, "
-    "n_bytes bigint, n_removed bigint, n_spans bigint, sha string"
+    "n_bytes bigint, n_removed bigint, n_spans bigint, sha string, kept string"
 )
 _DONE, _OPEN, _CONTEXT = 0, 1, 2
 
 
 def _result_batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()] + [pa.int64()] * 3 + [pa.string()]
+    kinds = [pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()] + [pa.int64()] * 3 + [pa.string()] * 2
     columns = list(zip(*rows)) if rows else [[]] * len(kinds)
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], _RESULT)
 
@@ -198,7 +198,8 @@ def _result_batch(rows: list[tuple]) -> pa.RecordBatch:
 def _finished(name: int | None, t: int, text: bytes, start: np.ndarray, end: np.ndarray, with_text: bool) -> tuple:
     kept = cut(text, start, end)
     sha = hashlib.sha256(kept).hexdigest()
-    return _DONE, name, t, None, kept if with_text else None, None, None, len(text), len(text) - len(kept), len(start), sha
+    readable = kept.decode(errors="ignore") if with_text else None
+    return _DONE, name, t, None, None, None, None, len(text), len(text) - len(kept), len(start), sha, readable
 
 
 # A surrounding on its way: anchor hash, document, checksum, place of its first byte, place of the anchor in it, bytes.
@@ -220,7 +221,7 @@ def _apply_settled(buckets: int, with_text: bool):
                     out.append(_finished(name, t, text, start, end, with_text))
                     continue
                 spans = np.stack([start, end], 1).astype("<u4").tobytes()
-                out.append((_OPEN, name, t, None, text, spans, None, None, None, None, None))
+                out.append((_OPEN, name, t, None, text, spans, *[None] * 6))
                 begin, stop = np.maximum(at - (LENGTH - ANCHOR), 0), np.minimum(at + LENGTH, len(text))
                 sums = prefix_hash(np.frombuffer(text, np.uint8))
                 head = np.empty(len(at), _HEAD)
@@ -237,7 +238,7 @@ def _apply_settled(buckets: int, with_text: bool):
                 for x, y in zip(cuts.tolist(), cuts[1:].tolist()):
                     own = order[x:y]
                     blob = len(own).to_bytes(8, "little") + head[own].tobytes() + b"".join([bodies[k] for k in own.tolist()])
-                    out.append((_CONTEXT, None, None, int(bucket[own[0]]), None, None, blob, None, None, None, None))
+                    out.append((_CONTEXT, None, None, int(bucket[own[0]]), None, None, blob, *[None] * 5))
             yield _result_batch(out)
 
     return run
@@ -428,7 +429,8 @@ def remove_repeats(
 ) -> DataFrame:
     """(doc_id, t, n_bytes, n_removed, n_spans, kept_sha256, kept): every document without repeated passages.
 
-    ``kept`` holds the bytes left if ``with_text`` is set, else null; ``t`` is the text's hash() in Spark.
+    ``kept`` is the text left if ``with_text`` is set, else null; of a letter cut in its bytes nothing is left there, while
+    the numbers and the digest are those of the bytes. ``t`` is the text's hash() in Spark.
     """
     compared = _compared(docs, id_column, text_column, with_text)
     removed = (
@@ -445,8 +447,5 @@ def remove_repeats(
         .select("doc", "t", "text", "spans", "more")
         .mapInArrow(_close(with_text), _RESULT_SCHEMA)
     )
-    columns = [
-        F.col("doc").alias("doc_id"), "t", "n_bytes", "n_removed", "n_spans", F.col("sha").alias("kept_sha256"),
-        F.col("text").alias("kept"),
-    ]
+    columns = [F.col("doc").alias("doc_id"), "t", "n_bytes", "n_removed", "n_spans", F.col("sha").alias("kept_sha256"), "kept"]
     return compared.where(F.col("kind") == _DONE).select(*columns).unionByName(closed.select(*columns))
