@@ -13,7 +13,8 @@ from lexmill.operators.labels import fit_labels
 from lexmill.operators.network import Model, network_table
 from lexmill.operators.order import assign_split, order_key
 from lexmill.operators.vocabulary import fit_vocabulary
-from lexmill.sources.workspace import co_locate, materialise
+from lexmill.sources.delimited import MISSING_TOKENS
+from lexmill.sources.workspace import materialise
 
 # Fixed sizes of the check network.
 NEURONS = 5
@@ -48,9 +49,8 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cleaned(spark: SparkSession, sf_dir: str, column: str = "text") -> DataFrame:
-    """The documents, spread over tasks by id before the costly text work, with cleaned text."""
-    docs = co_locate(documents(spark, sf_dir).select("doc_id", "lang", column), "doc_id")
-    return docs.select("doc_id", "lang", clean([F.col(column)]).alias("clean"))
+    """The documents with cleaned text."""
+    return documents(spark, sf_dir).select("doc_id", "lang", clean([F.col(column)]).alias("clean"))
 
 
 def prepare(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,7 +102,9 @@ def params(**changes: object) -> TrainingParams:
 
 
 def with_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    gone = F.when(F.col("doc_id") % 7 == 0, None).when(F.col("doc_id") % 11 == 0, "NA").otherwise(F.col("text"))
+    tokens = F.array(*[F.lit(t) for t in MISSING_TOKENS])
+    token = F.get(tokens, (F.floor(F.col("doc_id") / 11) % len(MISSING_TOKENS)).cast("int"))
+    gone = F.when(F.col("doc_id") % 7 == 0, None).when(F.col("doc_id") % 11 == 0, token).otherwise(F.col("text"))
     return documents(spark, sf_dir).select("doc_id", gone.alias("text"), "lang")
 
 

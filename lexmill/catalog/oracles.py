@@ -98,7 +98,11 @@ SELECT below OR unknown AS retrain, n_evaluated, n_correct, n_errors,
   CASE WHEN unknown THEN n_unknown_labels END AS n_unknown_labels,
   CASE WHEN unknown THEN n_unknown_rows END AS n_unknown_rows,
   CASE WHEN unknown THEN printf('%d labels on %d rows were not in training', n_unknown_labels, n_unknown_rows)
-    END AS labels_text
+    END AS labels_text,
+  CASE WHEN unknown THEN (SELECT string_agg(concat(y_true, '=', n), ';' ORDER BY n DESC, y_true) FROM
+    (SELECT y_true, count(*) AS n FROM judged WHERE y_true NOT IN ('de', 'en', 'fr') GROUP BY 1)) END AS unknown_labels,
+  CASE WHEN NOT below AND NOT unknown THEN 'the accuracy is above the threshold and every label is known: no retrain is needed'
+    END AS not_needed_text
 FROM rules"""
 
 _MISSING = """m AS (SELECT doc_id, lang, CASE WHEN doc_id % 7 = 0 OR doc_id % 11 = 0 THEN NULL ELSE text END AS text
@@ -122,8 +126,55 @@ postings AS (SELECT item_id, word, count(*) AS n
 _SCORED = f"WITH {_TRAIN}, {_POSTINGS}, {_scores(200, 500.0)}"
 _PUBLISHED = f"WITH {_TRAIN}, {_POSTINGS}, {_scores(None, 1000.0)}"
 
+
+
+def _train_step() -> str:
+    """Back-propagation written out for the fixed network of five neurons and four classes."""
+    weights = [[((13 * j + 7 * k) % 11 - 5) / 5 for j in range(5)] for k in range(4)]
+    z = ", ".join(f"coalesce(sum(tfidf * ((31 * idx + 17 * {j}) % 101 - 50) / 1000.0), 0) + {j / 10} AS z{j}" for j in range(5))
+    p = ", ".join(
+        f"1 / (1 + exp(-({k / 100} + " + " + ".join(f"greatest(z{j}, 0) * {weights[k][j]}" for j in range(5)) + f"))) AS p{k}"
+        for k in range(4)
+    )
+    out = ", ".join(
+        f"(p{k} / t - CASE WHEN target = {k} THEN 1 ELSE 0 END) * (1 - p{k}) * held / (SELECT n_docs FROM corpus) AS o{k}"
+        for k in range(4)
+    )
+    back = ", ".join(
+        f"CASE WHEN z{j} > 0 THEN " + " + ".join(f"o{k} * ({weights[k][j]})" for k in range(4)) + f" ELSE 0 END AS d{j}"
+        for j in range(5)
+    )
+    shares = "CASE target " + " ".join(f"WHEN {k} THEN p{k}" for k in range(4)) + " END / t"
+    words = " UNION ALL ".join(
+        f"SELECT 'word' AS part, idx, {j} AS neuron, sum(tfidf * d{j}) AS g FROM x JOIN slopes USING (doc_id) GROUP BY idx"
+        for j in range(5)
+    )
+    biases = " UNION ALL ".join(f"SELECT 'hidden_bias', NULL, {j}, sum(d{j}) FROM slopes" for j in range(5))
+    outputs = " UNION ALL ".join(
+        f"SELECT 'output_weight', {k}, {j}, sum(greatest(z{j}, 0) * o{k}) FROM slopes" for k in range(4) for j in range(5)
+    )
+    out_biases = " UNION ALL ".join(f"SELECT 'output_bias', {k}, NULL, sum(o{k}) FROM slopes" for k in range(4))
+    return f"""WITH {_TRAIN}, {_POSTINGS}, {_weighted(None)},
+classes AS (SELECT label, row_number() OVER (ORDER BY label) - 1 AS label_idx
+  FROM (SELECT DISTINCT lang AS label FROM documents)),
+sums AS (SELECT a.doc_id, any_value(c.label_idx) AS target, {z} FROM assigned a JOIN classes c ON c.label = a.lang
+  LEFT JOIN x USING (doc_id) WHERE a.split = 'train' GROUP BY a.doc_id),
+scored AS (SELECT *, {p} FROM sums),
+totalled AS (SELECT *, p0 + p1 + p2 + p3 AS t FROM scored),
+clipped AS (SELECT *, CASE WHEN {shares} >= 1e-7 AND {shares} <= 1 - 1e-7 THEN 1 ELSE 0 END AS held FROM totalled),
+outs AS (SELECT *, {out} FROM clipped),
+slopes AS (SELECT *, {back} FROM outs),
+every AS ({words} UNION ALL {biases} UNION ALL {outputs} UNION ALL {out_biases})
+SELECT part, CAST(idx AS BIGINT) AS idx, CAST(neuron AS BIGINT) AS neuron, round(g, 8) AS gradient,
+  round(-0.001 * sqrt(1 - CAST(0.999 AS DOUBLE)) / (1 - CAST(0.9 AS DOUBLE)) * (1 - CAST(0.9 AS DOUBLE)) * g
+    / (sqrt((1 - CAST(0.999 AS DOUBLE)) * g * g) + 1e-7), 8) AS step FROM every"""
+
+
 ORACLES: dict[str, str] = {
+    "train_step": _train_step(),
     "csv_scan": "SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang, source FROM documents",
+    "csv_scan_lines": r"""SELECT CAST(doc_id AS VARCHAR) AS doc_id, regexp_replace(text, '[\r\n]+', ' ', 'g') AS text, lang
+FROM documents""",
     "na_tokens": f"WITH {_MISSING} SELECT doc_id, text FROM m",
     "paired_scan": "SELECT row_number() OVER (ORDER BY doc_id) - 1 AS row_index, text, lang FROM documents",
     "paired_by_key": "SELECT doc_id, text, quality, toxic FROM documents JOIN labels USING (doc_id)",
@@ -147,6 +198,8 @@ SELECT 'languages' AS experiment, 'check' AS run_name, 'run-1' AS run_id, 'run-1
   (SELECT string_agg(l, ',' ORDER BY l) FROM (SELECT DISTINCT lang AS l FROM documents)) AS predictable_labels
 FROM history""",
     "project_roles": "SELECT doc_id, source, text, lang FROM documents",
+    "repair_selected": """SELECT doc_id, text, source, lang FROM documents
+WHERE doc_id % 13 <> 0 AND text IS NOT NULL AND source IS NOT NULL AND lang IS NOT NULL""",
     "null_profile": f"""WITH {_MISSING} SELECT 'text' AS column_name, count(*) - count(text) AS n_missing FROM m
 UNION ALL SELECT 'lang', count(*) - count(lang) FROM m""",
     "drop_missing": f"WITH {_MISSING} SELECT doc_id, text, lang FROM m WHERE text IS NOT NULL AND lang IS NOT NULL",
@@ -195,6 +248,8 @@ SELECT word, idx FROM vocab WHERE idx <= 20""",
     "vocab_lookup": f"""WITH {_TRAIN}, {_POSTINGS}
 SELECT doc_id, p.word, p.n, coalesce(idx, 1) AS idx FROM postings p LEFT JOIN vocab v ON p.word = v.word AND idx < 200""",
     "vocab_lookup_large": f"""WITH {_TRAIN}, {_POSTINGS}
+SELECT doc_id, p.word, p.n, coalesce(idx, 1) AS idx FROM postings p LEFT JOIN vocab v ON p.word = v.word""",
+    "vocab_lookup_salted": f"""WITH {_TRAIN}, {_POSTINGS}
 SELECT doc_id, p.word, p.n, coalesce(idx, 1) AS idx FROM postings p LEFT JOIN vocab v ON p.word = v.word""",
     "idf": f"WITH {_TRAIN} SELECT word, df, round(ln(1 + n_docs / (1 + df)), 6) AS idf FROM vocab, corpus",
     "tfidf": f"WITH {_TRAIN}, {_POSTINGS}, {_weighted(None)} SELECT doc_id, idx, round(tfidf, 6) AS tfidf FROM x",
@@ -208,8 +263,7 @@ SELECT lang AS label, bool_or(split = 'train') AS in_train FROM assigned GROUP B
 SELECT doc_id, label_idx, label FROM documents JOIN c ON doc_id % (SELECT count(*) FROM c) = label_idx""",
     "one_hot": """WITH c AS (SELECT label, row_number() OVER (ORDER BY label) - 1 AS class_idx
   FROM (SELECT DISTINCT lang AS label FROM documents))
-SELECT doc_id, class_idx, CASE WHEN lang = label THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS hot
-FROM documents JOIN c ON true""",
+SELECT doc_id, class_idx, 1.0::DOUBLE AS hot FROM documents JOIN c ON lang = label""",
     "score_fixed_mlp": f"{_SCORED} SELECT doc_id, label, round(score, 6) AS score FROM predicted",
     "score_full_vocabulary": f"""WITH {_TRAIN}, {_POSTINGS}, {_scores(None, 1000.0)}
 SELECT doc_id, label, round(score, 6) AS score FROM predicted""",
@@ -217,9 +271,17 @@ SELECT doc_id, label, round(score, 6) AS score FROM predicted""",
 SELECT item_id, label, round(score, 6) AS score FROM predicted""",
     "predict_requests": _PREDICTED_TURNS,
     "score_stream_batches": _PREDICTED_TURNS,
-    "cross_entropy": f"""{_SCORED},
-truth AS (SELECT p.doc_id, p.p, p.label_idx, c.label_idx AS target FROM predicted p JOIN documents d USING (doc_id)
-  JOIN classes c ON c.label = d.lang)
+    "score_stream_rejects": """WITH turns AS (SELECT conv_id * 1000 + turn AS request_id, concat(role, ';', text) AS r
+  FROM conversations),
+broken AS (SELECT request_id, CASE WHEN request_id % 5 = 0 THEN NULL WHEN request_id % 7 = 0 THEN replace(r, ';', ' ')
+  WHEN request_id % 11 = 0 THEN concat(r, ';more') ELSE r END AS request FROM turns),
+judged AS (SELECT request_id, CASE WHEN request IS NULL THEN 'the request holds no text'
+  WHEN len(string_split(request, ';')) <> 2
+  THEN concat('expected 2 field(s), found ', len(string_split(request, ';'))) END AS reason FROM broken)
+SELECT request_id, reason IS NULL AS scored, reason FROM judged""",
+    "cross_entropy": f"""{_PUBLISHED},
+truth AS (SELECT p.doc_id, p.p, p.label_idx, c.label_idx AS target FROM predicted p JOIN assigned d USING (doc_id)
+  JOIN classes c ON c.label = d.lang WHERE d.split = 'test')
 SELECT round(avg(-ln(least(greatest(p[target + 1] / list_sum(p), 1e-7), 1 - 1e-7))), 6) AS loss,
   round(avg(CAST(label_idx = target AS DOUBLE)), 6) AS accuracy FROM truth""",
     "accuracy": f"""WITH {_JUDGED}, {_TOTALS} SELECT n_evaluated, n_correct, n_errors,
@@ -254,14 +316,19 @@ SELECT below AS retrain, n_evaluated, n_correct, n_errors, printf('%.4f%%', thre
   CASE WHEN below THEN concat('accuracy is at or below that of the published model less 0.0000% (threshold ',
     printf('%.4f%%', threshold * 100), ')') END AS accuracy_text,
   CAST(NULL AS BIGINT) AS n_unknown_labels, CAST(NULL AS BIGINT) AS n_unknown_rows,
-  CAST(NULL AS VARCHAR) AS labels_text FROM rules""",
+  CAST(NULL AS VARCHAR) AS labels_text, CAST(NULL AS VARCHAR) AS unknown_labels,
+  CASE WHEN NOT below THEN 'the accuracy is above the threshold and every label is known: no retrain is needed' END
+    AS not_needed_text FROM rules""",
     "retrain_not_needed": f"""WITH {_JUDGED}, {_TOTALS}, {_history()},
 base AS (SELECT avg(val_accuracy) - CAST(0.5 AS DOUBLE) AS threshold FROM history)
 SELECT n_correct / n_evaluated <= threshold AS retrain, n_evaluated, n_correct, n_errors,
   printf('%.4f%%', threshold * 100) AS threshold, CAST(NULL AS VARCHAR) AS evaluated_accuracy,
   CAST(NULL AS VARCHAR) AS hits_text, CAST(NULL AS VARCHAR) AS accuracy_text,
   CAST(NULL AS BIGINT) AS n_unknown_labels, CAST(NULL AS BIGINT) AS n_unknown_rows,
-  CAST(NULL AS VARCHAR) AS labels_text FROM totals, base""",
+  CAST(NULL AS VARCHAR) AS labels_text, CAST(NULL AS VARCHAR) AS unknown_labels,
+  CASE WHEN n_correct / n_evaluated > threshold THEN
+    'the accuracy is above the threshold and every label is known: no retrain is needed' END AS not_needed_text
+FROM totals, base""",
     "retrain_evaluation": f"""{_PUBLISHED}, {_JUDGED}, {_history()},
 base AS (SELECT avg(val_accuracy) - CAST(0.02 AS DOUBLE) AS threshold FROM history),
 hits AS (SELECT count(*) AS n, count(*) FILTER (label = lang) AS c FROM predicted JOIN documents USING (doc_id))

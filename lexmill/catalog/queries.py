@@ -12,10 +12,10 @@ from lexmill.config import ModelName
 from lexmill.functions import text as tx
 from lexmill.functions.display import hours_minutes_seconds, percent_text, run_name
 from lexmill.functions.folding import blank_symbols, fold_ascii, strip
-from lexmill.operators import features, labels, metrics, network, order, quality, review, vocabulary
+from lexmill.operators import features, labels, metrics, network, order, quality, review, trainer, vocabulary
 from lexmill.plans import publishing, retraining, training
 from lexmill.sources import artifacts, delimited, requests, workspace
-from lexmill.streaming.scoring import read_scores, score_stream
+from lexmill.streaming.scoring import read_batches, score_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -37,10 +37,19 @@ def _six(c: str | Column) -> Column:
 def csv_scan(spark: SparkSession, sf: str) -> DataFrame:
     path = workspace.new_path(spark, "csv")
     columns = ["doc_id", "text", "lang", "source"]
-    delimited.write_delimited(workspace.co_locate(fx.documents(spark, sf).select(*columns), "doc_id"), path)
+    delimited.write_delimited(fx.documents(spark, sf).select(*columns), path)
     return delimited.read_delimited(spark, path, columns)
 
 
+@query
+def csv_scan_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Texts without line breaks, read line by line from files that are split."""
+    path = workspace.new_path(spark, "csv")
+    one_line = F.regexp_replace("text", r"[\r\n]+", " ").alias("text")
+    delimited.write_delimited(fx.documents(spark, sf).select("doc_id", one_line, "lang"), path)
+    return delimited.read_delimited(spark, path, ["doc_id", "text", "lang"], multi_line=False)
+
+
 @query
 def na_tokens(spark: SparkSession, sf: str) -> DataFrame:
     return delimited.normalise_missing(fx.with_missing(spark, sf), ["text"]).select("doc_id", "text")
@@ -99,6 +108,12 @@ def word_count_sink(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _listed(decision: DataFrame) -> DataFrame:
+    """The list of unknown labels as one text, which SQL engines write alike."""
+    entries = F.transform("unknown_labels", lambda x: F.concat(x["label"], F.lit("="), x["n"].cast("string")))
+    return decision.withColumn("unknown_labels", F.array_join(entries, ";"))
+
+
 def _decision(spark: SparkSession, sf: str) -> DataFrame:
     known = fx.known_labels(spark, sf).agg(F.sort_array(F.collect_list("label"))).scalar()
     baseline = metrics.baseline_metrics(fx.history(spark, sf), F.lit(0.9), 0.02, known)
@@ -110,7 +125,7 @@ def reasons_sink(spark: SparkSession, sf: str) -> DataFrame:
     reasons = _decision(spark, sf)
     path = workspace.new_path(spark, "reasons")
     artifacts.save_readable(path, {"reasons": reasons})
-    return spark.read.schema(reasons.schema).json(f"{path}/reasons")
+    return _listed(spark.read.schema(reasons.schema).json(f"{path}/reasons"))
 
 
 @query
@@ -150,6 +165,15 @@ def project_roles(spark: SparkSession, sf: str) -> DataFrame:
     return quality.project_roles(fx.documents(spark, sf), ["source", "text"], "lang", keep=["doc_id"])
 
 
+@query
+def repair_selected(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows dropped for a missing value in any selected column, also one that is neither feature nor target."""
+    gone = F.when(F.col("doc_id") % 13 == 0, None).otherwise(F.col("source")).alias("source")
+    rows = fx.documents(spark, sf).select("doc_id", "text", "lang", gone)
+    params = fx.params(selected_columns=("text", "source"), drop_missing=True)
+    return quality.repair(rows, params.used_columns, params.drop_missing)
+
+
 @query
 def null_profile(spark: SparkSession, sf: str) -> DataFrame:
     return quality.null_profile(delimited.normalise_missing(fx.with_missing(spark, sf), ["text"]), ["text", "lang"])
@@ -216,7 +240,7 @@ def preview(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _texts(spark: SparkSession, sf: str, *more: str) -> DataFrame:
-    return workspace.co_locate(fx.documents(spark, sf).select("doc_id", "text", *more), "doc_id")
+    return fx.documents(spark, sf).select("doc_id", "text", *more)
 
 
 @query
@@ -312,23 +336,33 @@ def corpus_stats(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def term_freq(spark: SparkSession, sf: str) -> DataFrame:
-    return features.term_frequencies(fx.cleaned(spark, sf), together=True)
+    return features.term_frequencies(fx.cleaned(spark, sf))
 
 
 @query
 def vocab_lookup(spark: SparkSession, sf: str) -> DataFrame:
-    counts = features.term_frequencies(fx.cleaned(spark, sf), together=True)
+    counts = features.term_frequencies(fx.cleaned(spark, sf))
     return features.lookup_index(counts, fx.fitted(spark, sf).vocab, fx.LIMIT).select("doc_id", "word", "n", "idx")
 
 
 @query
 def vocab_lookup_large(spark: SparkSession, sf: str) -> DataFrame:
     """The same lookup when the vocabulary may not be broadcast whole."""
-    counts = features.term_frequencies(fx.cleaned(spark, sf), together=True)
+    counts = features.term_frequencies(fx.cleaned(spark, sf))
     found = features.lookup_index(counts, fx.fitted(spark, sf).vocab, None, broadcast_bytes=200_000, frequent_rows=100)
     return found.select("doc_id", "word", "n", "idx")
 
 
+@query
+def vocab_lookup_salted(spark: SparkSession, sf: str) -> DataFrame:
+    """The same lookup when not even the answers for frequent words may be broadcast."""
+    counts = features.term_frequencies(fx.cleaned(spark, sf))
+    found = features.lookup_index(
+        counts, fx.fitted(spark, sf).vocab, None, broadcast_bytes=0, frequent_rows=100, answer_bytes=0
+    )
+    return found.select("doc_id", "word", "n", "idx")
+
+
 @query
 def idf(spark: SparkSession, sf: str) -> DataFrame:
     fit = fx.fitted(spark, sf)
@@ -337,7 +371,7 @@ def idf(spark: SparkSession, sf: str) -> DataFrame:
 
 def _weights(spark: SparkSession, sf: str, num_words: int | None) -> DataFrame:
     fit = fx.fitted(spark, sf)
-    rows = features.tfidf(fx.cleaned(spark, sf), fit.vocab, fit.n_docs, num_words, together=True)
+    rows = features.tfidf(fx.cleaned(spark, sf), fit.vocab, fit.n_docs, num_words)
     return rows.withColumn("tfidf", _six("tfidf"))
 
 
@@ -379,9 +413,7 @@ def label_decode(spark: SparkSession, sf: str) -> DataFrame:
 def one_hot(spark: SparkSession, sf: str) -> DataFrame:
     fit = fx.fitted(spark, sf)
     encoded = labels.encode_labels(fx.documents(spark, sf).select("doc_id", "lang"), "lang", fit.labels)
-    vectors = labels.with_one_hot(encoded, "label_idx", fit.labels)
-    long = vectors.select("doc_id", F.posexplode("one_hot").alias("class_idx", "hot"))
-    return long.withColumn("class_idx", F.col("class_idx").cast("bigint"))
+    return labels.one_hot_entries(encoded, "label_idx", "doc_id")
 
 
 # Scoring
@@ -390,7 +422,7 @@ def one_hot(spark: SparkSession, sf: str) -> DataFrame:
 def _scored(spark: SparkSession, sf: str, num_words: int | None, divisor: float) -> DataFrame:
     model = fx.fixed_model(spark, sf, num_words, divisor)
     words = workspace.materialise(network.scoring_words(model), "scoring_words")
-    predicted = network.predict_labels(fx.cleaned(spark, sf), model, words=words, together=True)
+    predicted = network.predict_labels(fx.cleaned(spark, sf), model, words=words)
     return predicted.withColumn("score", _six("score"))
 
 
@@ -407,19 +439,20 @@ def score_full_vocabulary(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def score_unseen_texts(spark: SparkSession, sf: str) -> DataFrame:
     """Held-out texts, many of whose words the vocabulary lacks."""
-    items = workspace.co_locate(fx.table(spark, sf, "benchmark"), "item_id")
-    docs = items.select("item_id", tx.clean([F.col("text")]).alias("clean"))
+    docs = fx.table(spark, sf, "benchmark").select("item_id", tx.clean([F.col("text")]).alias("clean"))
     model = fx.fixed_model(spark, sf, None, 1000.0)
-    return network.predict_labels(docs, model, "item_id", together=True).withColumn("score", _six("score"))
+    return network.predict_labels(docs, model, "item_id").withColumn("score", _six("score"))
 
 
-def _published(spark: SparkSession, sf: str) -> publishing.PublishedModel:
+def _published(spark: SparkSession, sf: str, *columns: str) -> publishing.PublishedModel:
     model = fx.fixed_model(spark, sf, None, 1000.0)
     words = workspace.materialise(network.scoring_words(model), "scoring_words")
     known = model.labels.agg(F.sort_array(F.collect_list("label"))).scalar()
     baseline = metrics.baseline_metrics(fx.history(spark, sf), F.lit(0.9), 0.02, known)
     info = metrics.model_record(baseline, "languages", F.lit("check"), F.lit("run-1"), ["text"], "lang")
-    return publishing.PublishedModel("check", "local", "", model, words, info, baseline, fx.params())
+    params = fx.params(feature_columns=columns or ("text",))
+    fits = workspace.fits_broadcast(words)
+    return publishing.PublishedModel("check", "local", "", model, words, info, baseline, params, fits)
 
 
 def _conversations(spark: SparkSession, sf: str) -> DataFrame:
@@ -434,31 +467,54 @@ def predict_requests(spark: SparkSession, sf: str) -> DataFrame:
     return predicted.withColumn("score", _six("score"))
 
 
-@query
-def score_stream_batches(spark: SparkSession, sf: str) -> DataFrame:
-    """The conversations arriving as files, scored by the stream."""
+def _stream(spark: SparkSession, sf: str, arriving: DataFrame) -> str:
+    """Runs the stream over the requests, in three files; its folder."""
     base = workspace.new_path(spark, "stream")
-    arriving = _conversations(spark, sf)
     arriving.repartition(3, "request_id").write.parquet(f"{base}/in")
-    published = _published(spark, sf)
+    published = _published(spark, sf, "role", "text")
     stream = score_stream(
         spark,
         f"{base}/in",
         "request_id bigint, request string",
         f"{base}/out",
+        f"{base}/rejects",
         f"{base}/checkpoint",
-        lambda batch: publishing.predict(spark, published, batch),
+        lambda batch: publishing.score_or_reject(published, batch),
         files_per_batch=1,
     )
     stream.awaitTermination()
-    return read_scores(spark, f"{base}/out").withColumn("score", _six("score"))
+    return base
+
+
+@query
+def score_stream_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """The conversations arriving as files, scored by the stream."""
+    base = _stream(spark, sf, _conversations(spark, sf))
+    return read_batches(spark, f"{base}/out").withColumn("score", _six("score"))
+
+
+@query
+def score_stream_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """Conversations some of which lack a field, have one too many or are null: what the stream sets aside."""
+    broken = (
+        F.when(F.col("request_id") % 5 == 0, None)
+        .when(F.col("request_id") % 7 == 0, F.replace("request", F.lit(";"), F.lit(" ")))
+        .when(F.col("request_id") % 11 == 0, F.concat("request", F.lit(";more")))
+        .otherwise(F.col("request"))
+    )
+    base = _stream(spark, sf, _conversations(spark, sf).withColumn("request", broken))
+    rejected = read_batches(spark, f"{base}/rejects").select("request_id", F.lit(False).alias("scored"), "reason")
+    scored = read_batches(spark, f"{base}/out").select("request_id", F.lit(True).alias("scored"))
+    return rejected.unionByName(scored, allowMissingColumns=True)
 
 
 def _with_truth(spark: SparkSession, sf: str) -> DataFrame:
+    """Test documents with their scores under the fixed network over the whole vocabulary, and their true class."""
     fit = fx.fitted(spark, sf)
-    scored = network.score_documents(fit.prepared, fx.fixed_model(spark, sf))
-    truth = labels.encode_labels(fit.prepared.select("doc_id", "split", "label"), "label", fit.labels)
-    return scored.join(truth.select("doc_id", "split", F.col("label_idx").alias("target_idx")), "doc_id")
+    test = fit.prepared.where(F.col("split") == "test")
+    scored = network.score_documents(test, fx.fixed_model(spark, sf, None, 1000.0), keep=["label"])
+    truth = fit.labels.select("label", F.col("label_idx").alias("target_idx"))
+    return features.lookup_words(scored, truth, ["target_idx"], on="label")
 
 
 @query
@@ -513,7 +569,7 @@ def baseline_metrics(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def retrain_decision(spark: SparkSession, sf: str) -> DataFrame:
-    return _decision(spark, sf)
+    return _listed(_decision(spark, sf))
 
 
 @query
@@ -521,14 +577,14 @@ def retrain_low_accuracy(spark: SparkSession, sf: str) -> DataFrame:
     """The accuracy rule alone: no tolerance, and every label known."""
     known = fx.fitted(spark, sf).labels.agg(F.sort_array(F.collect_list("label"))).scalar()
     baseline = metrics.baseline_metrics(fx.history(spark, sf), F.lit(0.9), 0.0, known)
-    return review.retrain_decision(fx.judged(spark, sf), baseline)
+    return _listed(review.retrain_decision(fx.judged(spark, sf), baseline))
 
 
 @query
 def retrain_not_needed(spark: SparkSession, sf: str) -> DataFrame:
     known = fx.fitted(spark, sf).labels.agg(F.sort_array(F.collect_list("label"))).scalar()
     baseline = metrics.baseline_metrics(fx.history(spark, sf), F.lit(0.9), 0.5, known)
-    return review.retrain_decision(fx.judged(spark, sf), baseline)
+    return _listed(review.retrain_decision(fx.judged(spark, sf), baseline))
 
 
 @query
@@ -576,11 +632,23 @@ def _training_rows(spark: SparkSession, sf: str) -> DataFrame:
     return fx.documents(spark, sf).select("doc_id", "text", "lang")
 
 
+@query
+def train_step(spark: SparkSession, sf: str) -> DataFrame:
+    """Slope of the loss over all training documents at fixed weights, and the optimiser's first step along it."""
+    fit = fx.fitted(spark, sf)
+    model = fx.fixed_model(spark, sf, None, 1000.0)
+    rows = training.feature_rows(fit.train, fit.vocab, fit.labels, fit.n_docs, None)
+    stored = workspace.materialise(rows, "features")
+    slopes = trainer.full_gradient(stored, model.hidden, model.network, fit.n_docs, fx.NEURONS)
+    step = trainer.first_adam_step(F.col("gradient"))
+    return slopes.select("part", "idx", "neuron", F.round("gradient", 8).alias("gradient"), F.round(step, 8).alias("step"))
+
+
 @query
 def train_mlp(spark: SparkSession, sf: str) -> DataFrame:
-    """Training history on the documents' languages."""
+    """Training history on the documents' languages, over the whole vocabulary, at the default settings."""
     prepared = fx.fitted(spark, sf).prepared
-    _, fit = training.fit(prepared, fx.params(epochs=4), workspace.new_path(spark, "model"))
+    _, fit = training.fit(prepared, fx.params(num_words=None), workspace.new_path(spark, "model"))
     return fit.history
 
 
@@ -590,7 +658,7 @@ def train_job(spark: SparkSession, sf: str) -> DataFrame:
     base = workspace.new_path(spark, "job")
     delimited.write_delimited(_training_rows(spark, sf), f"{base}/csv")
     name = ModelName("languages", "languages", {"team": "check"})
-    run = training.train_job(spark, f"{base}/csv", fx.params(epochs=3), name, f"{base}/model", f"{base}/registry")
+    run = training.train_job(spark, f"{base}/csv", fx.params(num_words=None), name, f"{base}/model", f"{base}/registry")
     published = publishing.load_published(spark, run.folder)
     return publishing.predict_rows(_training_rows(spark, sf), published, ["text"], "doc_id")
 
@@ -605,5 +673,5 @@ def retrain_job(spark: SparkSession, sf: str) -> DataFrame:
     delimited.write_delimited(docs.select("lang"), files["targets"])
     reasons = _decision(spark, sf)
     name = ModelName("languages", "languages")
-    run = training.retrain_job(spark, files, fx.params(epochs=3), name, f"{base}/model", reasons, f"{base}/registry")
+    run = training.retrain_job(spark, files, fx.params(num_words=None), name, f"{base}/model", reasons, f"{base}/registry")
     return artifacts.model_info(artifacts.read_registry(spark, f"{base}/registry"), run.run_id)

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from lexmill.config import OOV_INDEX
 from lexmill.functions.text import tokens
 from lexmill.functions.weights import inverse_document_frequency, term_weight
-from lexmill.operators.vocabulary import explode_words, within_limit
-from lexmill.sources.workspace import BROADCAST_BYTES, co_locate, fits_broadcast, materialise
+from lexmill.operators.vocabulary import within_limit
+from lexmill.sources.workspace import BROADCAST_BYTES, computed_once, fits_broadcast, materialise
 
 # Fixed sizes of the lookup in a vocabulary too large to broadcast. A word is frequent if it has more
 # rows than one task should take; raising the bar with the data bounds how many such words there are.
@@ -25,30 +25,41 @@ def lookup_words(
     columns: list[str],
     broadcast_bytes: int = BROADCAST_BYTES,
     frequent_rows: int = FREQUENT_ROWS,
+    answer_bytes: int = BROADCAST_BYTES,
+    fits: bool | None = None,
+    on: str = "word",
 ) -> DataFrame:
-    """Left join of rows holding ``word`` with a stored vocabulary.
+    """Left join of rows holding ``word``, or the column named in ``on``, with a stored vocabulary.
 
-    A vocabulary within ``broadcast_bytes`` is broadcast, and the rows stay where they are.
-    Beyond that the words frequent in ``rows``, known or not, are looked up once and those
-    answers are broadcast, and so is the answer to a missing word; only the rows of other words
-    are joined by word, so no task gets all the rows of a frequent one. The rows are stored
-    first, being read three times.
+    A vocabulary within ``broadcast_bytes`` is broadcast, and the rows stay where they are; ``fits`` says
+    so if the caller has measured it. Beyond that the rows are stored, and the words frequent in them, known
+    or not, are looked up once. Those answers are broadcast if they fit ``answer_bytes``, else copied for
+    every value of a salt and joined by word and salt; the rows of other words are joined by word. So
+    no task gets all the rows of a frequent word.
     """
-    wanted = vocab.select("word", *columns)
-    if fits_broadcast(wanted, broadcast_bytes):
-        return rows.join(F.broadcast(wanted), "word", "left")
+    wanted = vocab.select(on, *columns)
+    if fits if fits is not None else fits_broadcast(wanted, broadcast_bytes):
+        return rows.join(F.broadcast(wanted), on, "left")
     rows = materialise(rows, "lookup_rows")
-    counts = materialise(rows.groupBy("word").agg(F.count("*").alias("_n")), "row_counts")
-    total = counts.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n")).first()["n"]
-    often = (F.col("_n") > max(frequent_rows, total // FREQUENT_WORDS)) | F.col("word").isNull()
-    answers = materialise(counts.where(often).select("word").join(wanted, "word", "left"), "frequent_words")
-    if not fits_broadcast(answers):
-        return rows.join(wanted, "word", "left")
-    answered = F.broadcast(answers.withColumnRenamed("word", "_word"))
-    same = F.col("word").eqNullSafe(F.col("_word"))
-    by_broadcast = rows.join(answered, same).drop("_word")
-    rest = rows.join(answered.select("_word"), same, "left_anti")
-    return by_broadcast.unionByName(rest.join(wanted, "word", "left"))
+    counts = materialise(rows.groupBy(on).agg(F.count("*").alias("_n")), "row_counts")
+    size = counts.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("total"), F.max("_n").alias("most")).first()
+    bar = max(frequent_rows, size["total"] // FREQUENT_WORDS)
+    often = (F.col("_n") > bar) | F.col(on).isNull()
+    answers = materialise(
+        counts.where(often).join(wanted, on, "left").drop("_n").withColumnRenamed(on, "_word"), "frequent_words"
+    )
+    same = F.col(on).eqNullSafe(F.col("_word"))
+    if fits_broadcast(answers, answer_bytes):
+        by_answer = rows.join(F.broadcast(answers), same).drop("_word")
+        rest = rows.join(F.broadcast(answers.select("_word")), same, "left_anti")
+    else:
+        copies = -(-(size["most"] or 0) // bar)
+        every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(copies - 1).cast("bigint")))
+        salted = rows.withColumn("_salt", F.monotonically_increasing_id() % copies)
+        same = same & (F.col("_salt") == F.col("_copy"))
+        by_answer = salted.join(answers.withColumn("_copy", every), same).drop("_word", "_salt", "_copy")
+        rest = salted.join(answers.select("_word").withColumn("_copy", every), same, "left_anti").drop("_salt")
+    return by_answer.unionByName(rest.join(wanted, on, "left"))
 
 
 def _index_or_oov() -> Column:
@@ -61,30 +72,33 @@ def lookup_index(rows: DataFrame, vocab: DataFrame, num_words: int | None = None
     return found.withColumn("idx", _index_or_oov())
 
 
-def _by_document(docs: DataFrame, key: str, together: bool, *keep: str) -> DataFrame:
-    """Cleaned documents partitioned by id, so that counting their tokens exchanges none of them.
+def word_runs(docs: DataFrame, words: Column, *keep: str) -> DataFrame:
+    """``(keep, word, n)``: the different words of each row with their numbers, counted within the row.
 
-    ``together`` says that they already are: a caller that has to clean raw text brings the
-    documents together before that.
+    The words are sorted and cut where they change, so nothing is exchanged. A row without words has one
+    row whose word is null.
     """
-    wanted = docs.select(key, *keep, "clean")
-    return wanted if together else co_locate(wanted, key)
+    held = computed_once(docs.select(*keep, words.alias("_words")), "_sorted", F.sort_array("_words")).drop("_words")
+    w = F.col("_sorted")
+    places = F.sequence(F.lit(0), F.size(w) - 1)
+    first = F.filter(places, lambda i: (i == 0) | (F.get(w, i) != F.get(w, i - 1)))
+    cut = computed_once(held, "_first", F.when(F.size(w) > 0, first))
+    f = F.col("_first")
+    runs = F.transform(
+        f, lambda at, k: F.struct(F.get(w, at).alias("word"), (F.coalesce(F.get(f, k + 1), F.size(w)) - at).cast("bigint").alias("n"))
+    )
+    return cut.select(*keep, F.inline_outer(runs))
 
 
 def term_frequencies(
-    docs: DataFrame, key: str = "doc_id", together: bool = False, keep: Sequence[str] = (), keep_empty: bool = False
+    docs: DataFrame, key: str = "doc_id", keep: Sequence[str] = (), keep_empty: bool = False
 ) -> DataFrame:
     """``(doc_id, word, n)``: occurrences of each word in each document, with the columns named in ``keep``.
 
-    With ``keep_empty`` a document without tokens has one row whose word is null.
+    A document is one row of cleaned text. With ``keep_empty`` one without tokens has one row whose word is null.
     """
-    placed = _by_document(docs, key, together, *keep)
-    words = tokens(F.col("clean"))
-    if keep_empty:
-        rows = placed.select(key, *keep, F.explode_outer(words).alias("word"))
-    else:
-        rows = explode_words(placed, words, key, *keep)
-    return rows.groupBy(key, *keep, "word").agg(F.count("*").alias("n"))
+    rows = word_runs(docs, tokens(F.col("clean")), key, *keep)
+    return rows if keep_empty else rows.where(F.col("word").isNotNull())
 
 
 def idf_of(vocab: DataFrame, n_docs: int | Column) -> DataFrame:
@@ -105,21 +119,23 @@ def tfidf(
     n_docs: int | Column,
     num_words: int | None = None,
     key: str = "doc_id",
-    together: bool = False,
     keep: Sequence[str] = (),
     keep_empty: bool = False,
     **limits: int,
 ) -> DataFrame:
     """Sparse rows ``(doc_id, idx, tfidf)``, with the columns of the document named in ``keep``.
 
-    A document without tokens has no row, or with ``keep_empty`` one without index. The idf
-    travels with the looked-up index and the kept columns with the tokens, so there is one
-    join, and with a broadcast vocabulary the only exchange is that of the documents.
+    A document without tokens has no row, or with ``keep_empty`` one without index. Known words and
+    indices are one to one, so their rows are final after the lookup. Only the unknown words, which share an
+    index, are summed per document: the exchange holds a number for each document that has any.
     """
     words = idf_of(within_limit(vocab, num_words), n_docs)
-    counts = term_frequencies(docs, key, together, keep, keep_empty)
-    found = lookup_words(counts, words, ["idx", "idf"], **limits)
-    index = F.when(F.col("word").isNotNull(), _index_or_oov()).alias("idx")
-    merged = found.groupBy(key, *keep, index).agg(F.sum("n").alias("n"), F.max("idf").alias("idf"))
-    weight = term_weight(F.col("n")) * F.coalesce(F.col("idf"), oov_idf(n_docs))
-    return merged.select(key, *keep, "idx", F.when(F.col("idx").isNotNull(), weight).alias("tfidf"))
+    found = lookup_words(term_frequencies(docs, key, keep, keep_empty), words, ["idx", "idf"], **limits)
+    known = F.col("idx").isNotNull()
+    empty = F.col("word").isNull()
+    placed = found.where(known | empty).select(key, *keep, "idx", (term_weight(F.col("n")) * F.col("idf")).alias("tfidf"))
+    unknown = found.where(~known & ~empty).groupBy(key, *keep).agg(F.sum("n").alias("n"))
+    others = unknown.select(
+        key, *keep, F.lit(OOV_INDEX).cast("bigint").alias("idx"), (term_weight(F.col("n")) * oov_idf(n_docs)).alias("tfidf")
+    )
+    return placed.unionByName(others)

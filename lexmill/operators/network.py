@@ -18,6 +18,7 @@ from lexmill.functions.weights import arg_max, dot, relu, sigmoid, term_weight
 from lexmill.operators.features import idf_of, lookup_words, oov_idf, term_frequencies
 from lexmill.operators.labels import decode_labels
 from lexmill.operators.vocabulary import within_limit
+from lexmill.sources.workspace import materialise
 
 # Fixed precision: scores are rounded before the arg-max, because sums depend on row order in the last bits.
 SCORE_DECIMALS = 9
@@ -95,20 +96,21 @@ def score_documents(
     model: Model,
     key: str = "doc_id",
     words: DataFrame | None = None,
-    together: bool = False,
-    **limits: int,
+    keep: Sequence[str] = (),
+    **limits: int | bool,
 ) -> DataFrame:
-    """``(doc_id, scores, label_idx)`` for every document, those without tokens included.
+    """``(doc_id, scores, label_idx)`` for every document, those without tokens included, and the columns in ``keep``.
 
     Unknown words share one index whose weight depends on their joint count, so that
-    count is summed per document and weighted at the end.
+    count is summed per document and weighted at the end. The sums of a document combine before
+    their exchange: it holds a few numbers per document. Without ``words`` the dictionary is stored first.
     """
-    dictionary = scoring_words(model) if words is None else words
-    counts = term_frequencies(docs, key, together, keep_empty=True)
+    dictionary = materialise(scoring_words(model), "scoring_words") if words is None else words
+    counts = term_frequencies(docs, key, keep, keep_empty=True)
     found = lookup_words(counts, dictionary, ["idx", "idf", "weights"], **limits)
     weight = term_weight(F.col("n")) * F.col("idf")
     unknown = F.when(F.col("word").isNotNull() & F.col("idx").isNull(), F.col("n"))
-    sums = found.groupBy(key).agg(
+    sums = found.groupBy(key, *keep).agg(
         F.sum(unknown).alias("unknown"),
         *[F.sum(weight * F.get("weights", F.lit(j))).alias(f"z{j}") for j in range(model.neurons)],
     )
@@ -120,17 +122,22 @@ def score_documents(
         for j in range(model.neurons)
     ]
     raw = with_scores(sums.withColumn("_oov", oov), z, model.network)
-    scored = raw.select(key, rounded(F.col("scores")).alias("scores"))
+    scored = raw.select(key, *keep, rounded(F.col("scores")).alias("scores"))
     return scored.withColumn("label_idx", arg_max(F.col("scores")).cast("bigint"))
 
 
 def predict_labels(
-    docs: DataFrame, model: Model, key: str = "doc_id", words: DataFrame | None = None, together: bool = False
+    docs: DataFrame,
+    model: Model,
+    key: str = "doc_id",
+    words: DataFrame | None = None,
+    keep: Sequence[str] = (),
+    **limits: int | bool,
 ) -> DataFrame:
-    """``(doc_id, label, score)``: the predicted label of every document and its score."""
-    scored = score_documents(docs, model, key, words, together)
-    best = scored.select(key, "label_idx", F.array_max("scores").alias("score"))
-    return decode_labels(best, "label_idx", model.labels).select(key, "label", "score")
+    """``(doc_id, label, score)``: the predicted label of every document and its score, and the columns in ``keep``."""
+    scored = score_documents(docs, model, key, words, keep, **limits)
+    best = scored.select(key, *keep, "label_idx", F.array_max("scores").alias("score"))
+    return decode_labels(best, "label_idx", model.labels).select(key, *keep, "label", "score")
 
 
 def cross_entropy(scores: Column, target: Column) -> Column:

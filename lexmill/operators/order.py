@@ -15,6 +15,7 @@ from lexmill.sources.workspace import materialise
 
 _KEY_HEX_DIGITS = 15
 _SLICE_BITS = 12
+_SLICE_ROWS = 1 << 20
 SPLITS = ("train", "test", "validation")
 
 
@@ -24,12 +25,12 @@ def order_key(id_column: str, seed: int) -> Column:
     return F.conv(F.substring(digest, 1, _KEY_HEX_DIGITS), 16, 10).cast("bigint")
 
 
-def _slice_of(key: Column) -> Column:
-    return F.shiftright(key, 4 * _KEY_HEX_DIGITS - _SLICE_BITS)
+def _slice_of(key: Column, bits: int = _SLICE_BITS) -> Column:
+    return F.shiftright(key, 4 * _KEY_HEX_DIGITS - bits)
 
 
 def _slices(keys: DataFrame) -> DataFrame:
-    """Rows before and up to each slice of the hash range, and ``_n`` in all: at most 4 096 rows."""
+    """Rows before and up to each slice of the hash range, and ``_n`` in all: one row per slice."""
     counts = keys.groupBy("_slice").agg(F.count("*").alias("_rows"))
     so_far = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     everything = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -41,15 +42,19 @@ def _slices(keys: DataFrame) -> DataFrame:
     )
 
 
-def _keys(df: DataFrame, id_column: str, seed: int) -> DataFrame:
+def _keys(df: DataFrame, id_column: str, seed: int, bits: int = _SLICE_BITS) -> DataFrame:
     keyed = df.select(order_key(id_column, seed).alias("_key"), F.col(id_column).alias("_id"))
-    return keyed.withColumn("_slice", _slice_of(F.col("_key")))
+    return keyed.withColumn("_slice", _slice_of(F.col("_key"), bits))
 
 
 def shuffle_rank(df: DataFrame, id_column: str, seed: int, name: str = "shuffle_rank") -> DataFrame:
-    """Exact 1-based position of each row in the seeded shuffle."""
-    keyed = df.withColumn("_key", order_key(id_column, seed)).withColumn("_slice", _slice_of(F.col("_key")))
-    offsets = _slices(_keys(df, id_column, seed)).select("_slice", "_before")
+    """Exact 1-based position of each row in the seeded shuffle.
+
+    The hash range has as many slices as keep one at ``_SLICE_ROWS`` rows on average, so the windows do not grow with the table.
+    """
+    bits = max(_SLICE_BITS, (df.count() // _SLICE_ROWS).bit_length())
+    keyed = df.withColumn("_key", order_key(id_column, seed)).withColumn("_slice", _slice_of(F.col("_key"), bits))
+    offsets = _slices(_keys(df, id_column, seed, bits)).select("_slice", "_before")
     within = F.row_number().over(Window.partitionBy("_slice").orderBy("_key", id_column))
     return (
         keyed.join(F.broadcast(offsets), "_slice")

@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from lexmill.functions.display import percent_text
 
 
+NOT_NEEDED = "the accuracy is above the threshold and every label is known: no retrain is needed"
+
+
 def label_counts(df: DataFrame, known: DataFrame, true: str = "y_true", predicted: str = "y_pred") -> DataFrame:
     """Per true label: rows, hits and whether the model knows it. ``known`` has one column ``label``."""
     counts = df.groupBy(F.col(true).alias("label")).agg(
@@ -34,6 +37,7 @@ def _totals(counts: DataFrame) -> DataFrame:
         F.coalesce(F.sum("n_correct"), zero).alias("n_correct"),
         F.count_if(unknown).alias("n_unknown_labels"),
         F.coalesce(F.sum(F.when(unknown, F.col("n"))), zero).alias("n_unknown_rows"),
+        F.sort_array(F.collect_list(F.when(unknown, F.struct((-F.col("n")).alias("order"), "label", "n")))).alias("_listed"),
     ).withColumn("n_errors", F.col("n_evaluated") - F.col("n_correct"))
 
 
@@ -65,7 +69,8 @@ def retrain_decision(
     """Whether to retrain, and why.
 
     Retrain if the accuracy is at most the mean validation accuracy less the tolerance, or if
-    a label unknown to the model occurs. Details of a rule are null unless that rule fired.
+    a label unknown to the model occurs. Details of a rule are null unless that rule fired. ``unknown_labels``
+    lists the labels with their numbers of rows, the most frequent first, ties by label.
     """
     totals = _totals(label_counts(df, baseline_labels(baseline) if known is None else known, true, predicted))
     limit = baseline.select(F.struct("mean_val_accuracy", "accuracy_tolerance")).scalar()
@@ -113,4 +118,8 @@ def retrain_decision(
             "unknown",
             F.format_string("%d labels on %d rows were not in training", "n_unknown_labels", "n_unknown_rows"),
         ).alias("labels_text"),
+        only("unknown", F.transform("_listed", lambda x: F.struct(x["label"].alias("label"), x["n"].alias("n")))).alias(
+            "unknown_labels"
+        ),
+        F.when(~F.col("below") & ~F.col("unknown"), F.lit(NOT_NEEDED)).alias("not_needed_text"),
     )

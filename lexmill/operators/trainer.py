@@ -1,11 +1,12 @@
 """Training of the classifier: dense ReLU layer, optional dropout, dense sigmoid layer.
 
-Documents are dealt at random into shards of bounded size. In each epoch every shard runs
-mini-batch Adam on its own documents, starting from the current weights of the words it
-uses; the changes are then averaged, weighted by documents. Word weights and their two
-moments live in a table with one row per index, stored once per epoch: a shard fetches only
-its own words, and the driver holds no more than the parts whose size is the number of
-neurons times classes.
+Documents are dealt by a hash of their ids into ``params.shards`` shards, a setting that never follows the
+data. An epoch has ``params.averages_per_epoch`` rounds. In a round every shard runs mini-batch Adam on the next
+part of its own documents, starting from the current weights of the words it uses; the changes are then
+averaged, weighted by documents. A shard takes its documents in the order of their ids and shuffles them by a seed, so
+the weights do not depend on partitions or tasks. Word weights and their two moments live in a table with one row
+per index, stored once per round: a shard fetches only its own words, and the driver holds no more than the
+parts whose size is the number of neurons times classes. ``params.max_rows`` bounds what a shard holds.
 """
 
 from __future__ import annotations
@@ -21,16 +22,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.config import OOV_INDEX, TrainingParams
+from lexmill.functions.weights import dot, relu, sigmoid
+from lexmill.operators.features import lookup_words
 from lexmill.operators.metrics import test_metrics
 from lexmill.operators.network import EPSILON as LOSS_EPSILON
 from lexmill.operators.network import network_table, predicted_class, with_scores
 from lexmill.operators.vocabulary import index_width, within_limit
-from lexmill.sources.workspace import materialise, new_path
-
-# Fixed sizes: what one training task may hold. 35 000 documents are the train split of a job at its
-# default row cap: up to there one shard holds them all, and nothing is averaged.
-SHARD_DOCUMENTS = 35_000
-SHARD_POSTINGS = 4_000_000
+from lexmill.sources.workspace import computed_once, materialise, new_path
 
 # The optimiser's usual constants.
 LEARNING_RATE = 0.001
@@ -104,14 +102,14 @@ def initial_weights(indices: DataFrame, width: int, neurons: int, seed: int) ->
     return indices.select("idx", *[v.alias(c) for c, v in zip(columns, values)])
 
 
-def _shard_step(dense: DenseParts, params: TrainingParams, epoch: int) -> Callable:
-    """The function that trains one shard for one epoch.
+def _shard_step(dense: DenseParts, params: TrainingParams, epoch: int, turn: int) -> Callable:
+    """The function that trains one shard for one round of an epoch.
 
     It refers only to numpy, pandas and plain values, so tasks need not import this package.
     """
     h, k = dense.neurons, dense.classes
     start, steps_before = dense.values, dense.steps
-    seed, size = params.seed, params.batch_size
+    seed, size, turns = params.seed, params.batch_size, params.averages_per_epoch
     dropout = params.dropout_rate if params.use_dropout else 0.0
     state_columns, change_columns, width = _state_columns(h), _change_columns(h), 3 * h
     metrics_row, dense_first = _METRICS_ROW, _DENSE_ROWS
@@ -155,10 +153,11 @@ def _shard_step(dense: DenseParts, params: TrainingParams, epoch: int) -> Callab
         b2 = small[0, h + h * k :]
         state_room, small_room = np.empty_like(state[0]), np.empty_like(small[0])
 
-        rng = np.random.default_rng([seed, epoch, int(key[0])])
-        order = rng.permutation(n)
+        order = np.random.default_rng([seed, epoch, int(key[0])]).permutation(n)
+        order = order[n * (turn - 1) // turns : n * turn // turns]
+        rng = np.random.default_rng([seed, epoch, int(key[0]), turn])
         step, loss, hits = steps_before, 0.0, 0
-        for at in range(0, n, size):
+        for at in range(0, len(order), size):
             batch = order[at : at + size]
             lengths = starts[batch + 1] - starts[batch]
             member = np.repeat(np.arange(len(batch)), lengths)
@@ -178,7 +177,8 @@ def _shard_step(dense: DenseParts, params: TrainingParams, epoch: int) -> Callab
 
             # a share the loss clips has no slope
             clipped = (true_share < LOSS_EPSILON) | (true_share > 1 - LOSS_EPSILON)
-            d_out = (share - np.eye(k)[true_class]) * -np.expm1(log_p) * ~clipped[:, None] / len(batch)
+            share[np.arange(len(batch)), true_class] -= 1
+            d_out = share * -np.expm1(log_p) * ~clipped[:, None] / len(batch)
             d_hidden = (d_out @ w2.T) * kept * (z > 0)
             g_small = np.concatenate([d_hidden.sum(axis=0), (hidden.T @ d_out).ravel(), d_out.sum(axis=0)])
             touched, place = np.unique(cols, return_inverse=True)
@@ -231,7 +231,7 @@ def _shard_of(n_shards: int) -> Column:
     return F.pmod(F.xxhash64("doc_id"), F.lit(n_shards)).cast("int")
 
 
-def evaluate_weights(rows: DataFrame, state: DataFrame, network: DataFrame, neurons: int, n_shards: int = 1) -> DataFrame:
+def evaluate_weights(rows: DataFrame, state: DataFrame, network: DataFrame, neurons: int, n_shards: int) -> DataFrame:
     """Loss and accuracy of rows ``(doc_id, label_idx, idx, tfidf)``.
 
     Each shard's words are fetched once and then joined by shard and index, so a frequent
@@ -249,6 +249,77 @@ def evaluate_weights(rows: DataFrame, state: DataFrame, network: DataFrame, neur
     return test_metrics(scored)
 
 
+def full_gradient(rows: DataFrame, hidden: DataFrame, network: DataFrame, n_docs: int, neurons: int) -> DataFrame:
+    """``(part, idx, neuron, gradient)``: slope of the mean loss over all rows ``(doc_id, label_idx, idx, tfidf)``.
+
+    ``part`` is ``word`` (one row per index and neuron), ``hidden_bias``, ``output_weight`` (``idx`` is the class) or
+    ``output_bias`` (``neuron`` is null). Plain joins and sums, so it runs on any number of documents: a
+    document's slopes are worked out from its sums and joined back to its rows.
+    """
+    j_range = range(neurons)
+    parts = network.select(F.struct("hidden_bias", "output_weights", "output_bias")).scalar()
+    weighted = lookup_words(rows, hidden, ["weights"], on="idx")
+    sums = weighted.groupBy("doc_id", "label_idx").agg(
+        F.array(*[F.coalesce(F.sum(F.col("tfidf") * F.get("weights", F.lit(j))), F.lit(0.0)) for j in j_range]).alias("sums")
+    )
+    z = F.zip_with("sums", "hidden_bias", lambda s, b: s + b)
+    known = sums.withColumn("_network", parts).select("doc_id", "label_idx", "sums", "_network.*")
+    scored = computed_once(computed_once(known, "z", z), "h", F.transform("z", relu))
+    scored = computed_once(
+        scored,
+        "p",
+        F.transform(F.arrays_zip("output_weights", "output_bias"), lambda o: sigmoid(o["output_bias"] + dot(F.col("h"), o["output_weights"]))),
+    )
+    total = F.aggregate("p", F.lit(0.0), lambda a, x: a + x)
+    true_share = F.get("p", F.col("label_idx").cast("int")) / F.col("total")
+    slope = F.transform(
+        "p",
+        lambda p, k: (p / F.col("total") - F.when(k == F.col("label_idx"), 1.0).otherwise(0.0)) * (1 - p) * F.col("open") / n_docs,
+    )
+    scored = computed_once(computed_once(scored, "total", total), "true_share", true_share)
+    inside = (F.col("true_share") >= LOSS_EPSILON) & (F.col("true_share") <= 1 - LOSS_EPSILON)
+    scored = computed_once(scored.withColumn("open", inside.cast("double")), "d_out", slope)
+
+    def back(j: int) -> Column:
+        through = F.aggregate(
+            F.zip_with("d_out", "output_weights", lambda d, w: d * F.get(w, F.lit(j))), F.lit(0.0), lambda a, x: a + x
+        )
+        return F.when(F.get("z", F.lit(j)) > 0, through).otherwise(0.0)
+
+    slopes = materialise(
+        scored.select("doc_id", "h", "d_out", F.array(*[back(j) for j in j_range]).alias("d_hidden")), "slopes"
+    )
+    none = F.lit(None).cast("bigint")
+    by_word = (
+        rows.where(F.col("idx").isNotNull())
+        .join(slopes.select("doc_id", "d_hidden"), "doc_id")
+        .groupBy("idx")
+        .agg(*[F.sum(F.col("tfidf") * F.get("d_hidden", F.lit(j))).alias(f"g{j}") for j in j_range])
+        .select("idx", F.posexplode(F.array(*[f"g{j}" for j in j_range])).alias("neuron", "gradient"))
+        .select(F.lit("word").alias("part"), "idx", "neuron", "gradient")
+    )
+    biases = slopes.select(F.lit("hidden_bias").alias("part"), none.alias("idx"), F.posexplode("d_hidden").alias("neuron", "gradient"))
+    classes = slopes.select("h", F.posexplode("d_out").alias("idx", "slope"))
+    outputs = classes.select(F.lit("output_weight").alias("part"), "idx", F.posexplode("h").alias("neuron", "value"), "slope").select(
+        "part", "idx", "neuron", (F.col("value") * F.col("slope")).alias("gradient")
+    )
+    output_biases = classes.select(
+        F.lit("output_bias").alias("part"), "idx", F.lit(None).cast("int").alias("neuron"), F.col("slope").alias("gradient")
+    )
+    dense = biases.unionByName(outputs).unionByName(output_biases)
+    summed = dense.groupBy("part", "idx", "neuron").agg(F.sum("gradient").alias("gradient"))
+    return by_word.unionByName(summed).select(
+        "part", F.col("idx").cast("bigint").alias("idx"), F.col("neuron").cast("bigint").alias("neuron"), "gradient"
+    )
+
+
+def first_adam_step(gradient: Column) -> Column:
+    """What the optimiser's first step adds to a parameter."""
+    first, second = (1 - BETA_1) * gradient, (1 - BETA_2) * gradient * gradient
+    rate = LEARNING_RATE * math.sqrt(1 - BETA_2) / (1 - BETA_1)
+    return -rate * first / (F.sqrt(second) + ADAM_EPSILON)
+
+
 @dataclass(frozen=True)
 class Fitted:
     hidden: DataFrame
@@ -266,19 +337,16 @@ def train_network(
     n_docs: int,
     params: TrainingParams,
     folder: str | None = None,
-    shard_documents: int = SHARD_DOCUMENTS,
-    shard_postings: int = SHARD_POSTINGS,
 ) -> Fitted:
     """Fit on stored ``features(doc_id, split, label_idx, idx, tfidf)``.
 
     A document without tokens has one row whose ``idx`` is null. ``n_docs`` is the number of
-    training documents. ``folder`` receives one table of word weights per epoch.
+    training documents. ``folder`` receives one table of word weights per round.
     """
     spark = features.sparkSession
     base = folder or new_path(spark, "training")
     h = params.neurons
-    n_rows = features.where(F.col("split") == "train").count()
-    n_shards = max(1, math.ceil(n_docs / shard_documents), math.ceil(n_rows / shard_postings))
+    n_shards = params.shards
     columns = ["doc_id", "label_idx", "idx", "tfidf"]
     # Persisted by shard and in its order, and filled before the loop: no epoch exchanges or sorts the documents again.
     train = (
@@ -301,25 +369,28 @@ def train_network(
     out_schema = "idx bigint, docs bigint, " + ", ".join(f"{c} double" for c in _change_columns(h))
     history: list[tuple[int, float, float, float, float]] = []
     for epoch in range(1, params.epochs + 1):
-        fetched = used.join(state, "idx")
-        changes = materialise(
-            train.groupBy("shard")
-            .cogroup(fetched.groupBy("shard"))
-            .applyInPandas(_shard_step(dense, params, epoch), out_schema),
-            "changes",
-            f"{base}/changes-{epoch}",
-        )
-        words = _averaged(changes.where(F.col("idx") >= OOV_INDEX), n_docs, h)
-        moved = [F.col(s) + F.coalesce(F.col(d), F.lit(0.0)) for s, d in zip(_state_columns(h), _change_columns(h))]
-        state = materialise(
-            state.join(words, "idx", "left").select("idx", *[m.alias(s) for s, m in zip(_state_columns(h), moved)]),
-            "weights",
-            f"{base}/weights-{epoch}",
-        )
-        seen, change = _small_rows(changes, n_docs, dense)
-        dense = dense.moved(change, int(seen["steps"]))
+        hits = loss = 0.0
+        for turn in range(1, params.averages_per_epoch + 1):
+            fetched = used.join(state, "idx")
+            changes = materialise(
+                train.groupBy("shard")
+                .cogroup(fetched.groupBy("shard"))
+                .applyInPandas(_shard_step(dense, params, epoch, turn), out_schema),
+                "changes",
+                f"{base}/changes-{epoch}-{turn}",
+            )
+            words = _averaged(changes.where(F.col("idx") >= OOV_INDEX), n_docs, h)
+            moved = [F.col(s) + F.coalesce(F.col(d), F.lit(0.0)) for s, d in zip(_state_columns(h), _change_columns(h))]
+            state = materialise(
+                state.join(words, "idx", "left").select("idx", *[m.alias(s) for s, m in zip(_state_columns(h), moved)]),
+                "weights",
+                f"{base}/weights-{epoch}-{turn}",
+            )
+            seen, change = _small_rows(changes, n_docs, dense)
+            dense = dense.moved(change, int(seen["steps"]))
+            hits, loss = hits + seen["hits"], loss + seen["loss"]
         check = evaluate_weights(held["validation"], state, dense.table(state), h, n_shards).first()
-        history.append((epoch, seen["hits"] / n_docs, check["accuracy"], seen["loss"] / n_docs, check["loss"]))
+        history.append((epoch, hits / n_docs, check["accuracy"], loss / n_docs, check["loss"]))
     used.unpersist()
     train.unpersist()
     network = dense.table(state)

@@ -1,7 +1,7 @@
 """Vocabulary: counts, document frequencies and the frequency-ordered index.
 
-Documents come as cleaned text. It is stored and exchanged as such, being much smaller than
-its token arrays, and split where the tokens are used.
+Documents come as cleaned text, one row each. It is stored as such, being much smaller than its token
+arrays, and split where the tokens are used; it is never exchanged.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from lexmill.config import OOV_INDEX, OOV_WORD
 from lexmill.functions.text import tokens
 from lexmill.operators.order import number_rows
-from lexmill.sources.workspace import materialise
+from lexmill.sources.workspace import computed_once, materialise
 
 
 def explode_words(docs: DataFrame, words: Column, *keep: str) -> DataFrame:
@@ -37,30 +37,30 @@ def document_frequencies(docs: DataFrame, column: str = "clean") -> DataFrame:
 def word_statistics(docs: DataFrame, order_key: str, column: str = "clean") -> DataFrame:
     """Per word: occurrences, documents, and where it first appears in the order of ``order_key``.
 
-    Each document yields its tokens once for ``n`` and its distinct tokens once for the
-    rest. Those keep their order, so a word's place among them orders first appearances
-    as well as its token position does. All aggregates are numbers: they combine before the
-    one exchange, on the word.
+    Each document yields one row per different word: its tokens are sorted by word and place and cut
+    where the word changes. All aggregates are numbers: they combine before the one exchange, on the word.
     """
-    nothing = F.lit(None).cast("bigint")
-    occurrences = F.transform(
-        "tokens", lambda w: F.struct(w.alias("word"), F.lit(1).alias("hit"), F.lit(0).alias("doc"), nothing.alias("place"))
-    )
-    first_uses = F.transform(
-        F.array_distinct("tokens"),
-        lambda w, i: F.struct(
-            w.alias("word"), F.lit(0).alias("hit"), F.lit(1).alias("doc"), i.cast("bigint").alias("place")
+    placed = F.transform(tokens(F.col(column)), lambda w, i: F.struct(w.alias("word"), i.cast("bigint").alias("place")))
+    held = computed_once(docs.select(F.col(order_key).alias("_doc"), placed.alias("_words")), "_sorted", F.sort_array("_words"))
+    w = F.col("_sorted")
+    places = F.sequence(F.lit(0), F.size(w) - 1)
+    first = F.filter(places, lambda i: (i == 0) | (F.get(w, i)["word"] != F.get(w, i - 1)["word"]))
+    cut = computed_once(held.drop("_words"), "_first", F.when(F.size(w) > 0, first))
+    f = F.col("_first")
+    runs = F.transform(
+        f,
+        lambda at, k: F.struct(
+            F.get(w, at)["word"].alias("word"),
+            F.get(w, at)["place"].alias("place"),
+            (F.coalesce(F.get(f, k + 1), F.size(w)) - at).cast("bigint").alias("hits"),
         ),
     )
-    split = docs.select(F.col(order_key).alias("_doc"), tokens(F.col(column)).alias("tokens"))
-    both = split.select("_doc", F.inline_outer(F.concat(occurrences, first_uses)))
-    both = both.where(F.col("word").isNotNull())
-    seen = F.when(F.col("place").isNotNull(), F.col("_doc"))
-    return both.groupBy("word").agg(
-        F.sum("hit").alias("n"),
-        F.sum("doc").alias("df"),
-        F.min(seen).alias("first_doc"),
-        F.min_by("place", seen).alias("first_place"),
+    rows = cut.select("_doc", F.inline_outer(runs)).where(F.col("word").isNotNull())
+    return rows.groupBy("word").agg(
+        F.sum("hits").alias("n"),
+        F.count("*").alias("df"),
+        F.min("_doc").alias("first_doc"),
+        F.min_by("place", "_doc").alias("first_place"),
     )
 
 
@@ -73,7 +73,7 @@ def fit_vocabulary(docs: DataFrame, order_key: str, column: str = "clean", path:
     stats = materialise(word_statistics(docs, order_key, column), "word_statistics")
     order = [F.desc("n"), F.col("first_doc"), F.col("first_place"), F.col("word")]
     vocab = number_rows(stats, order, "idx", start=OOV_INDEX + 1).select("word", "n", "df", "idx")
-    return materialise(vocab, "vocabulary", path)
+    return vocab if path is None else materialise(vocab, "vocabulary", path)
 
 
 def within_limit(vocab: DataFrame, num_words: int | None) -> DataFrame:

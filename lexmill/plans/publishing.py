@@ -17,12 +17,12 @@ from lexmill.operators.review import feedback_report, unknown_labels
 from lexmill.plans.training import load_params
 from lexmill.sources.artifacts import load_table
 from lexmill.sources.requests import EMPTY_REQUEST, check_requests, requests_from_list, with_fields
-from lexmill.sources.workspace import co_locate
+from lexmill.sources.workspace import fits_broadcast
 
 
 @dataclass(frozen=True)
 class PublishedModel:
-    """The tables of a stored run."""
+    """The tables of a stored run; ``words_fit`` says whether ``words`` may be broadcast, measured once."""
 
     name: str
     provider: str
@@ -32,6 +32,7 @@ class PublishedModel:
     info: DataFrame
     baseline: DataFrame
     params: TrainingParams
+    words_fit: bool
 
     @property
     def known_labels(self) -> DataFrame:
@@ -54,7 +55,7 @@ def load_published(
         params.num_words,
     )
     info, baseline = load_table(spark, folder, "model_info"), load_table(spark, folder, "baseline_metrics")
-    return PublishedModel(name, provider, folder, model, words, info, baseline, params)
+    return PublishedModel(name, provider, folder, model, words, info, baseline, params, fits_broadcast(words))
 
 
 def model_info(published: PublishedModel) -> dict[str, Any]:
@@ -66,23 +67,32 @@ def model_version(published: PublishedModel) -> str:
     return published.info.first()["run_id"]
 
 
-def cleaned_rows(df: DataFrame, columns: Sequence[str], params: TrainingParams, key: str) -> DataFrame:
-    """``(key, clean)`` the way training cleaned its texts, brought together by key; missing fields are filled."""
-    filled = co_locate(df.select(key, *columns), key).na.fill(MISSING_FILL, subset=list(columns))
+def cleaned_rows(
+    df: DataFrame, columns: Sequence[str], params: TrainingParams, key: str, keep: Sequence[str] = ()
+) -> DataFrame:
+    """``(key, clean)`` the way training cleaned its texts, with the columns in ``keep``; missing fields are filled."""
+    filled = df.select(key, *keep, *columns).na.fill(MISSING_FILL, subset=list(columns))
     text = clean([F.col(c) for c in columns], params.stop_words, params.remove_stop_words)
-    return filled.select(key, text.alias("clean"))
+    return filled.select(key, *keep, text.alias("clean"))
 
 
-def predict_rows(df: DataFrame, published: PublishedModel, columns: Sequence[str], key: str) -> DataFrame:
-    """``(key, label, score)`` of rows that hold their features in columns."""
-    rows = cleaned_rows(df, columns, published.params, key)
-    return predict_labels(rows, published.model, key, published.words, together=True)
+def predict_rows(
+    df: DataFrame, published: PublishedModel, columns: Sequence[str], key: str, keep: Sequence[str] = ()
+) -> DataFrame:
+    """``(key, label, score)`` of rows that hold their features in columns, with the columns in ``keep``."""
+    rows = cleaned_rows(df, columns, published.params, key, keep)
+    return predict_labels(rows, published.model, key, published.words, keep, fits=published.words_fit)
 
 
-def predict(spark: SparkSession, published: PublishedModel, requests: Any) -> DataFrame | str:
+def _flat(split: DataFrame, width: int, keep: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    columns = [f"field_{i}" for i in range(width)]
+    return split.select("request_id", *keep, *[F.get("fields", F.lit(i)).alias(c) for i, c in enumerate(columns)]), columns
+
+
+def predict(spark: SparkSession, published: PublishedModel, requests: Any, keep: Sequence[str] = ()) -> DataFrame | str:
     """Label delimited requests: a list of strings or a frame ``(request_id, request)``.
 
-    Requests that cannot be scored give a message instead of a frame.
+    Requests that cannot be scored give a message instead of a frame. ``keep`` names columns of the frame to pass on.
     """
     if isinstance(requests, (list, tuple)):
         if not requests:
@@ -96,9 +106,25 @@ def predict(spark: SparkSession, published: PublishedModel, requests: Any) -> Da
     width, problem = check_requests(split)
     if problem:
         return problem
-    columns = [f"field_{i}" for i in range(width)]
-    flat = split.select("request_id", *[F.get("fields", F.lit(i)).alias(c) for i, c in enumerate(columns)])
-    return predict_rows(flat, published, columns, "request_id")
+    flat, columns = _flat(split, width, keep)
+    return predict_rows(flat, published, columns, "request_id", keep)
+
+
+def score_or_reject(published: PublishedModel, requests: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Scores of the requests that have a field for each feature column of the model, and the others with the reason.
+
+    Every request is judged by itself, so one that is bad keeps no other from being scored.
+    """
+    width = len(published.params.feature_columns)
+    split = with_fields(requests.select("request_id", "request"))
+    found = F.size("fields")
+    problem = F.when(F.col("request").isNull(), F.lit("the request holds no text")).when(
+        found != width, F.format_string(f"expected {width} field(s), found %d", found)
+    )
+    judged = split.withColumn("reason", problem)
+    flat, columns = _flat(judged.where(F.col("reason").isNull()), width, ())
+    scored = predict_rows(flat, published, columns, "request_id")
+    return scored, judged.where(F.col("reason").isNotNull()).select("request_id", "request", "reason")
 
 
 def _uneven(left: Sequence[str], right: Sequence[str]) -> str | None:
@@ -115,11 +141,9 @@ def evaluate(
             return problem or EMPTY_REQUEST
         rows = [(i, text, label) for i, (text, label) in enumerate(zip(requests, labels))]
         requests = spark.createDataFrame(rows, "request_id bigint, request string, label string")
-    predicted = predict(spark, published, requests.select("request_id", "request"))
-    if isinstance(predicted, str):
-        return predicted
-    truth = requests.select("request_id", F.col("label").alias("y_true"))
-    return evaluate_report(truth.join(predicted.withColumnRenamed("label", "y_pred"), "request_id"))
+    named = requests.select("request_id", "request", F.col("label").alias("y_true"))
+    predicted = predict(spark, published, named, ["y_true"])
+    return predicted if isinstance(predicted, str) else evaluate_report(predicted.withColumnRenamed("label", "y_pred"))
 
 
 def judged_pairs(spark: SparkSession, y_pred: Sequence[str], y_true: Sequence[str]) -> DataFrame | str:

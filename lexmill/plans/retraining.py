@@ -13,7 +13,7 @@ from lexmill.operators.metrics import batch_accuracy
 from lexmill.operators.quality import repair
 from lexmill.operators.review import retrain_decision
 from lexmill.plans.publishing import PublishedModel, predict_rows
-from lexmill.sources.delimited import ROW_INDEX, read_paired
+from lexmill.sources.delimited import ROW_INDEX, dataset_uri, read_paired
 from lexmill.sources.workspace import materialise
 
 # Fixed value: rows per reported batch of an evaluation.
@@ -22,11 +22,9 @@ BATCH_ROWS = 100_000
 
 def scored_pairs(rows: DataFrame, published: PublishedModel, params: TrainingParams, key: str = ROW_INDEX) -> DataFrame:
     """``(key, y_true, y_pred)`` of labelled rows, under the same missing-value policy as training."""
-    used = [*params.feature_columns, params.target_column]
-    repaired = repair(rows, used, params.drop_missing)
-    predicted = predict_rows(repaired, published, params.feature_columns, key)
-    truth = repaired.select(key, F.col(params.target_column).alias("y_true"))
-    return truth.join(predicted.select(key, F.col("label").alias("y_pred")), key)
+    judged = repair(rows, params.used_columns, params.drop_missing).withColumn("y_true", F.col(params.target_column))
+    predicted = predict_rows(judged, published, params.feature_columns, key, ["y_true"])
+    return predicted.select(key, "y_true", F.col("label").alias("y_pred"))
 
 
 def evaluate_for_retraining(
@@ -36,6 +34,7 @@ def evaluate_for_retraining(
     baseline: DataFrame | None = None,
     params: TrainingParams | Mapping[str, Any] | None = None,
     batch_rows: int = BATCH_ROWS,
+    provider: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """The decision row and the accuracy per batch of paired feature and target files."""
     require_keys(datasets, ["features", "targets"], "dataset")
@@ -45,14 +44,14 @@ def evaluate_for_retraining(
         params = TrainingParams.from_mapping(params)
     rows = read_paired(
         spark,
-        datasets["features"],
-        datasets["targets"],
-        params.feature_columns,
+        dataset_uri(provider, datasets["features"]),
+        dataset_uri(provider, datasets["targets"]),
+        [c for c in params.used_columns if c != params.target_column],
         [params.target_column],
         params.separator,
         params.encoding,
     )
-    pairs = materialise(scored_pairs(materialise(rows, "evaluated"), published, params), "scored_pairs")
+    pairs = materialise(scored_pairs(rows, published, params), "scored_pairs")
     measured = published.baseline if baseline is None else baseline
     decision = retrain_decision(pairs, measured).withColumn("evaluated_run_id", published.info.select("run_id").scalar())
     numbered = pairs.withColumn("row_number", F.col(ROW_INDEX) + 1)

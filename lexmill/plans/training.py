@@ -39,13 +39,17 @@ from lexmill.operators.vocabulary import (
     word_count_report,
 )
 from lexmill.sources.artifacts import load_table, register_run, save_readable, save_tables, write_word_counts
-from lexmill.sources.delimited import ROW_INDEX, read_delimited, read_paired
-from lexmill.sources.workspace import materialise, new_path
+from lexmill.sources.delimited import ROW_INDEX, dataset_uri, read_delimited, read_paired
+from lexmill.sources.workspace import job_folder, materialise, new_path
+
+# Fixed value: the name of a run that a retrain decision started.
+RETRAIN_RUN = "self_training"
 
 PARAMS_SCHEMA = T.StructType(
     [
         T.StructField("feature_columns", T.ArrayType(T.StringType())),
         T.StructField("target_column", T.StringType()),
+        T.StructField("selected_columns", T.ArrayType(T.StringType())),
         T.StructField("separator", T.StringType()),
         T.StructField("encoding", T.StringType()),
         T.StructField("stop_words", T.ArrayType(T.StringType())),
@@ -62,6 +66,8 @@ PARAMS_SCHEMA = T.StructType(
         T.StructField("accuracy_tolerance", T.DoubleType()),
         T.StructField("seed", T.LongType()),
         T.StructField("cap_seed", T.LongType()),
+        T.StructField("shards", T.LongType()),
+        T.StructField("averages_per_epoch", T.LongType()),
     ]
 )
 
@@ -91,16 +97,14 @@ def prepare(rows: DataFrame, params: TrainingParams, id_column: str, take_head:
     """Stored ``(doc_id, split, label, clean, order_key)`` of the rows a run uses.
 
     ``take_head`` keeps the first rows in file order when there are too many; otherwise a
-    seeded shuffle picks them.
+    seeded shuffle picks them. Of the rows that are not used only ids and missing values are looked at.
     """
-    used = [*params.feature_columns, params.target_column]
-    roles = project_roles(rows, params.feature_columns, params.target_column, keep=[id_column])
-    loaded = materialise(roles, "loaded")
-    n_loaded = loaded.count()
-    kept = head_rows(loaded, id_column, params.max_rows) if take_head else loaded
-    repaired = repair(kept, used, params.drop_missing)
+    selected = [c for c in params.used_columns if c not in (*params.feature_columns, params.target_column)]
+    roles = project_roles(rows, params.feature_columns, params.target_column, keep=[id_column, *selected])
+    kept = head_rows(roles, id_column, params.max_rows) if take_head else roles
+    repaired = repair(kept, params.used_columns, params.drop_missing)
     if not take_head:
-        repaired = cap_rows(repaired, id_column, params.max_rows, params.cap_seed, n_loaded)
+        repaired = cap_rows(repaired, id_column, params.max_rows, params.cap_seed, roles.count())
     split = assign_split(repaired, id_column, params.holdout_share, params.seed)
     text = clean([F.col(c) for c in params.feature_columns], params.stop_words, params.remove_stop_words)
     return materialise(
@@ -124,8 +128,16 @@ def feature_rows(
     return tfidf(targets, vocab, n_docs, num_words, keep=["split", "label_idx"], keep_empty=True)
 
 
-def fit(prepared: DataFrame, params: TrainingParams, folder: str, **shards: int) -> tuple[Model, Fitted]:
-    """Vocabulary, labels, features and network of one run, from its prepared rows."""
+def fit(prepared: DataFrame, params: TrainingParams, folder: str) -> tuple[Model, Fitted]:
+    """Vocabulary, labels, features and network of one run, from its prepared rows.
+
+    What the model needs is stored under ``folder``; all else is removed.
+    """
+    with job_folder(prepared.sparkSession):
+        return _fit(prepared, params, folder)
+
+
+def _fit(prepared: DataFrame, params: TrainingParams, folder: str) -> tuple[Model, Fitted]:
     counts = {r["split"]: r["count"] for r in prepared.groupBy("split").count().collect()}
     require_non_empty_splits(sum(counts.values()), params.holdout_share)
     n_docs = counts["train"]
@@ -135,7 +147,7 @@ def fit(prepared: DataFrame, params: TrainingParams, folder: str, **shards: int)
     n_words, n_classes = vocab.count(), labels.count()
     features = materialise(feature_rows(prepared, vocab, labels, n_docs, params.num_words), "features", by="split")
     fitted = train_network(
-        features, vocab, n_words, n_classes, n_docs, params, new_path(prepared.sparkSession, "training"), **shards
+        features, vocab, n_words, n_classes, n_docs, params, new_path(prepared.sparkSession, "training")
     )
     hidden = materialise(fitted.hidden, "hidden", f"{folder}/hidden")
     network = materialise(fitted.network, "network", f"{folder}/network")
@@ -153,14 +165,31 @@ def train_rows(
     reasons: DataFrame | None = None,
     run_label: str | None = None,
     take_head: bool = False,
-    **shards: int,
 ) -> TrainingRun:
     """Train on a frame whose ``id_column`` is unique, then store and register the run."""
+    with job_folder(rows.sparkSession):
+        return _train_rows(
+            rows, params, model_name, folder, id_column, registry, datasets, reasons, run_label, take_head
+        )
+
+
+def _train_rows(
+    rows: DataFrame,
+    params: TrainingParams,
+    model_name: ModelName,
+    folder: str,
+    id_column: str,
+    registry: str | None,
+    datasets: Mapping[str, str] | None,
+    reasons: DataFrame | None,
+    run_label: str | None,
+    take_head: bool,
+) -> TrainingRun:
     spark = rows.sparkSession
     started = time.time()
     run_id = uuid.uuid4().hex
     prepared = prepare(rows, params, id_column, take_head)
-    model, fitted = fit(prepared, params, folder, **shards)
+    model, fitted = fit(prepared, params, folder)
     known = model.labels.agg(F.sort_array(F.collect_list("label"))).scalar()
     baseline = materialise(
         baseline_metrics(fitted.history, F.lit(fitted.test_accuracy), params.accuracy_tolerance, known),
@@ -240,11 +269,16 @@ def train_job(
     folder: str,
     registry: str | None = None,
     datasets: Mapping[str, str] | None = None,
+    provider: str | None = None,
+    multi_line: bool = True,
 ) -> TrainingRun:
     """Train from one delimited file set."""
-    columns = [*params.feature_columns, params.target_column]
-    rows = read_delimited(spark, uri, columns, params.separator, params.encoding, with_index=True)
-    return train_rows(rows, params, model_name, folder, ROW_INDEX, registry, datasets)
+    with job_folder(spark):
+        where = dataset_uri(provider, uri)
+        rows = read_delimited(
+            spark, where, params.used_columns, params.separator, params.encoding, with_index=True, multi_line=multi_line
+        )
+        return train_rows(rows, params, model_name, folder, ROW_INDEX, registry, datasets)
 
 
 def retrain_job(
@@ -255,20 +289,25 @@ def retrain_job(
     folder: str,
     reasons: DataFrame | None = None,
     registry: str | None = None,
+    provider: str | None = None,
+    multi_line: bool = True,
 ) -> TrainingRun:
     """Train again from paired feature and target files, on their first ``max_rows`` rows.
 
     The new model is stored and registered, not published.
     """
-    rows = read_paired(
-        spark,
-        datasets["features"],
-        datasets["targets"],
-        params.feature_columns,
-        [params.target_column],
-        params.separator,
-        params.encoding,
-    )
-    return train_rows(
-        rows, params, model_name, folder, ROW_INDEX, registry, datasets, reasons, "self_training", take_head=True
-    )
+    with job_folder(spark):
+        rows = read_paired(
+            spark,
+            dataset_uri(provider, datasets["features"]),
+            dataset_uri(provider, datasets["targets"]),
+            [c for c in params.used_columns if c != params.target_column],
+            [params.target_column],
+            params.separator,
+            params.encoding,
+            multi_line,
+            first_rows=params.max_rows,
+        )
+        return train_rows(
+            rows, params, model_name, folder, ROW_INDEX, registry, datasets, reasons, RETRAIN_RUN, take_head=True
+        )

@@ -31,6 +31,7 @@ def write_word_counts(report: DataFrame, path: str) -> None:
     """Word-count report as ``;``-separated text, rows in order across the part files."""
     (
         report.orderBy(F.desc("quantity"), "idx")
+        # The report's column names.
         .select(
             F.col("word").alias("palavra"),
             F.col("quantity").alias("quantidade"),

@@ -22,9 +22,9 @@ ROW_INDEX = "row_index"
 PROVIDER_SCHEMES = {"local": "file://", "object_store": "s3a://"}
 
 
-def dataset_uri(provider: str, path: str) -> str:
-    """Where a dataset lies, by the name of its storage provider; a full URI is left as it is."""
-    if "://" in path:
+def dataset_uri(provider: str | None, path: str) -> str:
+    """Where a dataset lies, by the name of its storage provider; a full URI, or any path without a provider, is left as it is."""
+    if provider is None or "://" in path:
         return path
     require_keys(PROVIDER_SCHEMES, [provider], "storage provider")
     return PROVIDER_SCHEMES[provider] + path
@@ -38,14 +38,14 @@ def normalise_missing(df: DataFrame, columns: Sequence[str] | None = None) -> Da
     return df.withColumns({c: missing_to_null(F.col(c)) for c in columns or df.columns})
 
 
-def _scan(spark: SparkSession, uri: str | list[str], separator: str, encoding: str) -> DataFrame:
+def _scan(spark: SparkSession, uri: str | list[str], separator: str, encoding: str, multi_line: bool = True) -> DataFrame:
     return (
         spark.read.option("header", True)
         .option("inferSchema", False)
         .option("enforceSchema", False)
         .option("sep", separator)
         .option("encoding", encoding)
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .option("quote", '"')
         .option("escape", '"')
         .csv(uri)
@@ -59,13 +59,15 @@ def read_delimited(
     separator: str = ",",
     encoding: str = "utf-8",
     with_index: bool = False,
+    multi_line: bool = True,
 ) -> DataFrame:
     """Every column as string, missing tokens as null, only ``columns`` kept.
 
-    Quoted fields may hold line breaks, so one file is read by one task: supply many
-    files, or land them as parquet first. The URI scheme picks the storage provider.
+    With ``multi_line`` quoted fields may hold line breaks, and one file is read by one task: supply many
+    files, or land them as parquet first. Without it every line is a row and large files are
+    split. The URI scheme picks the storage provider.
     """
-    raw = _scan(spark, uri, separator, encoding)
+    raw = _scan(spark, uri, separator, encoding, multi_line)
     wanted = list(columns) if columns is not None else raw.columns
     require_columns(raw.columns, wanted, "selected")
     if not with_index:
@@ -82,14 +84,18 @@ def _indexed(scan: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, int]:
     """The scan with row positions, and its number of rows.
 
     Ids rise within a task and a file split is read by one task, so a row's place in its
-    split is a difference of two ids: nothing is sorted, and the rows are not exchanged. The
-    sizes of the splits are stored, one row per split.
+    split is a difference of two ids: nothing is sorted, and the rows are not exchanged. A second scan may
+    pack the splits into tasks differently, so rows and ids are stored together once, and
+    sizes and positions both come from the stored table.
     """
-    placed = scan.select(
-        *columns,
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_id"),
+    placed = materialise(
+        scan.select(
+            *columns,
+            F.col("_metadata.file_path").alias("_file"),
+            F.col("_metadata.file_block_start").alias("_block"),
+            F.monotonically_increasing_id().alias("_id"),
+        ),
+        "placed",
     )
     splits = materialise(
         placed.groupBy("_file", "_block").agg(F.min("_id").alias("_first"), F.count("*").alias("_rows")), "splits"
@@ -103,7 +109,11 @@ def _indexed(scan: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, int]:
     indexed = placed.join(offsets, ["_file", "_block"]).select(
         (F.col("_offset") + F.col("_id") - F.col("_first")).alias(ROW_INDEX), *columns
     )
-    return indexed, splits.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("n")).first()["n"]
+    n = splits.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("n")).first()["n"]
+    found = indexed.agg(F.count("*").alias("rows"), F.coalesce(F.max(ROW_INDEX) + 1, F.lit(0)).alias("upto")).first()
+    if tuple(found) != (n, n):
+        raise RuntimeError(f"{found['rows']} rows got positions up to {found['upto']}, but the files hold {n}")
+    return indexed, n
 
 
 def pair_by_key(features: DataFrame, targets: DataFrame, key: str) -> DataFrame:
@@ -118,17 +128,22 @@ def read_paired(
     target_columns: Sequence[str],
     separator: str = ",",
     encoding: str = "utf-8",
+    multi_line: bool = True,
+    first_rows: int | None = None,
 ) -> DataFrame:
     """Features and targets kept in two file sets whose rows correspond by position.
 
     A blank target line is skipped by the reader and would shift every later label, which
-    is why different numbers of rows are an error.
+    is why different numbers of rows are an error. ``first_rows`` keeps the rows before that
+    position of either side; only they are joined.
     """
     sides = []
     for uri, columns, what in ((features_uri, feature_columns, "feature"), (targets_uri, target_columns, "target")):
-        raw = _scan(spark, uri, separator, encoding)
+        raw = _scan(spark, uri, separator, encoding, multi_line)
         require_columns(raw.columns, columns, what)
         indexed, n = _indexed(raw, columns)
+        if first_rows is not None:
+            indexed = indexed.where(F.col(ROW_INDEX) < first_rows)
         sides.append((normalise_missing(indexed, columns), n))
     (x, n_features), (y, n_targets) = sides
     if n_features != n_targets:

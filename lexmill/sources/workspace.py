@@ -8,6 +8,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,8 +31,29 @@ def scratch_base(spark: SparkSession) -> str:
     return _LOCAL_BASE[app]
 
 
+_JOB_FOLDERS: list[str] = []
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_base(spark)}/lexmill/{name}-{uuid.uuid4().hex}"
+    """A place of its own, inside the folder of the job that runs, if any."""
+    base = _JOB_FOLDERS[-1] if _JOB_FOLDERS else f"{scratch_base(spark)}/lexmill"
+    return f"{base}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def job_folder(spark: SparkSession) -> Iterator[str]:
+    """A folder for the intermediate tables of one job, removed when the job ends.
+
+    What outlives the job must have been written elsewhere.
+    """
+    folder = new_path(spark, "job")
+    _JOB_FOLDERS.append(folder)
+    try:
+        yield folder
+    finally:
+        _JOB_FOLDERS.remove(folder)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame, name: str, path: str | None = None, by: str | None = None) -> DataFrame:
@@ -41,12 +65,13 @@ def materialise(df: DataFrame, name: str, path: str | None = None, by: str | Non
     return spark.read.schema(df.schema).parquet(target)
 
 
-def co_locate(df: DataFrame, *keys: str) -> DataFrame:
-    """Bring rows of one key together, so that the aggregations per key that follow need no exchange.
+def computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column that is worked out once per row.
 
-    For documents this moves each text once, which is far less than the exploded tokens.
+    Expressions are otherwise copied to every place that uses the column, also into the bodies of
+    array functions, where they would run per element; nothing is moved past a generator.
     """
-    return df.repartition(*[F.col(k) for k in keys])
+    return df.select(*df.columns, F.explode(F.array(value)).alias(name))
 
 
 # Fixed limit: what may be sent to every executor.

@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 
 from lexmill.config import JobConfigError, ModelName, TrainingParams
 from lexmill.plans import publishing, retraining, training
-from lexmill.sources import artifacts, delimited
-from lexmill.streaming.scoring import read_scores, score_stream
+from lexmill.sources import artifacts, delimited, workspace
+from lexmill.streaming.scoring import read_batches, score_stream
 
 PARAMS = TrainingParams(feature_columns=("source", "text"), target_column="lang", num_words=300, epochs=3)
 
@@ -25,7 +25,7 @@ def files(spark, small, tmp_path_factory):
 def run(spark, files):
     name = ModelName("lang", "languages", {"team": "tests"})
     return training.train_job(
-        spark, f"{files}/train", PARAMS, name, f"{files}/model", f"{files}/registry", {"features": "f", "targets": "t"}
+        spark, f"{files}/train", PARAMS, name, f"{files}/model", f"{files}/registry", {"features": "f", "targets": "t"}, "local"
     )
 
 
@@ -102,18 +102,54 @@ def test_missing_dataset_or_parameter(spark, published):
         TrainingParams(holdout_share=1.5)
 
 
+def test_jobs_leave_no_intermediate_tables(spark, run):
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{workspace.scratch_base(spark)}/lexmill")
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    assert not [f for f in files if f.getPath().getName().startswith("job-")]
+    assert run.model.vocab.count() and run.model.hidden.count() and run.history.count() == PARAMS.epochs
+
+
+def _stream(spark, published, base):
+    return score_stream(
+        spark, f"{base}/in", "request_id bigint, request string", f"{base}/out", f"{base}/rejects", f"{base}/cp",
+        lambda batch: publishing.score_or_reject(published, batch), files_per_batch=1,
+    )
+
+
+def _rows(df):
+    return sorted(map(tuple, df.select("request_id", "label", F.round("score", 6)).collect()))
+
+
 def test_stream_equals_batch(spark, published, small, tmp_path):
     turns = spark.read.parquet(f"{small}/conversations.parquet").select(
         (F.col("conv_id") * 1000 + F.col("turn")).alias("request_id"), F.concat_ws(";", "role", "text").alias("request")
     )
     turns.repartition(3).write.parquet(f"{tmp_path}/in")
-    stream = lambda: score_stream(
-        spark, f"{tmp_path}/in", "request_id bigint, request string", f"{tmp_path}/out", f"{tmp_path}/cp",
-        lambda batch: publishing.predict(spark, published, batch), files_per_batch=1,
-    )
-    stream().awaitTermination()
-    rows = lambda df: sorted(map(tuple, df.select("request_id", "label", F.round("score", 6)).collect()))
-    wanted = rows(publishing.predict(spark, published, turns))
-    assert rows(read_scores(spark, f"{tmp_path}/out")) == wanted
-    stream().awaitTermination()
-    assert rows(read_scores(spark, f"{tmp_path}/out")) == wanted
+    wanted = _rows(publishing.predict(spark, published, turns))
+    for _ in range(2):
+        _stream(spark, published, tmp_path).awaitTermination()
+        assert _rows(read_batches(spark, f"{tmp_path}/out")) == wanted
+        assert read_batches(spark, f"{tmp_path}/rejects").count() == 0
+
+
+def test_stream_goes_on_after_bad_requests(spark, published, tmp_path):
+    schema = "request_id bigint, request string"
+    good, bad = [(1, "src;the mill"), (2, "src;le moulin")], [(3, "one field"), (4, None), (5, "a;b;c"), (6, "")]
+    for rows in (good[:1] + bad[:2], bad[2:], [], good[1:]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        _stream(spark, published, tmp_path).awaitTermination()  # each time started again from the same checkpoint
+    assert [r[0] for r in _rows(read_batches(spark, f"{tmp_path}/out"))] == [1, 2]
+    reasons = {r["request_id"]: r["reason"] for r in read_batches(spark, f"{tmp_path}/rejects").collect()}
+    assert reasons == {
+        3: "expected 2 field(s), found 1", 4: "the request holds no text",
+        5: "expected 2 field(s), found 3", 6: "expected 2 field(s), found 1",
+    }
+
+
+def test_selected_columns_are_read_and_repaired(spark, tmp_path):
+    rows = [(f"w{i % 4} x{i % 3}", "ab"[i % 2], None if i % 5 == 0 else "s") for i in range(60)]
+    delimited.write_delimited(spark.createDataFrame(rows, "text string, lang string, origin string"), f"{tmp_path}/in")
+    params = TrainingParams(target_column="lang", selected_columns=("text", "origin"), drop_missing=True, epochs=1, shards=2)
+    done = training.train_job(spark, f"{tmp_path}/in", params, ModelName("m", "e"), f"{tmp_path}/model")
+    assert done.model.n_docs == 48 - 15  # 12 rows lack their origin; 30 % of the others are held out, rounded up
+    assert training.load_params(spark, done.folder) == params

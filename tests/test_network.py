@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lexmill.catalog import fixtures as fx
 from lexmill.functions.weights import arg_max, one_hot
-from lexmill.operators import labels, metrics, network
+from lexmill.operators import features, labels, metrics, network
 
 
 def forward(x: dict[int, float], divisor: float, k: int) -> list[float]:
@@ -39,12 +39,22 @@ def test_scores_do_not_depend_on_how_words_are_looked_up(spark, small):
     docs = fx.fitted(spark, small).prepared.select("doc_id", "clean")
     docs = docs.unionByName(spark.createDataFrame([(-1, ""), (-2, "nowhere " * 500)], docs.schema))
     one = network.score_documents(docs, model)
-    two = network.score_documents(docs, model, broadcast_bytes=1000, frequent_rows=50)
     rows = lambda df: {r["doc_id"]: (r["scores"], r["label_idx"]) for r in df.collect()}
-    a, b = rows(one), rows(two)
-    assert a.keys() == b.keys() and len(a) == docs.count()
-    for d in a:
-        assert a[d][0] == pytest.approx(b[d][0], abs=2e-9) and a[d][1] == b[d][1]
+    a = rows(one)
+    for limits in ({"broadcast_bytes": 1000}, {"broadcast_bytes": 1000, "answer_bytes": 0}):
+        b = rows(network.score_documents(docs, model, frequent_rows=50, **limits))
+        assert a.keys() == b.keys() and len(a) == docs.count()
+        for d in a:
+            assert a[d][0] == pytest.approx(b[d][0], abs=2e-9) and a[d][1] == b[d][1]
+
+
+def test_one_document_of_many_words(spark):
+    text = " ".join(f"w{i % 7000}" for i in range(20_000))
+    docs = spark.createDataFrame([(1, text), (2, "a b a"), (3, "")], "doc_id bigint, clean string")
+    got = features.term_frequencies(docs, keep_empty=True).collect()
+    assert sum(r["n"] for r in got if r["doc_id"] == 1) == 20_000 and sum(r["doc_id"] == 1 for r in got) == 7000
+    assert sorted((r["word"] or "", r["n"] or 0) for r in got if r["doc_id"] != 1) == [("", 0), ("a", 2), ("b", 1)]
+    assert "Exchange" not in features.term_frequencies(docs)._jdf.queryExecution().executedPlan().toString()
 
 
 def test_arg_max_takes_the_lowest_index(spark):
@@ -79,7 +89,15 @@ def test_labels_sort_by_code_point(spark):
 
 
 def test_class_counts_are_checked():
-    labels.require_classes(3)
-    for n in (0, 10_000_000):
-        with pytest.raises(labels.JobConfigError):
-            labels.require_classes(n)
+    labels.require_classes(10_000_000)
+    with pytest.raises(labels.JobConfigError):
+        labels.require_classes(0)
+
+
+def test_labels_survive_every_kind_of_lookup(spark):
+    rows = spark.createDataFrame([(i, "hot" if i % 3 else f"l{i}") for i in range(300)] + [(300, None)], "id bigint, l string")
+    fit = labels.fit_labels(rows, "l")
+    wanted = sorted(map(tuple, labels.encode_labels(rows, "l", fit).select("id", "label_idx").collect()))
+    for limits in ({"broadcast_bytes": 0, "frequent_rows": 5}, {"broadcast_bytes": 0, "frequent_rows": 5, "answer_bytes": 0}):
+        got = labels.encode_labels(rows, "l", fit, **limits).select("id", "label_idx").collect()
+        assert sorted(map(tuple, got)) == wanted

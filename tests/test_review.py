@@ -5,9 +5,10 @@ from pyspark.sql import functions as F
 
 from lexmill.operators import metrics, review
 
-PRED = "neutral ethnicity religion ethnicity religion religion age age".split()
-TRUE = "neutral age ethnicity ethnicity religion new_label_1 new_label_1 new_label_2".split()
-KNOWN = "neutral gender ethnicity religion age".split()
+# Six judged predictions: two right, two of a known class wrong, two of classes the model lacks.
+PRED = "wheat rye oats wheat barley rye".split()
+TRUE = "wheat rye wheat oats millet spelt".split()
+KNOWN = "wheat rye oats barley".split()
 
 
 def frame(spark, pred, true):
@@ -20,8 +21,9 @@ def known(spark, labels):
 
 def test_feedback_golden(spark):
     df = frame(spark, PRED, TRUE)
-    assert tuple(review.feedback_report(df, known(spark, KNOWN)).first()) == ("37.50%", 3, 8, 5, 2, 3, "60.00%")
-    assert [tuple(r) for r in review.unknown_labels(df, known(spark, KNOWN)).collect()] == [("new_label_1", 2), ("new_label_2", 1)]
+    assert tuple(review.feedback_report(df, known(spark, KNOWN)).first()) == ("33.33%", 2, 6, 4, 2, 2, "50.00%")
+    more = df.unionByName(frame(spark, ["rye"], ["spelt"]))
+    assert [tuple(r) for r in review.unknown_labels(more, known(spark, KNOWN)).collect()] == [("spelt", 2), ("millet", 1)]
 
 
 def test_no_errors_gives_no_share(spark):
@@ -54,6 +56,14 @@ def test_decision_rules(spark, mean, labels, retrain, below, unknown):
     assert row["retrain"] is retrain
     assert (row["evaluated_accuracy"] is not None) is below
     assert (row["n_unknown_labels"] is not None) is unknown
+    assert (row["unknown_labels"] is not None) is unknown
+    assert (row["not_needed_text"] is None) is retrain
+
+
+def test_decision_lists_unknown_labels_by_count_then_name(spark):
+    df = frame(spark, ["a"] * 6, ["z", "y", "z", "y", "x", "a"])
+    row = review.retrain_decision(df, baseline(spark, 0.5, 0.02, ["a"])).first()
+    assert [tuple(x) for x in row["unknown_labels"]] == [("y", 2), ("z", 2), ("x", 1)]
 
 
 def test_hot_label_is_counted_before_the_exchange(spark):

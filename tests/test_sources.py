@@ -75,6 +75,35 @@ def test_paired_files_align_by_position(spark, tmp_path):
     assert sorted((r["row_index"], r["text"], r["label"]) for r in got) == [(i, c, c.upper()) for i, c in enumerate("abcdef")]
 
 
+def test_row_index_survives_another_packing_of_the_files(spark, tmp_path):
+    for i in range(8):
+        write(tmp_path / f"x{i}.csv", "text\n" + "".join(f"t{i * 100 + j}\n" for j in range(100)))
+        write(tmp_path / f"y{i}.csv", "label\n" + "".join(f"l{i * 100 + j}\n" for j in range(100)))
+    frame = delimited.read_paired(spark, str(tmp_path / "x*.csv"), str(tmp_path / "y*.csv"), ["text"], ["label"])
+    settings = {"spark.sql.files.minPartitionNum": "64", "spark.sql.files.maxPartitionBytes": "200"}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        got = frame.collect()
+    finally:
+        for k in settings:
+            spark.conf.unset(k)
+    assert sorted((r["row_index"], r["text"], r["label"]) for r in got) == [(i, f"t{i}", f"l{i}") for i in range(800)]
+
+
+def test_paired_head_is_taken_before_the_join(spark, tmp_path):
+    x = write(tmp_path / "x.csv", "text\n" + "".join(f"t{i}\n" for i in range(50)))
+    y = write(tmp_path / "y.csv", "label\n" + "".join(f"l{i}\n" for i in range(50)))
+    got = delimited.read_paired(spark, x, y, ["text"], ["label"], first_rows=7).collect()
+    assert sorted(r["row_index"] for r in got) == list(range(7))
+
+
+def test_lines_without_multi_line_are_rows(spark, tmp_path):
+    uri = write(tmp_path / "l.csv", 'a,b\n1,"x, y"\n2,z\n')
+    got = delimited.read_delimited(spark, uri, multi_line=False).collect()
+    assert [tuple(r) for r in got] == [("1", "x, y"), ("2", "z")]
+
+
 def test_missing_value_policy(spark):
     df = spark.createDataFrame([("a", "x"), (None, "y"), ("b", None), (None, None)], "t string, l string")
     assert quality.repair(df, ["t", "l"], drop=True).count() == 1
@@ -114,5 +143,6 @@ def test_dataset_uri():
     assert delimited.dataset_uri("local", "/a/b.csv") == "file:///a/b.csv"
     assert delimited.dataset_uri("object_store", "bucket/b.csv") == "s3a://bucket/b.csv"
     assert delimited.dataset_uri("local", "hdfs://x/y") == "hdfs://x/y"
+    assert delimited.dataset_uri(None, "/a/b.csv") == "/a/b.csv"
     with pytest.raises(JobConfigError):
         delimited.dataset_uri("tape", "/a")

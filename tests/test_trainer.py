@@ -33,7 +33,7 @@ def data(spark):
 
 
 def params(**changes):
-    return TrainingParams(**{"epochs": 2, "batch_size": 8, "neurons": 4, **changes})
+    return TrainingParams(**{"epochs": 2, "batch_size": 8, "neurons": 4, "shards": 1, "averages_per_epoch": 1, **changes})
 
 
 def dense_truth(rows, p: TrainingParams, w1: np.ndarray, shard: int = 0, members: set[int] | None = None):
@@ -94,8 +94,8 @@ def test_one_shard_equals_dense_training(spark, data):
 
 def test_shards_are_averaged_by_documents(spark, data):
     rows, features, vocab = data
-    p = params(epochs=1)
-    fit = trainer.train_network(features, vocab, WIDTH - 2, CLASSES, 120, p, shard_documents=40)
+    p = params(epochs=1, shards=3)
+    fit = trainer.train_network(features, vocab, WIDTH - 2, CLASSES, 120, p)
     ids = {r[0] for r in rows if r[1] == "train"}
     dealt = spark.createDataFrame([(d,) for d in ids], "doc_id bigint").select(
         "doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(3)).cast("int").alias("shard")
@@ -111,7 +111,7 @@ def test_shards_are_averaged_by_documents(spark, data):
 
 def test_loss_falls_over_many_shards(data):
     _, features, vocab = data
-    fit = trainer.train_network(features, vocab, WIDTH - 2, CLASSES, 120, params(epochs=4, batch_size=2), shard_documents=30)
+    fit = trainer.train_network(features, vocab, WIDTH - 2, CLASSES, 120, params(epochs=4, batch_size=2, shards=4, averages_per_epoch=2))
     history = fit.history.orderBy("epoch").collect()
     assert [r["epoch"] for r in history] == [1, 2, 3, 4]
     losses = [r["loss"] for r in history]
@@ -141,3 +141,56 @@ def test_untouched_words_keep_their_weights(spark, data):
     start = trainer.initial_weights(spark.createDataFrame([(500,)], "idx bigint"), WIDTH + 1, p.neurons, p.seed).first()
     kept = fit.hidden.where(F.col("idx") == 500).first()["weights"]
     assert kept == [start[f"w{j}"] for j in range(p.neurons)]
+
+
+def test_weights_do_not_depend_on_partitions(spark, data):
+    _, features, vocab = data
+    p = params(epochs=2, shards=4, averages_per_epoch=2, use_dropout=True)
+    results = []
+    for n in (1, 4, 16):
+        fit = trainer.train_network(features.repartition(n), vocab, WIDTH - 2, CLASSES, 120, p)
+        rows = sorted((r["idx"], *r["weights"]) for r in fit.hidden.collect())
+        results.append((np.array(rows), np.array(fit.network.first()["output_weights"])))
+    for hidden, output in results[1:]:
+        assert np.abs(hidden - results[0][0]).max() < 1e-9 and np.abs(output - results[0][1]).max() < 1e-9
+
+
+def test_many_classes_need_no_square_matrix(spark):
+    rows = [(d, ("train", "test", "validation")[d % 3], d % 20_000, 1 + d % 5, 1.0) for d in range(60)]
+    features = spark.createDataFrame(rows, "doc_id bigint, split string, label_idx bigint, idx bigint, tfidf double")
+    vocab = spark.createDataFrame([(f"w{i}", 1, 1, i) for i in range(2, 7)], "word string, n bigint, df bigint, idx bigint")
+    fit = trainer.train_network(features, vocab, 5, 20_000, 20, params(epochs=1, neurons=2, shards=2))
+    assert np.isfinite(fit.test_loss)
+
+
+def test_full_gradient_is_the_slope_of_the_loss(spark, data):
+    rows, features, _ = data
+    p = params()
+    w1 = starting_weights(spark, p)
+    dense = trainer.initial_dense(p.neurons, CLASSES, p.seed)
+    train = features.where("split = 'train'").drop("split")
+    hidden = spark.createDataFrame([(i, w.tolist()) for i, w in enumerate(w1) if i], "idx bigint, weights array<double>")
+
+    def loss(weights: np.ndarray) -> float:
+        x, label = {}, {}
+        for d, split, y, i, v in rows:
+            if split == "train":
+                label[d] = y
+                x.setdefault(d, np.zeros(WIDTH))
+                if i is not None:
+                    x[d][i] += v
+        total = 0.0
+        for d, values in x.items():
+            h = np.maximum(values @ weights + dense.hidden_bias, 0)
+            q = 1 / (1 + np.exp(-(h @ dense.output_weights + dense.output_bias)))
+            total -= np.log(q[label[d]] / q.sum())
+        return total / len(x)
+
+    got = trainer.full_gradient(train, hidden, dense.table(train), 120, p.neurons).collect()
+    slopes = {(r["idx"], r["neuron"]): r["gradient"] for r in got if r["part"] == "word"}
+    for at in [(1, 0), (4, 2), (7, 3)]:
+        up, down = w1.copy(), w1.copy()
+        up[at] += 1e-6
+        down[at] -= 1e-6
+        assert slopes[at] == pytest.approx((loss(up) - loss(down)) / 2e-6, abs=1e-7)
+    assert sum(r["part"] == "output_weight" for r in got) == CLASSES * p.neurons
