@@ -40,11 +40,18 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex}"
 
 
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of intermediate tables, wherever the session's file systems keep it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 @contextmanager
-def job_folder(spark: SparkSession) -> Iterator[str]:
+def job_folder(spark: SparkSession, remove: bool = True) -> Iterator[str]:
     """A folder for the intermediate tables of one job, removed when the job ends.
 
-    What outlives the job must have been written elsewhere.
+    What outlives the job must have been written elsewhere. Without ``remove`` the caller removes the folder, once
+    what the job returned has been read.
     """
     folder = new_path(spark, "job")
     _JOB_FOLDERS.append(folder)
@@ -52,8 +59,8 @@ def job_folder(spark: SparkSession) -> Iterator[str]:
         yield folder
     finally:
         _JOB_FOLDERS.remove(folder)
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        if remove:
+            remove_folder(spark, folder)
 
 
 def materialise(df: DataFrame, name: str, path: str | None = None, by: str | None = None) -> DataFrame:
