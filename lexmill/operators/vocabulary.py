@@ -34,14 +34,13 @@ def document_frequencies(docs: DataFrame, column: str = "clean") -> DataFrame:
     return explode_words(docs, F.array_distinct(tokens(F.col(column)))).groupBy("word").agg(F.count("*").alias("df"))
 
 
-def word_statistics(docs: DataFrame, order_key: str, column: str = "clean") -> DataFrame:
-    """Per word: occurrences, documents, and where it first appears in the order of ``order_key``.
+def first_uses(docs: DataFrame, words: Column, *keep: str) -> DataFrame:
+    """``(keep, word, place, hits)``: the different words of each row, where each first stands and how often.
 
-    Each document yields one row per different word: its tokens are sorted by word and place and cut
-    where the word changes. All aggregates are numbers: they combine before the one exchange, on the word.
+    The words are sorted by word and place and cut where the word changes, so nothing is exchanged.
     """
-    placed = F.transform(tokens(F.col(column)), lambda w, i: F.struct(w.alias("word"), i.cast("bigint").alias("place")))
-    held = computed_once(docs.select(F.col(order_key).alias("_doc"), placed.alias("_words")), "_sorted", F.sort_array("_words"))
+    placed = F.transform(words, lambda w, i: F.struct(w.alias("word"), i.cast("bigint").alias("place")))
+    held = computed_once(docs.select(*keep, placed.alias("_words")), "_sorted", F.sort_array("_words"))
     w = F.col("_sorted")
     places = F.sequence(F.lit(0), F.size(w) - 1)
     first = F.filter(places, lambda i: (i == 0) | (F.get(w, i)["word"] != F.get(w, i - 1)["word"]))
@@ -55,13 +54,41 @@ def word_statistics(docs: DataFrame, order_key: str, column: str = "clean") -> D
             (F.coalesce(F.get(f, k + 1), F.size(w)) - at).cast("bigint").alias("hits"),
         ),
     )
-    rows = cut.select("_doc", F.inline_outer(runs)).where(F.col("word").isNotNull())
-    return rows.groupBy("word").agg(
-        F.sum("hits").alias("n"),
-        F.count("*").alias("df"),
-        F.min("_doc").alias("first_doc"),
-        F.min_by("place", "_doc").alias("first_place"),
+    return cut.select(*keep, F.inline_outer(runs)).where(F.col("word").isNotNull())
+
+
+def word_statistics(docs: DataFrame, order_key: str, column: str = "clean", id_column: str = "doc_id") -> DataFrame:
+    """Per word: occurrences, documents, and where it first appears in the order of ``order_key``, ties by id.
+
+    Each document yields one row per different word. All aggregates are numbers: they combine before the one
+    exchange, on the word. Should documents share a key, the words first met in those are looked at again with their ids.
+    """
+    words = tokens(F.col(column))
+    rows = first_uses(docs, words, order_key)
+    stats = materialise(
+        rows.groupBy("word").agg(
+            F.sum("hits").alias("n"),
+            F.count("*").alias("df"),
+            F.min(order_key).alias("first_doc"),
+            F.min_by("place", order_key).alias("first_place"),
+        ),
+        "word_statistics",
+    )
+    shared = materialise(
+        docs.groupBy(order_key).agg(F.count("*").alias("_n")).where("_n > 1").select(order_key), "shared_keys"
+    )
+    nothing = F.lit(None).cast(docs.schema[id_column].dataType)
+    if shared.isEmpty():
+        return stats.withColumn("first_id", nothing)
+    again = first_uses(docs.join(shared, order_key, "left_semi"), words, order_key, id_column)
+    exact = again.groupBy("word", F.col(order_key).alias("first_doc")).agg(
+        F.min(F.struct(id_column, "place")).alias("_first")
     )
+    return stats.join(exact, ["word", "first_doc"], "left").select(
+        "word", "n", "df", "first_doc",
+        F.coalesce(F.col(f"_first.{id_column}"), nothing).alias("first_id"),
+        F.coalesce("_first.place", "first_place").alias("first_place"),
+    )
 
 
 def fit_vocabulary(docs: DataFrame, order_key: str, column: str = "clean", path: str | None = None) -> DataFrame:
@@ -70,8 +97,8 @@ def fit_vocabulary(docs: DataFrame, order_key: str, column: str = "clean", path:
     Index 1 stands for unknown words, 0 is unused. The counts are stored before they are
     ordered, so the corpus is read once. ``path`` stores the result.
     """
-    stats = materialise(word_statistics(docs, order_key, column), "word_statistics")
-    order = [F.desc("n"), F.col("first_doc"), F.col("first_place"), F.col("word")]
+    order = [F.desc("n"), F.col("first_doc"), F.col("first_id"), F.col("first_place"), F.col("word")]
+    stats = word_statistics(docs, order_key, column)
     vocab = number_rows(stats, order, "idx", start=OOV_INDEX + 1).select("word", "n", "df", "idx")
     return vocab if path is None else materialise(vocab, "vocabulary", path)
 

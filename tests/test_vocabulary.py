@@ -68,7 +68,7 @@ def test_large_vocabulary_lookup_equals_broadcast(spark):
 
 
 def test_ties_follow_first_appearance(spark):
-    docs = spark.createDataFrame([(2, "b a a"), (1, "d c d")], "k bigint, clean string")
+    docs = spark.createDataFrame([(7, 2, "b a a"), (8, 1, "d c d")], "doc_id bigint, k bigint, clean string")
     got = vocabulary.fit_vocabulary(docs, "k").orderBy("idx").collect()
     assert [(r["word"], r["n"], r["df"], r["idx"]) for r in got] == [("d", 2, 1, 2), ("a", 2, 1, 3), ("c", 1, 1, 4), ("b", 1, 1, 5)]
 
@@ -79,10 +79,9 @@ def test_listing_starts_with_the_oov_entry(spark, small):
 
 
 def test_fit_exchanges_words_not_documents(spark, small):
-    """One exchange, on the word, with counts combined before it."""
-    stats = vocabulary.word_statistics(fx.fitted(spark, small).train, "order_key")
-    plan = stats._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1 and "SortAggregate" not in plan
+    """The words of a document are counted in its row, without an exchange."""
+    rows = vocabulary.first_uses(fx.fitted(spark, small).train, tokens(F.col("clean")), "order_key")
+    assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString()
 
 
 def test_tfidf_exchanges_one_number_per_document(spark, small):
@@ -90,3 +89,11 @@ def test_tfidf_exchanges_one_number_per_document(spark, small):
     rows = features.tfidf(fit.prepared, fit.vocab, fit.n_docs)
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(doc_id") == 1 and "partial_sum(n" in plan
+
+
+def test_documents_with_one_order_key_are_ordered_by_id(spark):
+    rows = [(9, 5, "late early"), (2, 5, "x first"), (4, 7, "other"), (1, 8, "late")]
+    for n in (1, 3):
+        docs = spark.createDataFrame(rows, "doc_id bigint, k bigint, clean string").repartition(n)
+        got = [r["word"] for r in vocabulary.fit_vocabulary(docs, "k").orderBy("idx").collect()]
+        assert got == ["late", "x", "first", "early", "other"]
