@@ -2,12 +2,13 @@
 
 Language, exact duplicates, similar documents, repeated passages, packing. All stages but the last return the columns of
 their input. Rows are told apart by doc_id and text; of rows equal in both the exact-duplicate stage keeps one. Null
-texts count as empty.
+texts count as empty. A stage's result must be written before the next stage is called.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import wraps
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -15,9 +16,27 @@ from pyspark.sql import functions as F
 
 from lexmill.llm import cuckoo, jaccard, language, packing, repeats
 from lexmill.llm.support import documents, materialise, partitions
+from lexmill.sources.workspace import job_folder, new_path, remove_folder
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 _NO_ID = -(1 << 63)
+_LEFT: dict[str, str] = {}  # by session: the folder with the intermediate tables of its last stage
+
+
+def _stage(work: Stage) -> Stage:
+    """A stage whose intermediate tables go when the next stage begins: by then its result has been written."""
+
+    @wraps(work)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        session = spark.sparkContext.applicationId
+        if session in _LEFT:
+            remove_folder(spark, _LEFT.pop(session))
+        with job_folder(spark, remove=False) as folder:
+            out = work(spark, docs, sf_dir)
+        _LEFT[session] = folder
+        return out
+
+    return run_stage
 
 
 def _unused(docs: DataFrame, *names: str) -> list[str]:
@@ -57,20 +76,24 @@ def _only(docs: DataFrame, chosen: DataFrame) -> DataFrame:
     return once.join(names.hint("shuffle_hash"), [key, mark], "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
+@_stage
 def known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return language.accepted(docs, language.train(docs))
 
 
+@_stage
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     groups = cuckoo.exact_groups(docs).where("kept")
     chosen = groups.groupBy("text_sha256").agg(F.max(F.struct("doc_id", "t")).alias("row")).select("row.doc_id", "row.t")
     return _only(docs, chosen)
 
 
+@_stage
 def without_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _only(docs, jaccard.similarity_classes(docs).where("kept").select("doc_id", "t").distinct())
 
 
+@_stage
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     key, mark, left = _unused(docs, "row_key", "row_mark", "text_left")
     cut = repeats.remove_repeats(docs, with_text=True).select(
@@ -85,6 +108,7 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return cut.join(rest.hint("shuffle_hash"), [key, mark]).select(*[c.alias(n) for n, c in columns.items()])
 
 
+@_stage
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs)
 
@@ -101,7 +125,11 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
+    docs, before = documents(spark, sf_dir), None
     for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), name)
+        path = new_path(spark, name)
+        docs = materialise(stage(spark, docs, sf_dir), name, path)
+        if before:
+            remove_folder(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)

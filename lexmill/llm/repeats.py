@@ -24,13 +24,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.llm.support import materialise, mix64, partitions, prefix_hash, span_hash, texts_of, utf8
+from lexmill.llm.support import materialise, mix64, pack, partitions, prefix_hash, span_hash, texts_of, unpack, utf8
 
 LENGTH = 100
-ANCHOR = 32
+ANCHOR = 24
+_REACH = 2 * LENGTH - ANCHOR  # bytes of all passages of that length around an anchor
 _LARGEST = np.uint64(0xFFFFFFFFFFFFFFFF)
 _NO_ID = np.iinfo(np.int64).min
 _CHUNK = 1 << 19  # bytes looked at together: arrays of hashes that fit a processor's cache
@@ -94,9 +96,31 @@ def _rows(n: int, bucket=None, doc=None, t=None, settled=None, fine=None, blob=N
     return pa.RecordBatch.from_arrays(arrays, _NAMES)
 
 
+_BATCH = 1 << 23  # bytes of text that a task looks at together
+
+
+def _smaller(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches cut so that each holds about ``_BATCH`` bytes in its third column, or one longer text."""
+    for b in batches:
+        ends = np.cumsum(pa.compute.binary_length(b.column(2)).to_numpy(zero_copy_only=False))
+        k = 0
+        while k < b.num_rows:
+            so_far = ends[k - 1] if k else 0
+            to = max(int(np.searchsorted(ends, so_far + _BATCH, side="right")), k + 1)
+            yield b.slice(k, to - k)
+            k = to
+
+
+def _packed_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts as compressed bytes: they are moved twice."""
+    for b in _smaller(batches):
+        packed = [pack(text.encode()) for text in b.column(2).to_pylist()]
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(packed, pa.binary())], ["doc_id", "t", "text"])
+
+
 def _find_anchors(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _smaller(batches):
             name = b.column(0).fill_null(_NO_ID).to_numpy(zero_copy_only=False)
             t = b.column(1).to_numpy()
             data, offsets = utf8(b.column(2))
@@ -124,20 +148,29 @@ def _find_anchors(buckets: int):
             first = np.r_[True, both[same][1:] != both[same][:-1]] if len(same) else np.zeros(0, bool)
             later, sent = same[~first], same[first]
             yield from _note(name[doc[later]], t[doc[later]], pos[later], 0)
-            rows = np.empty(len(sent), _ANCHOR_ROW)
-            rows["h"], rows["c"], rows["doc"], rows["t"], rows["pos"] = (
-                h[sent], c[sent], name[doc[sent]], t[doc[sent]], pos[sent]
-            )
-            bucket = (rows["h"] >> np.uint64(20)) % np.uint64(buckets)
+            sent = np.sort(sent)
+            bucket = (h[sent] >> np.uint64(20)) % np.uint64(buckets)
             order = np.argsort(bucket, kind="stable")
-            rows, bucket = rows[order], bucket[order]
+            sent, bucket = sent[order], bucket[order]
             cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True]) if len(bucket) else np.zeros(1, np.int64)
-            blobs = pa.array(_grouped_bytes(rows, cuts), pa.binary())
-            yield _rows(len(blobs), bucket=bucket[cuts[:-1]].astype(np.int32), blob=blobs)
+            columns = [x.astype(_ANCHOR_ROW[n]) for n, x in zip(_ANCHOR_ROW.names, (h, c, name[doc], t[doc], pos))]
+            blobs = []
+            for x, y in zip(cuts.tolist(), cuts[1:].tolist()):
+                blobs.append(pack(b"".join(v[sent[x:y]].tobytes() for v in columns)))
+            yield _rows(len(blobs), bucket=bucket[cuts[:-1]].astype(np.int32), blob=pa.array(blobs, pa.binary()))
 
     return run
 
 
+def _anchor_rows(columns: bytes) -> np.ndarray:
+    n, at = len(columns) // _ANCHOR_ROW.itemsize, 0
+    rows = np.empty(n, _ANCHOR_ROW)
+    for name in _ANCHOR_ROW.names:
+        rows[name] = np.frombuffer(columns, _ANCHOR_ROW[name], n, at)
+        at += n * _ANCHOR_ROW[name].itemsize
+    return rows
+
+
 def _compare_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Settles anchors whose surroundings occur earlier, and names those whose surroundings differ from others'."""
     held: list[bytes] = []
@@ -145,10 +178,10 @@ def _compare_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         is_blob = b.column(5).is_valid()
         held += b.filter(is_blob).column(5).to_pylist()
         yield b.filter(b.column(5).is_null())
-    rows = np.frombuffer(b"".join(held), _ANCHOR_ROW)
-    held.clear()
-    if not len(rows):
+    if not held:
         return
+    rows = np.concatenate([_anchor_rows(unpack(blob)) for blob in held])
+    held.clear()
     rows = rows[np.lexsort((rows["pos"], rows["t"], rows["doc"], rows["c"], rows["h"]))]
     new_h = np.r_[True, rows["h"][1:] != rows["h"][:-1]]
     first = new_h | np.r_[True, rows["c"][1:] != rows["c"][:-1]]
@@ -203,17 +236,17 @@ def _finished(name: int | None, t: int, text: bytes, start: np.ndarray, end: np.
 
 
 # A surrounding on its way: anchor hash, document, checksum, place of its first byte, place of the anchor in it, bytes.
-_HEAD = np.dtype([("h", "<u8"), ("doc", "<i8"), ("t", "<i4"), ("begin", "<u4"), ("size", "<u4")])
+_HEAD = np.dtype([("h", "<u8"), ("doc", "<i8"), ("t", "<i4"), ("begin", "<u4"), ("anchor", "u1"), ("size", "u1")])
 
 
 def _apply_settled(buckets: int, with_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _smaller(batches):
             out: list[tuple] = []
             heads: list[np.ndarray] = []
             bodies: list[bytes] = []
-            for name, t, text, settled, fine in zip(*(b.column(k).to_pylist() for k in range(5))):
-                text = text.encode()
+            for name, t, packed, settled, fine in zip(*(b.column(k).to_pylist() for k in range(5))):
+                text = unpack(packed)
                 at = _places(settled)
                 start, end = union_spans(np.maximum(at - (LENGTH - ANCHOR), 0), np.minimum(at + LENGTH, len(text)))
                 at = _places(fine)
@@ -221,13 +254,13 @@ def _apply_settled(buckets: int, with_text: bool):
                     out.append(_finished(name, t, text, start, end, with_text))
                     continue
                 spans = np.stack([start, end], 1).astype("<u4").tobytes()
-                out.append((_OPEN, name, t, None, text, spans, *[None] * 6))
+                out.append((_OPEN, name, t, None, packed, spans, *[None] * 6))
                 begin, stop = np.maximum(at - (LENGTH - ANCHOR), 0), np.minimum(at + LENGTH, len(text))
                 sums = prefix_hash(np.frombuffer(text, np.uint8))
                 head = np.empty(len(at), _HEAD)
                 head["h"] = span_hash(sums, at, at + ANCHOR)
                 head["doc"] = _NO_ID if name is None else name
-                head["t"], head["begin"], head["size"] = t, begin, stop - begin
+                head["t"], head["begin"], head["anchor"], head["size"] = t, begin, at - begin, stop - begin
                 heads.append(head)
                 bodies += [text[x:y] for x, y in zip(begin.tolist(), stop.tolist())]
             if heads:
@@ -238,7 +271,7 @@ def _apply_settled(buckets: int, with_text: bool):
                 for x, y in zip(cuts.tolist(), cuts[1:].tolist()):
                     own = order[x:y]
                     blob = len(own).to_bytes(8, "little") + head[own].tobytes() + b"".join([bodies[k] for k in own.tolist()])
-                    out.append((_CONTEXT, None, None, int(bucket[own[0]]), None, None, blob, *[None] * 5))
+                    out.append((_CONTEXT, None, None, int(bucket[own[0]]), None, None, pack(blob), *[None] * 5))
             yield _result_batch(out)
 
     return run
@@ -260,55 +293,88 @@ def prefix_intervals(common: list[int], least: int) -> Iterator[tuple[int, int,
             stack.append((shared, first))
 
 
-def maximal_repeats(bodies: list[bytes], group: np.ndarray, begin: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(length, contexts, places) of every maximal repeat among contexts of one group, with all its occurrences.
+def _suffix_order(tails: np.ndarray, size: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order of the suffixes by group and bytes, and how many bytes neighbours share beyond their first ``LENGTH``, -1 across groups.
+
+    ``tails`` has a row of bytes per suffix, zeros behind its ``size``; a suffix that another continues comes before it.
+    """
+    words = tails.view(">u8").astype(np.uint64)
+    order = np.lexsort((size, *words.T[::-1], group))
+    tails, size, group = tails[order], size[order], group[order]
+    differ = tails[1:] != tails[:-1]
+    shared = np.where(differ.any(axis=1), differ.argmax(axis=1), tails.shape[1])
+    shared = np.minimum(shared, np.minimum(size[1:], size[:-1]))
+    return order, np.where(group[1:] == group[:-1], shared, -1)
+
+
+_OCCURRENCES = 1 << 19  # occurrences of maximal repeats given out together
+_WINDOWS = 1 << 18  # passages of a group looked at together
+
 
-    ``begin`` is the place of each context in its document; a context that does not begin its document is cut
-    there, which counts as a difference to the left.
+def maximal_repeats(
+    bodies: list[bytes], group: np.ndarray, begin: np.ndarray, anchor: np.ndarray
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(length, count, contexts, places): the maximal repeats among contexts of the same group, with all occurrences.
+
+    The occurrences of one repeat follow those of the one before; some repeats are given out at a time. ``begin`` is
+    the place of each context in its document, ``anchor`` that of its anchor in the context; a context is cut to the
+    left and right, which counts as a difference there. Equal passages hold the anchor at the same place, so
+    passages are compared by the distance from their anchor, some distances at a time.
     """
     data = np.frombuffer(b"".join(bodies), np.uint8)
     size = np.fromiter(map(len, bodies), np.int64, len(bodies))
-    base = np.cumsum(size) - size
-    windows = size - LENGTH + 1
-    owner = np.repeat(np.arange(len(bodies)), windows)
-    place = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
+    base, sums = np.cumsum(size) - size, prefix_hash(data)
+    step = max(1, _WINDOWS // len(bodies))
+    for before_anchor in range(0, LENGTH - ANCHOR + 1, step):
+        low = np.maximum(anchor - before_anchor - step + 1, 0)
+        high = np.minimum(anchor - before_anchor, size - LENGTH) + 1
+        windows = np.maximum(high - low, 0)
+        owner = np.repeat(np.arange(len(bodies)), windows)
+        place = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows) + low[owner]
+        yield from _repeats_of(data, sums, base, size, group, begin, owner, place)
+
+
+def _repeats_of(data, sums, base, size, group, begin, owner, place) -> Iterator[tuple[np.ndarray, ...]]:
+    """``maximal_repeats`` that begin at the given places of the given contexts."""
+    if not len(owner):
+        return
     at = base[owner] + place
-    key = mix64(span_hash(prefix_hash(data), at, at + LENGTH) + mix64(group[owner]))
+    key = mix64(span_hash(sums, at, at + LENGTH) + mix64(group[owner]))
     order = np.argsort(key, kind="stable")
-    cuts = np.flatnonzero(np.r_[True, key[order][1:] != key[order][:-1], True])
-    many = np.diff(cuts) > 1
-    before = np.where(place > 0, data[at - 1].astype(np.int64), -1 - np.arange(len(at)))
-    for x, y in zip(cuts[:-1][many].tolist(), cuts[1:][many].tolist()):
-        own = order[x:y]
-        ahead = before[own]
-        if (ahead == ahead[0]).all():
-            continue  # each occurrence can be extended to the left: found there
-        tails = [bodies[i][j:] for i, j in zip(owner[own].tolist(), place[own].tolist())]
-        rank = sorted(range(len(own)), key=tails.__getitem__)
-        own, ahead = own[rank], ahead[rank]
-        common = [_shared(tails[p], tails[q]) for p, q in zip(rank, rank[1:])]
-        differs = np.r_[0, np.cumsum(ahead[1:] != ahead[:-1])]
-        for length, first, last in prefix_intervals(common, LENGTH):
-            if differs[last] > differs[first]:
-                inside = own[first : last + 1]
-                yield length, owner[inside], place[inside] + begin[owner[inside]]
-
-
-def _shared(a: bytes, b: bytes) -> int:
-    """Length of the common prefix."""
-    n = min(len(a), len(b))
-    if a[:n] == b[:n]:
-        return n
-    low, high = 0, n
-    while high - low > 1:
-        mid = (low + high) // 2
-        low, high = (mid, high) if a[:mid] == b[:mid] else (low, mid)
-    return low
+    first = np.flatnonzero(np.r_[True, key[order][1:] != key[order][:-1]])
+    count = np.diff(np.r_[first, len(order)])
+    same = np.repeat(np.arange(len(first)), count)
+    before = np.where(place > 0, data[at - 1].astype(np.int64), -1 - np.arange(len(at)))[order]
+    # a group of equal passages that all have the same byte before them begins further left
+    begins = np.logical_or.reduceat(before != before[first][same], first)
+    rows = order[begins[same]]
+    group_of, ahead = same[begins[same]], before[begins[same]]
+    if not len(rows):
+        return
+    rest = size[owner[rows]] - place[rows] - LENGTH
+    width = -(-(_REACH - LENGTH) // 8) * 8
+    padded = np.concatenate([data, np.zeros(LENGTH + width, np.uint8)])
+    tails = np.lib.stride_tricks.sliding_window_view(padded, width)[at[rows] + LENGTH]
+    tails[np.arange(width, dtype=np.int16) >= rest.astype(np.int16)[:, None]] = 0
+    suffixes, shared = _suffix_order(tails, rest, group_of)
+    rows, ahead = rows[suffixes], ahead[suffixes]
+    differs = np.r_[0, np.cumsum(ahead[1:] != ahead[:-1])]
+    found = np.array(list(prefix_intervals((shared + LENGTH).tolist(), LENGTH)), np.int64).reshape(-1, 3)
+    found = found[differs[found[:, 2]] > differs[found[:, 1]]]
+    upto = np.cumsum(found[:, 2] - found[:, 1] + 1)
+    k = 0
+    while k < len(found):
+        to = max(int(np.searchsorted(upto, (upto[k - 1] if k else 0) + _OCCURRENCES, side="right")), k + 1)
+        length, first, last = found[k:to].T
+        count = last - first + 1
+        inside = rows[np.repeat(first - (np.cumsum(count) - count), count) + np.arange(count.sum())]
+        yield length, count, owner[inside], place[inside] + begin[owner[inside]]
+        k = to
 
 
 def _contexts(blobs: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
     heads, bodies = [], []
-    for blob in blobs:
+    for blob in map(unpack, blobs):
         n = int.from_bytes(blob[:8], "little")
         head = np.frombuffer(blob, _HEAD, n, 8)
         stop = 8 + n * _HEAD.itemsize + np.cumsum(head["size"].astype(np.int64))
@@ -319,19 +385,20 @@ def _contexts(blobs: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
     return head[order], [bodies[k] for k in order.tolist()]
 
 
-_GROUP_CHUNK = 4096  # contexts compared together; groups stay whole
+_GROUP_CHUNK = 2048  # contexts compared together; groups stay whole
 
 
-def _array_groups(blobs: list[bytes]) -> Iterator[tuple[np.ndarray, int, np.ndarray, np.ndarray]]:
-    """(heads, length, contexts, places) of the maximal repeats of a partition's anchor groups."""
+def _array_groups(blobs: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(heads, lengths, counts, contexts, places) of the maximal repeats of a partition's anchor groups, some groups at a time."""
     head, bodies = _contexts(blobs)
     starts = np.flatnonzero(np.r_[True, head["h"][1:] != head["h"][:-1], True])
     k = 0
     while k < len(starts) - 1:
         to = max(int(np.searchsorted(starts, starts[k] + _GROUP_CHUNK, side="right")) - 1, k + 1)
         x, y = int(starts[k]), int(starts[to])
-        for length, owner, place in maximal_repeats(bodies[x:y], head["h"][x:y], head["begin"][x:y].astype(np.int64)):
-            yield head[x:y], length, owner, place
+        own = head[x:y]
+        for found in maximal_repeats(bodies[x:y], own["h"], own["begin"].astype(np.int64), own["anchor"].astype(np.int64)):
+            yield own, *found
         k = to
 
 
@@ -339,40 +406,60 @@ def _blobs(batches: Iterator[pa.RecordBatch]) -> list[bytes]:
     return [v for b in batches for v in b.column(1).to_pylist()]
 
 
+_SPAN = np.dtype([("doc", "<i8"), ("t", "<i4"), ("a", "<u4"), ("b", "<u4")])
+
+
+def _united(rows: np.ndarray) -> np.ndarray:
+    """Rows (doc, t, a, b) as maximal runs, in order."""
+    if not len(rows):
+        return rows
+    names, of = np.unique(rows[["doc", "t"]], return_inverse=True)
+    start = (of.astype(np.int64) << 33) + rows["a"]
+    order = np.argsort(start, kind="stable")
+    a, b = union_spans(start[order], ((of.astype(np.int64) << 33) + rows["b"])[order])
+    out = np.empty(len(a), _SPAN)
+    out["doc"], out["t"] = names["doc"][a >> 33], names["t"][a >> 33]
+    out["a"], out["b"] = a & ((1 << 33) - 1), b - (a >> 33 << 33)
+    return out
+
+
 def _removals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(doc, t, spans): every occurrence of a maximal repeat but the earliest."""
     blobs = _blobs(batches)
     if not blobs:
         return
     found: list[np.ndarray] = []
-    kind = np.dtype([("doc", "<i8"), ("t", "<i4"), ("a", "<u4"), ("b", "<u4")])
-    for head, length, owner, place in _array_groups(blobs):
-        own = head[owner]
-        earliest = np.lexsort((place, own["t"], own["doc"]))[0]
-        rows = np.empty(len(owner), kind)
-        rows["doc"], rows["t"], rows["a"], rows["b"] = own["doc"], own["t"], place, place + length
-        first = rows[earliest]
-        found.append(rows[(rows["doc"] != first["doc"]) | (rows["t"] != first["t"]) | (rows["a"] != first["a"])])
-    if not found:
+    for head, length, count, owner, place in _array_groups(blobs):
+        names, of = np.unique(head[["doc", "t"]], return_inverse=True)
+        start = (of[owner].astype(np.int64) << 33) + place
+        earliest = np.minimum.reduceat(start, np.cumsum(count) - count)
+        later = start > np.repeat(earliest, count)
+        # documents are numbered in their order, so one number orders occurrences; the runs of this slice alone are kept
+        order = np.argsort(start[later], kind="stable")
+        a, b = union_spans(start[later][order], (start + np.repeat(length, count))[later][order])
+        rows = np.empty(len(a), _SPAN)
+        rows["doc"], rows["t"] = names["doc"][a >> 33], names["t"][a >> 33]
+        rows["a"], rows["b"] = a & ((1 << 33) - 1), b - (a >> 33 << 33)
+        found.append(rows)
+    rows = _united(np.concatenate(found)) if found else np.empty(0, _SPAN)
+    if not len(rows):
         return
-    rows = np.concatenate(found)
-    rows = rows[np.lexsort((rows["a"], rows["t"], rows["doc"]))]
     cuts = np.flatnonzero(np.r_[True, (rows["doc"][1:] != rows["doc"][:-1]) | (rows["t"][1:] != rows["t"][:-1]), True])
-    spans = []
-    for x, y in zip(cuts.tolist(), cuts[1:].tolist()):
-        a, b = union_spans(rows["a"][x:y].astype(np.int64), rows["b"][x:y].astype(np.int64))
-        spans.append(np.stack([a, b], 1).astype("<u4").tobytes())
+    both = np.stack([rows["a"], rows["b"]], axis=1)
+    spans = [both[x:y].tobytes() for x, y in zip(cuts.tolist(), cuts[1:].tolist())]
     yield pa.RecordBatch.from_arrays(
         [pa.array(rows["doc"][cuts[:-1]]), pa.array(rows["t"][cuts[:-1]]), pa.array(spans, pa.binary())], ["doc", "t", "spans"]
     )
 
 
 def _all_occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    blobs = _blobs(batches)
-    for k, (head, length, owner, place) in enumerate(_array_groups(blobs) if blobs else ()):
-        n, own = len(owner), head[owner]
+    blobs, before = _blobs(batches), 0
+    for head, length, count, owner, place in _array_groups(blobs) if blobs else ():
+        own = head[owner]
         name = pa.array(own["doc"].astype(np.int64), mask=own["doc"] == _NO_ID)
-        columns = [np.full(n, own["h"][0]).view(np.int64), np.full(n, k), name, place, np.full(n, length)]
+        repeat = np.repeat(np.arange(len(count)) + before, count)
+        before += len(count)
+        columns = [own["h"].view(np.int64), repeat, name, place, np.repeat(length, count)]
         yield pa.RecordBatch.from_arrays(
             [c if isinstance(c, pa.Array) else pa.array(c, pa.int64()) for c in columns],
             ["anchor", "repeat", "doc_id", "start", "length"],
@@ -381,9 +468,10 @@ def _all_occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 def _close(with_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _smaller(batches):
             out = []
-            for name, t, text, *lists in zip(*(b.column(k).to_pylist() for k in range(5))):
+            for name, t, packed, *lists in zip(*(b.column(k).to_pylist() for k in range(5))):
+                text = unpack(packed)
                 spans = np.frombuffer(b"".join([lists[0] or b"", *(lists[1] or [])]), "<u4").astype(np.int64).reshape(-1, 2)
                 start, end = union_spans(spans[:, 0], spans[:, 1])
                 out.append(_finished(name, t, text, start, end, with_text))
@@ -404,7 +492,9 @@ def _compared(docs: DataFrame, id_column: str, text_column: str, with_text: bool
         .groupBy("doc", "t")
         .agg(F.collect_list("settled").alias("settled"), F.collect_list("fine").alias("fine"))
     )
-    keyed = texts.withColumn("doc", F.coalesce("doc_id", F.lit(_NO_ID)))
+    keyed = texts.mapInArrow(_packed_texts, "doc_id bigint, t int, text binary").withColumn(
+        "doc", F.coalesce("doc_id", F.lit(_NO_ID))
+    )
     joined = keyed.join(noted.hint("shuffle_hash"), ["doc", "t"], "left").select("doc_id", "t", "text", "settled", "fine")
     return materialise(joined.mapInArrow(_apply_settled(4 * parts, with_text), _RESULT_SCHEMA), "repeats", by="kind")
 

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill.sources.workspace import materialise
 
-__all__ = ["documents", "fold", "held_out", "join_classes", "materialise", "mix64", "partitions", "prefix_hash", "span_hash", "texts_of", "utf8"]
 
 # Odd multiplier of the polynomial byte hash, its inverse modulo 2^64, and the finaliser's constants.
 _BASE = 0x9E3779B97F4A7C15
@@ -49,6 +49,22 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+_ZSTD: dict[str, object] = {}
+
+
+def pack(data: bytes) -> bytes:
+    """Compressed bytes, for what is shuffled or stored in between."""
+    if "out" not in _ZSTD:
+        _ZSTD["out"] = zstandard.ZstdCompressor(level=1)
+    return _ZSTD["out"].compress(data)
+
+
+def unpack(data: bytes) -> bytes:
+    if "in" not in _ZSTD:
+        _ZSTD["in"] = zstandard.ZstdDecompressor()
+    return _ZSTD["in"].decompress(data)
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers whose every output bit depends on all input bits."""
     x = (x ^ (x >> np.uint64(30))) * _MIX_1
@@ -82,14 +98,6 @@ def span_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarra
     return mix64((sums[end] - sums[start]) * _powers(len(sums), "down", _INVERSE)[start])
 
 
-def fold(values: list[int]) -> int:
-    """One number for a short list of numbers."""
-    out = 0
-    for v in values:
-        out = (out * _BASE + v + 1) % (1 << 64)
-    return out
-
-
 # Fixed share: a class with at least this share of all rows is joined by broadcast; there are at most as many as its inverse.
 _HOT_SHARE = 1 / 1024
 
