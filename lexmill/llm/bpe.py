@@ -17,7 +17,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from lexmill.llm.support import texts_of
+from lexmill.llm.support import slices, texts_of
 from lexmill.llm.words import WordEncoder, as_bytes, byte_letters, default_vocabulary
 
 _END = "</w>"
@@ -230,7 +230,7 @@ def encode(docs: DataFrame, vocabulary: str | None = None, id_column: str = "doc
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, encoder = _codec(shared)
-        for b in batches:
+        for b in slices(batches):
             ids = [memoryview(i).cast("I").tolist() for i in encoder.encode(b.column(1).to_pylist())]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
 
@@ -258,7 +258,7 @@ def round_trip_digests(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec, encoder = _codec(shared)
-        for b in batches:
+        for b in slices(batches):
             n, coded, decoded = [], [], []
             for ids in encoder.encode(b.column(1).to_pylist()):
                 n.append(len(ids) // 4)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.llm.support import join_classes, materialise, partitions, texts_of
+from lexmill.llm.support import join_classes, materialise, partitions, slices, texts_of
 
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _NO_ID = np.iinfo(np.int64).min
@@ -110,7 +110,7 @@ def normalised_digest(text: str) -> bytes:
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in slices(batches):
         found = [normalised_digest(t) for t in b.column(2).to_pylist()]
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(found, pa.binary())], ["doc_id", "t", "digest"])
 

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.llm.components import components
-from lexmill.llm.support import join_classes, materialise, mix64, partitions, prefix_hash, span_hash, texts_of
+from lexmill.llm.support import join_classes, materialise, mix64, partitions, prefix_hash, slices, span_hash, texts_of
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -34,7 +34,7 @@ BANDS, ROWS = 32, 6
 STEP = 32
 TOLERANCE = 1e-6
 #: What a block of a large component holds: shingles, and this many more for each document.
-BLOCK_WEIGHT, DOCUMENT_WEIGHT = 1 << 20, 256
+BLOCK_WEIGHT, DOCUMENT_WEIGHT = 1 << 19, 256
 
 _HASHES = BANDS * ROWS
 _RNG = np.random.default_rng(11)
@@ -102,7 +102,7 @@ _SKETCH = "doc_id bigint, t int, n bigint, d1 bigint, d2 bigint, keys array<bigi
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in slices(batches):
         sets = [shingles(text) for text in b.column(2).to_pylist()]
         signatures = np.stack([minhash(s) for s in sets]) if sets else np.zeros((0, _HASHES), np.uint32)
         keys = band_keys(signatures).view(np.int64)
@@ -116,7 +116,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _payload(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in slices(batches, 128):
         sets = [shingles(text) for text in b.column(b.num_columns - 1).to_pylist()]
         marks = [minhash(s).astype(np.uint8).tobytes() for s in sets]
         grams = pa.array([s.tobytes() for s in sets], pa.binary())
@@ -189,7 +189,7 @@ def _verify(threshold: float):
 
         key: tuple | None = None
         held: list[tuple] = []
-        for b in batches:
+        for b in slices(batches, 128):
             for c, x, y, block, node, size, grams, marks in zip(*(col.to_pylist() for col in b.columns)):
                 if key != (c, x, y):
                     if held:

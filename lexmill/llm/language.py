@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.llm.support import held_out, utf8
+from lexmill.llm.support import held_out, slices, utf8
 
 UNKNOWN = "und"
 BUCKETS = 1 << 15
@@ -118,7 +118,7 @@ def train(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, np.ndarray] = {}
-        for b in batches:
+        for b in slices(batches):
             data, at = utf8(b.column(1))
             for k, lang in enumerate(b.column(0).to_pylist()):
                 counts = seen.setdefault(lang, np.zeros(BUCKETS, np.int64))
@@ -154,7 +154,7 @@ def _judge(model: LanguageModel, text: str | None, raw: np.ndarray) -> tuple[str
     if not len(grams):
         return UNKNOWN, 0.0, [], True
     found, fit = model.mixture(grams)
-    return found[0][0], found[0][1], found, fit < model.noise
+    return found[0][0], min(found[0][1], 1.0), found, fit < model.noise
 
 
 def _judged(model: LanguageModel, text: pa.Array) -> list[tuple[str, float, list[tuple[str, float]], bool]]:
@@ -167,7 +167,7 @@ def identify(docs: DataFrame, model: LanguageModel, id_column: str = "doc_id", t
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             rows = _judged(shared.value, b.column(2))
             yield pa.RecordBatch.from_arrays(
                 [
@@ -200,7 +200,7 @@ def accepted(docs: DataFrame, model: LanguageModel, text_column: str = "text") -
     at = docs.columns.index(text_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             yield b.filter(pa.array([not r[3] for r in _judged(shared.value, b.column(at))], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

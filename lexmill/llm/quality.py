@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.llm.support import held_out, materialise, texts_of
+from lexmill.llm.support import held_out, materialise, slices, texts_of
 
 CUT = 0.3
 #: Shares of the pooled covariance and of the diagonal in the shrunk one.
@@ -109,7 +109,7 @@ def document_statistics(docs: DataFrame, id_column: str = "doc_id", text_column:
     """(doc_id, stats) for every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             rows = pa.array([statistics(t) for t in b.column(1).to_pylist()], pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([b.column(0), rows], ["doc_id", "stats"])
 
