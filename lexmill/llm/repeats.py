@@ -156,18 +156,29 @@ def _find_anchors(buckets: int):
             columns = [x.astype(_ANCHOR_ROW[n]) for n, x in zip(_ANCHOR_ROW.names, (h, c, name[doc], t[doc], pos))]
             blobs = []
             for x, y in zip(cuts.tolist(), cuts[1:].tolist()):
-                blobs.append(pack(b"".join(v[sent[x:y]].tobytes() for v in columns)))
+                blobs.append(pack(_anchor_bytes([v[sent[x:y]] for v in columns])))
             yield _rows(len(blobs), bucket=bucket[cuts[:-1]].astype(np.int32), blob=pa.array(blobs, pa.binary()))
 
     return run
 
 
-def _anchor_rows(columns: bytes) -> np.ndarray:
-    n, at = len(columns) // _ANCHOR_ROW.itemsize, 0
+def _anchor_bytes(columns: list[np.ndarray]) -> bytes:
+    """Columns of anchors for the compressor: documents as steps, and the first bytes of all values before the second ones."""
+    planes = []
+    for name, values in zip(_ANCHOR_ROW.names, columns):
+        values = np.diff(values, prepend=0) if name == "doc" else values
+        planes.append(values.view(np.uint8).reshape(len(values), -1).T.tobytes())
+    return b"".join(planes)
+
+
+def _anchor_rows(planes: bytes) -> np.ndarray:
+    n, at = len(planes) // _ANCHOR_ROW.itemsize, 0
     rows = np.empty(n, _ANCHOR_ROW)
     for name in _ANCHOR_ROW.names:
-        rows[name] = np.frombuffer(columns, _ANCHOR_ROW[name], n, at)
-        at += n * _ANCHOR_ROW[name].itemsize
+        kind = _ANCHOR_ROW[name]
+        values = np.frombuffer(planes, np.uint8, n * kind.itemsize, at).reshape(kind.itemsize, n).T.copy().view(kind)[:, 0]
+        rows[name] = np.cumsum(values) if name == "doc" else values
+        at += n * kind.itemsize
     return rows
 
 
@@ -486,7 +497,7 @@ def _compared(docs: DataFrame, id_column: str, text_column: str, with_text: bool
     parts = partitions(spark)
     texts = texts_of(docs, id_column, text_column).select("doc_id", F.hash("text").alias("t"), "text")
     noted = (
-        texts.mapInArrow(_find_anchors(4 * parts), _SCHEMA)
+        texts.mapInArrow(_find_anchors(2 * parts), _SCHEMA)
         .repartition(parts, F.coalesce("bucket", F.hash("doc", "t")))
         .mapInArrow(_compare_anchors, _SCHEMA)
         .groupBy("doc", "t")
@@ -496,7 +507,7 @@ def _compared(docs: DataFrame, id_column: str, text_column: str, with_text: bool
         "doc", F.coalesce("doc_id", F.lit(_NO_ID))
     )
     joined = keyed.join(noted.hint("shuffle_hash"), ["doc", "t"], "left").select("doc_id", "t", "text", "settled", "fine")
-    return materialise(joined.mapInArrow(_apply_settled(4 * parts, with_text), _RESULT_SCHEMA), "repeats", by="kind")
+    return materialise(joined.mapInArrow(_apply_settled(2 * parts, with_text), _RESULT_SCHEMA), "repeats", by="kind")
 
 
 def _surroundings(compared: DataFrame) -> DataFrame:
