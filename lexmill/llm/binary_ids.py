@@ -56,29 +56,17 @@ def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
     return out
 
 
-def rank_table(stored: DataFrame) -> DataFrame:
-    """(rank, id, n) of every id that occurs, by falling count. Its rows are bounded by the vocabulary."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(1, np.int64)
-        for b in batches:
-            for n, ids in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                more = np.bincount(ids_of(ids, n), minlength=len(seen))
-                more[: len(seen)] += seen
-                seen = more
-        used = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(seen[used], pa.int64())], ["id", "n"])
-
-    counts = stored.select("n_tokens", "ids").mapInArrow(count, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
-    ranked = counts.select((F.row_number().over(Window.orderBy(F.desc("n"), "id")) - 1).cast("bigint").alias("rank"), "id", "n")
-    return ranked
+def rank_table(counted: DataFrame) -> DataFrame:
+    """(rank, id, n) of every id that occurs, by falling count, from counts (id, n). Its rows are bounded by the vocabulary."""
+    counts = counted.groupBy("id").agg(F.sum("n").alias("n"))
+    return counts.select((F.row_number().over(Window.orderBy(F.desc("n"), "id")) - 1).cast("bigint").alias("rank"), "id", "n")
 
 
 def write(docs: DataFrame, path: str, end_id: int = 2, vocabulary: str | None = None, **columns: str) -> None:
     """Encode every text, append the end id and write the files of the format under ``path``."""
     spark = docs.sparkSession
-    stored = stored_ids(docs, end_id, vocabulary, **columns)
-    ranks = materialise(rank_table(stored), "ranks", f"{path}/ids")
+    stored, counted = stored_ids(docs, end_id, vocabulary, **columns)
+    ranks = materialise(rank_table(counted), "ranks", f"{path}/ids")
     rank_of = np.zeros((ranks.agg(F.max("id")).first()[0] or 0) + 1, np.uint32)  # one entry per token id
     for r in ranks.select("id", "rank").toLocalIterator():
         rank_of[r["id"]] = r["rank"]

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexmill.llm.support import materialise, mix64, partitions
+from lexmill.llm.support import materialise, mix64, partitions, slices
 from lexmill.llm.tokens import ids_of, stored_ids
 
 WIDTH = 4096
@@ -71,22 +71,6 @@ def _keys(ids: list[np.ndarray], table: np.ndarray) -> np.ndarray:
     return hilbert_keys(cells, GRID_BITS)
 
 
-def _with_keys(stored: DataFrame) -> DataFrame:
-    table = projection()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            n = b.column(2).to_pylist()
-            key = _keys([ids_of(i, k) for i, k in zip(b.column(3).to_pylist(), n)], table)
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), b.column(2), pa.array(key, pa.int64())], ["row", "doc_id", "n_tokens", "key"]
-            )
-
-    return stored.select("row", "doc_id", "n_tokens", "ids").mapInArrow(
-        run, "row bigint, doc_id bigint, n_tokens bigint, key bigint"
-    )
-
-
 def _laid_out(keyed: DataFrame) -> DataFrame:
     """(row, place): tokens before each document along the curve."""
     spark = keyed.sparkSession
@@ -117,12 +101,13 @@ def pack(
     docs: DataFrame, width: int = WIDTH, end_id: int = 2, vocabulary: str | None = None, with_ids: bool = False, **columns: str
 ) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, and the ids if asked for."""
-    stored = stored_ids(docs, end_id, vocabulary, **columns)
-    keyed = materialise(_with_keys(stored), "curve-keys")
-    placed = stored.select("row", "doc_id", "n_tokens", "ids").join(_laid_out(keyed), "row")
+    table = projection()
+    stored, _ = stored_ids(docs, end_id, vocabulary, key=lambda ids: _keys(ids, table), **columns)
+    laid_out = _laid_out(stored.select("row", "doc_id", "n_tokens", "key"))
+    placed = stored.select("row", "doc_id", "n_tokens", "ids").join(laid_out, "row")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             out: list[list] = [[] for _ in range(8)]
             for name, n, stored_bytes, place in zip(*(b.column(k).to_pylist() for k in range(4))):
                 ids = ids_of(stored_bytes, n).astype("<u4")
