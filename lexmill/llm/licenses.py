@@ -7,7 +7,13 @@ it. A template's smallest hashes stay the smallest in every window that lies ins
 a window is always retrieved. The shortest notices, of one shingle, share their window with seven others: these hide the value with a
 probability of 7 / 8 192, and hardly ever in both windows that hold the notice.
 
+With windows this short that comes to a look-up of nearly every shingle: a shingle is hidden in a window with a probability of at most
+7 / 8 192. A template retrieves by its ``SKETCH`` smallest values at most. A document that holds ``CONTAINED`` of a longer template, the
+lost shingles being independent of their hashes, misses all of them with a probability below 0.2 ** 64.
+
 What is retrieved is verified exactly: the share of the template's shingles that the document holds must reach ``CONTAINED``.
+A license has several templates: whole text, header, wordings. A document gives one row for each license, that of the
+template of which it holds most shingles, then of the shorter one. Licenses that share their wording, as GPL versions, can all be given.
 Everything is local to a row; nothing is exchanged. The templates are a small table that every task holds: their number is checked.
 
 Null and empty texts, and those of fewer than three words, match nothing. Repeated rows are scanned each; templates that are null or
@@ -19,12 +25,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexmill.llm.license_templates import shipped
 from lexmill.llm.support import texts_of
 
 SHINGLE = 3
 WINDOW, STRIDE = 8, 4
 CONTAINED = 0.8
 MOST_TEMPLATES = 4096
+SKETCH = 64
 _RANGE_BITS = 12
 
 # Short notices of common licenses.
@@ -42,7 +50,8 @@ NOTICES: tuple[tuple[str, str], ...] = (
 
 
 def notices(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(NOTICES), "license_id string, text string")
+    """The templates shipped: ``NOTICES``, and whole texts, headers and other wordings."""
+    return spark.createDataFrame([*NOTICES, *shipped()], "license_id string, text string")
 
 
 def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
@@ -79,23 +88,34 @@ def _templates(templates: DataFrame, id_column: str, text_column: str) -> list:
     rows = templates.select(F.col(id_column).cast("string").alias("license_id"), F.col(text_column).cast("string").alias("text"))
     shingled = _with_shingles(rows.where("license_id IS NOT NULL AND text IS NOT NULL"))
     sets = _once(shingled, "shingles", F.sort_array(F.array_distinct("hashes"))).where(F.size("shingles") > 0)
-    found = sets.select("license_id", "shingles", _range_minima(F.col("shingles")).alias("bands")).distinct()
+    found = sets.select("license_id", "shingles", F.slice(_range_minima(F.col("shingles")), 1, SKETCH).alias("bands")).distinct()
     kept = found.orderBy("license_id", "shingles").limit(MOST_TEMPLATES + 1).collect()
     if len(kept) > MOST_TEMPLATES:
         raise ValueError(f"more than {MOST_TEMPLATES} templates: scan in parts")
     return kept
 
 
+def _longs(values: list[int]) -> Column:
+    """One literal once folded, however many values."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
+
+
 def _literal(templates: list) -> Column:
-    longs = lambda values: F.array(*[F.lit(v) for v in values])
     return F.array(
         *[
-            F.struct(F.lit(t["license_id"]).alias("license_id"), longs(t["shingles"]).alias("shingles"), longs(t["bands"]).alias("bands"))
+            F.struct(F.lit(t["license_id"]).alias("license_id"), _longs(t["shingles"]).alias("shingles"), _longs(t["bands"]).alias("bands"))
             for t in templates
         ]
     )
 
 
+def _foremost(held: Column) -> Column:
+    """Of each license the entry with most shingles found, then with the fewest shingles."""
+    before = lambda x, y: (y["n_found"] > x["n_found"]) | ((y["n_found"] == x["n_found"]) & (y["n_shingles"] < x["n_shingles"]))
+    beaten = lambda x: F.exists(held, lambda y: (y["license_id"] == x["license_id"]) & before(x, y))
+    return F.array_distinct(F.filter(held, lambda x: ~beaten(x)))
+
+
 def scan(
     docs: DataFrame,
     templates: DataFrame | None = None,
@@ -104,26 +124,29 @@ def scan(
     template_id: str = "license_id",
     template_text: str = "text",
 ) -> DataFrame:
-    """(doc_id, license_id, n_found, n_shingles, containment) for every document and notice it contains."""
+    """(doc_id, license_id, n_found, n_shingles, containment) for every document and license it contains."""
     spark = docs.sparkSession
     known = _templates(templates if templates is not None else notices(spark), template_id, template_text)
     result = ["doc_id", "license_id", "n_found", "n_shingles", "containment"]
     if not known:
         return spark.createDataFrame([], "doc_id bigint, license_id string, n_found int, n_shingles int, containment double")
-    bands = F.array(*[F.lit(v) for v in sorted({b for t in known for b in t["bands"]})])
+    bands = _longs(sorted({b for t in known for b in t["bands"]}))
     minima = F.col("minima")
-    near = _with_windows(_with_shingles(texts_of(docs, id_column, text_column))).where(F.arrays_overlap(minima, bands))
-    retrieved = near.select(
-        "doc_id", "hashes", F.explode(F.filter(_literal(known), lambda t: F.arrays_overlap(t["bands"], minima))).alias("t")
-    )
-    counted = retrieved.select(
-        "doc_id",
-        F.col("t.license_id").alias("license_id"),
-        F.size(F.array_intersect("t.shingles", "hashes")).alias("n_found"),
-        F.size("t.shingles").alias("n_shingles"),
+    scanned = _with_windows(_with_shingles(texts_of(docs, id_column, text_column))).where(F.arrays_overlap(minima, bands))
+    near = _once(scanned, "hits", F.array_intersect(bands, minima)).drop("minima")
+    retrieved = _once(near, "near", F.filter(_literal(known), lambda t: F.arrays_overlap(t["bands"], F.col("hits")))).drop("hits")
+    counted = F.transform(
+        "near",
+        lambda t: F.struct(
+            t["license_id"].alias("license_id"),
+            F.size(F.array_intersect(t["shingles"], F.col("hashes"))).alias("n_found"),
+            F.size(t["shingles"]).alias("n_shingles"),
+        ),
     )
-    share = F.col("n_found") / F.col("n_shingles")
-    return counted.withColumn("containment", share).where(F.col("containment") >= CONTAINED).select(*result)
+    share = lambda t: t["n_found"] / t["n_shingles"]
+    held = _once(_once(retrieved, "counted", counted).drop("near", "hashes"), "held", F.filter("counted", lambda t: share(t) >= CONTAINED))
+    rows = held.select("doc_id", F.explode(_foremost(F.col("held"))).alias("t")).select("doc_id", "t.*")
+    return rows.withColumn("containment", F.col("n_found") / F.col("n_shingles")).select(*result)
 
 
 def oracle() -> str:
