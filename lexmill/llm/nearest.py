@@ -1,10 +1,12 @@
 """Approximate nearest neighbours by largest inner product, with cross-polytope hashing.
 
-Vectors are scaled by the largest norm and get one more component that makes them unit vectors, so the largest inner product is
+Vectors are indexed in ranges of norms, each with buckets of its own, so a long row moves its range only. They are scaled by the largest
+norm of their range and get one more component that makes them unit vectors, so in a range the largest inner product is
 the smallest angle; queries are scaled to unit length with that component zero. A table of the index turns a vector by a
 pseudo-rotation, three rounds of random signs and a fast Hadamard transform, and files it under the signed axis it is nearest to. A
-query looks, in each table, into the buckets of its ``probes`` nearest signed axes. What it finds there is ranked by exact
-inner products of the original vectors in double precision.
+query looks, in each table and range, into the buckets of its ``probes`` nearest signed axes. What it finds there is ranked by exact
+inner products of the original vectors in double precision. A query that met fewer than ``k`` candidates is compared with all rows, block by
+block; so are all queries where there are at most ``FEW`` times ``k`` candidates, of which the k best need not be near.
 
 A bucket is dealt into blocks of bounded size, each compared with its queries in one task, so copies of one vector in a third
 of all rows fill many blocks. Each block sends on the best of each query only.
@@ -19,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.llm.support import materialise, partitions
@@ -27,6 +29,9 @@ from lexmill.llm.support import materialise, partitions
 TABLES, PROBES, NEIGHBOURS = 10, 32, 20
 #: Most candidates of a block and most queries compared with it at a time.
 BLOCK, QUERY_BLOCK = 4096, 512
+FEW = 8
+#: Ranges of norms for each factor of two, and how many at most: the last one takes all shorter vectors.
+_RANGES, _MOST_RANGES = 2, 24
 _ROUNDS = 3
 
 
@@ -42,19 +47,26 @@ def hadamard(x: np.ndarray) -> np.ndarray:
 
 
 class CrossPolytope:
-    def __init__(self, length: int, largest_norm: float, tables: int = TABLES, seed: int = 5):
-        self.length, self.largest, self.tables = length, largest_norm, tables
+    def __init__(self, length: int, largest_norm: float, tables: int = TABLES, seed: int = 5, norms: list[float] | None = None):
+        self.length, self.tables = length, tables
+        self.norms = np.array(sorted(norms or [largest_norm]))  # the largest of each range
         self.width = 1 << length.bit_length()  # room for one more component
         self.signs = np.random.default_rng(seed).choice([-1.0, 1.0], (tables, _ROUNDS, self.width))
 
     def _unit(self, x: np.ndarray, is_query: bool) -> np.ndarray:
         out = np.zeros((len(x), self.width))
         norm = np.linalg.norm(x, axis=1, keepdims=True)
-        out[:, : self.length] = x / (norm if is_query else self.largest)
+        largest = self.norms[self._ranges(x)][:, None]
+        out[:, : self.length] = x / (norm if is_query else largest)
         if not is_query:
-            out[:, self.length] = np.sqrt(np.maximum(0, 1 - (norm[:, 0] / self.largest) ** 2))
+            out[:, self.length] = np.sqrt(np.maximum(0, 1 - (norm[:, 0] / largest[:, 0]) ** 2))
         return out
 
+    def _ranges(self, x: np.ndarray) -> np.ndarray:
+        """The range of each vector; norms may differ in the last digits from those that were collected."""
+        at = np.searchsorted(self.norms, np.linalg.norm(x, axis=1) * (1 - 1e-12))
+        return np.minimum(at, len(self.norms) - 1)
+
     def _turned(self, unit: np.ndarray, table: int) -> np.ndarray:
         """Nearness to each signed axis: the positive ones, then the negative ones."""
         for signs in self.signs[table]:
@@ -64,14 +76,29 @@ class CrossPolytope:
     def buckets(self, x: np.ndarray) -> np.ndarray:
         """Bucket of each vector in each table."""
         unit, axes = self._unit(x, False), 2 * self.width
-        return np.stack([self._turned(unit, t).argmax(axis=1) + t * axes for t in range(self.tables)], axis=1)
+        first = self._ranges(x) * self.tables * axes
+        return np.stack([self._turned(unit, t).argmax(axis=1) + t * axes + first for t in range(self.tables)], axis=1)
 
     def probes(self, x: np.ndarray, probes: int) -> np.ndarray:
         """The buckets a query looks into."""
         unit, axes = self._unit(x, True), 2 * self.width
         probes = min(probes, axes)
         near = [np.argpartition(-self._turned(unit, t), probes - 1, axis=1)[:, :probes] + t * axes for t in range(self.tables)]
-        return np.concatenate(near, axis=1)
+        own = np.concatenate(near, axis=1)
+        return np.concatenate([own + r * self.tables * axes for r in range(len(self.norms))], axis=1)
+
+
+def _norm() -> Column:
+    return F.sqrt(F.aggregate(F.col("vector"), F.lit(0.0), lambda a, x: a + x * x))
+
+
+def _norms(usable: DataFrame, largest: float) -> list[float]:
+    """The largest norm of each range that has vectors."""
+    if not 0 < largest < float("inf"):
+        return [largest]
+    below = F.floor(_RANGES * F.log2(F.lit(largest) / F.greatest(_norm(), F.lit(largest * 2.0**-_MOST_RANGES))))
+    ranges = usable.groupBy(F.least(below, F.lit(_MOST_RANGES - 1)).alias("range")).agg(F.max(_norm()).alias("norm"))
+    return [r["norm"] for r in ranges.collect() if r["norm"] > 0] or [largest]
 
 
 def _usable(vectors: DataFrame, id_column: str, vector_column: str) -> tuple[DataFrame, int, float]:
@@ -84,7 +111,7 @@ def _usable(vectors: DataFrame, id_column: str, vector_column: str) -> tuple[Dat
         & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
         & F.exists(v, lambda x: x != 0)
     )
-    norm = F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x))
+    norm = _norm()
     lengths = rows.groupBy(F.size(v).alias("length")).agg(F.count("*").alias("n"), F.max(norm).alias("norm"))
     common = lengths.orderBy(F.desc("n"), "length").first()
     if common is None:
@@ -114,6 +141,13 @@ def _filed(index: CrossPolytope, probes: int | None):
     return run
 
 
+def _bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (id, vector bytes)."""
+    for b in batches:
+        body = [np.array(v, np.float64).tobytes() for v in b.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(body, pa.binary())], ["id", "vector"])
+
+
 def best(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """The k largest scores of different ids, ties to the smaller id."""
     order = np.lexsort((ids, -scores))
@@ -228,8 +262,10 @@ def nearest(
     usable, length, largest = _usable(vectors, id_column, vector_column)
     if not length:
         return spark.createDataFrame([], _RESULT)
-    index = CrossPolytope(length, largest, tables)
     asked = _usable(queries, id_column, vector_column)[0].where(F.size("vector") == length)
+    if usable.select("id").distinct().limit(FEW * k + 1).count() <= FEW * k:
+        return _from_all(usable, asked, length, k)
+    index = CrossPolytope(length, largest, tables, norms=_norms(usable, largest))
     filed = "bucket bigint, id bigint, vector binary"
     candidates = materialise(usable.mapInArrow(_filed(index, None), filed), "filed")
     sizes = candidates.groupBy("bucket").agg(F.count("*").alias("n"))  # one row per axis of each table
@@ -245,10 +281,33 @@ def nearest(
             F.lit(True).alias("is_query"), "id", "vector",
         )
     )
+    found = materialise(_ranked(dealt.unionByName(probing), length, k), "found")
+    whole = found.where(F.col("rank") == k).select(F.col("query_id").alias("id"))
+    short = materialise(asked.join(whole, "id", "left_anti"), "short")
+    if short.isEmpty():
+        return found
+    enough = found.join(whole, F.col("query_id") == F.col("id"), "left_semi")
+    return enough.unionByName(_from_all(usable, short, length, k))
+
+
+def _ranked(rows: DataFrame, length: int, k: int) -> DataFrame:
+    """The result from candidates and queries (bucket, block, is_query, id, vector bytes)."""
+    parts = partitions(rows.sparkSession)
     lists = (
-        dealt.unionByName(probing)
-        .repartition(partitions(spark), "bucket", "block")
+        rows.repartition(parts, "bucket", "block")
         .sortWithinPartitions("bucket", "block", "is_query")
         .mapInArrow(_compare(length, k), "query_id bigint, ids binary, scores binary")
     )
-    return lists.repartition(partitions(spark), "query_id").sortWithinPartitions("query_id").mapInArrow(_merge(k), _RESULT)
+    return lists.repartition(parts, "query_id").sortWithinPartitions("query_id").mapInArrow(_merge(k), _RESULT)
+
+
+def _from_all(usable: DataFrame, asked: DataFrame, length: int, k: int) -> DataFrame:
+    """The exact result: every query is compared with every block of rows."""
+    blocks = max(1, -(-usable.count() // BLOCK))
+    schema, bucket = "id bigint, vector binary", F.lit(0).cast("bigint").alias("bucket")
+    dealt = usable.mapInArrow(_bytes, schema).select(
+        bucket, F.pmod(F.xxhash64("id", "vector"), F.lit(blocks).cast("bigint")).alias("block"), F.lit(False).alias("is_query"), "id", "vector"
+    )
+    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))).alias("block")
+    probing = asked.mapInArrow(_bytes, schema).select(bucket, every, F.lit(True).alias("is_query"), "id", "vector")
+    return _ranked(dealt.unionByName(probing), length, k)
