@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,6 +49,18 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.Re
             yield b.slice(k, rows)
 
 
+def byte_slices(batches: Iterator[pa.RecordBatch], column: int, size: int) -> Iterator[pa.RecordBatch]:
+    """The batches cut so that each holds about ``size`` bytes in its text ``column``, or one longer text."""
+    for b in batches:
+        ends = np.cumsum(pa.compute.binary_length(b.column(column)).fill_null(0).to_numpy(zero_copy_only=False))
+        k = 0
+        while k < b.num_rows:
+            so_far = ends[k - 1] if k else 0
+            to = max(int(np.searchsorted(ends, so_far + size, side="right")), k + 1)
+            yield b.slice(k, to - k)
+            k = to
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a string column in one array, and where each value begins (with the end)."""
     column = column.cast(pa.large_binary())
