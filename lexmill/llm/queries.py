@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexmill.llm import binary_ids, bpe, cuckoo, jaccard, language, licenses, nearest, packing, quality, repeats, runs
+from lexmill.llm import binary_ids, bpe, cuckoo, jaccard, language, licenses, nearest, packing, quality, repeats, runs, simhash
 from lexmill.llm.support import documents
 
 
@@ -56,6 +56,10 @@ def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.digests(documents(spark, sf_dir))
 
 
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.edited_and_near(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_nearest": op1_nearest,
     "op2_token_files": op2_token_files,
@@ -68,6 +72,7 @@ QUERIES = {
     "op9_curve_packing": op9_curve_packing,
     "op10_licenses": op10_licenses,
     "op12_runs": op12_runs,
+    "op13_fingerprints": op13_fingerprints,
 }
 
 ORACLES: dict[str, str] = {
