@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexmill.llm import binary_ids, bpe, cuckoo, jaccard, language, licenses, nearest, packing, quality, repeats, runs, simhash
+from lexmill.llm import alignment, binary_ids, bpe, cuckoo, jaccard, language, licenses, nearest, packing, quality, repeats, runs, simhash
 from lexmill.llm.support import documents
 
 
@@ -52,6 +52,10 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(documents(spark, sf_dir))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(documents(spark, sf_dir))
+
+
 def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.digests(documents(spark, sf_dir))
 
@@ -71,6 +75,7 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_curve_packing": op9_curve_packing,
     "op10_licenses": op10_licenses,
+    "op11_alignment": op11_alignment,
     "op12_runs": op12_runs,
     "op13_fingerprints": op13_fingerprints,
 }
