@@ -6,10 +6,12 @@ lineage, survives the loss of executors and lets later steps prune columns.
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,13 +33,30 @@ def scratch_base(spark: SparkSession) -> str:
     return _LOCAL_BASE[app]
 
 
-_JOB_FOLDERS: list[str] = []
+_JOB: ContextVar[str | None] = ContextVar("job folder", default=None)
+_SESSIONS: set[str] = set()
+
+
+def session_folder(spark: SparkSession) -> str:
+    """The session's own intermediate tables. Those behind results that are read later can't go with a job: they go when the program ends."""
+    app = spark.sparkContext.applicationId
+    folder = f"{scratch_base(spark)}/lexmill/session-{app}"
+    if folder not in _SESSIONS:
+        _SESSIONS.add(folder)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        atexit.register(_remove_at_exit, files, path)
+    return folder
+
+
+def _remove_at_exit(files, path) -> None:
+    with suppress(Exception):  # the JVM may be gone already
+        files.delete(path, True)
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    """A place of its own, inside the folder of the job that runs, if any."""
-    base = _JOB_FOLDERS[-1] if _JOB_FOLDERS else f"{scratch_base(spark)}/lexmill"
-    return f"{base}/{name}-{uuid.uuid4().hex}"
+    """A place of its own, inside the folder of the job that runs in this thread, if any, else in that of the session."""
+    return f"{_JOB.get() or session_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def remove_folder(spark: SparkSession, folder: str) -> None:
@@ -47,20 +66,18 @@ def remove_folder(spark: SparkSession, folder: str) -> None:
 
 
 @contextmanager
-def job_folder(spark: SparkSession, remove: bool = True) -> Iterator[str]:
+def job_folder(spark: SparkSession) -> Iterator[str]:
     """A folder for the intermediate tables of one job, removed when the job ends.
 
-    What outlives the job must have been written elsewhere. Without ``remove`` the caller removes the folder, once
-    what the job returned has been read.
+    What outlives the job must have been written elsewhere. Jobs in other threads have folders of their own.
     """
-    folder = new_path(spark, "job")
-    _JOB_FOLDERS.append(folder)
+    folder = f"{_JOB.get() or session_folder(spark)}/job-{uuid.uuid4().hex}"
+    token = _JOB.set(folder)
     try:
         yield folder
     finally:
-        _JOB_FOLDERS.remove(folder)
-        if remove:
-            remove_folder(spark, folder)
+        _JOB.reset(token)
+        remove_folder(spark, folder)
 
 
 def materialise(df: DataFrame, name: str, path: str | None = None, by: str | None = None) -> DataFrame:

@@ -103,7 +103,7 @@ def test_missing_dataset_or_parameter(spark, published):
 
 
 def test_jobs_leave_no_intermediate_tables(spark, run):
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{workspace.scratch_base(spark)}/lexmill")
+    path = spark._jvm.org.apache.hadoop.fs.Path(workspace.session_folder(spark))
     files = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
     assert not [f for f in files if f.getPath().getName().startswith("job-")]
     assert run.model.vocab.count() and run.model.hidden.count() and run.history.count() == PARAMS.epochs
