@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.llm.support import join_classes, materialise, partitions, slices, texts_of
+from lexmill.llm.support import join_classes, materialise, partitions, slices, text_marks, texts_of
 
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _NO_ID = np.iinfo(np.int64).min
@@ -111,8 +111,8 @@ def normalised_digest(text: str) -> bytes:
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in slices(batches):
-        found = [normalised_digest(t) for t in b.column(2).to_pylist()]
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(found, pa.binary())], ["doc_id", "t", "digest"])
+        found = [normalised_digest(t) for t in b.column(3).to_pylist()]
+        yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(found, pa.binary())], ["doc_id", "t", "u", "digest"])
 
 
 def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,15 +140,17 @@ _INDEXED = "digest binary, keep_id bigint, n bigint"
 
 
 def exact_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(doc_id, t, keep_id, group_size, kept, text_sha256) for every row; ``t`` is the text's hash() in Spark."""
-    texts = texts_of(docs, id_column, text_column).select("doc_id", F.hash("text").alias("t"), "text")
-    rows = materialise(texts.mapInArrow(_digests, "doc_id bigint, t int, digest binary"), "digests")
+    """(doc_id, t, u, keep_id, group_size, kept, text_sha256) for every row; t and u are the text's ``text_marks``."""
+    marks = [c.alias(n) for n, c in text_marks(F.col("text")).items()]
+    texts = texts_of(docs, id_column, text_column).select("doc_id", *marks, "text")
+    rows = materialise(texts.mapInArrow(_digests, "doc_id bigint, t bigint, u bigint, digest binary"), "digests")
     local = rows.select("digest", "doc_id", F.lit(1).cast("bigint").alias("n")).mapInArrow(_index, _INDEXED)
     classes = materialise(local.repartition(partitions(docs.sparkSession), "digest").mapInArrow(_index, _INDEXED), "classes")
     joined = join_classes(rows, classes, "digest", "n")
     return joined.select(
         "doc_id",
         "t",
+        "u",
         "keep_id",
         F.col("n").alias("group_size"),
         F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),

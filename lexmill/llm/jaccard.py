@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.llm.components import components
-from lexmill.llm.support import join_classes, materialise, mix64, partitions, prefix_hash, slices, span_hash, texts_of
+from lexmill.llm.support import join_classes, materialise, mix64, partitions, prefix_hash, slices, span_hash, text_marks, texts_of
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -98,20 +98,20 @@ def least_matches(threshold: float = THRESHOLD, tolerance: float = TOLERANCE) ->
     return out
 
 
-_SKETCH = "doc_id bigint, t int, n bigint, d1 bigint, d2 bigint, keys array<bigint>"
+_SKETCH = "doc_id bigint, t bigint, u bigint, n bigint, d1 bigint, d2 bigint, keys array<bigint>"
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in slices(batches):
-        sets = [shingles(text) for text in b.column(2).to_pylist()]
+        sets = [shingles(text) for text in b.column(3).to_pylist()]
         signatures = np.stack([minhash(s) for s in sets]) if sets else np.zeros((0, _HASHES), np.uint32)
         keys = band_keys(signatures).view(np.int64)
         d1 = np.array([mix64(s).sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64)
         d2 = np.array([mix64(s ^ _FOLD[0]).sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64)
         lists = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * BANDS), pa.array(keys.reshape(-1)))
         yield pa.RecordBatch.from_arrays(
-            [b.column(0), b.column(1), pa.array([len(s) for s in sets], pa.int64()), pa.array(d1), pa.array(d2), lists],
-            ["doc_id", "t", "n", "d1", "d2", "keys"],
+            [*b.columns[:3], pa.array([len(s) for s in sets], pa.int64()), pa.array(d1), pa.array(d2), lists],
+            ["doc_id", "t", "u", "n", "d1", "d2", "keys"],
         )
 
 
@@ -219,13 +219,14 @@ def _candidates(sketch: DataFrame) -> tuple[DataFrame, DataFrame]:
 def similarity_classes(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", threshold: float = THRESHOLD
 ) -> DataFrame:
-    """(doc_id, t, class_id, n_links, class_size, kept) for every row.
+    """(doc_id, t, u, class_id, n_links, class_size, kept) for every row.
 
     ``class_id`` is the smallest doc_id of the documents connected by links, ``n_links`` the number of other documents this one is
-    linked to, copies counted each; ``kept`` marks one document of each class, that with the smallest doc_id; ``t`` is the text's hash() in Spark.
+    linked to, copies counted each; ``kept`` marks one document of each class, that with the smallest doc_id; t and u are the text's ``text_marks``.
     """
     spark = docs.sparkSession
-    texts = texts_of(docs, id_column, text_column).select("doc_id", F.hash("text").alias("t"), "text")
+    marks = [c.alias(n) for n, c in text_marks(F.col("text")).items()]
+    texts = texts_of(docs, id_column, text_column).select("doc_id", *marks, "text")
     sketch = materialise(texts.mapInArrow(_sketch, _SKETCH).withColumn("node", F.monotonically_increasing_id()), "sketch")
     classes, near = _candidates(sketch)
 
@@ -237,12 +238,12 @@ def similarity_classes(
     placed = join_classes(members, materialise(weights, "weights"), "component", "members").withColumn(
         "block", F.pmod(F.xxhash64("node"), F.col("blocks"))
     )
-    placed = placed.join(sketch.select("node", "doc_id", "t"), "node").select(
-        F.coalesce("doc_id", F.lit(-(1 << 63))).alias("key"), "t", "node", "size", "component", "blocks", "block"
+    placed = placed.join(sketch.select("node", "doc_id", "t", "u"), "node").select(
+        F.coalesce("doc_id", F.lit(-(1 << 63))).alias("key"), "t", "u", "node", "size", "component", "blocks", "block"
     )
-    keyed = texts.select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("key"), "t", "text").dropDuplicates(["key", "t"])
+    keyed = texts.select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("key"), "t", "u", "text").dropDuplicates(["key", "t", "u"])
     loaded = (
-        keyed.join(placed.hint("shuffle_hash"), ["key", "t"])
+        keyed.join(placed.hint("shuffle_hash"), ["key", "t", "u"])
         .select("node", "size", "component", "blocks", "block", "text")
         .mapInArrow(_payload, _PAYLOAD)
     )
@@ -265,17 +266,17 @@ def similarity_classes(
         (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links"),
     )
     named = materialise(named.withColumn("digest", F.struct("d1", "d2", "n")).drop("d1", "d2", "n"), "named")
-    full = sketch.where("n > 0").select("node", "doc_id", "t", F.struct("d1", "d2", "n").alias("digest"))
+    full = sketch.where("n > 0").select("node", "doc_id", "t", "u", F.struct("d1", "d2", "n").alias("digest"))
     grouped = materialise(join_classes(materialise(full, "rows"), named, "digest", "size").drop("digest", "size"), "grouped")
     groups = grouped.groupBy("group").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "node")).alias("first"), F.count("*").alias("class_size")
     )
     out = join_classes(grouped, materialise(groups, "groups"), "group", "class_size").select(
-        "doc_id", "t", F.col("first.doc_id").alias("class_id"), "n_links", "class_size",
+        "doc_id", "t", "u", F.col("first.doc_id").alias("class_id"), "n_links", "class_size",
         (F.col("node") == F.col("first.node")).alias("kept"),
     )
     alone = sketch.where("n = 0").select(
-        "doc_id", "t", F.col("doc_id").alias("class_id"), F.lit(0).cast("bigint").alias("n_links"),
+        "doc_id", "t", "u", F.col("doc_id").alias("class_id"), F.lit(0).cast("bigint").alias("n_links"),
         F.lit(1).cast("bigint").alias("class_size"), F.lit(True).alias("kept"),
     )
     return out.unionByName(alone)

@@ -24,7 +24,7 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeats.remove_repeats(documents(spark, sf_dir)).drop("t", "kept")
+    return repeats.remove_repeats(documents(spark, sf_dir)).drop("kept", "rest")
 
 
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,11 +33,11 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_exact_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cuckoo.exact_groups(documents(spark, sf_dir)).drop("t")
+    return cuckoo.exact_groups(documents(spark, sf_dir)).drop("t", "u")
 
 
 def op7_similar(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.similarity_classes(documents(spark, sf_dir)).drop("t")
+    return jaccard.similarity_classes(documents(spark, sf_dir)).drop("t", "u")
 
 
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -33,6 +33,12 @@ def texts_of(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     )
 
 
+def text_marks(text: Column) -> dict[str, Column]:
+    """Columns t and u: 128 bits of the SHA-256 of a text. With doc_id they tell rows of different content apart."""
+    digest = F.sha2(text, 256)
+    return {n: F.conv(F.substring(digest, at, 16), 16, -10).cast("bigint") for n, at in (("t", 1), ("u", 17))}
+
+
 def held_out(doc_id: Column) -> Column:
     """Documents no model learns from: a fifth, by checksum of the id."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))

@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from lexmill.llm import components, cuckoo, jaccard, repeats
 
@@ -52,7 +53,7 @@ def plain_groups(rows):
 def test_exact_groups(spark, edge, empty, docs):
     for df in (edge, docs, edge.limit(1)):
         rows = [tuple(r) for r in df.select("doc_id", "text").collect()]
-        got = cuckoo.exact_groups(df).drop("t").collect()
+        got = cuckoo.exact_groups(df).drop("t", "u").collect()
         assert sorted(map(tuple, got), key=repr) == plain_groups(rows)
     assert cuckoo.exact_groups(empty).count() == 0
 
@@ -60,7 +61,7 @@ def test_exact_groups(spark, edge, empty, docs):
 def test_hot_group_of_copies(spark):
     rows = [(i, "Copy" if i % 3 == 0 else f"text {i}") for i in range(3000)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(7)
-    assert sorted(map(tuple, cuckoo.exact_groups(df).drop("t").collect()), key=repr) == plain_groups(rows)
+    assert sorted(map(tuple, cuckoo.exact_groups(df).drop("t", "u").collect()), key=repr) == plain_groups(rows)
 
 
 # Components
@@ -195,7 +196,20 @@ def plain_repeats(rows, length=repeats.LENGTH):
 
 
 def removed_rows(df):
-    return [tuple(r) for r in repeats.remove_repeats(df).drop("t", "kept").collect()]
+    return [tuple(r) for r in repeats.remove_repeats(df).drop("kept", "rest").collect()]
+
+
+def place(row):
+    """The order of documents: without id first, those of equal id by 128 bits of the SHA-256 of their texts."""
+    digest = hashlib.sha256((row[1] or "").encode()).digest()
+    return row[0] is not None, row[0] or 0, *[int.from_bytes(digest[k : k + 8], "big", signed=True) for k in (0, 8)]
+
+
+def plain_repeats_of_rows(rows):
+    """Rows equal in id and text are one document, each with its result."""
+    once = sorted({(d, t or "") for d, t in rows}, key=place)
+    found = dict(zip(once, plain_repeats(once)))
+    return sorted((found[d, t or ""] for d, t in rows), key=repr)
 
 
 def made_texts(seed):
@@ -242,6 +256,55 @@ def test_repeats_edge_rows(spark, edge, empty):
     assert repeats.remove_repeats(empty).count() == 0
 
 
+@pytest.mark.parametrize("parts", [1, 3, 7])
+def test_equal_rows_keep_their_text_however_they_are_dealt(spark, parts):
+    words = random.Random(4)
+    text = lambda n: " ".join(str(words.randrange(10**6)) for _ in range(n))
+    shared, a, b = text(30), text(70), text(70)
+    rows = [(1, a), (1, a), (1, a), (2, b), (2, shared + b[100:]), (None, shared), (None, shared), (3, text(9) + shared + text(9)), (2, b)]
+    rows += [(k, text(40)) for k in range(10, 40)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(parts)
+    assert sorted(removed_rows(df), key=repr) == plain_repeats_of_rows(rows)
+
+
+def colliding(spark, head):
+    """Two different texts that begin alike and have the same 32-bit hash() in Spark."""
+    texts = spark.range(400_000).select(F.concat(F.lit(head), F.col("id").cast("string")).alias("text"))
+    pair = texts.groupBy(F.hash("text")).agg(F.min("text").alias("a"), F.max("text").alias("b")).where("a <> b").first()
+    return pair["a"], pair["b"]
+
+
+@pytest.mark.parametrize("parts", [1, 3, 7])
+def test_texts_of_equal_hash_without_id_are_told_apart(spark, parts):
+    head = " ".join(str(k * k) for k in range(200, 240)) + " "
+    a, b = colliding(spark, head)
+    rows = [(None, a), (None, b), (None, b), (5, "other text " * 9), (6, head)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(parts)
+    assert sorted(removed_rows(df), key=repr) == plain_repeats_of_rows(rows)
+    assert sorted(map(tuple, cuckoo.exact_groups(df).drop("t", "u").collect()), key=repr) == plain_groups(rows)
+    got = jaccard.similarity_classes(df).collect()
+    assert len(got) == len(rows) and sorted(r["n_links"] for r in got) == sorted(len(x[1]) for x in plain_links(rows))
+
+
+def plain_links(rows):
+    sets = [set(jaccard.shingles(t or "").tolist()) for _, t in rows]
+    near = lambda x, y: bool(x and y) and len(x & y) >= 0.8 * len(x | y)
+    return [(d, [k for k, y in enumerate(sets) if k != i and near(sets[i], y)]) for i, (d, _) in enumerate(rows)]
+
+
+def test_a_group_of_contexts_in_many_pieces(spark, monkeypatch):
+    rng = random.Random(8)
+    passage = " ".join(str(rng.randrange(1000)) for _ in range(60))
+    rows = [(k, " ".join(str(rng.randrange(10**6)) for _ in range(rng.randint(0, 30))) + passage + str(rng.random())) for k in range(300)]
+    assert len({t for _, t in rows}) == 300
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    assert sorted(removed_rows(df)) == plain_repeats(rows)
+    data = np.frombuffer(passage.encode(), np.uint8)
+    at = np.arange(len(data) - repeats.LENGTH)
+    found = repeats._passage_hashes(np.concatenate([data, data]), np.concatenate([at, at + len(data)]))
+    assert len(set(found.tolist())) == len(at) and (found[: len(at)] == found[len(at) :]).all()
+
+
 def test_maximal_repeats_come_with_all_occurrences(spark):
     passage = "".join(random.Random(9).choice("abcdefgh") for _ in range(130))
     rows = [(i, f"{'xyz'[i % 3] * (i + 3)}{passage}{'uvw'[i % 3] * (i + 2)}") for i in range(6)]

@@ -7,7 +7,7 @@ import zlib
 
 import numpy as np
 import pytest
-from test_duplicates import plain_classes, plain_repeats
+from test_duplicates import colliding, place, plain_classes, plain_repeats
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -15,6 +15,7 @@ from __spark_entry__ import queries
 from lexmill.llm import language
 from lexmill.llm.support import materialise
 from lexmill.llm.words import default_vocabulary
+from lexmill.sources import workspace
 
 
 @pytest.fixture(scope="module")
@@ -87,9 +88,34 @@ def test_run_applies_all_stages(spark, small, stages):
     assert key(queries()["pipeline"](spark, small)) == key(stages[5])
 
 
+@pytest.mark.parametrize("parts", [1, 3, 7])
+def test_equal_rows_and_texts_of_equal_hash(spark, small, parts):
+    long = " ".join(str(k * k) for k in range(100, 160)) + " "
+    a, b = colliding(spark, long)
+    other = "an entirely different text about the weather of the coming days and nights " * 3
+    rows = [(None, a), (None, b), (None, b), (7, other), (7, other), (7, other), (8, None), (8, None), (9, "")]
+    df = spark.createDataFrame([(*r, "en", "s", 1) for r in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    df = df.repartition(parts)
+    stages = dict(corpus_pipeline.STAGES)
+    got = lambda name: sorted(((r["doc_id"], r["text"]) for r in stages[name](spark, df, small).collect()), key=repr)
+    assert got("exact_duplicates") == sorted([(None, a), (None, b), (7, other), (9, "")], key=repr)
+    assert [d for d, _ in got("similar_documents")].count(None) == 1 and (7, other) in got("similar_documents")
+    after = got("repeated_passages")
+    assert [d for d, _ in after] == [d for d, _ in sorted(rows, key=repr)]
+    assert after.count((8, None)) == 2 and after.count((7, other)) == 0 and len({t for d, t in after if d == 7}) == 1
+    first, second = sorted((a, b), key=lambda t: place((None, t)))
+    assert [t for d, t in after if d is None].count(first) == (1 if first == a else 2)
+
+
+def test_the_pipeline_leaves_no_job_folder(spark, small, stages):
+    path = spark._jvm.org.apache.hadoop.fs.Path(workspace.session_folder(spark))
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    assert not [f for f in files if f.getPath().getName().startswith("job-")]
+
+
 def test_stages_take_odd_rows_and_empty_tables(spark, edge, empty, small):
     for docs in (edge, empty):
-        clashing = docs.withColumnRenamed("key", "row_key").withColumnRenamed("t", "row_mark")
+        clashing = docs.withColumnRenamed("key", "row_id").withColumnRenamed("t", "row_t").withColumnRenamed("h", "rest")
         kept = clashing
         for name, stage in corpus_pipeline.STAGES[:-1]:
             kept = materialise(stage(spark, kept, small), name)
