@@ -255,6 +255,8 @@ SELECT doc_id, p.word, p.n, coalesce(idx, 1) AS idx FROM postings p LEFT JOIN vo
     "tfidf": f"WITH {_TRAIN}, {_POSTINGS}, {_weighted(None)} SELECT doc_id, idx, round(tfidf, 6) AS tfidf FROM x",
     "tfidf_limited": f"""WITH {_TRAIN}, {_POSTINGS}, {_weighted(200)}
 SELECT doc_id, idx, round(tfidf, 6) AS tfidf FROM x""",
+    "tfidf_shared_ids": f"""WITH {_TRAIN}, {_POSTINGS}, {_weighted(None)}
+SELECT CASE WHEN doc_id % 5 <> 0 THEN doc_id % 17 END AS doc_id, idx, round(tfidf, 6) AS tfidf FROM x""",
     "distinct_labels": f"""WITH {_SPLIT}
 SELECT lang AS label, bool_or(split = 'train') AS in_train FROM assigned GROUP BY lang""",
     "label_encode": "SELECT doc_id, lang, dense_rank() OVER (ORDER BY lang) - 1 AS label_idx FROM documents",
@@ -270,6 +272,8 @@ SELECT doc_id, label, round(score, 6) AS score FROM predicted""",
     "score_unseen_texts": f"""WITH {_TRAIN}, {_ITEMS}, {_scores(None, 1000.0, 'item_id', 'items')}
 SELECT item_id, label, round(score, 6) AS score FROM predicted""",
     "predict_requests": _PREDICTED_TURNS,
+    "predict_shared_ids": f"""SELECT CASE WHEN request_id % 5 <> 0 THEN request_id % 17 END AS request_id, label, score
+FROM ({_PREDICTED_TURNS})""",
     "score_stream_batches": _PREDICTED_TURNS,
     "score_stream_rejects": """WITH turns AS (SELECT conv_id * 1000 + turn AS request_id, concat(role, ';', text) AS r
   FROM conversations),

@@ -385,6 +385,14 @@ def tfidf_limited(spark: SparkSession, sf: str) -> DataFrame:
     return _weights(spark, sf, fx.LIMIT)
 
 
+@query
+def tfidf_shared_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents that share an id, or have none, weighted each by itself."""
+    fit = fx.fitted(spark, sf)
+    docs = fx.cleaned(spark, sf).withColumn("doc_id", fx.coarse(F.col("doc_id")))
+    return features.tfidf(docs, fit.vocab, fit.n_docs).withColumn("tfidf", _six("tfidf"))
+
+
 # Labels
 
 
@@ -467,6 +475,14 @@ def predict_requests(spark: SparkSession, sf: str) -> DataFrame:
     return predicted.withColumn("score", _six("score"))
 
 
+@query
+def predict_shared_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """Requests that share an id, or have none: each gets its row."""
+    asked = _conversations(spark, sf).withColumn("request_id", fx.coarse(F.col("request_id")))
+    predicted = publishing.predict(spark, _published(spark, sf), asked)
+    return predicted.withColumn("score", _six("score"))
+
+
 def _stream(spark: SparkSession, sf: str, arriving: DataFrame) -> str:
     """Runs the stream over the requests, in three files; its folder."""
     base = workspace.new_path(spark, "stream")

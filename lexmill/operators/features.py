@@ -8,10 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.config import OOV_INDEX
-from lexmill.functions.text import tokens
 from lexmill.functions.weights import inverse_document_frequency, term_weight
+from lexmill.operators.counting import counted_words
 from lexmill.operators.vocabulary import within_limit
-from lexmill.sources.workspace import BROADCAST_BYTES, computed_once, fits_broadcast, materialise
+from lexmill.sources.workspace import BROADCAST_BYTES, fits_broadcast, materialise
 
 # Fixed sizes of the lookup in a vocabulary too large to broadcast. A word is frequent if it has more
 # rows than one task should take; raising the bar with the data bounds how many such words there are.
@@ -72,22 +72,13 @@ def lookup_index(rows: DataFrame, vocab: DataFrame, num_words: int | None = None
     return found.withColumn("idx", _index_or_oov())
 
 
-def word_runs(docs: DataFrame, words: Column, *keep: str) -> DataFrame:
-    """``(keep, word, n)``: the different words of each row with their numbers, counted within the row.
+#: Name of the generated number that tells rows apart, whatever ids they have.
+ROW = "_row"
 
-    The words are sorted and cut where they change, so nothing is exchanged. A row without words has one
-    row whose word is null.
-    """
-    held = computed_once(docs.select(*keep, words.alias("_words")), "_sorted", F.sort_array("_words")).drop("_words")
-    w = F.col("_sorted")
-    places = F.sequence(F.lit(0), F.size(w) - 1)
-    first = F.filter(places, lambda i: (i == 0) | (F.get(w, i) != F.get(w, i - 1)))
-    cut = computed_once(held, "_first", F.when(F.size(w) > 0, first))
-    f = F.col("_first")
-    runs = F.transform(
-        f, lambda at, k: F.struct(F.get(w, at).alias("word"), (F.coalesce(F.get(f, k + 1), F.size(w)) - at).cast("bigint").alias("n"))
-    )
-    return cut.select(*keep, F.inline_outer(runs))
+
+def with_row(docs: DataFrame) -> DataFrame:
+    """The rows with a number of their own. It holds for one reading of the rows: it goes along with what is made of a row."""
+    return docs.withColumn(ROW, F.monotonically_increasing_id())
 
 
 def term_frequencies(
@@ -95,9 +86,10 @@ def term_frequencies(
 ) -> DataFrame:
     """``(doc_id, word, n)``: occurrences of each word in each document, with the columns named in ``keep``.
 
-    A document is one row of cleaned text. With ``keep_empty`` one without tokens has one row whose word is null.
+    A document is one row of cleaned text, also if others have its id. With ``keep_empty`` one without tokens has one row
+    whose word is null.
     """
-    rows = word_runs(docs, tokens(F.col("clean")), key, *keep)
+    rows = counted_words(docs, [key, *keep]).drop("place")
     return rows if keep_empty else rows.where(F.col("word").isNotNull())
 
 
@@ -127,14 +119,16 @@ def tfidf(
 
     A document without tokens has no row, or with ``keep_empty`` one without index. Known words and
     indices are one to one, so their rows are final after the lookup. Only the unknown words, which share an
-    index, are summed per document: the exchange holds a number for each document that has any.
+    index, are summed per document: the exchange holds a number for each document that has any. Documents
+    are rows: those that share an id or have none are weighted each by itself.
     """
     words = idf_of(within_limit(vocab, num_words), n_docs)
-    found = lookup_words(term_frequencies(docs, key, keep, keep_empty), words, ["idx", "idf"], **limits)
+    counts = term_frequencies(with_row(docs), key, [*keep, ROW], keep_empty)
+    found = lookup_words(counts, words, ["idx", "idf"], **limits)
     known = F.col("idx").isNotNull()
     empty = F.col("word").isNull()
     placed = found.where(known | empty).select(key, *keep, "idx", (term_weight(F.col("n")) * F.col("idf")).alias("tfidf"))
-    unknown = found.where(~known & ~empty).groupBy(key, *keep).agg(F.sum("n").alias("n"))
+    unknown = found.where(~known & ~empty).groupBy(ROW, key, *keep).agg(F.sum("n").alias("n"))
     others = unknown.select(
         key, *keep, F.lit(OOV_INDEX).cast("bigint").alias("idx"), (term_weight(F.col("n")) * oov_idf(n_docs)).alias("tfidf")
     )

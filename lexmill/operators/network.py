@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from lexmill.config import OOV_INDEX
 from lexmill.functions.weights import arg_max, dot, relu, sigmoid, term_weight
-from lexmill.operators.features import idf_of, lookup_words, oov_idf, term_frequencies
+from lexmill.operators.features import ROW, idf_of, lookup_words, oov_idf, term_frequencies, with_row
 from lexmill.operators.labels import decode_labels
 from lexmill.operators.vocabulary import within_limit
 from lexmill.sources.workspace import materialise
@@ -101,16 +101,16 @@ def score_documents(
 ) -> DataFrame:
     """``(doc_id, scores, label_idx)`` for every document, those without tokens included, and the columns in ``keep``.
 
-    Unknown words share one index whose weight depends on their joint count, so that
+    Documents are rows: those that share an id or have none are scored each by itself. Unknown words share one index whose weight depends on their joint count, so that
     count is summed per document and weighted at the end. The sums of a document combine before
     their exchange: it holds a few numbers per document. Without ``words`` the dictionary is stored first.
     """
     dictionary = materialise(scoring_words(model), "scoring_words") if words is None else words
-    counts = term_frequencies(docs, key, keep, keep_empty=True)
+    counts = term_frequencies(with_row(docs), key, [*keep, ROW], keep_empty=True)
     found = lookup_words(counts, dictionary, ["idx", "idf", "weights"], **limits)
     weight = term_weight(F.col("n")) * F.col("idf")
     unknown = F.when(F.col("word").isNotNull() & F.col("idx").isNull(), F.col("n"))
-    sums = found.groupBy(key, *keep).agg(
+    sums = found.groupBy(ROW, key, *keep).agg(
         F.sum(unknown).alias("unknown"),
         *[F.sum(weight * F.get("weights", F.lit(j))).alias(f"z{j}") for j in range(model.neurons)],
     )

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from lexmill.config import OOV_INDEX, OOV_WORD
 from lexmill.functions.text import tokens
+from lexmill.operators.counting import counted_words
 from lexmill.operators.order import number_rows
-from lexmill.sources.workspace import computed_once, materialise
+from lexmill.sources.workspace import materialise
 
 
 def explode_words(docs: DataFrame, words: Column, *keep: str) -> DataFrame:
@@ -34,27 +35,9 @@ def document_frequencies(docs: DataFrame, column: str = "clean") -> DataFrame:
     return explode_words(docs, F.array_distinct(tokens(F.col(column)))).groupBy("word").agg(F.count("*").alias("df"))
 
 
-def first_uses(docs: DataFrame, words: Column, *keep: str) -> DataFrame:
-    """``(keep, word, place, hits)``: the different words of each row, where each first stands and how often.
-
-    The words are sorted by word and place and cut where the word changes, so nothing is exchanged.
-    """
-    placed = F.transform(words, lambda w, i: F.struct(w.alias("word"), i.cast("bigint").alias("place")))
-    held = computed_once(docs.select(*keep, placed.alias("_words")), "_sorted", F.sort_array("_words"))
-    w = F.col("_sorted")
-    places = F.sequence(F.lit(0), F.size(w) - 1)
-    first = F.filter(places, lambda i: (i == 0) | (F.get(w, i)["word"] != F.get(w, i - 1)["word"]))
-    cut = computed_once(held.drop("_words"), "_first", F.when(F.size(w) > 0, first))
-    f = F.col("_first")
-    runs = F.transform(
-        f,
-        lambda at, k: F.struct(
-            F.get(w, at)["word"].alias("word"),
-            F.get(w, at)["place"].alias("place"),
-            (F.coalesce(F.get(f, k + 1), F.size(w)) - at).cast("bigint").alias("hits"),
-        ),
-    )
-    return cut.select(*keep, F.inline_outer(runs)).where(F.col("word").isNotNull())
+def first_uses(docs: DataFrame, column: str, *keep: str) -> DataFrame:
+    """``(keep, word, place, hits)``: the different words of each row, where each first stands and how often."""
+    return counted_words(docs, keep, column).where(F.col("word").isNotNull()).withColumnRenamed("n", "hits")
 
 
 def word_statistics(docs: DataFrame, order_key: str, column: str = "clean", id_column: str = "doc_id") -> DataFrame:
@@ -63,8 +46,7 @@ def word_statistics(docs: DataFrame, order_key: str, column: str = "clean", id_c
     Each document yields one row per different word. All aggregates are numbers: they combine before the one
     exchange, on the word. Should documents share a key, the words first met in those are looked at again with their ids.
     """
-    words = tokens(F.col(column))
-    rows = first_uses(docs, words, order_key)
+    rows = first_uses(docs, column, order_key)
     stats = materialise(
         rows.groupBy("word").agg(
             F.sum("hits").alias("n"),
@@ -80,7 +62,7 @@ def word_statistics(docs: DataFrame, order_key: str, column: str = "clean", id_c
     nothing = F.lit(None).cast(docs.schema[id_column].dataType)
     if shared.isEmpty():
         return stats.withColumn("first_id", nothing)
-    again = first_uses(docs.join(shared, order_key, "left_semi"), words, order_key, id_column)
+    again = first_uses(docs.join(shared, order_key, "left_semi"), column, order_key, id_column)
     exact = again.groupBy("word", F.col(order_key).alias("first_doc")).agg(
         F.min(F.struct(id_column, "place")).alias("_first")
     )

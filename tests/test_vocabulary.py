@@ -2,13 +2,14 @@ from __future__ import annotations
 
 import hashlib
 
+import pyarrow as pa
 import pytest
 import truth
 from pyspark.sql import functions as F
 
 from lexmill.catalog import fixtures as fx
 from lexmill.functions.text import tokens
-from lexmill.operators import features, vocabulary
+from lexmill.operators import counting, features, vocabulary
 
 
 @pytest.fixture(scope="module")
@@ -80,7 +81,7 @@ def test_listing_starts_with_the_oov_entry(spark, small):
 
 def test_fit_exchanges_words_not_documents(spark, small):
     """The words of a document are counted in its row, without an exchange."""
-    rows = vocabulary.first_uses(fx.fitted(spark, small).train, tokens(F.col("clean")), "order_key")
+    rows = vocabulary.first_uses(fx.fitted(spark, small).train, "clean", "order_key")
     assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString()
 
 
@@ -88,7 +89,7 @@ def test_tfidf_exchanges_one_number_per_document(spark, small):
     fit = fx.fitted(spark, small)
     rows = features.tfidf(fit.prepared, fit.vocab, fit.n_docs)
     plan = rows._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning(doc_id") == 1 and "partial_sum(n" in plan
+    assert plan.count("Exchange hashpartitioning(_row") == 1 and "partial_sum(n" in plan
 
 
 def test_documents_with_one_order_key_are_ordered_by_id(spark):
@@ -97,3 +98,23 @@ def test_documents_with_one_order_key_are_ordered_by_id(spark):
         docs = spark.createDataFrame(rows, "doc_id bigint, k bigint, clean string").repartition(n)
         got = [r["word"] for r in vocabulary.fit_vocabulary(docs, "k").orderBy("idx").collect()]
         assert got == ["late", "x", "first", "early", "other"]
+
+
+def test_words_counted_in_columns(spark):
+    texts = ["b a b", "", None, "A_b-a\tx\nx", " . ", "\u00c9t\u00e9 \u00e9t\u00e9 \u0130", "cr\rlf x\x0bx", "w " * 3000 + "last"]
+    docs = spark.createDataFrame([(k // 2 if k else None, t) for k, t in enumerate(texts)], "doc_id int, clean string")
+    numbered = features.with_row(docs.repartition(3))
+    got = counting.counted_words(numbered, ["doc_id", features.ROW]).collect()
+    listed = numbered.select(features.ROW, F.posexplode_outer(tokens(F.col("clean"))).alias("place", "word"))
+    runs = listed.groupBy(features.ROW, "word").agg(F.min("place").alias("place"), F.count("place").alias("n")).collect()
+    key = lambda rows: sorted((r["word"] or "", r["place"] or 0, r["n"] or 0) for r in rows)
+    assert key(got) == key(runs) and len({r[features.ROW] for r in got}) == len(texts)
+
+
+def test_slices_of_texts_change_nothing(spark, small, monkeypatch):
+    batches = [pa.RecordBatch.from_arrays([pa.array(range(50)), pa.array(["a b a " * k for k in range(50)])], ["k", "text"])]
+    whole = counting._counted(batches[0])
+    parts = [counting._counted(b) for b in counting.sliced(iter(batches), 1, 40)]
+    assert len(parts) > 20
+    rows = lambda bs: sorted((tuple(r.values()) for b in bs for r in b.to_pylist()), key=repr)
+    assert rows([whole]) == rows(parts)
