@@ -221,8 +221,7 @@ def capped_sample(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def head_n(spark: SparkSession, sf: str) -> DataFrame:
-    indexed = delimited.add_row_index(fx.table(spark, sf, "events"), ["event_id", "event_type"])
-    return order.head_rows(indexed, delimited.ROW_INDEX, 5000)
+    return delimited.first_rows(fx.table(spark, sf, "events"), ["event_id", "event_type"], 5000)
 
 
 @query

@@ -35,8 +35,12 @@ def evaluate_for_retraining(
     params: TrainingParams | Mapping[str, Any] | None = None,
     batch_rows: int = BATCH_ROWS,
     provider: str | None = None,
+    multi_line: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
-    """The decision row and the accuracy per batch of paired feature and target files."""
+    """The decision row and the accuracy per batch of paired feature and target files.
+
+    Without ``multi_line`` every line is a row, and large files are split among tasks.
+    """
     require_keys(datasets, ["features", "targets"], "dataset")
     if params is None:
         params = published.params
@@ -50,6 +54,7 @@ def evaluate_for_retraining(
         [params.target_column],
         params.separator,
         params.encoding,
+        multi_line,
     )
     pairs = materialise(scored_pairs(rows, published, params), "scored_pairs")
     measured = published.baseline if baseline is None else baseline

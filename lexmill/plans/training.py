@@ -8,6 +8,8 @@ import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,7 +41,7 @@ from lexmill.operators.vocabulary import (
     word_count_report,
 )
 from lexmill.sources.artifacts import load_table, register_run, save_readable, save_tables, write_word_counts
-from lexmill.sources.delimited import ROW_INDEX, dataset_uri, read_delimited, read_paired
+from lexmill.sources.delimited import ROW_INDEX, FileRows, dataset_uri, file_rows, read_paired
 from lexmill.sources.workspace import job_folder, materialise, new_path
 
 # Fixed value: the name of a run that a retrain decision started.
@@ -105,7 +107,23 @@ def prepare(rows: DataFrame, params: TrainingParams, id_column: str, take_head:
     repaired = repair(kept, params.used_columns, params.drop_missing)
     if not take_head:
         repaired = cap_rows(repaired, id_column, params.max_rows, params.cap_seed, roles.count())
-    split = assign_split(repaired, id_column, params.holdout_share, params.seed)
+    return _prepared(assign_split(repaired, id_column, params.holdout_share, params.seed), params, id_column)
+
+
+def prepare_files(files: FileRows, params: TrainingParams) -> DataFrame:
+    """``prepare`` for rows in files: the sample and its splits are found on positions alone, then the chosen rows are read again.
+
+    Texts are written for at most ``max_rows`` rows.
+    """
+    complete = reduce(and_, [files.values[c].isNotNull() for c in params.used_columns])
+    ids = files.ids(_complete=complete)
+    usable = ids.where("_complete") if params.drop_missing else ids
+    chosen = cap_rows(usable.drop("_complete"), ROW_INDEX, params.max_rows, params.cap_seed, files.n_rows)
+    wanted = materialise(assign_split(materialise(chosen, "chosen"), ROW_INDEX, params.holdout_share, params.seed), "wanted")
+    return _prepared(repair(files.rows(wanted), params.used_columns, params.drop_missing), params, ROW_INDEX)
+
+
+def _prepared(split: DataFrame, params: TrainingParams, id_column: str) -> DataFrame:
     text = clean([F.col(c) for c in params.feature_columns], params.stop_words, params.remove_stop_words)
     return materialise(
         split.select(
@@ -168,27 +186,24 @@ def train_rows(
 ) -> TrainingRun:
     """Train on a frame whose ``id_column`` is unique, then store and register the run."""
     with job_folder(rows.sparkSession):
-        return _train_rows(
-            rows, params, model_name, folder, id_column, registry, datasets, reasons, run_label, take_head
-        )
+        started = time.time()
+        prepared = prepare(rows, params, id_column, take_head)
+        return _train(prepared, started, params, model_name, folder, registry, datasets, reasons, run_label)
 
 
-def _train_rows(
-    rows: DataFrame,
+def _train(
+    prepared: DataFrame,
+    started: float,
     params: TrainingParams,
     model_name: ModelName,
     folder: str,
-    id_column: str,
     registry: str | None,
     datasets: Mapping[str, str] | None,
     reasons: DataFrame | None,
     run_label: str | None,
-    take_head: bool,
 ) -> TrainingRun:
-    spark = rows.sparkSession
-    started = time.time()
+    spark = prepared.sparkSession
     run_id = uuid.uuid4().hex
-    prepared = prepare(rows, params, id_column, take_head)
     model, fitted = fit(prepared, params, folder)
     known = model.labels.agg(F.sort_array(F.collect_list("label"))).scalar()
     baseline = materialise(
@@ -274,11 +289,11 @@ def train_job(
 ) -> TrainingRun:
     """Train from one delimited file set."""
     with job_folder(spark):
+        started = time.time()
         where = dataset_uri(provider, uri)
-        rows = read_delimited(
-            spark, where, params.used_columns, params.separator, params.encoding, with_index=True, multi_line=multi_line
-        )
-        return train_rows(rows, params, model_name, folder, ROW_INDEX, registry, datasets)
+        files = file_rows(spark, where, params.used_columns, params.separator, params.encoding, multi_line)
+        prepared = prepare_files(files, params)
+        return _train(prepared, started, params, model_name, folder, registry, datasets, None, None)
 
 
 def retrain_job(

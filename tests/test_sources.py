@@ -2,9 +2,10 @@ from __future__ import annotations
 
 import pytest
 
-from lexmill.config import JobConfigError
+from lexmill.config import JobConfigError, TrainingParams
 from lexmill.operators import quality
-from lexmill.sources import artifacts, delimited, requests
+from lexmill.plans import training
+from lexmill.sources import artifacts, delimited, requests, workspace
 
 
 def write(path, text, encoding="utf-8"):
@@ -98,6 +99,58 @@ def test_paired_head_is_taken_before_the_join(spark, tmp_path):
     assert sorted(r["row_index"] for r in got) == list(range(7))
 
 
+def test_files_split_otherwise_give_right_positions_or_an_error(spark, tmp_path):
+    uri = write(tmp_path / "l.csv", "text\n" + "".join(f"t{i}\n" for i in range(3000)))
+    key = "spark.sql.files.maxPartitionBytes"
+    right = [(i, f"t{i}") for i in range(3000)]
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "2000")
+        frame = delimited.read_delimited(spark, uri, ["text"], with_index=True, multi_line=False)
+        assert frame.rdd.getNumPartitions() > 4 and sorted(map(tuple, frame.collect())) == right
+        files = delimited.file_rows(spark, uri, ["text"], multi_line=False)
+        spark.conf.set(key, "4000")
+        assert sorted(map(tuple, files.all().collect())) == right and sorted(map(tuple, files.head(700).collect())) == right[:700]
+        spark.conf.set(key, "1500")
+        with pytest.raises(Exception, match="split otherwise"):
+            files.all().collect()
+    finally:
+        spark.conf.set(key, before)
+
+
+def stored_bytes(spark):
+    path = spark._jvm.org.apache.hadoop.fs.Path(workspace.session_folder(spark))
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+
+
+def test_a_head_is_not_stored_and_later_files_are_not_read(spark, tmp_path):
+    for i in range(6):
+        write(tmp_path / f"x{i}.csv", "text\n" + "".join(f"{i} {j} {'long ' * 200}\n" for j in range(400)))
+    scan = delimited._scan(spark, str(tmp_path / "x*.csv"), ",", "utf-8")
+    before = stored_bytes(spark)
+    head = delimited.first_rows(scan, ["text"], 450)
+    assert [r["row_index"] for r in head.orderBy("row_index").collect()] == list(range(450))
+    assert stored_bytes(spark) - before < 20_000  # counts per split only; the files hold 2.4 MB
+    assert head.where("text not like '0 %' and text not like '1 %'").count() == 0
+    write(tmp_path / "x5.csv", "text\nchanged since\n")  # not among the first splits: it doesn't matter
+    assert head.count() == 450
+
+
+def test_a_sample_writes_the_texts_of_its_rows_alone(spark, tmp_path, monkeypatch):
+    for i in range(3):
+        write(tmp_path / f"x{i}.csv", "text,label\n" + "".join(f"{i} {j} {'w%d ' % j * 300},{'ab'[j % 2]}\n" for j in range(400)))
+    params = TrainingParams(feature_columns=("text",), target_column="label", max_rows=60, drop_missing=True)
+    uri = str(tmp_path / "x*.csv")
+    whole = delimited.read_delimited(spark, uri, ["text", "label"], with_index=True)
+    want = training.prepare(whole, params, delimited.ROW_INDEX)
+    before = stored_bytes(spark)
+    written = []
+    monkeypatch.setattr(training, "materialise", lambda df, name, *a, **k: written.append(name) or workspace.materialise(df, name, *a, **k))
+    got = training.prepare_files(delimited.file_rows(spark, uri, ["text", "label"]), params)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() == 60
+    assert written == ["chosen", "wanted", "prepared"] and stored_bytes(spark) - before < 100_000  # the files hold 1.6 MB
+
+
 def test_lines_without_multi_line_are_rows(spark, tmp_path):
     uri = write(tmp_path / "l.csv", 'a,b\n1,"x, y"\n2,z\n')
     got = delimited.read_delimited(spark, uri, multi_line=False).collect()
