@@ -185,6 +185,16 @@ SELECT doc_id, len(fields) AS n_fields FROM fields, first WHERE len(fields) <> w
     "request_widths": f"WITH {_REQUESTS} SELECT len(fields) AS n_fields, count(*) AS n_rows FROM fields GROUP BY 1",
     "artifact_roundtrip": f"""WITH {_TRAIN} SELECT word, idx FROM vocab UNION ALL
 SELECT label, row_number() OVER (ORDER BY label) - 1 FROM (SELECT DISTINCT lang AS label FROM documents)""",
+    "published_tables": f"""WITH {_TRAIN}, classes AS (SELECT count(DISTINCT lang) AS k FROM documents),
+indices AS (SELECT idx FROM vocab UNION ALL SELECT 1)
+SELECT 'vocabulary' AS artifact, count(*) AS n_rows, CAST(sum(n * idx) AS BIGINT) AS total FROM vocab UNION ALL
+SELECT 'labels', k, CAST(k * (k - 1) // 2 AS BIGINT) FROM classes UNION ALL
+SELECT 'hidden', count(*), CAST(sum((31 * idx + 17) % 101 - 50) AS BIGINT) FROM indices UNION ALL
+SELECT 'network', 1, k FROM classes UNION ALL
+SELECT 'scoring_words', count(*), CAST(sum(idx) AS BIGINT) FROM vocab UNION ALL
+SELECT 'corpus', 1, n_docs FROM corpus UNION ALL
+SELECT 'training_params', 1, 10 UNION ALL SELECT 'training_history', 10, 55 UNION ALL
+SELECT 'baseline_metrics', 1, 875 UNION ALL SELECT 'model_info', 1, k FROM classes""",
     "word_count_sink": f"""WITH {_TRAIN} SELECT word AS palavra, n AS quantidade,
   round(n / (SELECT sum(n) FROM vocab) * 100, 6) AS percentual FROM vocab""",
     "reasons_sink": _DECISION,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -86,14 +87,58 @@ def request_widths(spark: SparkSession, sf: str) -> DataFrame:
     return requests.width_profile(requests.with_fields(fx.requests(spark, sf)))
 
 
+def _stored_model(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """The tables of a model, published and loaded again; a later version that was never finished is left beside it."""
+    fit, model = fx.fitted(spark, sf), fx.fixed_model(spark, sf, None, 1000.0)
+    known = fit.labels.agg(F.sort_array(F.collect_list("label"))).scalar()
+    baseline = metrics.baseline_metrics(fx.history(spark, sf), F.lit(0.875), 0.02, known)
+    tables = {
+        "vocabulary": fit.vocab,
+        "labels": fit.labels,
+        "hidden": model.hidden,
+        "network": model.network,
+        "scoring_words": network.scoring_words(model),
+        "corpus": spark.createDataFrame([(fit.n_docs,)], "n_docs bigint"),
+        "training_params": training.params_table(spark, fx.params()),
+        "training_history": fx.history(spark, sf),
+        "baseline_metrics": baseline,
+        "model_info": metrics.model_record(baseline, "languages", F.lit("check"), F.lit("run-1"), ["text"], "lang"),
+    }
+    folder = workspace.new_path(spark, "published")
+    artifacts.save_tables(artifacts.version_folder(folder, "run-1"), tables)
+    artifacts.publish_version(spark, folder, "run-1", list(tables))
+    artifacts.save_tables(artifacts.version_folder(folder, "run-2"), {"vocabulary": fit.vocab.limit(0)})
+    return artifacts.current_version(spark, folder)
+
+
 @query
 def artifact_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    fit = fx.fitted(spark, sf)
-    folder = workspace.new_path(spark, "artifacts")
-    artifacts.save_tables(folder, {"vocabulary": fit.vocab, "labels": fit.labels})
-    stored = artifacts.load_table(spark, folder, "vocabulary").select("word", "idx")
-    classes = artifacts.load_table(spark, folder, "labels")
-    return stored.unionByName(classes.select(F.col("label").alias("word"), F.col("label_idx").alias("idx")))
+    tables = _stored_model(spark, sf)
+    classes = tables["labels"].select(F.col("label").alias("word"), F.col("label_idx").alias("idx"))
+    return tables["vocabulary"].select("word", "idx").unionByName(classes)
+
+
+@query
+def published_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows and a sum of values of every table of the published model."""
+    tables = _stored_model(spark, sf)
+    sums = {
+        "vocabulary": F.sum(F.col("n") * F.col("idx")),
+        "labels": F.sum("label_idx"),
+        "hidden": F.sum(F.round(F.get("weights", F.lit(1)) * 1000)),
+        "network": F.sum(F.size("output_weights")),
+        "scoring_words": F.sum("idx"),
+        "corpus": F.sum("n_docs"),
+        "training_params": F.sum("epochs"),
+        "training_history": F.sum("epoch"),
+        "baseline_metrics": F.sum(F.round(F.col("test_accuracy") * 1000)),
+        "model_info": F.sum(F.size("predictable_labels")),
+    }
+    parts = [
+        tables[n].agg(F.count("*").alias("n_rows"), s.cast("bigint").alias("total")).withColumn("artifact", F.lit(n))
+        for n, s in sums.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query

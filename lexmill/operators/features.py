@@ -32,34 +32,35 @@ def lookup_words(
     """Left join of rows holding ``word``, or the column named in ``on``, with a stored vocabulary.
 
     A vocabulary within ``broadcast_bytes`` is broadcast, and the rows stay where they are; ``fits`` says
-    so if the caller has measured it. Beyond that the rows are stored, and the words frequent in them, known
-    or not, are looked up once. Those answers are broadcast if they fit ``answer_bytes``, else copied for
-    every value of a salt and joined by word and salt; the rows of other words are joined by word. So
-    no task gets all the rows of a frequent word.
+    so if the caller has measured it. Beyond that the different words of the rows, counted in each task
+    first, are looked up once and stored with their number of rows. That part of the vocabulary is broadcast if it fits. Else
+    the answers for words frequent in the rows, known or not, are broadcast if they fit ``answer_bytes``, or copied for
+    every value of a salt and joined by word and salt; the rows of other words are joined by word. So no task
+    gets all the rows of a frequent word. The rows are read anew for every join and never stored: they must be
+    the same each time.
     """
     wanted = vocab.select(on, *columns)
     if fits if fits is not None else fits_broadcast(wanted, broadcast_bytes):
         return rows.join(F.broadcast(wanted), on, "left")
-    rows = materialise(rows, "lookup_rows")
-    counts = materialise(rows.groupBy(on).agg(F.count("*").alias("_n")), "row_counts")
-    size = counts.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("total"), F.max("_n").alias("most")).first()
+    counts = rows.groupBy(on).agg(F.count("*").alias("_n"))
+    met = materialise(counts.join(wanted, on, "left"), "words_met")
+    if fits_broadcast(met, broadcast_bytes):
+        return rows.join(F.broadcast(met.drop("_n")), on, "left")
+    size = met.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("total"), F.max("_n").alias("most")).first()
     bar = max(frequent_rows, size["total"] // FREQUENT_WORDS)
     often = (F.col("_n") > bar) | F.col(on).isNull()
-    answers = materialise(
-        counts.where(often).join(wanted, on, "left").drop("_n").withColumnRenamed(on, "_word"), "frequent_words"
-    )
+    answers = materialise(met.where(often).drop("_n").withColumnRenamed(on, "_word"), "frequent_words")
+    others = met.where(~often).drop("_n")
     same = F.col(on).eqNullSafe(F.col("_word"))
     if fits_broadcast(answers, answer_bytes):
         by_answer = rows.join(F.broadcast(answers), same).drop("_word")
-        rest = rows.join(F.broadcast(answers.select("_word")), same, "left_anti")
-    else:
-        copies = -(-(size["most"] or 0) // bar)
-        every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(copies - 1).cast("bigint")))
-        salted = rows.withColumn("_salt", F.monotonically_increasing_id() % copies)
-        same = same & (F.col("_salt") == F.col("_copy"))
-        by_answer = salted.join(answers.withColumn("_copy", every), same).drop("_word", "_salt", "_copy")
-        rest = salted.join(answers.select("_word").withColumn("_copy", every), same, "left_anti").drop("_salt")
-    return by_answer.unionByName(rest.join(wanted, on, "left"))
+        return by_answer.unionByName(rows.join(others, on))
+    copies = -(-(size["most"] or 0) // bar)
+    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(copies - 1).cast("bigint")))
+    salted = rows.withColumn("_salt", F.monotonically_increasing_id() % copies)
+    same = same & (F.col("_salt") == F.col("_copy"))
+    by_answer = salted.join(answers.withColumn("_copy", every), same).drop("_word", "_salt", "_copy")
+    return by_answer.unionByName(rows.join(others, on))
 
 
 def _index_or_oov() -> Column:
@@ -81,6 +82,24 @@ def with_row(docs: DataFrame) -> DataFrame:
     return docs.withColumn(ROW, F.monotonically_increasing_id())
 
 
+def numbered_for(
+    docs: DataFrame,
+    words: DataFrame,
+    columns: Sequence[str],
+    fits: bool | None = None,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    **others: int,
+) -> tuple[DataFrame, bool]:
+    """Documents with their row number for a look-up of their words, and whether the words may be broadcast.
+
+    A look-up that reads the documents more than once needs numbers that stay: the documents are then stored, not their words.
+    """
+    if fits is None:
+        fits = fits_broadcast(words.select("word", *columns), broadcast_bytes)
+    numbered = with_row(docs)
+    return (numbered if fits else materialise(numbered, "numbered")), fits
+
+
 def term_frequencies(
     docs: DataFrame, key: str = "doc_id", keep: Sequence[str] = (), keep_empty: bool = False
 ) -> DataFrame:
@@ -123,8 +142,9 @@ def tfidf(
     are rows: those that share an id or have none are weighted each by itself.
     """
     words = idf_of(within_limit(vocab, num_words), n_docs)
-    counts = term_frequencies(with_row(docs), key, [*keep, ROW], keep_empty)
-    found = lookup_words(counts, words, ["idx", "idf"], **limits)
+    numbered, fits = numbered_for(docs, words, ["idx", "idf"], **limits)
+    counts = term_frequencies(numbered, key, [*keep, ROW], keep_empty)
+    found = lookup_words(counts, words, ["idx", "idf"], **{**limits, "fits": fits})
     known = F.col("idx").isNotNull()
     empty = F.col("word").isNull()
     placed = found.where(known | empty).select(key, *keep, "idx", (term_weight(F.col("n")) * F.col("idf")).alias("tfidf"))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from lexmill.config import OOV_INDEX
 from lexmill.functions.weights import arg_max, dot, relu, sigmoid, term_weight
-from lexmill.operators.features import ROW, idf_of, lookup_words, oov_idf, term_frequencies, with_row
+from lexmill.operators.features import ROW, idf_of, lookup_words, numbered_for, oov_idf, term_frequencies
 from lexmill.operators.labels import decode_labels
 from lexmill.operators.vocabulary import within_limit
 from lexmill.sources.workspace import materialise
@@ -106,8 +106,10 @@ def score_documents(
     their exchange: it holds a few numbers per document. Without ``words`` the dictionary is stored first.
     """
     dictionary = materialise(scoring_words(model), "scoring_words") if words is None else words
-    counts = term_frequencies(with_row(docs), key, [*keep, ROW], keep_empty=True)
-    found = lookup_words(counts, dictionary, ["idx", "idf", "weights"], **limits)
+    columns = ["idx", "idf", "weights"]
+    numbered, fits = numbered_for(docs, dictionary, columns, **limits)
+    counts = term_frequencies(numbered, key, [*keep, ROW], keep_empty=True)
+    found = lookup_words(counts, dictionary, columns, **{**limits, "fits": fits})
     weight = term_weight(F.col("n")) * F.col("idf")
     unknown = F.when(F.col("word").isNotNull() & F.col("idx").isNull(), F.col("n"))
     sums = found.groupBy(ROW, key, *keep).agg(

@@ -6,18 +6,19 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill.config import MISSING_FILL, TrainingParams
+from lexmill.functions.folding import plain_field
 from lexmill.functions.text import clean
 from lexmill.operators.metrics import evaluate_report
 from lexmill.operators.network import Model, predict_labels
 from lexmill.operators.review import feedback_report, unknown_labels
-from lexmill.plans.training import load_params
-from lexmill.sources.artifacts import load_table
-from lexmill.sources.requests import EMPTY_REQUEST, check_requests, requests_from_list, with_fields
-from lexmill.sources.workspace import fits_broadcast
+from lexmill.plans.training import params_of
+from lexmill.sources.artifacts import current_version
+from lexmill.sources.requests import EMPTY_REQUEST, request_problem, requests_from_list, watched, with_fields
+from lexmill.sources.workspace import fits_broadcast, materialise
 
 
 @dataclass(frozen=True)
@@ -42,19 +43,20 @@ class PublishedModel:
 def load_published(
     spark: SparkSession, folder: str, name: str = "text_classifier", provider: str = "local"
 ) -> PublishedModel:
-    params = load_params(spark, folder)
-    words = load_table(spark, folder, "scoring_words")
-    n_docs = load_table(spark, folder, "corpus").first()["n_docs"]
+    """The version published last under ``folder``; its tables are checked against the manifest."""
+    tables = current_version(spark, folder)
+    params = params_of(tables["training_params"])
     model = Model(
-        load_table(spark, folder, "vocabulary"),
-        load_table(spark, folder, "labels"),
-        load_table(spark, folder, "hidden"),
-        load_table(spark, folder, "network"),
-        n_docs,
+        tables["vocabulary"],
+        tables["labels"],
+        tables["hidden"],
+        tables["network"],
+        tables["corpus"].first()["n_docs"],
         params.neurons,
         params.num_words,
     )
-    info, baseline = load_table(spark, folder, "model_info"), load_table(spark, folder, "baseline_metrics")
+    words = tables["scoring_words"]
+    info, baseline = tables["model_info"], tables["baseline_metrics"]
     return PublishedModel(name, provider, folder, model, words, info, baseline, params, fits_broadcast(words))
 
 
@@ -76,6 +78,19 @@ def cleaned_rows(
     return filled.select(key, *keep, text.alias("clean"))
 
 
+def cleaned_lists(df: DataFrame, column: str, params: TrainingParams, keep: Sequence[str]) -> DataFrame:
+    """``(keep, clean)`` of rows that hold their fields in a list, however many.
+
+    Cleaning goes letter by letter and then by words, so the fields may be joined first; only where the words are not taken apart
+    is each field trimmed by itself.
+    """
+    if params.remove_stop_words:
+        text = df.select(*keep, F.array_join(column, " ").alias("_text"))
+        return text.select(*keep, clean([F.col("_text")], params.stop_words).alias("clean"))
+    fields = F.transform(column, lambda f: plain_field(f))
+    return df.select(*keep, F.array_join(fields, " ").alias("clean"))
+
+
 def predict_rows(
     df: DataFrame, published: PublishedModel, columns: Sequence[str], key: str, keep: Sequence[str] = ()
 ) -> DataFrame:
@@ -92,7 +107,8 @@ def _flat(split: DataFrame, width: int, keep: Sequence[str]) -> tuple[DataFrame,
 def predict(spark: SparkSession, published: PublishedModel, requests: Any, keep: Sequence[str] = ()) -> DataFrame | str:
     """Label delimited requests: a list of strings or a frame ``(request_id, request)``.
 
-    Requests that cannot be scored give a message instead of a frame. ``keep`` names columns of the frame to pass on.
+    Requests that cannot be scored give a message instead of a frame. ``keep`` names columns of the frame to pass on. The requests are
+    read once: they are checked while they are scored, and the scores are stored.
     """
     if isinstance(requests, (list, tuple)):
         if not requests:
@@ -102,12 +118,12 @@ def predict(spark: SparkSession, published: PublishedModel, requests: Any, keep:
         requests = requests_from_list(spark, requests)
     if not isinstance(requests, DataFrame):
         return f"expected a list of strings or a DataFrame, got {type(requests).__name__}"
-    split = with_fields(requests)
-    width, problem = check_requests(split)
-    if problem:
-        return problem
-    flat, columns = _flat(split, width, keep)
-    return predict_rows(flat, published, columns, "request_id", keep)
+    seen = Observation()
+    split = watched(with_fields(requests), seen)
+    rows = cleaned_lists(split, "fields", published.params, ["request_id", *keep])
+    scored = predict_labels(rows, published.model, "request_id", published.words, keep, fits=published.words_fit)
+    stored = materialise(scored, "predicted")
+    return request_problem(seen.get) or stored
 
 
 def score_or_reject(published: PublishedModel, requests: DataFrame) -> tuple[DataFrame, DataFrame]:

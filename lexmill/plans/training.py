@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import time
 import uuid
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
@@ -40,7 +40,14 @@ from lexmill.operators.vocabulary import (
     top_words,
     word_count_report,
 )
-from lexmill.sources.artifacts import load_table, register_run, save_readable, save_tables, write_word_counts
+from lexmill.sources.artifacts import (
+    publish_version,
+    register_run,
+    save_readable,
+    save_tables,
+    version_folder,
+    write_word_counts,
+)
 from lexmill.sources.delimited import ROW_INDEX, FileRows, dataset_uri, file_rows, read_paired
 from lexmill.sources.workspace import job_folder, materialise, new_path
 
@@ -91,8 +98,8 @@ def params_table(spark: SparkSession, params: TrainingParams) -> DataFrame:
     return spark.createDataFrame([tuple(values[f.name] for f in PARAMS_SCHEMA)], PARAMS_SCHEMA)
 
 
-def load_params(spark: SparkSession, folder: str) -> TrainingParams:
-    return TrainingParams.from_mapping(load_table(spark, folder, "training_params").first().asDict())
+def params_of(table: DataFrame) -> TrainingParams:
+    return TrainingParams.from_mapping(table.first().asDict())
 
 
 def prepare(rows: DataFrame, params: TrainingParams, id_column: str, take_head: bool = False) -> DataFrame:
@@ -204,12 +211,13 @@ def _train(
 ) -> TrainingRun:
     spark = prepared.sparkSession
     run_id = uuid.uuid4().hex
-    model, fitted = fit(prepared, params, folder)
+    version = version_folder(folder, run_id)
+    model, fitted = fit(prepared, params, version)
     known = model.labels.agg(F.sort_array(F.collect_list("label"))).scalar()
     baseline = materialise(
         baseline_metrics(fitted.history, F.lit(fitted.test_accuracy), params.accuracy_tolerance, known),
         "baseline",
-        f"{folder}/baseline_metrics",
+        f"{version}/baseline_metrics",
     )
     label = F.lit(run_label) if run_label else run_name(F.lit(datetime.fromtimestamp(int(started))))
     info = materialise(
@@ -217,7 +225,7 @@ def _train(
             baseline, model_name.experiment, label, F.lit(run_id), params.feature_columns, params.target_column
         ),
         "info",
-        f"{folder}/model_info",
+        f"{version}/model_info",
     )
     tables = {"training_params": params_table(spark, params), "training_history": fitted.history}
     tables["corpus"] = spark.createDataFrame([(model.n_docs,)], "n_docs bigint")
@@ -225,7 +233,7 @@ def _train(
         tables["dataset_names"] = spark.createDataFrame(list(datasets.items()), "role string, uri string")
     if reasons is not None:
         tables["training_reasons"] = reasons
-    save_tables(folder, {**tables, "scoring_words": scoring_words(model)})
+    save_tables(version, {**tables, "scoring_words": scoring_words(model)})
     train = prepared.where(F.col("split") == "train")
     width = index_width(model.vocab.count(), params.num_words)
     reports = {
@@ -239,8 +247,10 @@ def _train(
     }
     save_readable(f"{folder}/readable", {**tables, **reports})
     write_word_counts(word_count_report(model.vocab, params.num_words), f"{folder}/readable/word_counts")
+    stored = ["vocabulary", "labels", "hidden", "network", "scoring_words", "model_info", "baseline_metrics", *tables]
+    publish_version(spark, folder, run_id, stored)
     if registry:
-        _register(registry, model_name, run_id, folder, info, fitted, time.time() - started, tables)
+        _register(registry, model_name, run_id, folder, info, fitted, time.time() - started, stored)
     return TrainingRun(folder, run_id, model, fitted.history, baseline, info)
 
 
@@ -252,7 +262,7 @@ def _register(
     info: DataFrame,
     fitted: Fitted,
     seconds: float,
-    tables: Mapping[str, DataFrame],
+    stored: Sequence[str],
 ) -> None:
     spark = info.sparkSession
     experiment, run = F.lit(model_name.experiment), F.lit(run_id)
@@ -269,7 +279,6 @@ def _register(
         rest.alias("seconds"),
     )
     metrics = fitted.history.select(experiment.alias("experiment"), run.alias("run_id"), "*")
-    stored = ["vocabulary", "labels", "hidden", "network", "scoring_words", "model_info", "baseline_metrics", *tables]
     artifacts = spark.createDataFrame([(a,) for a in stored], "artifact string").select(
         experiment.alias("experiment"), run.alias("run_id"), "artifact"
     )

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,6 +22,45 @@ def load_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
         raise FileNotFoundError(f"no artifact '{name}' under '{folder}'") from e
 
 
+#: The columns of a manifest: a row for each table of a published version.
+MANIFEST_SCHEMA = "version string, published_at string, artifact string, fields string, n_rows bigint"
+
+
+def version_folder(folder: str, version: str) -> str:
+    return f"{folder}/version-{version}"
+
+
+def publish_version(spark: SparkSession, folder: str, version: str, artifacts: Sequence[str]) -> None:
+    """Make a stored version the current one.
+
+    The manifest names its tables with their columns and rows and is written last, as one file: until then the version before stays current.
+    """
+    at = datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%fZ")
+    rows = []
+    for name in artifacts:
+        df = load_table(spark, version_folder(folder, version), name)
+        rows.append((version, at, name, df.schema.simpleString(), df.count()))
+    spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1).write.mode("append").parquet(f"{folder}/manifest")
+
+
+def current_version(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The tables of the version published last, each checked against the manifest."""
+    manifest = load_table(spark, folder, "manifest")
+    last = manifest.agg(F.max(F.struct("published_at", "version")).alias("last")).select("last.*").first()
+    tables = {}
+    for row in manifest.where(F.col("version") == last["version"]).collect():  # a row for each kind of table
+        df = load_table(spark, version_folder(folder, last["version"]), row["artifact"])
+        found = df.schema.simpleString(), df.count()
+        if found != (row["fields"], row["n_rows"]):
+            raise BrokenVersionError(f"'{row['artifact']}' of version {last['version']} in '{folder}' is {found}, not {row[3:]}")
+        tables[row["artifact"]] = df
+    return tables
+
+
+class BrokenVersionError(RuntimeError):
+    """A published table is not what its manifest says."""
+
+
 def save_readable(folder: str, tables: Mapping[str, DataFrame]) -> None:
     """JSON copies for people and other tools."""
     for name, df in tables.items():

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill.functions.text import split_fields
@@ -37,19 +38,23 @@ def ragged_rows(df: DataFrame, key: str) -> DataFrame:
     return df.where(width != first).select(key, width.cast("bigint").alias("n_fields"))
 
 
-def check_requests(df: DataFrame) -> tuple[int, str | None]:
-    """The number of fields, and the reason the requests cannot be scored or None."""
-    found = df.agg(
-        F.count("*").alias("n"),
+def watched(df: DataFrame, seen: Observation) -> DataFrame:
+    """The rows, which tell ``seen`` in passing what ``request_problem`` needs."""
+    return df.observe(
+        seen,
+        F.count(F.lit(1)).alias("n"),
         F.count_if(F.col("fields").isNull()).alias("n_null"),
         F.min(F.size("fields")).alias("lo"),
         F.max(F.size("fields")).alias("hi"),
-    ).first()
-    problem = None
-    if found["n"] == 0:
-        problem = EMPTY_REQUEST
-    elif found["n_null"]:
-        problem = f"{found['n_null']} request row(s) hold no text"
-    elif found["lo"] != found["hi"]:
-        problem = f"requests must all have the same number of fields, found between {found['lo']} and {found['hi']}"
-    return found["hi"], problem
+    )
+
+
+def request_problem(found: Mapping[str, Any]) -> str | None:
+    """Why the requests that were seen cannot be scored, or None."""
+    if not found or found["n"] == 0:
+        return EMPTY_REQUEST
+    if found["n_null"]:
+        return f"{found['n_null']} request row(s) hold no text"
+    if found["lo"] != found["hi"]:
+        return f"requests must all have the same number of fields, found between {found['lo']} and {found['hi']}"
+    return None

@@ -38,10 +38,10 @@ def test_run_is_stored_and_registered(spark, files, run):
     runs = artifacts.read_registry(spark, f"{files}/registry").collect()
     assert [r["run_id"] for r in runs] == [run.run_id] and runs[0]["experiment"] == "languages"
     assert artifacts.read_registry(spark, f"{files}/registry", "metrics").count() == PARAMS.epochs
-    assert training.load_params(spark, run.folder) == PARAMS
+    assert publishing.load_published(spark, run.folder).params == PARAMS
     counts = spark.read.option("sep", ";").option("header", True).csv(f"{run.folder}/readable/word_counts")
     assert counts.columns == ["palavra", "quantidade", "percentual"] and counts.count() == 300
-    assert artifacts.load_table(spark, run.folder, "dataset_names").count() == 2
+    assert artifacts.current_version(spark, run.folder)["dataset_names"].count() == 2
     shapes = {r["split"]: (r["n_rows"], r["n_columns"]) for r in spark.read.json(f"{run.folder}/readable/split_shapes").collect()}
     assert shapes == {"train": (140, 300), "test": (30, 300), "validation": (30, 300)}
     assert spark.read.json(f"{run.folder}/readable/preview").count() == 10
@@ -53,6 +53,24 @@ def test_info_and_version(run, published):
     assert info["predictable_labels"] == ["de", "en", "es", "fr"] and info["train_accuracy"].endswith("%")
 
 
+def test_requests_are_read_once_and_told_apart(spark, published):
+    """Rows that share an id, or have none, each get an answer; they are checked while they are scored."""
+    passed = spark.sparkContext.accumulator(0)
+
+    def counting(batches):
+        for b in batches:
+            passed.add(b.num_rows)
+            yield b
+
+    rows = [(1, "src;the and of"), (1, "src;le la en les"), (None, "x;"), (None, "x;"), (None, "y;the")] * 3
+    asked = spark.createDataFrame(rows, "request_id bigint, request string").repartition(3)
+    read = asked.mapInArrow(counting, asked.schema)
+    got = publishing.predict(spark, published, read).collect()
+    assert sorted((r["request_id"] or 0) for r in got) == [0] * 9 + [1] * 6 and passed.value == 15
+    alone = [publishing.predict(spark, published, [t]).first() for _, t in rows[:5]]
+    assert sorted((r["label"], r["score"]) for r in got) == sorted((r["label"], r["score"]) for r in alone * 3)
+
+
 def test_predictions_for_every_request(spark, published):
     rows = ["src;the and of", "src;le la en les", "x;"]
     got = publishing.predict(spark, published, rows).collect()
@@ -152,4 +170,4 @@ def test_selected_columns_are_read_and_repaired(spark, tmp_path):
     params = TrainingParams(target_column="lang", selected_columns=("text", "origin"), drop_missing=True, epochs=1, shards=2)
     done = training.train_job(spark, f"{tmp_path}/in", params, ModelName("m", "e"), f"{tmp_path}/model")
     assert done.model.n_docs == 48 - 15  # 12 rows lack their origin; 30 % of the others are held out, rounded up
-    assert training.load_params(spark, done.folder) == params
+    assert publishing.load_published(spark, done.folder).params == params

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import Observation
 
 from lexmill.config import JobConfigError, TrainingParams
 from lexmill.operators import quality
@@ -169,12 +170,14 @@ def test_missing_value_policy(spark):
 
 def test_request_checks(spark):
     def check(rows):
-        return requests.check_requests(requests.with_fields(requests.requests_from_list(spark, rows)))
+        seen = Observation()
+        requests.watched(requests.with_fields(requests.requests_from_list(spark, rows)), seen).collect()
+        return requests.request_problem(seen.get)
 
-    assert check(["a;b", "c;d"]) == (2, None)
-    assert check([])[1] == requests.EMPTY_REQUEST
-    assert "between 1 and 2" in check(["a;b", "c"])[1]
-    assert "no text" in check(["a", None])[1]
+    assert check(["a;b", "c;d"]) is None
+    assert check([]) == requests.EMPTY_REQUEST
+    assert "between 1 and 2" in check(["a;b", "c"])
+    assert "no text" in check(["a", None])
 
 
 def test_missing_artifact_is_named(spark, tmp_path):
@@ -182,6 +185,23 @@ def test_missing_artifact_is_named(spark, tmp_path):
         artifacts.load_table(spark, str(tmp_path), "vocabulary")
 
 
+def test_a_version_is_current_when_its_manifest_is_written(spark, tmp_path):
+    folder = str(tmp_path / "model")
+    words = lambda *w: spark.createDataFrame([(x,) for x in w], "word string")
+    artifacts.save_tables(artifacts.version_folder(folder, "r1"), {"a": words("x", "y"), "b": words("z")})
+    artifacts.publish_version(spark, folder, "r1", ["a", "b"])
+    artifacts.save_tables(artifacts.version_folder(folder, "r2"), {"a": words("new")})
+    with pytest.raises(FileNotFoundError, match="'b'"):
+        artifacts.publish_version(spark, folder, "r2", ["a", "b"])  # a job that broke half-way
+    assert {n: t.count() for n, t in artifacts.current_version(spark, folder).items()} == {"a": 2, "b": 1}
+    artifacts.save_tables(artifacts.version_folder(folder, "r2"), {"b": words("new", "newer", "newest")})
+    artifacts.publish_version(spark, folder, "r2", ["a", "b"])
+    assert {n: t.count() for n, t in artifacts.current_version(spark, folder).items()} == {"a": 1, "b": 3}
+    artifacts.save_tables(artifacts.version_folder(folder, "r2"), {"b": words("changed")})
+    with pytest.raises(artifacts.BrokenVersionError, match="'b' of version r2"):
+        artifacts.current_version(spark, folder)
+
+
 def test_registry_grows_by_run(spark, tmp_path):
     registry = str(tmp_path / "reg")
     for run in ("r1", "r2"):
