@@ -80,11 +80,15 @@ def job_folder(spark: SparkSession) -> Iterator[str]:
         remove_folder(spark, folder)
 
 
-def materialise(df: DataFrame, name: str, path: str | None = None, by: str | None = None) -> DataFrame:
+def materialise(
+    df: DataFrame, name: str, path: str | None = None, by: str | None = None, compression: str | None = None
+) -> DataFrame:
     """Write ``df`` once and return the stored table, in folders per value of ``by`` if given."""
     spark = df.sparkSession
     target = path or new_path(spark, name)
     writer = df.write.mode("overwrite")
+    if compression:
+        writer = writer.option("compression", compression)
     (writer.partitionBy(by) if by else writer).parquet(target)
     return spark.read.schema(df.schema).parquet(target)
 
