@@ -575,7 +575,11 @@ def _compared(docs: DataFrame, id_column: str, text_column: str, with_text: bool
     more = F.lit(None).cast("int") if rest is None else rest
     doc_id, text = F.col(id_column).cast("bigint"), F.coalesce(F.col(text_column).cast("string"), F.lit(""))
     carried = docs.select(doc_id.alias("doc_id"), text.alias("text"), more.alias("rest"))
-    marked = {"doc_id": F.col("doc_id"), **text_marks(F.col("text")), "text": F.col("text"), "rest": F.col("rest")}
+    marks = text_marks(F.col("text"))
+    if carried.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
+        # ids alone tell the rows apart that have one, and zeros travel for nothing
+        marks = {n: F.when(F.col("doc_id").isNull(), m).otherwise(F.lit(0).cast("bigint")) for n, m in marks.items()}
+    marked = {"doc_id": F.col("doc_id"), **marks, "text": F.col("text"), "rest": F.col("rest")}
     texts = carried.select(*[c.alias(n) for n, c in marked.items()])
     noted = (
         texts.drop("rest")
@@ -590,7 +594,7 @@ def _compared(docs: DataFrame, id_column: str, text_column: str, with_text: bool
     keyed = packed.withColumn("doc", F.coalesce("doc_id", F.lit(_NO_ID)))
     joined = keyed.join(noted.hint("shuffle_hash"), _NAME, "left").select("doc_id", "t", "u", "text", "settled", "fine", "rest")
     finished = joined.mapInArrow(_apply_settled(2 * parts, with_text), _with_rest(_RESULT_SCHEMA, kind))
-    return materialise(finished, "repeats", by="kind").select(*_RESULT, "rest")
+    return materialise(finished, "repeats", by="kind", compression="zstd").select(*_RESULT, "rest")
 
 
 def _surroundings(compared: DataFrame) -> DataFrame:
