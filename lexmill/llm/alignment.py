@@ -36,7 +36,7 @@ from lexmill.llm.support import byte_slices, materialise, pack, partitions, text
 from lexmill.llm.words import as_bytes, byte_letters
 
 PAIRS = 1 << 18  # different pairs of a section
-_SLICE = 1 << 21  # bytes of text looked at together
+_SLICE = 1 << 20  # bytes of text looked at together
 _REMEMBERED = 250_000  # chunks; the older ones go when twice as many are known
 _CHUNK_CHARACTERS = 64  # longer chunks are not remembered
 _CHUNK = re.compile(r"(?<=\S) ")
