@@ -22,6 +22,7 @@ LIMIT = 200
 SEED = 1
 SHARE = 0.3
 KNOWN = ("de", "en", "fr")
+FEW_ROWS = 150  # what a job may use of a longer file
 
 _FITTED: dict[tuple[str, str], "Fit"] = {}
 

@@ -170,6 +170,17 @@ SELECT part, CAST(idx AS BIGINT) AS idx, CAST(neuron AS BIGINT) AS neuron, round
     / (sqrt((1 - CAST(0.999 AS DOUBLE)) * g * g) + 1e-7), 8) AS step FROM every"""
 
 
+def _run_tables(picked: str) -> str:
+    """What a job fits on rows numbered by their place in a file, of which it uses the ``picked`` ones."""
+    fitted = _TRAIN.replace("FROM documents", "FROM picked")
+    return f"""WITH numbered AS (SELECT row_number() OVER (ORDER BY doc_id) - 1 AS doc_id,
+  coalesce(nullif(text, ''), 'nanvazio') AS text, lang FROM documents),
+picked AS (SELECT * FROM numbered {picked}), {fitted}
+SELECT 'split' AS kind, split AS name, count(*) AS number FROM assigned GROUP BY split UNION ALL
+SELECT 'word', word, idx FROM vocab UNION ALL
+SELECT 'label', lang, row_number() OVER (ORDER BY lang) - 1 FROM (SELECT DISTINCT lang FROM picked)"""
+
+
 ORACLES: dict[str, str] = {
     "train_step": _train_step(),
     "csv_scan": "SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang, source FROM documents",
@@ -355,4 +366,6 @@ SELECT c / n <= threshold AS retrain, 'run-1' AS evaluated_run_id, n AS n_evalua
     "duration_hms": """WITH s AS (SELECT event_id, (epoch_us(ts) - (SELECT epoch_us(min(ts)) FROM events)) // 1000000 AS t
   FROM events)
 SELECT event_id, t // 3600 AS hours, t % 3600 // 60 AS minutes, t % 60 AS seconds FROM s""",
+    "train_job_tables": _run_tables("ORDER BY md5(concat('0:', doc_id)), doc_id LIMIT 150"),
+    "retrain_job_tables": _run_tables("ORDER BY doc_id LIMIT 150"),
 }

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill.catalog import fixtures as fx
-from lexmill.config import ModelName
+from lexmill.config import ModelName, TrainingParams
 from lexmill.functions import text as tx
 from lexmill.functions.display import hours_minutes_seconds, percent_text, run_name
 from lexmill.functions.folding import blank_symbols, fold_ascii, strip
@@ -735,3 +735,37 @@ def retrain_job(spark: SparkSession, sf: str) -> DataFrame:
     name = ModelName("languages", "languages")
     run = training.retrain_job(spark, files, fx.params(num_words=None), name, f"{base}/model", reasons, f"{base}/registry")
     return artifacts.model_info(artifacts.read_registry(spark, f"{base}/registry"), run.run_id)
+
+
+def _run_tables(spark: SparkSession, run: training.TrainingRun) -> DataFrame:
+    """What a run fitted before it trained: rows per split, the words and the labels with their indices."""
+    shapes = spark.read.json(f"{run.folder}/readable/split_shapes").select("split", "n_rows")
+    tables = artifacts.current_version(spark, run.folder)
+    parts = {"split": shapes, "word": tables["vocabulary"].select("word", "idx"), "label": tables["labels"].select("label", "label_idx")}
+    named = [df.toDF("name", "number").withColumn("kind", F.lit(k)) for k, df in parts.items()]
+    return reduce(DataFrame.unionByName, named)
+
+
+def _few() -> TrainingParams:
+    return fx.params(num_words=None, max_rows=fx.FEW_ROWS, epochs=1, shards=1)
+
+
+@query
+def train_job_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """A job whose file holds more rows than it may use, read by the name of its provider: sample, splits, vocabulary and labels."""
+    base = workspace.new_path(spark, "job")
+    delimited.write_delimited(_training_rows(spark, sf).orderBy("doc_id"), f"{base}/csv")
+    name = ModelName("languages", "languages")
+    return _run_tables(spark, training.train_job(spark, f"{base}/csv", _few(), name, f"{base}/model", provider="local"))
+
+
+@query
+def retrain_job_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """A retrain on the first rows of longer paired files: splits, vocabulary and labels."""
+    docs = fx.documents(spark, sf).orderBy("doc_id")
+    base = workspace.new_path(spark, "rejob")
+    files = {"features": f"{base}/features", "targets": f"{base}/targets"}
+    delimited.write_delimited(docs.select("text"), files["features"])
+    delimited.write_delimited(docs.select("lang"), files["targets"])
+    name = ModelName("languages", "languages")
+    return _run_tables(spark, training.retrain_job(spark, files, _few(), name, f"{base}/model", provider="local"))
