@@ -11,7 +11,7 @@ block; so are all queries where there are at most ``FEW`` times ``k`` candidates
 A bucket is dealt into blocks of bounded size, each compared with its queries in one task, so copies of one vector in a third
 of all rows fill many blocks. Each block sends on the best of each query only.
 
-Vectors that are null, zero, of another length than most, or with null or non-finite components, and rows without id, take no
+Vectors that are null, zero, of another length than most rows of the table, or with null or non-finite components, and rows without id, take no
 part. Rows that share the query's id are its own; a candidate whose id is repeated counts once, with its largest score.
 """
 
@@ -46,6 +46,13 @@ def hadamard(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt(width)
 
 
+def norms_of(x: np.ndarray) -> np.ndarray:
+    """The norm of each row; squares of large components do not overflow."""
+    largest = np.abs(x).max(axis=1, initial=0)
+    scale = np.where(largest > 0, largest, 1.0)
+    return scale * np.linalg.norm(x / scale[:, None], axis=1)
+
+
 class CrossPolytope:
     def __init__(self, length: int, largest_norm: float, tables: int = TABLES, seed: int = 5, norms: list[float] | None = None):
         self.length, self.tables = length, tables
@@ -55,7 +62,7 @@ class CrossPolytope:
 
     def _unit(self, x: np.ndarray, is_query: bool) -> np.ndarray:
         out = np.zeros((len(x), self.width))
-        norm = np.linalg.norm(x, axis=1, keepdims=True)
+        norm = norms_of(x)[:, None]
         largest = self.norms[self._ranges(x)][:, None]
         out[:, : self.length] = x / (norm if is_query else largest)
         if not is_query:
@@ -64,7 +71,7 @@ class CrossPolytope:
 
     def _ranges(self, x: np.ndarray) -> np.ndarray:
         """The range of each vector; norms may differ in the last digits from those that were collected."""
-        at = np.searchsorted(self.norms, np.linalg.norm(x, axis=1) * (1 - 1e-12))
+        at = np.searchsorted(self.norms, norms_of(x) * (1 - 1e-12))
         return np.minimum(at, len(self.norms) - 1)
 
     def _turned(self, unit: np.ndarray, table: int) -> np.ndarray:
@@ -89,7 +96,9 @@ class CrossPolytope:
 
 
 def _norm() -> Column:
-    return F.sqrt(F.aggregate(F.col("vector"), F.lit(0.0), lambda a, x: a + x * x))
+    v = F.col("vector")
+    largest = F.array_max(F.transform(v, lambda x: F.abs(x)))
+    return largest * F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + (x / largest) * (x / largest)))
 
 
 def _norms(usable: DataFrame, largest: float) -> list[float]:
@@ -101,18 +110,22 @@ def _norms(usable: DataFrame, largest: float) -> list[float]:
     return [r["norm"] for r in ranges.collect() if r["norm"] > 0] or [largest]
 
 
-def _usable(vectors: DataFrame, id_column: str, vector_column: str) -> tuple[DataFrame, int, float]:
-    """(id, vector as doubles), the common length and the largest norm."""
+def _finite(vectors: DataFrame, id_column: str, vector_column: str) -> DataFrame:
+    """(id, vector as doubles) of the rows that take part, whatever the vector's length."""
     v = F.col("vector")
-    rows = vectors.select(
+    return vectors.select(
         F.col(id_column).cast("bigint").alias("id"), F.col(vector_column).cast("array<double>").alias("vector")
     ).where(
         F.col("id").isNotNull() & v.isNotNull()
         & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
         & F.exists(v, lambda x: x != 0)
     )
-    norm = _norm()
-    lengths = rows.groupBy(F.size(v).alias("length")).agg(F.count("*").alias("n"), F.max(norm).alias("norm"))
+
+
+def _usable(vectors: DataFrame, id_column: str, vector_column: str) -> tuple[DataFrame, int, float]:
+    """(id, vector as doubles), the common length and the largest norm."""
+    v, rows = F.col("vector"), _finite(vectors, id_column, vector_column)
+    lengths = rows.groupBy(F.size(v).alias("length")).agg(F.count("*").alias("n"), F.max(_norm()).alias("norm"))
     common = lengths.orderBy(F.desc("n"), "length").first()
     if common is None:
         return rows, 0, 1.0
@@ -262,7 +275,7 @@ def nearest(
     usable, length, largest = _usable(vectors, id_column, vector_column)
     if not length:
         return spark.createDataFrame([], _RESULT)
-    asked = _usable(queries, id_column, vector_column)[0].where(F.size("vector") == length)
+    asked = _finite(queries, id_column, vector_column).where(F.size("vector") == length)
     if usable.select("id").distinct().limit(FEW * k + 1).count() <= FEW * k:
         return _from_all(usable, asked, length, k)
     index = CrossPolytope(length, largest, tables, norms=_norms(usable, largest))

@@ -42,3 +42,24 @@ def test_a_query_that_met_too_few_is_completed(spark):
     got = by_query(nearest.nearest(df, df.where(F.col("vec_id") % 20 == 0), tables=1, probes=1))
     want = exact_neighbours(rows, [r for r in rows if r[0] % 20 == 0])
     assert got.keys() == want.keys() and all(len(got[q]) == 20 for q in want)
+
+
+def test_queries_of_another_length_do_not_silence_the_others(spark):
+    rng = np.random.default_rng(2)
+    rows = [(k, rng.normal(size=8).tolist()) for k in range(200)] + [(1000 + k, rng.normal(size=4).tolist()) for k in range(20)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    asked = [rows[0], rows[40], *rows[200:203]]
+    got = by_query(nearest.nearest(df, spark.createDataFrame(asked, df.schema)))
+    want = exact_neighbours(rows[:200], asked[:2])
+    assert got.keys() == want.keys() and all(len(a) == 20 for a in got.values())
+
+
+def test_large_components_do_not_overflow(spark):
+    rng = np.random.default_rng(3)
+    rows = [(k, rng.normal(size=8).tolist()) for k in range(250)]
+    rows[5] = (5, [1e200, -1e200] + [0.0] * 6)
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(3)
+    asked = [r for r in rows if r[0] % 20 == 0]
+    got, want = by_query(nearest.nearest(df, df.where("vec_id % 20 = 0"))), exact_neighbours(rows, asked)
+    assert np.mean([len({v for v, _ in got[q]} & {v for v, _ in want[q]}) / 20 for q in want]) >= 0.95
+    assert np.isfinite(nearest.norms_of(np.array([[1e200, 1e200], [0.0, 0.0], [3.0, 4.0]]))).all()
