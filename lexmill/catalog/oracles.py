@@ -205,7 +205,7 @@ SELECT 'network', 1, k FROM classes UNION ALL
 SELECT 'scoring_words', count(*), CAST(sum(idx) AS BIGINT) FROM vocab UNION ALL
 SELECT 'corpus', 1, n_docs FROM corpus UNION ALL
 SELECT 'training_params', 1, 10 UNION ALL SELECT 'training_history', 10, 55 UNION ALL
-SELECT 'baseline_metrics', 1, 875 UNION ALL SELECT 'model_info', 1, k FROM classes""",
+SELECT 'baseline_metrics', 1, 875 UNION ALL SELECT 'model_info', 1, 1""",
     "word_count_sink": f"""WITH {_TRAIN} SELECT word AS palavra, n AS quantidade,
   round(n / (SELECT sum(n) FROM vocab) * 100, 6) AS percentual FROM vocab""",
     "reasons_sink": _DECISION,

@@ -90,8 +90,7 @@ def request_widths(spark: SparkSession, sf: str) -> DataFrame:
 def _stored_model(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     """The tables of a model, published and loaded again; a later version that was never finished is left beside it."""
     fit, model = fx.fitted(spark, sf), fx.fixed_model(spark, sf, None, 1000.0)
-    known = fit.labels.agg(F.sort_array(F.collect_list("label"))).scalar()
-    baseline = metrics.baseline_metrics(fx.history(spark, sf), F.lit(0.875), 0.02, known)
+    baseline = metrics.baseline_metrics(fx.history(spark, sf), F.lit(0.875), 0.02)
     tables = {
         "vocabulary": fit.vocab,
         "labels": fit.labels,
@@ -132,7 +131,7 @@ def published_tables(spark: SparkSession, sf: str) -> DataFrame:
         "training_params": F.sum("epochs"),
         "training_history": F.sum("epoch"),
         "baseline_metrics": F.sum(F.round(F.col("test_accuracy") * 1000)),
-        "model_info": F.sum(F.size("predictable_labels")),
+        "model_info": F.sum(F.size("features")),
     }
     parts = [
         tables[n].agg(F.count("*").alias("n_rows"), s.cast("bigint").alias("total")).withColumn("artifact", F.lit(n))
@@ -153,24 +152,24 @@ def word_count_sink(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _listed(decision: DataFrame) -> DataFrame:
-    """The list of unknown labels as one text, which SQL engines write alike."""
-    entries = F.transform("unknown_labels", lambda x: F.concat(x["label"], F.lit("="), x["n"].cast("string")))
-    return decision.withColumn("unknown_labels", F.array_join(entries, ";"))
+def _listed(spark: SparkSession, sf: str, decision: DataFrame, known: DataFrame) -> DataFrame:
+    """The decision with the labels the model does not know as one text, as the readable copy has them."""
+    unknown = review.unknown_labels(fx.judged(spark, sf), known)
+    return artifacts.with_labels(decision, unknown, "unknown_labels", ";")
 
 
-def _decision(spark: SparkSession, sf: str) -> DataFrame:
-    known = fx.known_labels(spark, sf).agg(F.sort_array(F.collect_list("label"))).scalar()
-    baseline = metrics.baseline_metrics(fx.history(spark, sf), F.lit(0.9), 0.02, known)
-    return review.retrain_decision(fx.judged(spark, sf), baseline)
+def _decision(spark: SparkSession, sf: str, known: DataFrame, test_accuracy: float = 0.9, tolerance: float = 0.02) -> DataFrame:
+    baseline = metrics.baseline_metrics(fx.history(spark, sf), F.lit(test_accuracy), tolerance)
+    return review.retrain_decision(fx.judged(spark, sf), baseline, known)
 
 
 @query
 def reasons_sink(spark: SparkSession, sf: str) -> DataFrame:
-    reasons = _decision(spark, sf)
+    known = fx.known_labels(spark, sf)
+    reasons = _listed(spark, sf, _decision(spark, sf, known), known)
     path = workspace.new_path(spark, "reasons")
     artifacts.save_readable(path, {"reasons": reasons})
-    return _listed(spark.read.schema(reasons.schema).json(f"{path}/reasons"))
+    return spark.read.schema(reasons.schema).json(f"{path}/reasons")
 
 
 @query
@@ -189,16 +188,17 @@ def run_registry(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def model_info(spark: SparkSession, sf: str) -> DataFrame:
-    known = fx.fitted(spark, sf).labels.agg(F.sort_array(F.collect_list("label"))).scalar()
-    baseline = metrics.baseline_metrics(fx.history(spark, sf), F.lit(0.875), 0.02, known)
+    known = fx.fitted(spark, sf).labels.select(F.lit("languages").alias("experiment"), F.lit("run-1").alias("run_id"), "label")
+    baseline = metrics.baseline_metrics(fx.history(spark, sf), F.lit(0.875), 0.02)
     record = metrics.model_record(baseline, "languages", F.lit("check"), F.lit("run-1"), ["text"], "lang")
     path = workspace.new_path(spark, "registry")
-    artifacts.register_run(path, record)
+    artifacts.register_run(path, record, labels=known)
     info = artifacts.model_info(artifacts.read_registry(spark, path), "run-1")
-    return info.select(
+    labels = artifacts.read_registry(spark, path, "labels").where(F.col("run_id") == "run-1").select("label")
+    return artifacts.with_labels(info, labels, "predictable_labels").select(
         "experiment", "run_name", "run_id", "version", "train_accuracy", "val_accuracy", "test_accuracy",
         F.array_join("features", ",").alias("features"), F.array_join("targets", ",").alias("targets"),
-        F.array_join("predictable_labels", ",").alias("predictable_labels"),
+        "predictable_labels",
     )
 
 
@@ -499,8 +499,7 @@ def score_unseen_texts(spark: SparkSession, sf: str) -> DataFrame:
 def _published(spark: SparkSession, sf: str, *columns: str) -> publishing.PublishedModel:
     model = fx.fixed_model(spark, sf, None, 1000.0)
     words = workspace.materialise(network.scoring_words(model), "scoring_words")
-    known = model.labels.agg(F.sort_array(F.collect_list("label"))).scalar()
-    baseline = metrics.baseline_metrics(fx.history(spark, sf), F.lit(0.9), 0.02, known)
+    baseline = metrics.baseline_metrics(fx.history(spark, sf), F.lit(0.9), 0.02)
     info = metrics.model_record(baseline, "languages", F.lit("check"), F.lit("run-1"), ["text"], "lang")
     params = fx.params(feature_columns=columns or ("text",))
     fits = workspace.fits_broadcast(words)
@@ -616,35 +615,33 @@ def feedback_report(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def baseline_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    known = fx.fitted(spark, sf).labels.agg(F.sort_array(F.collect_list("label"))).scalar()
-    record = metrics.baseline_metrics(fx.history(spark, sf), F.lit(0.875), 0.02, known)
-    return record.select(
+    record = metrics.baseline_metrics(fx.history(spark, sf), F.lit(0.875), 0.02)
+    return artifacts.with_labels(record, fx.fitted(spark, sf).labels.select("label"), "dataset_labels").select(
         _six("mean_train_accuracy").alias("mean_train_accuracy"),
         _six("mean_val_accuracy").alias("mean_val_accuracy"),
         "test_accuracy",
         "accuracy_tolerance",
-        F.array_join("dataset_labels", ",").alias("dataset_labels"),
+        "dataset_labels",
     )
 
 
 @query
 def retrain_decision(spark: SparkSession, sf: str) -> DataFrame:
-    return _listed(_decision(spark, sf))
+    known = fx.known_labels(spark, sf)
+    return _listed(spark, sf, _decision(spark, sf, known), known)
 
 
 @query
 def retrain_low_accuracy(spark: SparkSession, sf: str) -> DataFrame:
     """The accuracy rule alone: no tolerance, and every label known."""
-    known = fx.fitted(spark, sf).labels.agg(F.sort_array(F.collect_list("label"))).scalar()
-    baseline = metrics.baseline_metrics(fx.history(spark, sf), F.lit(0.9), 0.0, known)
-    return _listed(review.retrain_decision(fx.judged(spark, sf), baseline))
+    known = fx.fitted(spark, sf).labels
+    return _listed(spark, sf, _decision(spark, sf, known, tolerance=0.0), known)
 
 
 @query
 def retrain_not_needed(spark: SparkSession, sf: str) -> DataFrame:
-    known = fx.fitted(spark, sf).labels.agg(F.sort_array(F.collect_list("label"))).scalar()
-    baseline = metrics.baseline_metrics(fx.history(spark, sf), F.lit(0.9), 0.5, known)
-    return _listed(review.retrain_decision(fx.judged(spark, sf), baseline))
+    known = fx.fitted(spark, sf).labels
+    return _listed(spark, sf, _decision(spark, sf, known, tolerance=0.5), known)
 
 
 @query
@@ -655,7 +652,7 @@ def retrain_evaluation(spark: SparkSession, sf: str) -> DataFrame:
     delimited.write_delimited(docs.select("text"), f"{path}/features")
     delimited.write_delimited(docs.select("lang"), f"{path}/targets")
     files = {"features": f"{path}/features", "targets": f"{path}/targets"}
-    decision, _ = retraining.evaluate_for_retraining(spark, _published(spark, sf), files)
+    decision, _, _ = retraining.evaluate_for_retraining(spark, _published(spark, sf), files)
     return decision.select(
         "retrain", "evaluated_run_id", "n_evaluated", "n_correct", "n_errors", "threshold", "evaluated_accuracy"
     )
@@ -731,9 +728,12 @@ def retrain_job(spark: SparkSession, sf: str) -> DataFrame:
     files = {"features": f"{base}/features", "targets": f"{base}/targets"}
     delimited.write_delimited(docs.select("text"), files["features"])
     delimited.write_delimited(docs.select("lang"), files["targets"])
-    reasons = _decision(spark, sf)
+    known = fx.known_labels(spark, sf)
+    reasons, unknown = _decision(spark, sf, known), review.unknown_labels(fx.judged(spark, sf), known)
     name = ModelName("languages", "languages")
-    run = training.retrain_job(spark, files, fx.params(num_words=None), name, f"{base}/model", reasons, f"{base}/registry")
+    run = training.retrain_job(
+        spark, files, fx.params(num_words=None), name, f"{base}/model", reasons, f"{base}/registry", new_labels=unknown
+    )
     return artifacts.model_info(artifacts.read_registry(spark, f"{base}/registry"), run.run_id)
 
 

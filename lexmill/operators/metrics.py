@@ -55,19 +55,14 @@ def split_shapes(assigned: DataFrame, n_columns: Column | int, split: str = "spl
     return assigned.groupBy(split).agg(F.count("*").alias("n_rows")).withColumn("n_columns", width.cast("bigint"))
 
 
-def baseline_metrics(
-    history: DataFrame, test_accuracy: Column, tolerance: float, labels: Column | Sequence[str]
-) -> DataFrame:
-    """What later evaluations are measured against; accuracies are means over the epochs."""
-    known = labels if isinstance(labels, Column) else F.array(*[F.lit(x) for x in labels])
+def baseline_metrics(history: DataFrame, test_accuracy: Column, tolerance: float) -> DataFrame:
+    """What later evaluations are measured against; accuracies are means over the epochs.
+
+    The labels that the model knows are rows of their own, the model's label table.
+    """
     return history.agg(
         F.avg("accuracy").alias("mean_train_accuracy"), F.avg("val_accuracy").alias("mean_val_accuracy")
-    ).select(
-        "*",
-        test_accuracy.alias("test_accuracy"),
-        F.lit(float(tolerance)).alias("accuracy_tolerance"),
-        known.alias("dataset_labels"),
-    )
+    ).select("*", test_accuracy.alias("test_accuracy"), F.lit(float(tolerance)).alias("accuracy_tolerance"))
 
 
 def model_record(
@@ -83,5 +78,4 @@ def model_record(
         percent_text(F.col("test_accuracy")).alias("test_accuracy"),
         F.array(*[F.lit(c) for c in features]).alias("features"),
         F.array(F.lit(target)).alias("targets"),
-        F.col("dataset_labels").alias("predictable_labels"),
     )

@@ -37,7 +37,6 @@ def _totals(counts: DataFrame) -> DataFrame:
         F.coalesce(F.sum("n_correct"), zero).alias("n_correct"),
         F.count_if(unknown).alias("n_unknown_labels"),
         F.coalesce(F.sum(F.when(unknown, F.col("n"))), zero).alias("n_unknown_rows"),
-        F.sort_array(F.collect_list(F.when(unknown, F.struct((-F.col("n")).alias("order"), "label", "n")))).alias("_listed"),
     ).withColumn("n_errors", F.col("n_evaluated") - F.col("n_correct"))
 
 
@@ -59,20 +58,16 @@ def feedback_report(df: DataFrame, known: DataFrame, true: str = "y_true", predi
     )
 
 
-def baseline_labels(baseline: DataFrame) -> DataFrame:
-    return baseline.select(F.explode("dataset_labels").alias("label"))
-
-
 def retrain_decision(
-    df: DataFrame, baseline: DataFrame, true: str = "y_true", predicted: str = "y_pred", known: DataFrame | None = None
+    df: DataFrame, baseline: DataFrame, known: DataFrame, true: str = "y_true", predicted: str = "y_pred"
 ) -> DataFrame:
     """Whether to retrain, and why.
 
     Retrain if the accuracy is at most the mean validation accuracy less the tolerance, or if
-    a label unknown to the model occurs. Details of a rule are null unless that rule fired. ``unknown_labels``
-    lists the labels with their numbers of rows, the most frequent first, ties by label.
+    a label unknown to the model occurs. Details of a rule are null unless that rule fired. Which labels those are, ``unknown_labels`` says, a
+    row for each.
     """
-    totals = _totals(label_counts(df, baseline_labels(baseline) if known is None else known, true, predicted))
+    totals = _totals(label_counts(df, known, true, predicted))
     limit = baseline.select(F.struct("mean_val_accuracy", "accuracy_tolerance")).scalar()
     judged = totals.select(
         "*",
@@ -118,8 +113,5 @@ def retrain_decision(
             "unknown",
             F.format_string("%d labels on %d rows were not in training", "n_unknown_labels", "n_unknown_rows"),
         ).alias("labels_text"),
-        only("unknown", F.transform("_listed", lambda x: F.struct(x["label"].alias("label"), x["n"].alias("n")))).alias(
-            "unknown_labels"
-        ),
         F.when(~F.col("below") & ~F.col("unknown"), F.lit(NOT_NEEDED)).alias("not_needed_text"),
     )

@@ -37,7 +37,7 @@ class PublishedModel:
 
     @property
     def known_labels(self) -> DataFrame:
-        return self.info.select(F.explode("predictable_labels").alias("label"))
+        return self.model.labels.select("label")
 
 
 def load_published(

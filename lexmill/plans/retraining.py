@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from lexmill.config import TrainingParams, require_keys
 from lexmill.operators.metrics import batch_accuracy
 from lexmill.operators.quality import repair
-from lexmill.operators.review import retrain_decision
+from lexmill.operators.review import retrain_decision, unknown_labels
 from lexmill.plans.publishing import PublishedModel, predict_rows
 from lexmill.sources.delimited import ROW_INDEX, dataset_uri, read_paired
 from lexmill.sources.workspace import materialise
@@ -32,12 +32,15 @@ def evaluate_for_retraining(
     published: PublishedModel,
     datasets: Mapping[str, str],
     baseline: DataFrame | None = None,
+    known: DataFrame | None = None,
     params: TrainingParams | Mapping[str, Any] | None = None,
     batch_rows: int = BATCH_ROWS,
     provider: str | None = None,
     multi_line: bool = True,
-) -> tuple[DataFrame, DataFrame]:
-    """The decision row and the accuracy per batch of paired feature and target files.
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The decision row, the accuracy per batch and the labels the model does not know, of paired feature and target files.
+
+    ``baseline`` and ``known`` labels are those of the model unless others are given.
 
     Without ``multi_line`` every line is a row, and large files are split among tasks.
     """
@@ -58,6 +61,7 @@ def evaluate_for_retraining(
     )
     pairs = materialise(scored_pairs(rows, published, params), "scored_pairs")
     measured = published.baseline if baseline is None else baseline
-    decision = retrain_decision(pairs, measured).withColumn("evaluated_run_id", published.info.select("run_id").scalar())
+    labels = published.known_labels if known is None else known
+    decision = retrain_decision(pairs, measured, labels).withColumn("evaluated_run_id", published.info.select("run_id").scalar())
     numbered = pairs.withColumn("row_number", F.col(ROW_INDEX) + 1)
-    return decision, batch_accuracy(numbered, "row_number", batch_rows)
+    return decision, batch_accuracy(numbered, "row_number", batch_rows), unknown_labels(pairs, labels)

@@ -46,6 +46,7 @@ from lexmill.sources.artifacts import (
     save_readable,
     save_tables,
     version_folder,
+    with_labels,
     write_word_counts,
 )
 from lexmill.sources.delimited import ROW_INDEX, FileRows, dataset_uri, file_rows, read_paired
@@ -190,12 +191,13 @@ def train_rows(
     reasons: DataFrame | None = None,
     run_label: str | None = None,
     take_head: bool = False,
+    new_labels: DataFrame | None = None,
 ) -> TrainingRun:
     """Train on a frame whose ``id_column`` is unique, then store and register the run."""
     with job_folder(rows.sparkSession):
         started = time.time()
         prepared = prepare(rows, params, id_column, take_head)
-        return _train(prepared, started, params, model_name, folder, registry, datasets, reasons, run_label)
+        return _train(prepared, started, params, model_name, folder, registry, datasets, reasons, run_label, new_labels)
 
 
 def _train(
@@ -208,14 +210,14 @@ def _train(
     datasets: Mapping[str, str] | None,
     reasons: DataFrame | None,
     run_label: str | None,
+    new_labels: DataFrame | None = None,
 ) -> TrainingRun:
     spark = prepared.sparkSession
     run_id = uuid.uuid4().hex
     version = version_folder(folder, run_id)
     model, fitted = fit(prepared, params, version)
-    known = model.labels.agg(F.sort_array(F.collect_list("label"))).scalar()
     baseline = materialise(
-        baseline_metrics(fitted.history, F.lit(fitted.test_accuracy), params.accuracy_tolerance, known),
+        baseline_metrics(fitted.history, F.lit(fitted.test_accuracy), params.accuracy_tolerance),
         "baseline",
         f"{version}/baseline_metrics",
     )
@@ -233,11 +235,13 @@ def _train(
         tables["dataset_names"] = spark.createDataFrame(list(datasets.items()), "role string, uri string")
     if reasons is not None:
         tables["training_reasons"] = reasons
+    if new_labels is not None:
+        tables["new_labels"] = new_labels
     save_tables(version, {**tables, "scoring_words": scoring_words(model)})
     train = prepared.where(F.col("split") == "train")
     width = index_width(model.vocab.count(), params.num_words)
     reports = {
-        "model_info": info,
+        "model_info": with_labels(info, model.labels.select("label"), "predictable_labels"),
         "baseline_metrics": baseline,
         "split_shapes": split_shapes(prepared, width),
         "corpus_statistics": corpus_statistics(prepared, train, model.vocab, "label"),
@@ -245,12 +249,14 @@ def _train(
         "first_entries": top_entries(model.vocab),
         "preview": preview(train.select("doc_id", "clean", "label", "order_key"), "order_key"),
     }
+    if reasons is not None and new_labels is not None:
+        reports["training_reasons"] = with_labels(reasons, new_labels, "unknown_labels", ";")
     save_readable(f"{folder}/readable", {**tables, **reports})
     write_word_counts(word_count_report(model.vocab, params.num_words), f"{folder}/readable/word_counts")
     stored = ["vocabulary", "labels", "hidden", "network", "scoring_words", "model_info", "baseline_metrics", *tables]
     publish_version(spark, folder, run_id, stored)
     if registry:
-        _register(registry, model_name, run_id, folder, info, fitted, time.time() - started, stored)
+        _register(registry, model_name, run_id, folder, info, model.labels, fitted, time.time() - started, stored)
     return TrainingRun(folder, run_id, model, fitted.history, baseline, info)
 
 
@@ -260,6 +266,7 @@ def _register(
     run_id: str,
     folder: str,
     info: DataFrame,
+    labels: DataFrame,
     fitted: Fitted,
     seconds: float,
     stored: Sequence[str],
@@ -279,10 +286,11 @@ def _register(
         rest.alias("seconds"),
     )
     metrics = fitted.history.select(experiment.alias("experiment"), run.alias("run_id"), "*")
+    labels = labels.select(experiment.alias("experiment"), run.alias("run_id"), "label")
     artifacts = spark.createDataFrame([(a,) for a in stored], "artifact string").select(
         experiment.alias("experiment"), run.alias("run_id"), "artifact"
     )
-    register_run(registry, runs, metrics, artifacts)
+    register_run(registry, runs, metrics, artifacts, labels)
 
 
 def train_job(
@@ -315,10 +323,12 @@ def retrain_job(
     registry: str | None = None,
     provider: str | None = None,
     multi_line: bool = True,
+    new_labels: DataFrame | None = None,
 ) -> TrainingRun:
     """Train again from paired feature and target files, on their first ``max_rows`` rows.
 
-    The new model is stored and registered, not published.
+    ``reasons`` is the decision that led here, ``new_labels`` the labels (label, n) that it counted. The new model is stored and
+    registered under ``folder``; the one in use is not touched.
     """
     with job_folder(spark):
         rows = read_paired(
@@ -333,5 +343,6 @@ def retrain_job(
             first_rows=params.max_rows,
         )
         return train_rows(
-            rows, params, model_name, folder, ROW_INDEX, registry, datasets, reasons, RETRAIN_RUN, take_head=True
-        )
+            rows, params, model_name, folder, ROW_INDEX, registry, datasets, reasons, RETRAIN_RUN, take_head=True,
+            new_labels=new_labels,
+        )

@@ -67,6 +67,18 @@ def save_readable(folder: str, tables: Mapping[str, DataFrame]) -> None:
         df.write.mode("overwrite").json(f"{folder}/{name}")
 
 
+def with_labels(record: DataFrame, labels: DataFrame, name: str, separator: str = ",") -> DataFrame:
+    """A record of one row with its labels as one text, for people: by falling count if they have one (``label=n``), then by label.
+
+    Null if there are none.
+    """
+    if "n" in labels.columns:
+        entries = "listagg(concat(label, '=', n), :s) WITHIN GROUP (ORDER BY n DESC, label)"
+    else:
+        entries = "listagg(label, :s) WITHIN GROUP (ORDER BY label)"
+    return record.crossJoin(labels.agg(F.expr(entries.replace(":s", f"'{separator}'")).alias(name)))
+
+
 def write_word_counts(report: DataFrame, path: str) -> None:
     """Word-count report as ``;``-separated text, rows in order across the part files."""
     (
@@ -89,9 +101,10 @@ def register_run(
     runs: DataFrame,
     metrics: DataFrame | None = None,
     artifacts: DataFrame | None = None,
+    labels: DataFrame | None = None,
 ) -> None:
-    """Append a run. The run's own row goes last, so a listed run is a complete one."""
-    for name, df in (("metrics", metrics), ("artifacts", artifacts), ("runs", runs)):
+    """Append a run and what belongs to it. The run's own row goes last, so a listed run is a complete one."""
+    for name, df in (("metrics", metrics), ("artifacts", artifacts), ("labels", labels), ("runs", runs)):
         if df is not None:
             df.write.mode("append").partitionBy("experiment").parquet(f"{registry}/{name}")
 

@@ -50,7 +50,7 @@ def test_run_is_stored_and_registered(spark, files, run):
 def test_info_and_version(run, published):
     info = publishing.model_info(published)
     assert publishing.model_version(published) == run.run_id == info["run_id"]
-    assert info["predictable_labels"] == ["de", "en", "es", "fr"] and info["train_accuracy"].endswith("%")
+    assert sorted(r["label"] for r in published.known_labels.collect()) == ["de", "en", "es", "fr"] and info["train_accuracy"].endswith("%")
 
 
 def test_requests_are_read_once_and_told_apart(spark, published):
@@ -96,17 +96,26 @@ def test_evaluate_and_feedback(spark, published, small):
 
 def test_retraining_loop(spark, files, published):
     sets = {"features": f"{files}/features", "targets": f"{files}/targets"}
-    decision, batches = retraining.evaluate_for_retraining(spark, published, sets, batch_rows=60)
+    decision, batches, unknown = retraining.evaluate_for_retraining(spark, published, sets, batch_rows=60)
+    by_lines = {k: f"{v}-lines" for k, v in sets.items()}
+    for k, columns in (("features", ["source", "text"]), ("targets", ["lang"])):
+        rows = delimited.read_delimited(spark, sets[k], columns)
+        flat = rows.select(*[F.regexp_replace(c, r"[\r\n]+", " ").alias(c) for c in columns])
+        delimited.write_delimited(flat, by_lines[k])
+    one_line, _, _ = retraining.evaluate_for_retraining(spark, published, by_lines, provider="local", multi_line=False)
     row = decision.first()
     assert row["retrain"] and row["n_unknown_labels"] == 1 and row["evaluated_run_id"] == publishing.model_version(published)
     assert sorted(r["n_rows"] for r in batches.collect()) == [20, 60, 60, 60]
+    assert [r["label"] for r in unknown.collect()] == ["new"] and one_line.first()["n_correct"] == row["n_correct"]
     small_params = TrainingParams(**{**PARAMS.as_mapping(), "feature_columns": PARAMS.feature_columns, "epochs": 1, "max_rows": 100})
-    again = training.retrain_job(spark, sets, small_params, ModelName("lang", "languages"), f"{files}/model2", decision, f"{files}/registry")
+    again = training.retrain_job(spark, sets, small_params, ModelName("lang", "languages"), f"{files}/model2", decision, f"{files}/registry", new_labels=unknown)
     assert again.model.n_docs == 70
     record = artifacts.model_info(artifacts.read_registry(spark, f"{files}/registry"), again.run_id).first()
-    assert record["run_name"] == "self_training" and "new" in record["predictable_labels"]
+    labels = artifacts.read_registry(spark, f"{files}/registry", "labels").where(F.col("run_id") == again.run_id)
+    assert record["run_name"] == "self_training" and "new" in {r["label"] for r in labels.collect()}
     reasons = spark.read.json(f"{files}/model2/readable/training_reasons").first()
-    assert reasons["retrain"] is True
+    assert reasons["retrain"] is True and reasons["unknown_labels"].startswith("new=")
+    assert artifacts.current_version(spark, f"{files}/model2")["new_labels"].first()["label"] == "new"
 
 
 def test_missing_dataset_or_parameter(spark, published):

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lexmill.operators import metrics, review
+from lexmill.sources import artifacts
 
 # Six judged predictions: two right, two of a known class wrong, two of classes the model lacks.
 PRED = "wheat rye oats wheat barley rye".split()
@@ -36,9 +37,9 @@ def test_unknown_labels_tie_by_name(spark):
     assert [r["label"] for r in review.unknown_labels(df, known(spark, ["a"])).collect()] == ["y", "z"]
 
 
-def baseline(spark, mean, tolerance, labels):
+def baseline(spark, mean, tolerance):
     history = spark.createDataFrame([(1, mean, mean)], "epoch bigint, accuracy double, val_accuracy double")
-    return metrics.baseline_metrics(history, F.lit(0.9), tolerance, labels)
+    return metrics.baseline_metrics(history, F.lit(0.9), tolerance)
 
 
 @pytest.mark.parametrize(
@@ -52,18 +53,21 @@ def baseline(spark, mean, tolerance, labels):
 )
 def test_decision_rules(spark, mean, labels, retrain, below, unknown):
     df = frame(spark, ["a", "a", "b", "b"], ["a", "a", "b", "a"])
-    row = review.retrain_decision(df, baseline(spark, mean, 0.02, labels)).first()
+    row = review.retrain_decision(df, baseline(spark, mean, 0.02), known(spark, labels)).first()
     assert row["retrain"] is retrain
     assert (row["evaluated_accuracy"] is not None) is below
     assert (row["n_unknown_labels"] is not None) is unknown
-    assert (row["unknown_labels"] is not None) is unknown
+    assert (review.unknown_labels(df, known(spark, labels)).count() > 0) is unknown
     assert (row["not_needed_text"] is None) is retrain
 
 
 def test_decision_lists_unknown_labels_by_count_then_name(spark):
     df = frame(spark, ["a"] * 6, ["z", "y", "z", "y", "x", "a"])
-    row = review.retrain_decision(df, baseline(spark, 0.5, 0.02, ["a"])).first()
-    assert [tuple(x) for x in row["unknown_labels"]] == [("y", 2), ("z", 2), ("x", 1)]
+    decision = review.retrain_decision(df, baseline(spark, 0.5, 0.02), known(spark, ["a"]))
+    unknown = review.unknown_labels(df, known(spark, ["a"]))
+    assert artifacts.with_labels(decision, unknown, "unknown_labels", ";").first()["unknown_labels"] == "y=2;z=2;x=1"
+    assert artifacts.with_labels(decision, unknown.where("n > 9"), "unknown_labels", ";").first()["unknown_labels"] is None
+    assert artifacts.with_labels(decision, known(spark, ["b", "a"]), "known").first()["known"] == "a,b"
 
 
 def test_hot_label_is_counted_before_the_exchange(spark):
@@ -76,7 +80,7 @@ def test_hot_label_is_counted_before_the_exchange(spark):
 def test_baseline_means_over_epochs(spark):
     rows = [(e, 0.5 + e / 40, 0.45 + e / 40) for e in range(1, 11)]
     history = spark.createDataFrame(rows, "epoch bigint, accuracy double, val_accuracy double")
-    row = metrics.baseline_metrics(history, F.lit(0.8), 0.02, ["x"]).first()
+    row = metrics.baseline_metrics(history, F.lit(0.8), 0.02).first()
     assert (row["mean_train_accuracy"], row["mean_val_accuracy"]) == pytest.approx((0.6375, 0.5875))
 
 
