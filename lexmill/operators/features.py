@@ -33,7 +33,8 @@ def lookup_words(
 
     A vocabulary within ``broadcast_bytes`` is broadcast, and the rows stay where they are; ``fits`` says
     so if the caller has measured it. Beyond that the different words of the rows, counted in each task
-    first, are looked up once and stored with their number of rows. That part of the vocabulary is broadcast if it fits. Else
+    first, are looked up once and stored with their number of rows; if they fit, they go to the vocabulary instead of it
+    being exchanged, so what a small batch moves does not grow with the vocabulary. The part found is broadcast if it fits. Else
     the answers for words frequent in the rows, known or not, are broadcast if they fit ``answer_bytes``, or copied for
     every value of a salt and joined by word and salt; the rows of other words are joined by word. So no task
     gets all the rows of a frequent word. The rows are read anew for every join and never stored: they must be
@@ -42,7 +43,9 @@ def lookup_words(
     wanted = vocab.select(on, *columns)
     if fits if fits is not None else fits_broadcast(wanted, broadcast_bytes):
         return rows.join(F.broadcast(wanted), on, "left")
-    counts = rows.groupBy(on).agg(F.count("*").alias("_n"))
+    counts = materialise(rows.groupBy(on).agg(F.count("*").alias("_n")), "words_counted")
+    if fits_broadcast(counts, broadcast_bytes):
+        wanted = wanted.join(F.broadcast(counts.select(on)), on)  # the vocabulary stays where it lies
     met = materialise(counts.join(wanted, on, "left"), "words_met")
     if fits_broadcast(met, broadcast_bytes):
         return rows.join(F.broadcast(met.drop("_n")), on, "left")

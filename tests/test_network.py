@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lexmill.catalog import fixtures as fx
 from lexmill.functions.weights import arg_max, one_hot
 from lexmill.operators import features, labels, metrics, network
+from lexmill.sources import workspace
 
 
 def forward(x: dict[int, float], divisor: float, k: int) -> list[float]:
@@ -48,6 +49,28 @@ def test_scores_do_not_depend_on_how_words_are_looked_up(spark, small):
             assert a[d][0] == pytest.approx(b[d][0], abs=2e-9) and a[d][1] == b[d][1]
 
 
+def test_a_small_batch_does_not_move_a_large_vocabulary(spark, monkeypatch):
+    vocab = spark.range(50_000).select(F.concat(F.lit("w"), "id").alias("word"), (F.col("id") + 2).alias("idx"))
+    vocab = workspace.materialise(vocab, "vocabulary")
+    docs = spark.createDataFrame([(1, "w5 w5 none w49999"), (2, ""), (None, "w7")], "doc_id bigint, clean string")
+    counts = features.term_frequencies(docs, keep_empty=True)
+    plans = {}
+
+    def noted(df, name, *a, **k):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return workspace.materialise(df, name, *a, **k)
+
+    monkeypatch.setattr(features, "materialise", noted)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = features.lookup_words(counts, vocab, ["idx"], broadcast_bytes=100_000)
+        got = sorted((r["doc_id"] or 0, r["word"] or "", r["n"] or 0, r["idx"] or 0) for r in found.collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == [(0, "w7", 1, 9), (1, "none", 1, 0), (1, "w49999", 1, 50_001), (1, "w5", 2, 7), (2, "", 0, 0)]
+    assert set(plans) == {"words_counted", "words_met"} and "BroadcastHashJoin" in plans["words_met"]
+
+
 def test_one_document_of_many_words(spark):
     text = " ".join(f"w{i % 7000}" for i in range(20_000))
     docs = spark.createDataFrame([(1, text), (2, "a b a"), (3, "")], "doc_id bigint, clean string")
