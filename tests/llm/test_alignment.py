@@ -132,7 +132,7 @@ def test_links_of_random_cuts(seed):
 def test_query_equals_plain(spark, small, docs, libraries):
     got = {r[0]: r for r in result(queries()["op11_alignment"](spark, small))}
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
-    short = [(d, t) for d, t in rows if len(t or "") < 4000]
+    short = [(d, t) for d, t in rows if len(t or "") < 2500]
     df = spark.createDataFrame(short, "doc_id bigint, text string").repartition(5)
     assert result(alignment.align(df, pairs=500)) == plain(libraries, short)
     for d, t in rows:

@@ -61,7 +61,7 @@ def compare(got, want):
 
 def test_query_equals_plain(spark, small, docs):
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
-    short = [(d, t) for d, t in rows if len(t or "") < 6000]
+    short = [(d, t) for d, t in rows if len(t or "") < 2500]
     df = spark.createDataFrame(short, "doc_id bigint, text string").repartition(6)
     compare([tuple(r) for r in simhash.edited_prints(df).collect()], plain_rows(short))
     got = queries()["op13_fingerprints"](spark, small).collect()
@@ -76,8 +76,8 @@ def test_query_equals_plain(spark, small, docs):
 
 @pytest.mark.parametrize("parts", [1, 3, 7])
 def test_odd_rows(spark, edge, empty, parts):
-    rows = [(r["doc_id"], r["text"]) for r in edge.collect() if len(r["text"] or "") < 5000]
-    short = edge.where("text is null or length(text) < 5000").repartition(parts)
+    rows = [(r["doc_id"], r["text"]) for r in edge.collect() if len(r["text"] or "") < 2500]
+    short = edge.where("text is null or length(text) < 2500").repartition(parts)
     compare([tuple(r) for r in simhash.edited_prints(short).collect()], plain_rows(rows))
     assert simhash.edited_and_near(edge).count() == edge.count() and simhash.edited_and_near(empty).count() == 0
     alone = spark.createDataFrame([(None, "one two three")], "doc_id bigint, text string")
