@@ -8,6 +8,7 @@ and the similar-document stage keep one, the others keep each. Null texts count
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import wraps
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,21 @@ from lexmill.llm.support import documents, materialise, partitions, text_marks
 from lexmill.sources.workspace import job_folder, new_path, remove_folder
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+#: Most bytes of rows that travel to a Python worker at a time. The stages hand over whole texts; workers live through all of them.
+BATCH_BYTES = 4 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def _stage(work: Stage) -> Stage:
+    """A stage whose Python workers get texts in small batches; the session keeps that setting, or its own if that is smaller."""
+
+    @wraps(work)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        if int(spark.conf.get(_BATCH).rstrip("b")) > BATCH_BYTES:
+            spark.conf.set(_BATCH, f"{BATCH_BYTES}b")
+        return work(spark, docs, sf_dir)
+
+    return run_stage
 
 
 def _unused(docs: DataFrame, *names: str) -> list[str]:
@@ -81,20 +97,24 @@ def _only(docs: DataFrame, chosen: DataFrame) -> DataFrame:
     return ordered.mapInArrow(take, ordered.schema).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
+@_stage
 def known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return language.accepted(docs, language.train(docs))
 
 
+@_stage
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     groups = cuckoo.exact_groups(docs).where("kept")
     chosen = groups.groupBy("text_sha256").agg(F.max(F.struct("doc_id", "t", "u")).alias("row"))
     return _only(docs, chosen.select("row.*"))
 
 
+@_stage
 def without_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _only(docs, jaccard.similarity_classes(docs).where("kept").select("doc_id", "t", "u").distinct())
 
 
+@_stage
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row for each row; a text that was null stays null."""
     others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
@@ -108,6 +128,7 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return cut.select(*[columns[c].alias(c) for c in docs.columns])
 
 
+@_stage
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs)
 
