@@ -446,8 +446,10 @@ def _contexts(blobs: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
         bodies += [blob[y - s : y] for y, s in zip(stop.tolist(), head["size"].tolist())]
         heads.append(head)
     head = np.concatenate(heads)
-    order = np.lexsort([head[c] for c in ("begin", "u", "t", "doc", "h")])
-    order = order[_changes(*[head[c][order] for c in ("begin", "u", "t", "doc", "h")])]
+    # near a document's start several anchors have surroundings that begin at its first byte
+    names = ("anchor", "begin", "u", "t", "doc", "h")
+    order = np.lexsort([head[c] for c in names])
+    order = order[_changes(*[head[c][order] for c in names])]
     return head[order], [bodies[k] for k in order.tolist()]
 
 

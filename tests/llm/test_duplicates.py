@@ -241,6 +241,15 @@ def test_repeats_equal_a_table_of_all_passages(spark, seed):
     assert sorted(removed_rows(df)) == plain_repeats(rows)
 
 
+def test_repeats_of_texts_with_a_period(spark):
+    """Near the start of such a text several anchors have surroundings that begin at the first byte."""
+    rng = random.Random(7)
+    block = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    rows = [(k, (block(n) * 20)[: n + rng.randint(100, 150)]) for k, n in enumerate([25, 30, 41, 58, 60, 70] * 10)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    assert sorted(removed_rows(df)) == plain_repeats(rows)
+
+
 def test_repeats_of_documents(spark, docs):
     rows = sorted(tuple(r) for r in docs.select("doc_id", "text").collect())
     assert sorted(removed_rows(docs)) == plain_repeats(rows)
