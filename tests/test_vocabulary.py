@@ -118,3 +118,32 @@ def test_slices_of_texts_change_nothing(spark, small, monkeypatch):
     assert len(parts) > 20
     rows = lambda bs: sorted((tuple(r.values()) for b in bs for r in b.to_pylist()), key=repr)
     assert rows([whole]) == rows(parts)
+
+
+def _skewed(spark):
+    rows = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, "the").when(F.col("id") % 50 == 1, None).otherwise(F.concat(F.lit("w"), F.col("id") % 700)).alias("word"), "id"
+    )
+    words = rows.where("word is not null").select("word").distinct()
+    return rows, words.where("word <> 'w7'").select("word", F.crc32("word").alias("idx"))
+
+
+def test_next_frequent_words_are_broadcast_as_far_as_they_fit(spark, monkeypatch):
+    """Rows of words answered by broadcast are not exchanged; of the others each meets its word once."""
+    rows, vocab = _skewed(spark)
+    expected = sorted(map(tuple, rows.join(vocab, "word", "left").select("id", "word", "idx").collect()))
+    for limit in (0, 20_000, 1 << 26):
+        monkeypatch.setattr(features, "FILLED_BYTES", limit)
+        found = features.lookup_words(rows, vocab, ["idx"], broadcast_bytes=0, frequent_rows=500)
+        assert sorted(map(tuple, found.select("id", "word", "idx").collect())) == expected
+    met = rows.groupBy("word").agg(F.count("*").alias("_n"))
+    assert [features._filled_bar(met, 500, limit) for limit in (0, 1000, 1 << 26)] == [500, 31, 1]  # "the" 1000 rows, null 40, other words 2 to 5
+
+
+def test_salted_lookup_copies_a_word_by_its_own_number_of_rows(spark):
+    rows, vocab = _skewed(spark)
+    expected = sorted(map(tuple, rows.join(vocab, "word", "left").select("id", "word", "idx").collect()))
+    found = features.lookup_words(rows, vocab, ["idx"], broadcast_bytes=0, frequent_rows=100, answer_bytes=0)
+    assert sorted(map(tuple, found.select("id", "word", "idx").collect())) == expected
+    # the rows are read for the join once, not for frequent and other words apart
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Range (") == 1
