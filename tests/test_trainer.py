@@ -1,6 +1,10 @@
 from __future__ import annotations
 
+import tracemalloc
+
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -194,3 +198,27 @@ def test_full_gradient_is_the_slope_of_the_loss(spark, data):
         down[at] -= 1e-6
         assert slopes[at] == pytest.approx((loss(up) - loss(down)) / 2e-6, abs=1e-7)
     assert sum(r["part"] == "output_weight" for r in got) == CLASSES * p.neurons
+
+
+def test_a_shard_holds_its_documents_as_flat_arrays():
+    """However its rows are cut and ordered the result is the same, and little more is held than the words' numbers."""
+    rng, n, per, neurons = np.random.default_rng(5), 2000, 40, 3
+    dense = trainer.initial_dense(neurons, 2, 1)
+    step = trainer._shard_step(dense, TrainingParams(neurons=neurons), 1, 1)
+    idx = np.sort(rng.integers(1, 5000, (n, per)), axis=1).astype(np.int32)
+    docs = pa.table({
+        "shard": [2] * n, "doc_id": np.arange(n) * 3, "label_idx": rng.integers(0, 2, n),
+        "idx": pa.array(list(idx)), "tfidf": pa.array(list(rng.random((n, per)))),
+    })
+    used = np.unique(idx).astype(np.int64)
+    words = pa.table({"shard": [2] * len(used), "idx": used, **{c: rng.random(len(used)) for c in trainer._state_columns(neurons)}})
+    tracemalloc.start()
+    one = step((pa.scalar(2),), docs, words)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 24 * idx.size + 8 * 12 * neurons * len(used)
+    cut = pa.concat_tables([docs.slice(900), docs.slice(0, 500), docs.slice(500, 400)])
+    two = step((pa.scalar(2),), cut, words.take(pa.array(rng.permutation(len(used)))))
+    assert two.sort_by("idx").equals(one.sort_by("idx")) and one["docs"][0].as_py() == n
+    moved = one.filter(pc.greater(one["idx"], 0))
+    assert moved["idx"].to_numpy().tolist() == used.tolist() and np.abs(moved["d0"].to_numpy()).min() >= 0
