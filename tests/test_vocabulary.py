@@ -147,3 +147,19 @@ def test_salted_lookup_copies_a_word_by_its_own_number_of_rows(spark):
     assert sorted(map(tuple, found.select("id", "word", "idx").collect())) == expected
     # the rows are read for the join once, not for frequent and other words apart
     assert found._jdf.queryExecution().optimizedPlan().toString().count("Range (") == 1
+
+
+def test_texts_go_to_python_in_small_batches(spark):
+    """Workers keep the most they ever held, so a batch is bounded by its bytes, not by 10 000 rows."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    held = spark.conf.get(name)
+    spark.conf.set(name, "64m")
+    try:
+        docs = spark.createDataFrame([(1, "a b a")], "doc_id bigint, clean string")
+        assert counting.counted_words(docs, ["doc_id"]).count() == 2
+        assert int(spark.conf.get(name).rstrip("b")) <= 4 << 20
+        spark.conf.set(name, "1000b")
+        counting.counted_words(docs, ["doc_id"])
+        assert spark.conf.get(name) == "1000b"
+    finally:
+        spark.conf.set(name, held)
