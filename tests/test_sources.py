@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import pytest
 from pyspark.sql import Observation
+from pyspark.sql import functions as F
 
 from lexmill.config import JobConfigError, TrainingParams
 from lexmill.operators import quality
@@ -100,6 +101,23 @@ def test_paired_head_is_taken_before_the_join(spark, tmp_path):
     assert sorted(r["row_index"] for r in got) == list(range(7))
 
 
+def test_a_paired_head_from_one_file_is_dealt_out(spark, tmp_path):
+    x = write(tmp_path / "x.csv", "text\n" + "".join(f"t{i}\n" for i in range(400)))
+    y = write(tmp_path / "y.csv", "label\n" + "".join(f"l{i}\n" for i in range(400)))
+    got = delimited.read_paired(spark, x, y, ["text"], ["label"], first_rows=300)
+    assert sorted(map(tuple, got.collect())) == sorted((i, f"t{i}", f"l{i}") for i in range(300))
+    held = [r["count"] for r in got.groupBy(F.input_file_name()).count().collect()]
+    assert len(held) >= spark.sparkContext.defaultParallelism and max(held) < 100
+
+
+def test_written_files_are_short_and_keep_the_order(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(delimited, "FILE_ROWS", 10)
+    delimited.write_delimited(spark.range(95).select(F.col("id").alias("v")).coalesce(2), f"{tmp_path}/out")
+    assert len(list((tmp_path / "out").glob("*.csv"))) == 10
+    got = delimited.read_delimited(spark, f"{tmp_path}/out", ["v"], with_index=True).collect()
+    assert sorted((r["row_index"], int(r["v"])) for r in got) == [(i, i) for i in range(95)]
+
+
 def test_files_split_otherwise_give_right_positions_or_an_error(spark, tmp_path):
     uri = write(tmp_path / "l.csv", "text\n" + "".join(f"t{i}\n" for i in range(3000)))
     key = "spark.sql.files.maxPartitionBytes"
