@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 
 import pyarrow as pa
 import pytest
@@ -8,6 +9,8 @@ import truth
 from pyspark.sql import functions as F
 
 from lexmill.catalog import fixtures as fx
+from lexmill.config import STOP_WORDS
+from lexmill.functions import text as tx
 from lexmill.functions.text import tokens
 from lexmill.operators import counting, features, vocabulary
 
@@ -163,3 +166,19 @@ def test_texts_go_to_python_in_small_batches(spark):
         assert spark.conf.get(name) == "1000b"
     finally:
         spark.conf.set(name, held)
+
+
+def test_stop_words_dropped_while_counting_as_by_cleaning(spark):
+    rng = random.Random(4)
+    bits = ["the", "The", "and", "of", "them", "cat", "CAT", "the_cat", "_", "of_", "caf\u00e9", "\u0130s", "x2", "it\u2019s", "t-shirt"]
+    blanks = [" ", "  ", "\t", "\n", "\r\n", "\x0b", "\x0c", "\x1c", "\x1f", "\u00a0", "\u2028", ",", ";the;", "\x07", "\x85"]
+    texts = ["", " ", "the and", "the", "_the_"] + ["".join(rng.choice(bits) + rng.choice(blanks) for _ in range(rng.randrange(30))) for _ in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, t string").repartition(3)
+
+    def counted(text, **how):
+        rows = counting.counted_words(docs.select("doc_id", text.alias("clean")), ["doc_id"], **how).collect()
+        return sorted(rows, key=lambda r: (r["doc_id"], r["word"] or ""))
+
+    for stop in (STOP_WORDS, ("cat", "of_")):
+        want = counted(tx.clean([F.col("t")], stop))
+        assert counted(tx.plain([F.col("t")]), stop_words=stop) == want and any(r["word"] is None for r in want)
