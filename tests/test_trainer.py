@@ -222,3 +222,11 @@ def test_a_shard_holds_its_documents_as_flat_arrays():
     assert two.sort_by("idx").equals(one.sort_by("idx")) and one["docs"][0].as_py() == n
     moved = one.filter(pc.greater(one["idx"], 0))
     assert moved["idx"].to_numpy().tolist() == used.tolist() and np.abs(moved["d0"].to_numpy()).min() >= 0
+
+
+def test_no_two_shards_share_a_task(spark):
+    """With as many partitions as shards, three of eight met in one task."""
+    shards = spark.range(8).select(F.col("id").cast("int").alias("shard"))
+    dealt = shards.repartition(trainer._partitions_for(spark, 8), "shard")
+    assert dealt.select(F.spark_partition_id()).distinct().count() == 8
+    assert trainer._partitions_for(spark, 1) == 1
