@@ -9,8 +9,8 @@ Two fingerprints that differ in h bits stand for texts whose weighted terms meet
 least, is their likeness.
 
 ``within_radius`` finds all fingerprints within a Hamming radius r: the bits are cut into blocks, more than r of them; two
-fingerprints that differ in r bits agree in all bits of some ``blocks - r`` of them. One table for each choice of so many blocks brings those
-blocks to the front as the key; equal keys are candidates, verified on all bits. Of the tables a pair meets in, the first reports it.
+fingerprints that differ in r bits agree in all bits of some ``blocks - r`` of them. One table for each choice of so many blocks has a hash of those
+blocks as the key; equal keys are candidates, verified on all bits. Of the tables a pair meets in, the first reports it.
 
 ``edited_prints`` compares each document with its text after a test edit, which takes the beginning of the next document, by
 descending doc_id. Documents without id come last, those of equal id are ordered by the SHA-256 of their texts. The ids alone are sorted into ranges first; then
@@ -22,6 +22,7 @@ from __future__ import annotations
 import bisect
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -112,41 +113,52 @@ def prints(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
     return texts_of(docs, id_column, text_column).mapInArrow(run, "doc_id bigint, fingerprint string")
 
 
-def _block_keys(fingerprint: Column, radius: int, blocks: int) -> Column:
-    """An entry (table, key) for each choice of blocks, with the values of all blocks."""
+def _masks(radius: int, blocks: int) -> list[list[int]]:
+    """A table for each choice of ``blocks - radius`` blocks: the bits of these blocks, as signed 64-bit numbers."""
     if not radius < blocks <= BITS:
         raise ValueError("there must be more blocks than bits may differ")
-    bits = F.concat(*[F.lpad(F.conv(F.substring(fingerprint, 1 + 8 * k, 8), 16, 2), 32, "0") for k in range(BITS // 32)])
     edges = [BITS * k // blocks for k in range(blocks + 1)]
-    values = [F.substring(bits, a + 1, b - a) for a, b in zip(edges, edges[1:])]
-    tables = list(combinations(range(blocks), blocks - radius))
-    return F.array(*[F.struct(F.lit(t).alias("table"), F.concat(*[values[k] for k in chosen]).alias("key")) for t, chosen in enumerate(tables)])
+    wholes = [sum((1 << edges[k + 1]) - (1 << edges[k]) for k in chosen) for chosen in combinations(range(blocks), blocks - radius)]
+    return [np.frombuffer(w.to_bytes(BITS // 8, "little"), "<i8").tolist() for w in wholes]
+
+
+_HALVES = range(BITS // 64)
 
 
 def _halves(fingerprint: str) -> list[Column]:
-    """The fingerprint as 32-bit numbers."""
-    return [F.conv(F.substring(fingerprint, 1 + 8 * k, 8), 16, 10).cast("bigint") for k in range(BITS // 32)]
+    """The fingerprint as signed 64-bit numbers."""
+    return [F.conv(F.substring(fingerprint, 1 + 16 * k, 16), 16, -10).cast("bigint") for k in _HALVES]
+
+
+def _digits(name: str) -> Column:
+    """The fingerprint whose halves are the columns ``name``_0, ``name``_1."""
+    return F.lower(F.concat(*[F.lpad(F.hex(f"{name}_{k}"), 16, "0") for k in _HALVES]))
 
 
 def within_radius(table: DataFrame, wanted: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
     """(fingerprint, other, bits): each fingerprint of ``wanted`` with all those of ``table`` that differ from it in at most ``radius`` bits.
 
-    Both have a column ``fingerprint``; equal ones count once, which rows hold them is for the caller to join. A fingerprint of both
-    tables is found itself, with 0 bits.
+    Both have a column ``fingerprint`` of lower-case hexadecimal digits; equal ones count once, which rows hold them is for the caller to
+    join. A fingerprint of both tables is found itself, with 0 bits.
+
+    An entry of a table is four numbers, the key a hash of its blocks: whether Spark exchanges the entries or broadcasts those of
+    ``wanted`` hardly matters for the bytes that are moved.
     """
+    masks = _masks(radius, blocks)
 
     def entries(df: DataFrame, name: str) -> DataFrame:
-        once = df.select(F.col("fingerprint").alias(name)).where(F.col(name).isNotNull()).distinct()
-        keys = _block_keys(F.col(name), radius, blocks)
-        return once.select(name, keys.alias("keys"), F.posexplode(keys).alias("at", "entry")).select(
-            name, F.col("entry.table").alias("table"), F.col("entry.key").alias("key"), F.col("keys.key").alias(f"{name}_keys")
-        )
+        once = df.select("fingerprint").where(F.col("fingerprint").isNotNull()).distinct()
+        halves = once.select(*[half.alias(f"{name}_{k}") for k, half in enumerate(_halves("fingerprint"))])
+        chosen = [[F.col(f"{name}_{k}").bitwiseAND(F.lit(bits)) for k, bits in enumerate(mask)] for mask in masks]
+        return halves.select("*", F.posexplode(F.array(*[F.xxhash64(*c) for c in chosen])).alias("table", "key"))
 
     met = entries(wanted, "fingerprint").join(entries(table, "other"), ["table", "key"])
-    differ = sum((F.bit_count(a.bitwiseXOR(b)) for a, b in zip(_halves("fingerprint"), _halves("other"))), F.lit(0))
-    first = F.array_position(F.zip_with("fingerprint_keys", "other_keys", lambda a, b: a == b), True) - 1
-    near = met.where(first == F.col("table")).select("fingerprint", "other", differ.cast("bigint").alias("bits"))
-    return near.where(F.col("bits") <= radius)
+    differ = [F.col(f"fingerprint_{k}").bitwiseXOR(F.col(f"other_{k}")) for k in _HALVES]
+    # the first table whose blocks are equal, not only their hashes
+    agree = [reduce(Column.__and__, [d.bitwiseAND(F.lit(bits)) == 0 for d, bits in zip(differ, mask)]) for mask in masks]
+    first = F.coalesce(*[F.when(a, F.lit(t)) for t, a in enumerate(agree)])
+    near = met.where(first == F.col("table")).withColumn("bits", sum((F.bit_count(d) for d in differ), F.lit(0)).cast("bigint"))
+    return near.where(F.col("bits") <= radius).select(_digits("fingerprint").alias("fingerprint"), _digits("other").alias("other"), "bits")
 
 
 # The test edit

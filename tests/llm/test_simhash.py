@@ -119,3 +119,33 @@ def test_blocks_must_outnumber_the_radius(spark):
     table = spark.createDataFrame([("00" * 16,)], "fingerprint string")
     with pytest.raises(ValueError):
         simhash.within_radius(table, table, 3, 3)
+
+
+def exchanged_bytes(df):
+    """Bytes of the rows that the exchanges of a plan carry, before compression."""
+    df.collect()
+    left, total = [df._jdf.queryExecution().executedPlan()], 0
+    while left:
+        node = left.pop()
+        if node.nodeName() == "Exchange":
+            total += node.metrics().apply("dataSize").value()
+        left += [node.children().apply(k) for k in range(node.children().size())]
+    return total
+
+
+def test_entries_exchanged_are_small(spark):
+    rng = random.Random(3)
+    rows = [(rng.randbytes(16).hex(),) for _ in range(2000)]
+    table = spark.createDataFrame(rows, "fingerprint string")
+    names = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {n: spark.conf.get(n) for n in names}
+    try:
+        for n, v in names.items():
+            spark.conf.set(n, v)
+        near = simhash.within_radius(table, table.limit(20))
+        size = exchanged_bytes(near)
+    finally:
+        for n, v in before.items():
+            spark.conf.set(n, v)
+    # once to drop equal ones, then an entry in each of four tables
+    assert 0 < size < len(rows) * (64 + 4 * 48) + 100_000
